@@ -275,3 +275,29 @@ SQL["stage_counts"] = with_base("""
            (SELECT count(*) FROM downloaded) AS downloaded, (SELECT count(*) FROM hits) AS inference_cache_hit,
            (SELECT count(*) FROM inferred) AS inferred,
            (SELECT count(*) FROM hits) + (SELECT count(*) FROM inferred) AS written""")
+
+_BYTE = "('0x' || substr(hex(encode(b.text)), 2 * (({k}) % strlen(b.text)) + 1, 2))::INTEGER"
+SQL["score_images"] = with_base(f"""
+    , items AS (SELECT l.image_id, b.text FROM latest l JOIN blobs b ON b.image_id = l.image_id WHERE strlen(b.text) > 0)
+    , segs AS (SELECT i.image_id, i.text, CAST(s.range AS INTEGER) AS segment_idx FROM items i, range(1 + strlen(i.text) % 3) s)
+    SELECT b.image_id, b.segment_idx, CAST(64 AS BIGINT) AS n_values,
+           round(CAST(CAST({_BYTE.format(k="13 * b.segment_idx")} / 255.0 AS FLOAT) AS DOUBLE), 6) AS v_first,
+           round(CAST(CAST({_BYTE.format(k="441 + 13 * b.segment_idx")} / 255.0 AS FLOAT) AS DOUBLE), 6) AS v_last
+    FROM segs b""")
+SQL["geo_roundtrip"] = SQL["deliverable"]
+_INGESTED = """
+    , parsed AS (
+        SELECT CAST(event_id AS VARCHAR) AS image_id, -0.1465e0 + (event_id % 1000) * 6.5e-6 AS lon, 51.5405e0 + (user_id % 150) * 2e-5 AS lat
+        FROM events
+        WHERE NOT (value > 489 OR (value >= 100 AND value < 101))
+          AND NOT (event_type = 'view' AND value < 5)
+          AND NOT (user_id % 3 <> 0 AND event_type = 'error')
+          AND NOT (event_type = 'signup' AND value < 5)
+          AND NOT (event_type = 'purchase' AND value < 10))
+    , ingested AS (
+        SELECT p.image_id, sha256(b.text) AS image_sha256, CAST(strlen(b.text) AS BIGINT) AS image_bytes, p.lon, p.lat
+        FROM parsed p JOIN blobs b ON b.image_id = p.image_id
+        WHERE p.lon BETWEEN -0.1465e0 AND -0.1422e0 AND p.lat BETWEEN 51.5405e0 AND 51.543e0)
+"""
+SQL["stream_ingest"] = with_base(_INGESTED + "SELECT * FROM ingested")
+SQL["stream_score"] = with_base(_INGESTED + "SELECT image_id, CAST(64 AS BIGINT) AS n_activity FROM ingested WHERE image_bytes > 0")

@@ -118,13 +118,12 @@ def capture_records(spark: SparkSession, d: str) -> DataFrame:
         ),
     ]
     body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    return ev.select(
-        F.floor(eid / 1000).alias("page"), (eid % 1000).alias("pos"), F.parse_json(body).alias("record")
-    )
+    return ev.select(F.floor(eid / 1000).alias("page"), (eid % 1000).alias("pos"), body.alias("record_text"))
 
 
 def q_parse_captures(spark: SparkSession, d: str) -> DataFrame:
-    parsed = C.parse_captures(capture_records(spark, d), is_pano=False)
+    records = capture_records(spark, d).select("page", "pos", F.parse_json("record_text").alias("record"))
+    parsed = C.parse_captures(records, is_pano=False)
     return parsed.select("page", "pos", *C.CAPTURE_COLUMNS, "reject_reason")
 
 
@@ -344,6 +343,72 @@ def q_stage_counts(spark: SparkSession, d: str) -> DataFrame:
     return D.stage_counts(tagged)
 
 
+# ---------------------------------------------------------------- scoring, geo output, streaming
+
+
+def q_score_images(spark: SparkSession, d: str) -> DataFrame:
+    """M1-M3 with the stand-in predictor over every latest store row with a blob."""
+    items = ST.latest_rows(V.store(spark, d)).select("image_id", "image_blob")
+    seg = M.good_segments(M.score_images(items, lambda: M.ByteProbePredictor(fail_marker=None)))
+    return seg.select(
+        "image_id",
+        "segment_idx",
+        F.size("activity").cast("bigint").alias("n_values"),
+        F.round(F.col("activity")[0].cast("double"), 6).alias("v_first"),
+        F.round(F.col("activity")[63].cast("double"), 6).alias("v_last"),
+    )
+
+
+def q_geo_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K4 -> V1 -> S8: write the deliverable as GeoParquet, verify the footers, read it back."""
+    from streetscape.session import shared_path
+    from streetscape.sinks.geoparquet import verify_geo, write_geo
+    from streetscape.sources.stores import scan_deliverable
+
+    path = shared_path(spark, "deliverable")
+    write_geo(deliverable(spark, d), path)
+    verify_geo(spark, path)
+    return deliverable_columns(scan_deliverable(spark, path))
+
+
+def _ingest(spark: SparkSession, d: str) -> str:
+    from streetscape.session import shared_path
+    from streetscape.streaming.incremental import land_pages, stream_ingest
+
+    root = shared_path(spark, "stream")
+    land_pages(capture_records(spark, d), f"{root}/pages")
+    q = stream_ingest(spark, f"{root}/pages", V.blobs(spark, d), f"{root}/images", f"{root}/ckpt-ingest", CAMDEN)
+    q.awaitTermination()
+    return root
+
+
+def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """T1 + T3: landed pages -> parse -> AOI -> anti join -> append; run twice, the second run
+    (same pages again, fresh checkpoint) must add nothing."""
+    from streetscape.sources.stores import scan_image_store
+    from streetscape.streaming.incremental import stream_ingest
+
+    root = _ingest(spark, d)
+    again = stream_ingest(spark, f"{root}/pages", V.blobs(spark, d), f"{root}/images", f"{root}/ckpt-ingest-2", CAMDEN)
+    again.awaitTermination()
+    return scan_image_store(spark, f"{root}/images", with_file=False).select("image_id", "image_sha256", "image_bytes", "lon", "lat")
+
+
+def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
+    """The ingested store streamed through the stand-in model into the score store."""
+    from streetscape.sources.stores import scan_score_store
+    from streetscape.streaming.incremental import stream_score
+
+    root = _ingest(spark, d)
+    q = stream_score(
+        spark, f"{root}/images", f"{root}/scores", f"{root}/ckpt-score", V.atlas(spark), AT.alias_map_df(spark), AT.alias_names(),
+        predictor_factory=lambda: M.ByteProbePredictor(fail_marker=None), max_files_per_trigger=4,
+    )
+    q.awaitTermination()
+    sc = scan_score_store(spark, f"{root}/scores", with_file=False)
+    return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "square_bbox": q_square_bbox,
     "bbox_text": q_bbox_text,
@@ -380,4 +445,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview": q_preview,
     "geometry_types": q_geometry_types,
     "stage_counts": q_stage_counts,
+    "score_images": q_score_images,
+    "geo_roundtrip": q_geo_roundtrip,
+    "stream_ingest": q_stream_ingest,
+    "stream_score": q_stream_score,
 }

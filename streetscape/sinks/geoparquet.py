@@ -195,13 +195,27 @@ def verify_geo(spark: SparkSession, path: str) -> dict:
     from streetscape.functions.geo import geometry_type
 
     meta = geo_metadata(spark, path)
-    prim = F.col("geo.primary_column")
-    summary = meta.agg(
+    flat = meta.select(
+        F.col("geo").isNull().alias("no_geo"),
+        F.col("geo.version").alias("version"),
+        F.col("geo.primary_column").alias("primary_column"),
+        F.to_json(F.col("geo.columns")).alias("columns_json"),
+        "n_rows",
+        "n_columns",
+    )
+    flat = flat.withColumn(
+        "types",
+        F.transform(
+            F.element_at(F.from_json("columns_json", "map<string, struct<geometry_types: array<string>>>"), F.col("primary_column"))["geometry_types"],
+            F.lower,
+        ),
+    )
+    summary = flat.agg(
         F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("geo").isNull()).alias("missing_geo"),
-        F.collect_set(F.col("geo.version")).alias("versions"),
-        F.collect_set(prim).alias("primaries"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(F.col("geo.columns")[prim]["geometry_types"], F.lower))))).alias("types"),
+        F.count_if(F.col("no_geo")).alias("missing_geo"),
+        F.collect_set("version").alias("versions"),
+        F.collect_set("primary_column").alias("primaries"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("types", F.array().cast("array<string>")))))).alias("types"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
         F.max("n_columns").alias("n_columns"),
     ).first()
