@@ -2,36 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetscape.functions.geo import point_wkb, wkb_to_wkt
 from streetscape.operators.aoi import BBox, within_bbox
-from streetscape.operators.store import drop_sentinel, latest_rows
+from streetscape.operators.store import drop_sentinel, latest_keys, latest_rows
 from streetscape.schemas import DELIVERABLE_COLUMNS
 
 CRS = "OGC:CRS84"
 
 
+def _residual_match(*pairs: tuple[str, str]) -> Column:
+    """Row-identity match kept as a residual join condition: written as equalities, Catalyst
+    would make the file/row columns join keys and partition on them, forcing the payload to be
+    shuffled again for the next join on ``image_id``."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    return cond
+
+
 def deliverable_rows(images: DataFrame, scores: DataFrame, bbox: BBox | None = None, dedupe: bool = True) -> DataFrame:
     """J5 + G6 + G7 + P10: images inside the bbox joined (inner, on image_id) with their scores,
     projected to the 9 deliverable columns; ``geom`` is a WKB point (x = lon).
 
     ``dedupe`` keeps the latest row per id on both sides (the reference fans out duplicates;
     ``dedupe=False`` reproduces that). The bbox predicate reaches the Parquet scan.
+
+    Plan shape: the winners of both sides are found on key columns only, paired by id, and the
+    two payloads (blobs, vectors) are each joined once on ``image_id``; the second join reuses
+    the first one's partitioning, so no payload crosses the network twice.
     """
     imgs = drop_sentinel(images)
     if bbox is not None:
         imgs = within_bbox(imgs, bbox)
-    if dedupe and "source_file" in imgs.columns:
-        imgs = latest_rows(imgs)
     sc = drop_sentinel(scores)
-    if dedupe and "source_file" in sc.columns:
-        sc = sc.withColumn("__at", F.coalesce("inferred_at", F.lit("1970-01-01").cast("timestamp_ntz")))
-        sc = latest_rows(sc, order_key=["__at", "source_file", "row_index"])
-    joined = imgs.select("image_id", "image_blob", "image_mime", "captured_at", "compass_angle", "camera_type", "lon", "lat").join(
-        sc.select("image_id", "brain_activity", "top_regions"), "image_id", "inner"
-    )
+    img_cols = ["image_id", "image_blob", "image_mime", "captured_at", "compass_angle", "camera_type", "lon", "lat"]
+    img_keyed = dedupe and "source_file" in imgs.columns
+    sc_keyed = dedupe and "source_file" in sc.columns
+    if not img_keyed:
+        img_payload = imgs.select(*img_cols)
+        pairs = None
+    else:
+        pairs = latest_keys(imgs.select("image_id", "downloaded_at", "source_file", "row_index")).select(
+            "image_id", F.col("source_file").alias("__if"), F.col("row_index").alias("__ir")
+        )
+    if sc_keyed:
+        sc_keys = sc.select(
+            "image_id",
+            F.coalesce("inferred_at", F.lit("1970-01-01").cast("timestamp_ntz")).alias("__at"),
+            F.col("source_file").alias("__sf"),
+            F.col("row_index").alias("__sr"),
+        )
+        sc_win = latest_keys(sc_keys, ["__at", "__sf", "__sr"]).drop("__at")
+        pairs = sc_win if pairs is None else pairs.join(sc_win, "image_id", "inner")
+    if img_keyed:
+        img_payload = (
+            imgs.select(*img_cols, "source_file", "row_index")
+            .join(pairs, "image_id", "inner")
+            .filter(_residual_match(("source_file", "__if"), ("row_index", "__ir")))
+            .drop("source_file", "row_index", "__if", "__ir")
+        )
+    elif pairs is not None:
+        img_payload = img_payload.join(pairs, "image_id", "inner")
+    if sc_keyed:
+        sc_payload = sc.select(
+            "image_id", "brain_activity", "top_regions", F.col("source_file").alias("__s_file"), F.col("row_index").alias("__s_row")
+        )
+        joined = img_payload.join(sc_payload, "image_id", "inner").filter(
+            _residual_match(("__s_file", "__sf"), ("__s_row", "__sr"))
+        )
+    else:
+        joined = img_payload.join(sc.select("image_id", "brain_activity", "top_regions"), "image_id", "inner")
     return joined.withColumn("geom", point_wkb("lon", "lat")).select(*DELIVERABLE_COLUMNS)
 
 

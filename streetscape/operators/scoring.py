@@ -1,6 +1,6 @@
 """Batched model scoring (pluggable predictor), segment post-processing and the frame plan.
 
-Scoring is the one Python step: ``mapInPandas`` loads the predictor once per task and feeds it
+Scoring is the one Python step: ``mapInArrow`` loads the predictor once per task and feeds it
 fixed-size batches of (image_id, blob). Everything after it (collapse, parcel means, alias
 scores, top-k) is native Spark.
 """
@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,51 +51,86 @@ class ByteProbePredictor:
         return out
 
 
-def _rows_for(image_id: str, preds: np.ndarray | None, error: str | None) -> list[tuple]:
+def _segment_rows(image_id: str, preds: np.ndarray | None, error: str | None, out: dict) -> None:
+    """Append one item's output rows (one per segment, or one error row) to column lists."""
+    if error is None and (preds is None or np.asarray(preds).size == 0):
+        error = "no_segments"
     if error is not None:
-        return [(image_id, None, None, None, error)]
-    if preds is None or np.asarray(preds).size == 0:
-        return [(image_id, None, None, None, "no_segments")]
+        out["image_id"].append(image_id)
+        out["timeline"].append(None)
+        out["segment_idx"].append(None)
+        out["vectors"].append(None)
+        out["error"].append(error)
+        return
     mat = np.asarray(preds, dtype=np.float32)
     if mat.ndim == 1:
         mat = mat[None, :]
-    tl = f"clip_{image_id}"
-    return [(image_id, tl, i, mat[i].tolist(), None) for i in range(mat.shape[0])]
+    for i in range(mat.shape[0]):
+        out["image_id"].append(image_id)
+        out["timeline"].append(f"clip_{image_id}")
+        out["segment_idx"].append(i)
+        out["vectors"].append(mat[i])
+        out["error"].append(None)
+
+
+def _to_batch(out: dict) -> pa.RecordBatch:
+    """Column lists -> Arrow batch; vectors become one list<float> array over one flat buffer."""
+    vecs = out["vectors"]
+    lengths = np.array([0 if v is None else len(v) for v in vecs], dtype=np.int64)
+    offsets = np.zeros(len(vecs) + 1, dtype=np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    present = [v for v in vecs if v is not None]
+    flat = np.concatenate(present).astype(np.float32, copy=False) if present else np.zeros(0, np.float32)
+    mask = pa.array([v is None for v in vecs], pa.bool_())
+    activity = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float32()), mask=mask)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(out["image_id"], pa.string()),
+            pa.array(out["timeline"], pa.string()),
+            pa.array(out["segment_idx"], pa.int32()),
+            activity,
+            pa.array(out["error"], pa.string()),
+        ],
+        names=["image_id", "timeline", "segment_idx", "activity", "error"],
+    )
 
 
 def _score_partition(
-    batches: Iterator[pd.DataFrame],
+    batches: Iterator[pa.RecordBatch],
     predictor_factory: Callable[[], Predictor],
     batch_size: int,
-) -> Iterator[pd.DataFrame]:
+) -> Iterator[pa.RecordBatch]:
+    """One predictor per task; one model call per ``batch_size`` items; one Arrow batch out per
+    model call (so output memory is bounded by batch_size x segments x width)."""
     predictor = predictor_factory()
-    cols = ["image_id", "timeline", "segment_idx", "activity", "error"]
 
-    def run(chunk: list[tuple[str, bytes]]) -> list[tuple]:
-        rows: list[tuple] = []
+    def run(chunk: list[tuple[str, bytes]]) -> pa.RecordBatch:
+        out: dict[str, list] = {"image_id": [], "timeline": [], "segment_idx": [], "vectors": [], "error": []}
         try:
             preds = predictor(chunk)
             for iid, _ in chunk:
-                rows.extend(_rows_for(iid, preds.get(iid), None))
+                _segment_rows(iid, preds.get(iid), None, out)
         except Exception:
             # M2: batch failed -> one by one; a failing item is reported, the rest go on.
             for iid, blob in chunk:
                 try:
                     single = predictor([(iid, blob)])
-                    rows.extend(_rows_for(iid, single.get(iid), None))
+                    _segment_rows(iid, single.get(iid), None, out)
                 except Exception as exc:  # noqa: BLE001
-                    rows.extend(_rows_for(iid, None, f"inference_failed: {exc}"[:500]))
-        return rows
+                    _segment_rows(iid, None, f"inference_failed: {exc}"[:500], out)
+        return _to_batch(out)
 
     pending: list[tuple[str, bytes]] = []
-    for pdf in batches:
-        for iid, blob in zip(pdf["image_id"], pdf["image_blob"]):
+    for rb in batches:
+        ids = rb.column(0).to_pylist()
+        blobs = rb.column(1).to_pylist()
+        for iid, blob in zip(ids, blobs):
             pending.append((iid, blob))
             if len(pending) >= batch_size:
-                yield pd.DataFrame(run(pending), columns=cols)
+                yield run(pending)
                 pending = []
     if pending:
-        yield pd.DataFrame(run(pending), columns=cols)
+        yield run(pending)
 
 
 def score_images(
@@ -104,12 +139,17 @@ def score_images(
     batch_size: int = 8,
 ) -> DataFrame:
     """M1-M3: (image_id, image_blob) -> segment rows (image_id, timeline, segment_idx, activity,
-    error). Failed items and items without segments come back as one row with ``error`` set."""
+    error). Failed items and items without segments come back as one row with ``error`` set.
+
+    ``mapInArrow``: blobs arrive as Arrow batches and vectors leave as Arrow list arrays, so the
+    only per-item Python is the model call itself. Keep
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` modest for large blobs.
+    """
 
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _score_partition(it, predictor_factory, batch_size)
 
-    return items.select("image_id", "image_blob").mapInPandas(fn, SEGMENT_OUT_DDL)
+    return items.select("image_id", "image_blob").mapInArrow(fn, SEGMENT_OUT_DDL)
 
 
 def good_segments(scored: DataFrame) -> DataFrame:

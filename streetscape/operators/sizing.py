@@ -16,9 +16,32 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_SEEN: dict[tuple[int, int], tuple[float, bool]] = {}
+_MEMO_SECONDS = 60.0
+
+
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows).
+
+    The answer is remembered per plan (semantic hash) for a minute, so a plan checked by several
+    operators while one query is being built is counted once; inputs that grow (stores,
+    streams) are counted again later.
+    """
+    import time
+
+    try:
+        key = (df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001
+        key = None
+    now = time.monotonic()
+    if key is not None and key in _SEEN and now - _SEEN[key][0] < _MEMO_SECONDS:
+        return _SEEN[key][1]
+    small = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        if len(_SEEN) > 4096:
+            _SEEN.clear()
+        _SEEN[key] = (now, small)
+    return small
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -24,8 +24,8 @@ def explode_vector(df: DataFrame, vector: str, keys: Sequence[str] = ("image_id"
     return df.select(*keys, F.posexplode(vector).alias(pos, value))
 
 
-def collapse_long(segments: DataFrame, mode: str = "mean", vector: str = "activity") -> DataFrame:
-    """A2/A3 long form: (image_id, pos, value float, n_segments).
+def collapse_long(segments: DataFrame, mode: str = "mean", vector: str = "activity", with_count: bool = False) -> DataFrame:
+    """A2/A3 long form: (image_id, pos, value float[, n_segments]).
 
     ``mean``: average over segments (computed in double, stored as float32 like the reference);
     ``max``: element-wise max, NaN wins. Any other mode raises ``ValueError``.
@@ -34,7 +34,8 @@ def collapse_long(segments: DataFrame, mode: str = "mean", vector: str = "activi
         raise ValueError(f"unknown collapse mode: {mode!r}")
     long = explode_vector(segments, vector)
     agg = F.avg(F.col("value").cast("double")) if mode == "mean" else F.max("value")
-    return long.groupBy("image_id", "pos").agg(agg.cast("float").alias("value"), F.count(F.lit(1)).alias("n_segments"))
+    extra = [F.count(F.lit(1)).alias("n_segments")] if with_count else []
+    return long.groupBy("image_id", "pos").agg(agg.cast("float").alias("value"), *extra)
 
 
 def assemble_vectors(long: DataFrame, value: str = "value", out: str = "brain_activity") -> DataFrame:
@@ -49,7 +50,7 @@ def assemble_vectors(long: DataFrame, value: str = "value", out: str = "brain_ac
 
 def collapse_segments(segments: DataFrame, mode: str = "mean", vector: str = "activity") -> DataFrame:
     """A2/A3: (image_id, brain_activity array<float>, n_segments)."""
-    return assemble_vectors(collapse_long(segments, mode, vector))
+    return assemble_vectors(collapse_long(segments, mode, vector, with_count=True))
 
 
 def atlas_parcels(atlas: DataFrame) -> DataFrame:

@@ -160,10 +160,12 @@ def _read_footers(batches):
         for p in pdf["path"]:
             fs, local = _fs(p)
             with fs.open_input_file(local) as f:
-                md = pq.ParquetFile(f).metadata
+                pf = pq.ParquetFile(f)
+                md = pf.metadata
+                n_top = len(pf.schema_arrow)
             kv = md.metadata or {}
             geo = kv.get(b"geo")
-            out.append((p, geo.decode("utf-8") if geo is not None else None, md.num_rows, md.num_columns))
+            out.append((p, geo.decode("utf-8") if geo is not None else None, md.num_rows, n_top))
         yield pd.DataFrame(out, columns=["file", "geo", "n_rows", "n_columns"])
 
 
