@@ -160,8 +160,13 @@ def select_candidates(
     if max_images > 0:
         kept = cap_candidates(kept, max_images, order)
     if dedupe:
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("image_id").orderBy(*order)
-        kept = kept.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+        kept = first_arrival(kept, order)
     return kept
+
+
+def first_arrival(df: DataFrame, order: tuple[str, ...] = ("page", "pos"), key: str = "image_id") -> DataFrame:
+    """The first row of every ``key`` in arrival order. ``min(struct(order..., rest...))`` is a
+    partial aggregate: repeats of a hot id are combined map-side, never sorted in one task."""
+    rest = [c for c in df.columns if c != key and c not in order]
+    agg = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("__m"))
+    return agg.select(key, *[F.col(f"__m.{c}").alias(c) for c in (*order, *rest)]).select(*df.columns)

@@ -167,11 +167,20 @@ def attach_timeline(segments: DataFrame, items: DataFrame) -> DataFrame:
     return seg.join(keys, "timeline", "inner").withColumnRenamed("__id", "image_id")
 
 
-def stack_segments(segments: DataFrame) -> DataFrame:
-    """(image_id, segments array<array<float>>) in segment order. One clip's segment count is
-    a model constant, so the per-image array is bounded."""
-    agg = segments.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("segment_idx", "activity"))).alias("__s"))
-    return agg.select("image_id", F.transform("__s", lambda s: s["activity"]).alias("segments"))
+def stack_segments(segments: DataFrame, chunk: int = 64) -> DataFrame:
+    """Segments grouped by image in segment order -> (image_id, chunk, first_segment,
+    segments array<array<float>>). Each row holds at most ``chunk`` consecutive segments, so an
+    image with very many segments becomes several ordered rows, never one unbounded array."""
+    grp = F.floor(F.col("segment_idx") / chunk).cast("int")
+    agg = segments.groupBy("image_id", grp.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("segment_idx", "activity"))).alias("__s")
+    )
+    return agg.select(
+        "image_id",
+        "chunk",
+        F.col("__s")[0]["segment_idx"].alias("first_segment"),
+        F.transform("__s", lambda s: s["activity"]).alias("segments"),
+    )
 
 
 def postprocess_scores(

@@ -61,24 +61,29 @@ def store_ids(store: DataFrame) -> DataFrame:
     return drop_sentinel(store.select("image_id")).distinct()
 
 
-def _ids_present(candidates: DataFrame, store: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Store ids that are also candidates. With a small candidate set the store's id column is
-    filtered by a broadcast hash join (no shuffle of the store); otherwise a plain semi join."""
+def _ids_present(candidates: DataFrame, store: DataFrame, broadcast_rows: int) -> DataFrame | None:
+    """Store ids that are also candidates, when the candidate id set is small: the store's id
+    column is then filtered map-side by a broadcast hash join (the store is never shuffled).
+    Returns None for a large candidate set (callers fall back to one sort-merge join)."""
     cand_ids = candidates.select("image_id").distinct()
-    if is_small(cand_ids, broadcast_rows):
-        cand_ids = F.broadcast(cand_ids)
-    return drop_sentinel(store.select("image_id")).join(cand_ids, "image_id", "left_semi").distinct()
+    if not is_small(cand_ids, broadcast_rows):
+        return None
+    return drop_sentinel(store.select("image_id")).join(F.broadcast(cand_ids), "image_id", "left_semi").distinct()
 
 
 def new_images(candidates: DataFrame, store: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Candidates whose id is not in the store (left anti; arrival columns kept)."""
     present = _ids_present(candidates, store, broadcast_rows)
+    if present is None:
+        present = drop_sentinel(store.select("image_id"))
     return candidates.join(present, "image_id", "left_anti")
 
 
 def cached_images(candidates: DataFrame, store: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Candidates whose id is in the store (left semi)."""
     present = _ids_present(candidates, store, broadcast_rows)
+    if present is None:
+        present = drop_sentinel(store.select("image_id"))
     return candidates.join(present, "image_id", "left_semi")
 
 

@@ -73,30 +73,66 @@ class _GeoWriter(DataSourceArrowWriter):
         self.overwrite = overwrite
 
     def write(self, iterator):
+        """Stream the task's Arrow batches into one staged file: rows are buffered only up to a
+        row group, the bbox is folded batch by batch, and the ``geo`` footer is added at close."""
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx else 0
         name = f"part-{part:05d}-{uuid.uuid4().hex}.parquet"
         fs, base = _fs(self.path)
-        fs.create_dir(f"{base}/{STAGING}", recursive=True)
         staged = f"{base}/{STAGING}/{name}.tmp"
-        batches = [b for b in iterator if b.num_rows]
-        if not batches:
-            return _Staged()
-        table = pa.Table.from_batches(batches)
-        meta = dict(table.schema.metadata or {})
-        meta[b"geo"] = geo_metadata_json(self.geom, _point_bbox(table[self.geom]), self.crs).encode()
-        table = table.replace_schema_metadata(meta)
-        with fs.open_output_stream(staged) as sink:
-            pq.write_table(
-                table,
-                sink,
-                compression="zstd",
-                compression_level=self.level,
-                row_group_size=self.row_group,
-            )
-        return _Staged([staged], [f"{base}/{name}"], table.num_rows)
+        writer = None
+        sink = None
+        pending: list[pa.RecordBatch] = []
+        buffered = 0
+        rows = 0
+        bbox: list[float] | None = None
+
+        def flush(final: bool) -> None:
+            nonlocal pending, buffered
+            if not pending:
+                return
+            table = pa.Table.from_batches(pending)
+            cut = table.num_rows if final else (table.num_rows // self.row_group) * self.row_group
+            if cut:
+                writer.write_table(table.slice(0, cut), row_group_size=self.row_group)
+            rest = table.slice(cut)
+            pending = rest.to_batches() if rest.num_rows else []
+            buffered = rest.num_rows
+
+        try:
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                if writer is None:
+                    fs.create_dir(f"{base}/{STAGING}", recursive=True)
+                    sink = fs.open_output_stream(staged)
+                    writer = pq.ParquetWriter(sink, batch.schema, compression="zstd", compression_level=self.level)
+                b = _point_bbox(batch.column(batch.schema.get_field_index(self.geom)))
+                if b is not None:
+                    bbox = b if bbox is None else [min(bbox[0], b[0]), min(bbox[1], b[1]), max(bbox[2], b[2]), max(bbox[3], b[3])]
+                pending.append(batch)
+                buffered += batch.num_rows
+                rows += batch.num_rows
+                if buffered >= self.row_group:
+                    flush(final=False)
+            if writer is None:
+                return _Staged()
+            flush(final=True)
+            writer.add_key_value_metadata({"geo": geo_metadata_json(self.geom, bbox, self.crs)})
+            writer.close()
+            sink.close()
+        except BaseException:
+            if writer is not None:
+                try:
+                    writer.close()
+                    sink.close()
+                    fs.delete_file(staged)
+                except Exception:  # noqa: BLE001
+                    pass
+            raise
+        return _Staged([staged], [f"{base}/{name}"], rows)
 
     def commit(self, messages):
         fs, base = _fs(self.path)

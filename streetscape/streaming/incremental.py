@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,12 +26,6 @@ from streetscape.sources.pages import explode_pages
 from streetscape.sources.stores import scan_image_store, scan_score_store
 
 
-def first_arrival(df: DataFrame, order: Sequence[str] = ("page", "pos")) -> DataFrame:
-    """Keep the first row of every image_id in arrival order (within one micro-batch)."""
-    w = Window.partitionBy("image_id").orderBy(*order)
-    return df.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
-
-
 def read_page_stream(spark: SparkSession, pages_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(PAGE_DDL).option("multiLine", True)
     if max_files_per_trigger:
@@ -59,7 +53,7 @@ def stream_ingest(
     parsed = C.parse_captures(read_page_stream(spark, pages_path, max_files_per_trigger), is_pano=is_pano)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        cand = first_arrival(within_bbox(C.drop_incomplete(batch), bbox))
+        cand = C.first_arrival(within_bbox(C.drop_incomplete(batch), bbox))
         store = scan_image_store(spark, store_path)
         new = ST.new_images(cand, store)
         rows = ST.build_image_rows(new, blobs, bbox.text())
@@ -97,8 +91,9 @@ def stream_score(
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         items = ST.drop_sentinel(batch).filter(F.col("image_blob").isNotNull())
-        items = items.withColumn("__r", F.row_number().over(Window.partitionBy("image_id").orderBy(F.col("downloaded_at").desc())))
-        items = items.filter("__r = 1").select("image_id", "image_blob")
+        # newest row per id in this batch (max(struct) partial aggregate: skew-safe)
+        items = items.groupBy("image_id").agg(F.max(F.struct("downloaded_at", "image_blob")).alias("__m"))
+        items = items.select("image_id", F.col("__m.image_blob").alias("image_blob"))
         todo = ST.new_images(items, scan_score_store(spark, score_path))
         seg = M.good_segments(M.score_images(todo, predictor_factory, batch_size))
         rows = M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo)

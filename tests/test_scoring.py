@@ -37,6 +37,10 @@ def test_attach_timeline_drops_unmatched(spark):
 def test_stack_segments_in_order(spark):
     seg = spark.createDataFrame([("a", 1, [2.0]), ("a", 0, [1.0])], "image_id string, segment_idx int, activity array<float>")
     assert M.stack_segments(seg).first().segments == [[1.0], [2.0]]
+    many = spark.createDataFrame([("b", i, [float(i)]) for i in range(10)], "image_id string, segment_idx int, activity array<float>")
+    rows = sorted(M.stack_segments(many, chunk=4).collect(), key=lambda r: r.chunk)
+    assert [r.first_segment for r in rows] == [0, 4, 8]
+    assert [v[0] for r in rows for v in r.segments] == [float(i) for i in range(10)]
 
 
 def test_postprocess_scores_rows(spark):

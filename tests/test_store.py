@@ -140,3 +140,14 @@ def test_anti_join_plan_prunes_blob(spark, tmp_dir):
     plan = ST.new_images(_cands(spark, ["1", "2"]), scan_image_store(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "image_blob" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
     assert F is not None
+
+
+def test_anti_semi_join_large_candidate_path(spark, tmp_dir):
+    path = f"{tmp_dir}/images"
+    append_images(spark.createDataFrame([_row("1"), _row("2")], IMAGE_SCHEMA), path)
+    store = scan_image_store(spark, path)
+    cands = _cands(spark, ["1", "3", "3"])
+    assert sorted(r.image_id for r in ST.new_images(cands, store, broadcast_rows=0).collect()) == ["3", "3"]
+    assert [r.image_id for r in ST.cached_images(cands, store, broadcast_rows=0).collect()] == ["1"]
+    ws = {r.image_id: r.drop_reason for r in ST.working_set(cands, store, broadcast_rows=0).collect()}
+    assert ws == {"1": None, "3": "not_in_cache"}
