@@ -318,29 +318,41 @@ def q_geometry_types(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    """A11 over one pass of the pipeline on the views (the stand-in predictor scores misses)."""
-    cand = _candidates(spark, d).select("image_id", "lon", "lat", "compass_angle", "captured_at_ms", "camera_type", "is_pano", "sequence_id", "creator_id", "width", "height")
+    """A11 over one pass of the pipeline on the views: per-candidate stage flags from key-only
+    left joins (store ids, usable stored blobs, landed blobs, scored ids), the stand-in model on
+    the misses, then one tagged count."""
+    cand = _candidates(spark, d).select("image_id")
     st = V.store(spark, d)
-    cached = ST.cached_images(cand, st).select("image_id")
-    new = ST.new_images(cand, st)
-    downloaded = ST.build_image_rows(new, V.blobs(spark, d), CAMDEN.text(), F.lit(V.SHARD2_AT).cast("timestamp_ntz"))
-    fresh = downloaded.withColumn("source_file", F.lit("shard-3.parquet")).withColumn("row_index", F.col("image_id").cast("bigint"))
-    full_store = st.unionByName(fresh)
-    ws = ST.working_set(cand.select("image_id"), full_store).filter(F.col("drop_reason").isNull())
-    scores = score_view(spark, d)
-    hits, misses = ST.hit_miss(ws.select("image_id"), scores)
-    seg = M.score_images(ws.join(misses, "image_id", "left_semi"), lambda: M.ByteProbePredictor(fail_marker=None))
-    inferred = M.good_segments(seg).select("image_id").distinct()
-    written = hits.unionByName(inferred)
-    tagged = (
-        cand.select("image_id", F.lit("candidates").alias("stage"))
-        .unionByName(cached.select("image_id", F.lit("cached").alias("stage")))
-        .unionByName(downloaded.select("image_id", F.lit("downloaded").alias("stage")))
-        .unionByName(hits.select("image_id", F.lit("inference_cache_hit").alias("stage")))
-        .unionByName(inferred.select("image_id", F.lit("inferred").alias("stage")))
-        .unionByName(written.select("image_id", F.lit("written").alias("stage")))
+    blobs = V.blobs(spark, d)
+
+    def flag(ids: DataFrame, name: str) -> DataFrame:
+        return ids.select("image_id").distinct().withColumn(name, F.lit(True))
+
+    flags = (
+        cand.join(flag(ST.store_ids(st), "in_store"), "image_id", "left")
+        .join(flag(st.filter(F.col("image_blob").isNotNull()), "stored_ok"), "image_id", "left")
+        .join(flag(blobs, "landed"), "image_id", "left")
+        .join(flag(score_view(spark, d), "scored"), "image_id", "left")
+        .fillna(False, subset=["in_store", "stored_ok", "landed", "scored"])
+    )
+    downloaded = ~F.col("in_store") & F.col("landed")
+    working = (F.col("in_store") & F.col("stored_ok")) | downloaded
+    flags = flags.withColumn("downloaded", downloaded).withColumn("hit", working & F.col("scored"))
+    misses = flags.filter(working & ~F.col("scored")).join(blobs, "image_id", "inner")
+    seg = M.score_images(misses.select("image_id", "image_blob"), lambda: M.ByteProbePredictor(fail_marker=None))
+    inferred = flag(M.good_segments(seg), "inferred")
+    flags = flags.join(inferred, "image_id", "left").fillna(False, subset=["inferred"])
+    stages = F.array_compact(
+        F.array(
+            F.lit("candidates"),
+            F.when(F.col("in_store"), F.lit("cached")),
+            F.when(F.col("downloaded"), F.lit("downloaded")),
+            F.when(F.col("hit"), F.lit("inference_cache_hit")),
+            F.when(F.col("inferred"), F.lit("inferred")),
+            F.when(F.col("hit") | F.col("inferred"), F.lit("written")),
+        )
     )
-    return D.stage_counts(tagged)
+    return D.stage_counts(flags.select("image_id", F.explode(stages).alias("stage")))
 
 
 # ---------------------------------------------------------------- scoring, geo output, streaming

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetscape.operators.aoi import NAMED_AOIS
+from streetscape.operators.sizing import spread
 from streetscape.operators.store import build_image_rows
 
 # Fixed values for the test atlas: parcel names in ordinal order, 4 vertices each.
@@ -38,7 +39,8 @@ CAMDEN = NAMED_AOIS["camden"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, spread over the cores when its file is a single split (see ``spread``)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,7 @@ class _GeoWriter(DataSourceArrowWriter):
         self.level = int(options.get("compression_level", "9"))
         self.row_group = int(options.get("row_group_rows", str(ROW_GROUP_ROWS)))
         self.overwrite = overwrite
+        self.refuse_empty = options.get("refuse_empty", "true").lower() == "true"
 
     def write(self, iterator):
         """Stream the task's Arrow batches into one staged file: rows are buffered only up to a
@@ -136,6 +137,9 @@ class _GeoWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         fs, base = _fs(self.path)
+        if self.refuse_empty and sum(m.rows for m in messages if m is not None) == 0:
+            self.abort(messages)
+            raise RuntimeError("refusing to write an empty deliverable")
         if self.overwrite:
             for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
                 if info.type == pafs.FileType.File and info.base_name.endswith(".parquet"):
@@ -177,11 +181,15 @@ def register(spark: SparkSession) -> None:
 
 def write_geo(df: DataFrame, path: str, geom: str = "geom", crs: str = DEFAULT_CRS, mode: str = "overwrite") -> str:
     """K4: write ``df`` as GeoParquet (WKB ``geom`` + ``geo`` metadata 2.0.0). An empty input is
-    refused (a geo table without rows carries no geometry evidence)."""
-    if df.isEmpty():
-        raise RuntimeError("refusing to write an empty deliverable")
+    refused (a geo table without rows carries no geometry evidence): the writer's commit sees the
+    row counts of all tasks and aborts instead, so the input is computed only once."""
     register(df.sparkSession)
-    df.write.format("geoparquet").mode(mode).option("geometry_column", geom).option("crs", crs).save(path)
+    try:
+        df.write.format("geoparquet").mode(mode).option("geometry_column", geom).option("crs", crs).save(path)
+    except Exception as exc:  # noqa: BLE001
+        if "refusing to write an empty deliverable" in str(exc):
+            raise RuntimeError("refusing to write an empty deliverable") from None
+        raise
     return path
 
 
