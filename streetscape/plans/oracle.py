@@ -301,3 +301,24 @@ _INGESTED = """
 """
 SQL["stream_ingest"] = with_base(_INGESTED + "SELECT * FROM ingested")
 SQL["stream_score"] = with_base(_INGESTED + "SELECT image_id, CAST(64 AS BIGINT) AS n_activity FROM ingested WHERE image_bytes > 0")
+
+_MERGED = """
+    , merged AS (
+        SELECT replace(replace(replace(substr(name, 3), '_ROI', ''), '-rh', ''), '-lh', '') AS parcel,
+               CAST(CASE WHEN hemi = 'rh' THEN vertex + 10242 ELSE vertex END AS INTEGER) AS vertex
+        FROM labels WHERE vertex < 10242)
+    , ap AS (SELECT DISTINCT m.alias, m.alias_ord, p.parcel FROM (SELECT DISTINCT parcel FROM merged) p JOIN alias_patterns m ON p.parcel GLOB m.pattern)
+    , av AS (SELECT ap.alias, ap.alias_ord, list_sort(list(DISTINCT m.vertex)) AS vertices FROM merged m JOIN ap ON ap.parcel = m.parcel GROUP BY ap.alias, ap.alias_ord)
+"""
+SQL["alias_atlas_json"] = with_base(_MERGED + """
+    SELECT '{' || string_agg('"' || alias || '":[' || array_to_string(vertices, ',') || ']', ',' ORDER BY alias_ord) || '}' AS alias_atlas FROM av""")
+SQL["stack_segments"] = with_base("""
+    , s AS (SELECT image_id, CAST(segment_idx // 4 AS INTEGER) AS chunk, segment_idx, activity FROM segments)
+    SELECT image_id, chunk, min(segment_idx) AS first_segment, count(*) AS n_segments,
+           round(CAST(arg_min(activity[1], segment_idx) AS DOUBLE), 6) AS v00
+    FROM s GROUP BY image_id, chunk""")
+SQL["attach_timeline"] = with_base("""
+    SELECT c.image_id, s.segment_idx FROM segments s JOIN camden c ON c.image_id = s.image_id""")
+SQL["load_scores"] = with_base("""
+    SELECT s.image_id, s.n_activity, CAST(least(10, (SELECT count(*) FROM alias_scores a WHERE a.image_id = s.image_id AND NOT isnan(a.score))) AS BIGINT) AS n_regions
+    FROM scored s WHERE s.image_id IN (SELECT image_id FROM camden)""")

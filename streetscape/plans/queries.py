@@ -268,6 +268,44 @@ def q_alias_vertices(spark: SparkSession, d: str) -> DataFrame:
     return av.select("alias", "n_parcels", "n_vertices", F.explode("vertices").alias("vertex"))
 
 
+def q_alias_atlas_json(spark: SparkSession, d: str) -> DataFrame:
+    """K5 payload: one compact JSON object alias -> sorted vertex list."""
+    av = AT.alias_vertices(AT.merge_labels(V.labels(spark, d)), AT.alias_map_df(spark))
+    return AT.alias_atlas_json(av).withColumnRenamed("value", "alias_atlas")
+
+
+# ---------------------------------------------------------------- segments
+
+
+def q_stack_segments(spark: SparkSession, d: str) -> DataFrame:
+    st = M.stack_segments(V.segments(spark, d), chunk=4)
+    return st.select(
+        "image_id",
+        "chunk",
+        "first_segment",
+        F.size("segments").cast("bigint").alias("n_segments"),
+        F.round(F.col("segments")[0][0].cast("double"), 6).alias("v00"),
+    )
+
+
+def q_attach_timeline(spark: SparkSession, d: str) -> DataFrame:
+    """Model segments (tagged clip_<id>) matched back to the capture candidates."""
+    seg = V.segments(spark, d).drop("image_id")
+    return M.attach_timeline(seg, _candidates(spark, d)).select("image_id", "segment_idx")
+
+
+def q_load_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Stored scores of the AOI candidates."""
+    from streetscape.sources.stores import load_scores
+
+    sc = load_scores(score_view(spark, d), _candidates(spark, d))
+    return sc.select(
+        "image_id",
+        F.size("brain_activity").cast("bigint").alias("n_activity"),
+        F.size("top_regions").cast("bigint").alias("n_regions"),
+    )
+
+
 # ---------------------------------------------------------------- frame plan
 
 
@@ -452,6 +490,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_regions": q_top_regions,
     "merge_labels": q_merge_labels,
     "alias_vertices": q_alias_vertices,
+    "alias_atlas_json": q_alias_atlas_json,
+    "stack_segments": q_stack_segments,
+    "attach_timeline": q_attach_timeline,
+    "load_scores": q_load_scores,
     "pseudo_clip_plan": q_pseudo_clip_plan,
     "deliverable": q_deliverable,
     "preview": q_preview,
