@@ -33,7 +33,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, with_file: bool)
             df = df.withColumn("source_file", F.lit(None).cast("string")).withColumn("row_index", F.lit(None).cast("bigint"))
         return df
     if with_file:
-        df = df.withColumn("source_file", F.col("_metadata.file_name")).withColumn("row_index", F.col("_metadata.row_index"))
+        df = df.select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.row_index").alias("row_index"))
     return df
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,11 +54,19 @@ def stream_ingest(
     parsed = C.parse_captures(read_page_stream(spark, pages_path, max_files_per_trigger), is_pano=is_pano)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        cand = C.first_arrival(within_bbox(C.drop_incomplete(batch), bbox))
-        store = scan_image_store(spark, store_path)
-        new = ST.new_images(cand, store)
-        rows = ST.build_image_rows(new, blobs, bbox.text())
-        append_images(rows, store_path)
+        # The batch is bounded by the trigger; persisting it saves re-parsing for the size
+        # check, the empty check and the write. A lost executor recomputes from the source files.
+        cand = C.first_arrival(within_bbox(C.drop_incomplete(batch), bbox)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = None
+        try:
+            store = scan_image_store(spark, store_path)
+            new = ST.new_images(cand, store)
+            rows = ST.build_image_rows(new, blobs, bbox.text()).persist(StorageLevel.MEMORY_AND_DISK)
+            append_images(rows, store_path)
+        finally:
+            cand.unpersist()
+            if rows is not None:
+                rows.unpersist()
 
     writer = parsed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -94,10 +103,17 @@ def stream_score(
         # newest row per id in this batch (max(struct) partial aggregate: skew-safe)
         items = items.groupBy("image_id").agg(F.max(F.struct("downloaded_at", "image_blob")).alias("__m"))
         items = items.select("image_id", F.col("__m.image_blob").alias("image_blob"))
-        todo = ST.new_images(items, scan_score_store(spark, score_path))
-        seg = M.good_segments(M.score_images(todo, predictor_factory, batch_size))
-        rows = M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo)
-        append_scores(rows, score_path)
+        items = items.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = None
+        try:
+            todo = ST.new_images(items, scan_score_store(spark, score_path))
+            seg = M.good_segments(M.score_images(todo, predictor_factory, batch_size))
+            rows = M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo).persist(StorageLevel.MEMORY_AND_DISK)
+            append_scores(rows, score_path)
+        finally:
+            items.unpersist()
+            if rows is not None:
+                rows.unpersist()
 
     writer = images.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
