@@ -158,3 +158,44 @@ def test_atlas_label_cleanup_and_alias_vertices(spark):
 
     js = json.loads(AT.alias_atlas_json(AT.alias_vertices(merged, AT.alias_map_df(spark))).first().value)
     assert list(js) == [a for a in AT.ALIAS_GLOBS if a in av]
+
+
+def test_combine_and_explode_strategies_agree(spark):
+    rng = np.random.default_rng(5)
+    data = {f"i{k}": rng.normal(size=(int(rng.integers(1, 6)), 32)).astype(np.float32) for k in range(40)}
+    data["nan"] = np.array([[np.nan] * 32, [1.0] * 32], np.float32)
+    seg = _segments(spark, data).repartition(7)
+    import streetscape.operators.summary as SS
+
+    old = SS.COMBINE_FLUSH_IMAGES
+    for mode in ("mean", "max"):
+        a = {(r.image_id, r.pos): (r.value, r.n_segments) for r in S.collapse_long(seg, mode, with_count=True).collect()}
+        b = {(r.image_id, r.pos): (r.value, r.n_segments) for r in S.collapse_long(seg, mode, with_count=True, strategy="explode").collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            va, vb = a[k][0], b[k][0]
+            assert a[k][1] == b[k][1]
+            assert (math.isnan(va) and math.isnan(vb)) or va == pytest.approx(vb, rel=1e-6, abs=1e-6)
+    assert SS.COMBINE_FLUSH_IMAGES == old
+    with pytest.raises(ValueError):
+        S.collapse_long(seg, "mean", strategy="other")
+
+
+def test_combine_flush_keeps_results_exact():
+    import pyarrow as pa
+
+    import streetscape.operators.summary as SS
+
+    vecs = [np.full(4, float(i), np.float32) for i in range(10)]
+    ids = [f"k{i % 3}" for i in range(10)]
+    arr = pa.ListArray.from_arrays(pa.array(np.arange(0, 41, 4, dtype=np.int32)), pa.array(np.concatenate(vecs)))
+    rb = pa.RecordBatch.from_arrays([pa.array(ids), arr], names=["image_id", "activity"])
+    out = list(SS._combine_partition(iter([rb]), "mean", flush_at=1))
+    sums: dict[str, float] = {}
+    ns: dict[str, int] = {}
+    for b in out:
+        for k, p, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            sums[k] = sums.get(k, 0.0) + p[0]
+            ns[k] = ns.get(k, 0) + n
+    assert ns == {"k0": 4, "k1": 3, "k2": 3}
+    assert sums["k0"] == 0 + 3 + 6 + 9
