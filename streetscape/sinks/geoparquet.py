@@ -56,6 +56,38 @@ def geo_metadata_json(geom_col: str, bbox: list[float] | None, crs: str = DEFAUL
     return json.dumps({"version": GEO_VERSION, "primary_column": geom_col, "columns": {geom_col: col_meta}}, separators=(",", ":"))
 
 
+def _wkb_extension(crs: str):
+    """Arrow extension type ``geoarrow.wkb``; PyArrow writes it as the Parquet GEOMETRY logical
+    type. Registered once per Python worker."""
+
+    class WkbType(pa.ExtensionType):
+        def __init__(self, meta: bytes = b"{}"):
+            self._meta = meta
+            super().__init__(pa.binary(), "geoarrow.wkb")
+
+        def __arrow_ext_serialize__(self):
+            return self._meta
+
+        @classmethod
+        def __arrow_ext_deserialize__(cls, storage_type, serialized):
+            return cls(serialized)
+
+    try:
+        pa.register_extension_type(WkbType())
+    except pa.ArrowKeyError:
+        pass
+    return WkbType(json.dumps({"crs": crs}).encode())
+
+
+def _as_native_geometry(batch: pa.RecordBatch, geom: str, crs: str) -> pa.RecordBatch:
+    i = batch.schema.get_field_index(geom)
+    storage = batch.column(i).cast(pa.binary())
+    ext = pa.ExtensionArray.from_storage(_wkb_extension(crs), storage)
+    cols = list(batch.columns)
+    cols[i] = ext
+    return pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+
+
 @dataclass
 class _Staged(WriterCommitMessage):
     staged: list[str] = field(default_factory=list)
@@ -72,6 +104,7 @@ class _GeoWriter(DataSourceArrowWriter):
         self.row_group = int(options.get("row_group_rows", str(ROW_GROUP_ROWS)))
         self.overwrite = overwrite
         self.refuse_empty = options.get("refuse_empty", "true").lower() == "true"
+        self.native = options.get("geometry_encoding", "wkb").lower() == "native"
 
     def write(self, iterator):
         """Stream the task's Arrow batches into one staged file: rows are buffered only up to a
@@ -106,6 +139,8 @@ class _GeoWriter(DataSourceArrowWriter):
             for batch in iterator:
                 if not batch.num_rows:
                     continue
+                if self.native:
+                    batch = _as_native_geometry(batch, self.geom, self.crs)
                 if writer is None:
                     fs.create_dir(f"{base}/{STAGING}", recursive=True)
                     sink = fs.open_output_stream(staged)
@@ -179,13 +214,26 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(GeoParquetDataSource)
 
 
-def write_geo(df: DataFrame, path: str, geom: str = "geom", crs: str = DEFAULT_CRS, mode: str = "overwrite") -> str:
+def write_geo(
+    df: DataFrame, path: str, geom: str = "geom", crs: str = DEFAULT_CRS, mode: str = "overwrite", geometry_encoding: str = "wkb"
+) -> str:
     """K4: write ``df`` as GeoParquet (WKB ``geom`` + ``geo`` metadata 2.0.0). An empty input is
     refused (a geo table without rows carries no geometry evidence): the writer's commit sees the
-    row counts of all tasks and aborts instead, so the input is computed only once."""
+    row counts of all tasks and aborts instead, so the input is computed only once.
+
+    ``geometry_encoding="native"`` also marks ``geom`` with the Parquet GEOMETRY logical type
+    (GeoParquet 2.0 style); Spark then reads it back only with an explicit ``geom binary``
+    schema (``scan_deliverable``)."""
     register(df.sparkSession)
     try:
-        df.write.format("geoparquet").mode(mode).option("geometry_column", geom).option("crs", crs).save(path)
+        (
+            df.write.format("geoparquet")
+            .mode(mode)
+            .option("geometry_column", geom)
+            .option("crs", crs)
+            .option("geometry_encoding", geometry_encoding)
+            .save(path)
+        )
     except Exception as exc:  # noqa: BLE001
         if "refusing to write an empty deliverable" in str(exc):
             raise RuntimeError("refusing to write an empty deliverable") from None
@@ -274,7 +322,7 @@ def verify_geo(spark: SparkSession, path: str) -> dict:
     types = [str(t) for t in (summary["types"] or [])]
     n_rows = int(summary["n_rows"])
     if not types and n_rows > 0 and primary:
-        data = spark.read.parquet(path).select(geometry_type(primary).alias("t")).filter("t is not null").distinct()
+        data = spark.read.schema(f"`{primary}` binary").parquet(path).select(geometry_type(primary).alias("t")).filter("t is not null").distinct()
         types = sorted(r["t"] for r in data.collect())
     if versions != [GEO_VERSION]:
         raise AssertionError(f"expected geo.version == '{GEO_VERSION}', got {versions!r}")

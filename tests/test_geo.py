@@ -83,3 +83,21 @@ def test_verify_failures(spark, tmp_path):
     (tmp_path / "d").mkdir()
     _plain(str(tmp_path / "d" / "p.parquet"), {"version": "2.0.0", "primary_column": "geom", "columns": {"geom": {"encoding": "WKB", "geometry_types": []}}})
     assert verify_geo(spark, str(tmp_path / "d"))["geo_types"] == ["point"]
+
+
+def test_native_geometry_logical_type(spark, tmp_dir):
+    from streetscape.sources.stores import scan_deliverable
+
+    path = f"{tmp_dir}/native"
+    df = _deliverable(spark, 100).select(
+        "image_id", "image_blob", F.lit("image/jpeg").alias("image_mime"), F.lit(None).cast("timestamp_ntz").alias("captured_at"),
+        F.lit(1.0).alias("compass_angle"), F.lit("p").alias("camera_type"), "geom",
+        F.array(F.lit(1.0).cast("float")).alias("brain_activity"),
+        F.array(F.struct(F.lit("V1").alias("name"), F.lit(1.0).cast("float").alias("score"))).alias("top_regions"),
+    ).coalesce(1)
+    write_geo(df, path, geometry_encoding="native")
+    f = [x for x in __import__("os").listdir(path) if x.endswith(".parquet")][0]
+    assert "Geometry" in str(pq.ParquetFile(f"{path}/{f}").schema)
+    back = scan_deliverable(spark, path)
+    assert back.count() == 100 and back.select(geometry_type("geom").alias("t")).distinct().first().t == "point"
+    assert verify_geo(spark, path)["n_columns"] == 9
