@@ -52,7 +52,11 @@ def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan has fewer partitions than half the
     default parallelism (a small single-row-group file read by one task). Large inputs already
     have many splits and pass through untouched, so this never reshuffles a big table."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(1, int(target * min_fraction)):
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. Spark Connect: no RDD view; leave the plan as is)
+        return df
+    if parts < max(1, int(target * min_fraction)):
         return df.repartition(target)
     return df

@@ -204,9 +204,9 @@ SQL: dict[str, str] = {
         SELECT image_id, source_file, image_width, image_height FROM store WHERE source_file = 'shard-1.parquet'
         UNION ALL BY NAME
         SELECT image_id, source_file FROM store WHERE source_file = 'shard-2.parquet'"""),
-    "collapse_mean": with_base("SELECT image_id, pos, round(CAST(value AS DOUBLE), 6) AS value FROM collapsed"),
+    "collapse_mean": with_base("SELECT image_id, CAST(pos AS INTEGER) AS pos, round(CAST(value AS DOUBLE), 6) AS value FROM collapsed"),
     "collapse_max": with_base("""
-        SELECT image_id, pos, round(CAST(max(value) AS DOUBLE), 6) AS value FROM seg_long GROUP BY image_id, pos"""),
+        SELECT image_id, CAST(pos AS INTEGER) AS pos, round(CAST(max(value) AS DOUBLE), 6) AS value FROM seg_long GROUP BY image_id, pos"""),
     "parcel_means": with_base("SELECT image_id, parcel, round(mean, 6) AS mean FROM parcel_means"),
     "name_parcels": with_base("""
         SELECT c.image_id, p.ordinal, p.parcel AS name, round(CAST(c.value AS DOUBLE), 6) AS value

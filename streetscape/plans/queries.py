@@ -348,7 +348,9 @@ def q_deliverable(spark: SparkSession, d: str) -> DataFrame:
 
 def q_preview(spark: SparkSession, d: str) -> DataFrame:
     pv = D.preview(deliverable(spark, d), 10)
-    return pv.select("image_id", "captured_at", "geom_wkt", "crs", "blob_bytes", F.col("n_activity").cast("bigint").alias("n_activity"))
+    return pv.select(
+        "image_id", "captured_at", "geom_wkt", "crs", F.col("blob_bytes").cast("bigint").alias("blob_bytes"), F.col("n_activity").cast("bigint").alias("n_activity")
+    )
 
 
 def q_geometry_types(spark: SparkSession, d: str) -> DataFrame:
