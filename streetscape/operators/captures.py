@@ -138,9 +138,32 @@ def filter_captured(
     return df.filter(cond)
 
 
+TOP_N_MAX = 1_000_000
+
+
 def cap_candidates(df: DataFrame, limit: int, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
-    """First ``limit`` rows in arrival order (a top-N per partition, then one merge of N rows)."""
-    return df.orderBy(*order).limit(limit)
+    """First ``limit`` rows in arrival order (page, then position in the page).
+
+    Caps up to ``TOP_N_MAX`` are a top-N (per-partition heaps, one merge of N rows). A larger
+    cap first checks whether it binds at all (one count); when it does, rows are ranked inside
+    their page and shifted by the page's offset, computed from per-page counts (one row per
+    page), so no heap or window ever holds more than one page.
+    """
+    if limit <= TOP_N_MAX:
+        return df.orderBy(*order).limit(limit)
+    if df.count() <= limit:
+        return df
+    from pyspark.sql import Window
+
+    page, rest = order[0], list(order[1:]) or [order[0]]
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(page).orderBy(*rest)))
+    sizes = df.groupBy(page).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(page, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    from streetscape.operators.sizing import broadcast_if_small
+
+    capped = ranked.join(broadcast_if_small(offsets), page, "inner").filter(F.col("__off") + F.col("__r") <= limit)
+    return capped.drop("__r", "__off")
 
 
 def select_candidates(

@@ -322,3 +322,18 @@ SQL["attach_timeline"] = with_base("""
 SQL["load_scores"] = with_base("""
     SELECT s.image_id, s.n_activity, CAST(least(10, (SELECT count(*) FROM alias_scores a WHERE a.image_id = s.image_id AND NOT isnan(a.score))) AS BIGINT) AS n_regions
     FROM scored s WHERE s.image_id IN (SELECT image_id FROM camden)""")
+
+SQL["pipeline_run"] = with_base(f"""
+    , kept AS (
+        SELECT CAST(event_id AS VARCHAR) AS image_id, -0.1465e0 + (event_id % 1000) * 6.5e-6 AS lon,
+               51.5405e0 + (user_id % 150) * 2e-5 AS lat, epoch_ms(epoch_us(ts) // 1000) AS captured_at, event_type AS camera_type
+        FROM events
+        WHERE NOT (value > 489 OR (value >= 100 AND value < 101))
+          AND NOT (event_type = 'view' AND value < 5)
+          AND NOT (user_id % 3 <> 0 AND event_type = 'error')
+          AND NOT (event_type = 'signup' AND value < 5)
+          AND NOT (event_type = 'purchase' AND value < 10))
+    SELECT k.image_id, 'image/jpeg' AS image_mime, k.captured_at, k.camera_type, {wkb_hex('k.lon', 'k.lat')} AS geom_hex,
+           CAST(strlen(b.text) + 4 AS BIGINT) AS blob_bytes, CAST(64 AS BIGINT) AS n_activity
+    FROM kept k JOIN blobs b ON b.image_id = k.image_id
+    WHERE k.lon BETWEEN -0.1465e0 AND -0.1422e0 AND k.lat BETWEEN 51.5405e0 AND 51.543e0""")

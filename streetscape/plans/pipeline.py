@@ -78,7 +78,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         t = tick("resolve_bbox", t)
 
         parsed = C.drop_incomplete(C.parse_captures(scan_capture_pages(spark, cfg.pages_path), is_pano=cfg.is_pano))
-        parsed = C.filter_captured(C.with_captured_at(parsed), cfg.start_captured_at, cfg.end_captured_at)
+        parsed = hold(C.filter_captured(C.with_captured_at(parsed), cfg.start_captured_at, cfg.end_captured_at))
         cands = hold(C.select_candidates(parsed, bbox, cfg.max_images, dedupe=cfg.dedupe))
         counts["candidates"] = cands.count()
         t = tick("candidates", t)

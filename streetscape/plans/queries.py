@@ -461,6 +461,43 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"))
 
 
+def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+    """The whole incremental run (plans.pipeline.run) over data landed from the tables: capture
+    pages from events, JPEG-marked image files from documents, fresh stores; returns the
+    verified deliverable read back."""
+    from streetscape.plans.pipeline import RunConfig, run
+    from streetscape.session import shared_path
+    from streetscape.sinks.files import land_files
+    from streetscape.sources.stores import scan_deliverable
+    from streetscape.streaming.incremental import land_pages
+
+    root = shared_path(spark, "run")
+    land_pages(capture_records(spark, d), f"{root}/pages")
+    jpeg = V.blobs(spark, d).select("image_id", F.concat(F.unhex(F.lit("FFD8FFE0")), F.col("image_blob")).alias("image_blob"))
+    land_files(jpeg, f"{root}/files")
+    cfg = RunConfig(
+        pages_path=f"{root}/pages",
+        images_path=f"{root}/files",
+        image_store=f"{root}/images",
+        score_store=f"{root}/scores",
+        out_path=f"{root}/deliverable",
+        atlas=V.atlas(spark),
+        max_images=1_000_000_000,
+        predictor_factory=lambda: M.ByteProbePredictor(fail_marker=None),
+    )
+    run(spark, cfg)
+    out = scan_deliverable(spark, cfg.out_path)
+    return out.select(
+        "image_id",
+        "image_mime",
+        "captured_at",
+        "camera_type",
+        F.hex("geom").alias("geom_hex"),
+        F.octet_length("image_blob").cast("bigint").alias("blob_bytes"),
+        F.size("brain_activity").cast("bigint").alias("n_activity"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "square_bbox": q_square_bbox,
     "bbox_text": q_bbox_text,
@@ -505,4 +542,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_roundtrip": q_geo_roundtrip,
     "stream_ingest": q_stream_ingest,
     "stream_score": q_stream_score,
+    "pipeline_run": q_pipeline_run,
 }

@@ -29,11 +29,20 @@ def append_scores(df: DataFrame, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """File-system metadata lookup on the driver (no Spark job)."""
+    import pyarrow.fs as pafs
+
+    from streetscape.sinks.geoparquet import _fs
+
     try:
-        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+        fs, p = _fs(path)
+        return fs.get_file_info(p).type != pafs.FileType.NotFound
+    except Exception:  # noqa: BLE001  (unknown scheme for PyArrow: ask Spark instead)
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def init_store(spark: SparkSession, path: str, kind: str = "images") -> bool:

@@ -107,3 +107,14 @@ def test_with_captured_at(spark):
     df = spark.createDataFrame([(1714564800000,)], "captured_at_ms bigint")
     assert C.with_captured_at(df).first().captured_at == datetime(2024, 5, 1, 12)
     assert F is not None
+
+
+def test_large_cap_uses_page_offsets(spark, monkeypatch):
+    import streetscape.operators.captures as CC
+
+    rows = [(f"{p}-{i}", p, i) for p in range(5) for i in range(7)]
+    df = spark.createDataFrame(rows, "image_id string, page int, pos int")
+    monkeypatch.setattr(CC, "TOP_N_MAX", 3)
+    got = sorted((r.page, r.pos) for r in CC.cap_candidates(df, 17).collect())
+    assert got == sorted(((p, i) for p in range(5) for i in range(7)))[:17]
+    assert CC.cap_candidates(df, 100).count() == 35
