@@ -1,6 +1,7 @@
 """Landed capture pages ``{"data": [...], "paging": {"next": ...}}`` -> one VARIANT per record.
 
-Arrival order is (page, pos): the page file name, then the record's position in ``data``.
+Arrival order is (page, pos): the page file's full path (so zero-padded file names or page
+directories sort in fetch order), then the record's position in ``data``.
 """
 
 from __future__ import annotations
@@ -21,6 +22,6 @@ def scan_capture_pages(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(PAGE_DDL)
         .option("multiLine", True)
         .json(path)
-        .withColumn("page", F.col("_metadata.file_name"))
+        .withColumn("page", F.col("_metadata.file_path"))
     )
     return explode_pages(pages)

@@ -53,7 +53,7 @@ def test_parse_shapes_and_rejects(spark, tmp_dir):
     ]
     _write_pages(tmp_dir, pages)
     recs = scan_capture_pages(spark, tmp_dir)
-    parsed = {(r.page, r.pos): r for r in C.parse_captures(recs, is_pano=False).collect()}
+    parsed = {(r.page.rsplit("/", 1)[-1], r.pos): r for r in C.parse_captures(recs, is_pano=False).collect()}
     p0, p1 = "page-0000.json", "page-0001.json"
     r = parsed[(p0, 0)]
     assert (r.image_id, r.lon, r.lat, r.sequence_id, r.creator_id, r.reject_reason) == ("1", -0.144, 51.541, "s1", 5, None)
@@ -118,3 +118,15 @@ def test_large_cap_uses_page_offsets(spark, monkeypatch):
     got = sorted((r.page, r.pos) for r in CC.cap_candidates(df, 17).collect())
     assert got == sorted(((p, i) for p in range(5) for i in range(7)))[:17]
     assert CC.cap_candidates(df, 100).count() == 35
+
+
+def test_landed_page_directories_keep_fetch_order(spark, tmp_dir):
+    from streetscape.streaming.incremental import land_pages
+
+    recs = spark.createDataFrame(
+        [(p, i, json.dumps(_rec(f"{p}-{i}"))) for p in (10, 2, 1) for i in (1, 0)], "page int, pos int, record_text string"
+    )
+    land_pages(recs, f"{tmp_dir}/landed")
+    parsed = C.parse_captures(scan_capture_pages(spark, f"{tmp_dir}/landed"))
+    ids = [r.image_id for r in parsed.orderBy("page", "pos").collect()]
+    assert ids == ["1-0", "1-1", "2-0", "2-1", "10-0", "10-1"]
