@@ -109,7 +109,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         if counts["inferred"] + counts["inference_cache_hit"] == 0:
             raise RuntimeError(f"all {working.count()} items failed scoring and none had a stored score; refusing an empty deliverable")
 
-        out = deliverable_rows(scan_image_store(spark, cfg.image_store), scan_score_store(spark, cfg.score_store), bbox)
+        # This run's results = stored hits of the working set plus the fresh scores (both now
+        # in the score store); earlier runs' images outside this working set are not re-emitted.
+        run_scores = scan_score_store(spark, cfg.score_store).join(working.select("image_id"), "image_id", "left_semi")
+        out = deliverable_rows(scan_image_store(spark, cfg.image_store), run_scores, bbox)
         write_geo(out, cfg.out_path)
         t = tick("write", t)
         verify = verify_geo(spark, cfg.out_path)

@@ -54,3 +54,17 @@ def test_empty_result_raises(spark, tmp_path):
     cfg = RunConfig(pages, images, str(tmp_path / "store"), str(tmp_path / "scores"), str(tmp_path / "out"), atlas, start_captured_at="2030-01-01")
     with pytest.raises(RuntimeError):
         run(spark, cfg)
+
+
+def test_deliverable_limited_to_this_runs_working_set(spark, tmp_path):
+    import json as _json
+
+    pages, images, atlas = _fixtures(tmp_path, spark)
+    store, scores = str(tmp_path / "store"), str(tmp_path / "scores")
+    run(spark, RunConfig(pages, images, store, scores, str(tmp_path / "o1"), atlas, start_captured_at="2024-01-01"))
+    only = tmp_path / "pages_one"
+    only.mkdir()
+    with open(only / "p.json", "w") as f:
+        _json.dump({"data": [{"id": 1000, "computed_geometry": {"coordinates": [-0.144, 51.541]}, "captured_at": 1714564800000, "thumb_2048_url": "u"}], "paging": {}}, f)
+    second = run(spark, RunConfig(str(only), images, store, scores, str(tmp_path / "o2"), atlas, start_captured_at="2024-01-01"))
+    assert second["counts"]["candidates"] == 1 and second["counts"]["written"] == 1
