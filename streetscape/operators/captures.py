@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetscape.functions.timeparse import parse_utc_bound
+from streetscape.functions.timeparse import ntz_literal, parse_utc_bound
 
 CAPTURE_COLUMNS = [
     "image_id",
@@ -132,9 +132,9 @@ def filter_captured(
     hi = parse_utc_bound(end) if isinstance(end, str) else end
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (F.col(col) >= F.lit(lo.replace(microsecond=0)).cast("timestamp_ntz"))
+        cond = cond & (F.col(col) >= ntz_literal(lo.replace(microsecond=0)))
     if hi is not None:
-        cond = cond & (F.col(col) <= F.lit(hi.replace(microsecond=0)).cast("timestamp_ntz"))
+        cond = cond & (F.col(col) <= ntz_literal(hi.replace(microsecond=0)))
     return df.filter(cond)
 
 

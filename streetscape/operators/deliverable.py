@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streetscape.functions.geo import point_wkb, wkb_to_wkt
 from streetscape.operators.aoi import BBox, within_bbox
-from streetscape.operators.store import drop_sentinel, latest_keys, latest_rows
+from streetscape.operators.store import drop_sentinel, latest_keys
 from streetscape.schemas import DELIVERABLE_COLUMNS
 
 CRS = "OGC:CRS84"

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streetscape.functions.timeparse import ntz_literal
 from streetscape.operators import summary as S
 from streetscape.operators.topk import first_k
 
@@ -203,7 +204,7 @@ def postprocess_scores(
     if inferred_at is None:
         ts = F.current_timestamp().cast("timestamp_ntz")
     elif isinstance(inferred_at, datetime):
-        ts = F.lit(inferred_at).cast("timestamp_ntz")
+        ts = ntz_literal(inferred_at)
     else:
         ts = inferred_at
     empty = F.array().cast("array<struct<name:string,score:float>>")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetscape.functions.geo import geometry_type, point_wkb, wkb_to_wkt
+from streetscape.functions.geo import geometry_type, point_wkb
 from streetscape.operators import aoi as G
 from streetscape.operators import atlas as AT
 from streetscape.operators import captures as C
@@ -19,7 +19,6 @@ from streetscape.operators import deliverable as D
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
 from streetscape.operators import summary as S
-from streetscape.plans import oracle as O
 from streetscape.plans import views as V
 
 CAMDEN = G.NAMED_AOIS["camden"]

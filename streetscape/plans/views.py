@@ -23,6 +23,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetscape.functions.timeparse import ntz_literal
 from streetscape.operators.aoi import NAMED_AOIS
 from streetscape.operators.sizing import spread
 from streetscape.operators.store import build_image_rows
@@ -71,12 +72,12 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-shard image store (18 columns + source_file, row_index)."""
-    caps = captures(spark, sf_dir).filter(F.col("captured_at") < F.lit(SHARD1_CUTOFF).cast("timestamp_ntz"))
-    rows = build_image_rows(caps, blobs(spark, sf_dir), CAMDEN.text(), F.lit(SHARD1_AT).cast("timestamp_ntz"))
+    caps = captures(spark, sf_dir).filter(F.col("captured_at") < ntz_literal(SHARD1_CUTOFF))
+    rows = build_image_rows(caps, blobs(spark, sf_dir), CAMDEN.text(), ntz_literal(SHARD1_AT))
     s1 = rows.withColumn("source_file", F.lit("shard-1.parquet")).withColumn("row_index", F.col("image_id").cast("bigint"))
     s2 = (
         s1.filter(F.col("camera_type") == "error")
-        .withColumn("downloaded_at", F.lit(SHARD2_AT).cast("timestamp_ntz"))
+        .withColumn("downloaded_at", ntz_literal(SHARD2_AT))
         .withColumn("source_file", F.lit("shard-2.parquet"))
     )
     return s1.unionByName(s2)
