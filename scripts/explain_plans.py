@@ -2,7 +2,7 @@
 store-facing operators over real scans and print what matters in their physical plans
 (pushed filters, read schemas, exchanges that carry payload columns, join strategies).
 
-usage: python scripts/explain_plans.py [sf_dir]
+usage: python scripts/explain_plans.py [sf_dir] [--no-aqe] [--no-broadcast]
 """
 
 from __future__ import annotations
@@ -31,13 +31,15 @@ def summarize(name: str, df) -> None:
             print(f"     readSchema={schema.group(1)[:160]}")
     exch = re.findall(r"Exchange (hashpartitioning\([^)]*\)|RoundRobinPartitioning\(\d+\)|SinglePartition)[^\n]*", plan)
     print(f"   exchanges={len(exch)} broadcast={plan.count('BroadcastExchange')} smj={plan.count('SortMergeJoin')} "
-          f"bhj={plan.count('BroadcastHashJoin')} bnlj={plan.count('BroadcastNestedLoopJoin')} python={plan.count('ArrowEvalPython') + plan.count('MapInArrow') + plan.count('PythonMapInArrow')}")
-    blob_exchanges = [ln for ln in plan.split("\n") if "Exchange" in ln and "image_blob" in ln]
-    print(f"   exchanges carrying image_blob={len(blob_exchanges)}")
+          f"bhj={plan.count('BroadcastHashJoin')} bnlj={plan.count('BroadcastNestedLoopJoin')} python={plan.count('ArrowEvalPython') + plan.count('MapInArrow') + plan.count('MapInPandas')}")
+    from streetscape.plans.inspect import exchanges_carrying
+
+    print(f"   shuffle exchanges carrying image_blob={exchanges_carrying(df, 'image_blob')}, brain_activity={exchanges_carrying(df, 'brain_activity')}")
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.1"
     from streetscape.operators import aoi as G
     from streetscape.operators import store as ST
     from streetscape.operators.deliverable import deliverable_rows
@@ -50,6 +52,14 @@ def main() -> None:
 
     spark = get_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
+    if "--no-aqe" in sys.argv:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    if "--no-broadcast" in sys.argv:
+        # the 100 TB case: no automatic broadcasts, explicit ones only behind is_small checks
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        from streetscape.operators import sizing
+
+        sizing.DEFAULT_BROADCAST_ROWS = 0
     root = shared_path(spark, "plans")
     st = V.store(spark, sf)
     for shard in ("shard-1.parquet", "shard-2.parquet"):

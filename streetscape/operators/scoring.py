@@ -196,9 +196,10 @@ def postprocess_scores(
 ) -> DataFrame:
     """M4: segments -> score-store rows (image_id, brain_activity, top_regions, inferred_at,
     model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2)."""
-    long = S.collapse_long(segments, mode)
-    vectors = S.assemble_vectors(long).drop("n_segments")
-    means = S.parcel_means(long, atlas)
+    # The collapse (the heavy pass over all segment vectors) runs once; parcel means re-explode
+    # the collapsed vectors map-side against the broadcast atlas instead of collapsing again.
+    vectors = S.assemble_vectors(S.collapse_long(segments, mode)).drop("n_segments")
+    means = S.parcel_means(S.explode_vector(vectors, "brain_activity"), atlas)
     ap = S.alias_parcels(S.atlas_parcels(atlas), alias_map)
     regions = S.top_regions(means, ap, aliases, k)
     if inferred_at is None:

@@ -99,13 +99,36 @@ def latest_keys(store: DataFrame, order_key: list[str] | None = None) -> DataFra
     return agg.select("image_id", *[F.col(f"__k.{c}").alias(c) for c in key])
 
 
+def winning_rows(df: DataFrame, winners: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` that are their id's winner in ``winners`` (image_id + key columns).
+
+    A store row is identified by (source_file, row_index) when the scan exposes them; the match
+    is then an ``image_id`` join with the identity as a residual condition, so the output stays
+    hash-partitioned by ``image_id`` alone (a following join on the id does not re-shuffle the
+    payload) and a NULL ``downloaded_at`` cannot lose the winner. Without file info the key
+    columns are compared null-safely.
+    """
+    ident = ["source_file", "row_index"] if {"source_file", "row_index"} <= set(df.columns) and {"source_file", "row_index"} <= set(key) else key
+    w = winners.select("image_id", *[F.col(c).alias(f"__w_{c}") for c in ident])
+    if ident == ["source_file", "row_index"]:
+        cond = F.lit(True)
+        for c in ident:
+            cond = cond & F.coalesce(F.col(c) == F.col(f"__w_{c}"), F.lit(False))
+        return df.join(w, "image_id", "inner").filter(cond).drop(*[f"__w_{c}" for c in ident])
+    cond = None
+    for c in ident:
+        e = F.col(c).eqNullSafe(F.col(f"__w_{c}"))
+        cond = e if cond is None else cond & e
+    return df.join(w, "image_id", "inner").filter(cond).drop(*[f"__w_{c}" for c in ident])
+
+
 def latest_rows(store: DataFrame, broadcast_rows: int | None = None, order_key: list[str] | None = None) -> DataFrame:
     """The last written row of every id (keys aggregated first, full rows attached by join)."""
     key = order_key or _ORDER_KEY
     winners = latest_keys(store, key)
     if broadcast_rows is not None and is_small(winners, broadcast_rows):
         winners = F.broadcast(winners)
-    return drop_sentinel(store).join(winners, ["image_id", *key], "left_semi")
+    return winning_rows(drop_sentinel(store), winners, key)
 
 
 def store_index(store: DataFrame) -> DataFrame:
@@ -147,8 +170,11 @@ def working_set(
         winners = F.broadcast(winners)
     payload_cols = ["image_sha256", "image_bytes"] + (["image_blob"] if with_blob else [])
     payload = (
-        drop_sentinel(store.select("image_id", *_ORDER_KEY, *payload_cols, F.col("image_blob").isNull().alias("__null_blob")))
-        .join(winners, ["image_id", *_ORDER_KEY], "left_semi")
+        winning_rows(
+            drop_sentinel(store.select("image_id", *_ORDER_KEY, *payload_cols, F.col("image_blob").isNull().alias("__null_blob"))),
+            winners,
+            _ORDER_KEY,
+        )
         .drop(*_ORDER_KEY)
         .withColumn("__hit", F.lit(True))
     )

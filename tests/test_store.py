@@ -151,3 +151,26 @@ def test_anti_semi_join_large_candidate_path(spark, tmp_dir):
     assert [r.image_id for r in ST.cached_images(cands, store, broadcast_rows=0).collect()] == ["1"]
     ws = {r.image_id: r.drop_reason for r in ST.working_set(cands, store, broadcast_rows=0).collect()}
     assert ws == {"1": None, "3": "not_in_cache"}
+
+
+def test_null_downloaded_at_still_wins(spark, tmp_dir):
+    path = f"{tmp_dir}/images"
+    append_images(spark.createDataFrame([_row("n", b"blob", None, "s-null")], IMAGE_SCHEMA), path)
+    store = scan_image_store(spark, path)
+    assert [r.image_sha256 for r in ST.latest_rows(store).collect()] == ["s-null"]
+    ws = ST.working_set(_cands(spark, ["n"]), store, broadcast_rows=0).first()
+    assert ws.drop_reason is None and ws.image_sha256 == "s-null"
+
+
+def test_working_set_large_path_moves_blobs_once(spark, tmp_dir):
+    path = f"{tmp_dir}/images"
+    append_images(spark.createDataFrame([_row(str(i), b"x" * 10) for i in range(20)], IMAGE_SCHEMA), path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = ST.working_set(_cands(spark, [str(i) for i in range(25)]), scan_image_store(spark, path), broadcast_rows=0)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        blob_exchanges = [ln for ln in plan.split("\\n") if "Exchange" in ln and "image_blob" in ln]
+        assert len(blob_exchanges) <= 1
+        assert df.filter("drop_reason is null").count() == 20
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
