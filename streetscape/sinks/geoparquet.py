@@ -224,6 +224,8 @@ def write_geo(
     ``geometry_encoding="native"`` also marks ``geom`` with the Parquet GEOMETRY logical type
     (GeoParquet 2.0 style); Spark then reads it back only with an explicit ``geom binary``
     schema (``scan_deliverable``)."""
+    if geom not in df.columns:
+        raise ValueError(f"geometry column {geom!r} not in {df.columns}")
     register(df.sparkSession)
     try:
         (
