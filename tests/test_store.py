@@ -174,3 +174,19 @@ def test_working_set_large_path_moves_blobs_once(spark, tmp_dir):
         assert df.filter("drop_reason is null").count() == 20
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_append_scores_without_rows_writes_no_file(spark, tmp_dir):
+    import os
+
+    from streetscape.schemas import SCORE_SCHEMA
+    from streetscape.sinks.stores import append_scores
+    from streetscape.sources.stores import scan_score_store
+
+    path = f"{tmp_dir}/scores"
+    append_scores(spark.createDataFrame([], SCORE_SCHEMA), path)
+    assert not os.path.exists(path)
+    row = ("a", [1.0, 2.0], [("V1", 0.5)], datetime(2024, 1, 1), "m")
+    append_scores(spark.createDataFrame([row], SCORE_SCHEMA), path)
+    append_scores(spark.createDataFrame([row], SCORE_SCHEMA), path)
+    assert scan_score_store(spark, path).count() == 2  # appends never overwrite (H7)
