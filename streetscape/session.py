@@ -42,15 +42,65 @@ def get_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime part of SESSION_CONF to an existing session."""
+    """Apply the runtime part of SESSION_CONF to an existing session and make the package
+    importable by the Python workers."""
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf on a managed cluster
             pass
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _package_zip() -> bytes:
+    import io
+    import zipfile
+    from pathlib import Path
+
+    pkg = Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(pkg.rglob("*.py")):
+            z.write(f, f.relative_to(pkg.parent).as_posix())
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (``addPyFile``), once per
+    application. The zip is written under the shared checkpoint folder, so executors fetch it
+    from the driver's file server like any other job file."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        app = None
+    if app is not None and app in _SHIPPED:
+        return
+    data = _package_zip()
+    target = f"{checkpoint_root(spark).rstrip('/')}/streetscape/pyfiles-{uuid.uuid4().hex[:12]}/streetscape.zip"
+    try:
+        from streetscape.sinks.geoparquet import _fs
+
+        fs, p = _fs(target)
+        fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(p) as out:
+            out.write(data)
+    except Exception:  # noqa: BLE001  (file system not reachable from PyArrow here)
+        local = tempfile.mkdtemp(prefix="streetscape-pyfiles-")
+        target = os.path.join(local, "streetscape.zip")
+        with open(target, "wb") as out:
+            out.write(data)
+    try:
+        spark.sparkContext.addPyFile(target)
+    except Exception:  # noqa: BLE001
+        spark.addArtifacts(target, pyfile=True)
+    if app is not None:
+        _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
