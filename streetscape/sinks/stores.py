@@ -51,5 +51,19 @@ def init_store(spark: SparkSession, path: str, kind: str = "images") -> bool:
     if _exists(spark, path):
         return False
     schema = IMAGE_SCHEMA if kind == "images" else SCORE_SCHEMA
-    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").options(**ZSTD_OPTIONS).parquet(path)
+    try:
+        # A schema-only file needs no Spark job: write it with PyArrow on the driver.
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        from streetscape.sinks.geoparquet import _fs
+
+        fs, p = _fs(path)
+        fs.create_dir(p, recursive=True)
+        arrow_schema = to_arrow_schema(schema, timezone="UTC")
+        with fs.open_output_stream(f"{p}/part-00000-init.zstd.parquet") as out:
+            pq.write_table(pa.Table.from_batches([], schema=arrow_schema), out, compression="zstd")
+    except Exception:  # noqa: BLE001
+        spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").options(**ZSTD_OPTIONS).parquet(path)
     return True
