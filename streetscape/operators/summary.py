@@ -1,9 +1,10 @@
 """Segment vectors -> collapsed vector -> parcel means -> alias scores -> top-k regions.
 
-Everything is native Spark. The collapse is an element-wise aggregate over the exploded vector
-(``posexplode`` + ``groupBy(image_id, pos)``): partial aggregation combines a hot image's
-segments map-side and spreads its positions over reducers, so no task ever holds a whole
-group's vectors. Parcel means join the long (image, pos, value) rows with the broadcast atlas.
+The collapse folds each image's segments inside every input partition (NumPy over Arrow
+batches, bounded buffer), then merges those partial vectors element-wise per (image, position)
+(``posexplode`` + ``groupBy``), which spreads a hot image's positions over reducers, so no task
+ever holds a whole group's vectors. Everything after the fold is native Spark: parcel means
+join the long (image, pos, value) rows with the broadcast atlas.
 """
 
 from __future__ import annotations

@@ -184,8 +184,9 @@ class _GeoWriter(DataSourceArrowWriter):
                 continue
             for src, dst in zip(m.staged, m.final):
                 fs.move(src, dst)
-        fs.delete_dir_contents(f"{base}/{STAGING}", missing_dir_ok=True)
-        fs.delete_dir(f"{base}/{STAGING}") if fs.get_file_info(f"{base}/{STAGING}").type != pafs.FileType.NotFound else None
+        # Staged leftovers of failed or speculative task attempts go with the staging folder.
+        if fs.get_file_info(f"{base}/{STAGING}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{base}/{STAGING}")
 
     def abort(self, messages):
         fs, _ = _fs(self.path)
