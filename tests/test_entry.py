@@ -10,6 +10,15 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+TYPE_NAMES = {
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "float": "FLOAT",
+}
 TABLES = "events documents embeddings".split()
 
 
@@ -34,7 +43,7 @@ def _norm(rows):
     return sorted((tuple(n(x) for x in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["within_bbox", "parse_captures", "working_set", "top_regions", "pseudo_clip_plan", "deliverable", "stage_counts"])
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle_at_smallest_sf(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,5 +52,8 @@ def test_query_matches_oracle_at_smallest_sf(spark, name):
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    rel_types = dict(zip(con.sql(E.oracle_sql()[name]).columns, map(str, con.sql(E.oracle_sql()[name]).types)))
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == rel_types
     orows = [tuple(r[ocols.index(c)] for c in df.columns) for r in cur.fetchall()]
     assert _norm([tuple(r) for r in df.collect()]) == _norm(orows)
