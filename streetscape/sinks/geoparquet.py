@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 GEO_VERSION = "2.0.0"
+# Writer version choices (fixed values): option -> (geo metadata version or None, native GEOMETRY type)
+GEO_VERSIONS = {"V2": ("2.0.0", False), "V1": ("1.1.0", False), "NONE": (None, True), "BOTH": ("1.1.0", True)}
 DEFAULT_CRS = "OGC:CRS84"
 ROW_GROUP_ROWS = 2048
 STAGING = "_staging"
@@ -47,13 +49,13 @@ def _point_bbox(col: pa.ChunkedArray | pa.Array) -> list[float] | None:
     return [float(xs[ok].min()), float(ys[ok].min()), float(xs[ok].max()), float(ys[ok].max())]
 
 
-def geo_metadata_json(geom_col: str, bbox: list[float] | None, crs: str = DEFAULT_CRS) -> str:
+def geo_metadata_json(geom_col: str, bbox: list[float] | None, crs: str = DEFAULT_CRS, version: str = GEO_VERSION) -> str:
     col_meta: dict = {"encoding": "WKB", "geometry_types": ["Point"]}
     if crs != DEFAULT_CRS:  # CRS84 is the spec default when "crs" is absent
         col_meta["crs"] = crs
     if bbox is not None:
         col_meta["bbox"] = bbox
-    return json.dumps({"version": GEO_VERSION, "primary_column": geom_col, "columns": {geom_col: col_meta}}, separators=(",", ":"))
+    return json.dumps({"version": version, "primary_column": geom_col, "columns": {geom_col: col_meta}}, separators=(",", ":"))
 
 
 def _wkb_extension(crs: str):
@@ -105,6 +107,7 @@ class _GeoWriter(DataSourceArrowWriter):
         self.overwrite = overwrite
         self.refuse_empty = options.get("refuse_empty", "true").lower() == "true"
         self.native = options.get("geometry_encoding", "wkb").lower() == "native"
+        self.geo_version = options.get("geo_version", GEO_VERSION) or None
 
     def write(self, iterator):
         """Stream the task's Arrow batches into one staged file: rows are buffered only up to a
@@ -156,7 +159,8 @@ class _GeoWriter(DataSourceArrowWriter):
             if writer is None:
                 return _Staged()
             flush(final=True)
-            writer.add_key_value_metadata({"geo": geo_metadata_json(self.geom, bbox, self.crs)})
+            if self.geo_version:
+                writer.add_key_value_metadata({"geo": geo_metadata_json(self.geom, bbox, self.crs, self.geo_version)})
             writer.close()
             sink.close()
         except BaseException:
@@ -216,7 +220,13 @@ def register(spark: SparkSession) -> None:
 
 
 def write_geo(
-    df: DataFrame, path: str, geom: str = "geom", crs: str = DEFAULT_CRS, mode: str = "overwrite", geometry_encoding: str = "wkb"
+    df: DataFrame,
+    path: str,
+    geom: str = "geom",
+    crs: str = DEFAULT_CRS,
+    mode: str = "overwrite",
+    geometry_encoding: str | None = None,
+    version: str = "V2",
 ) -> str:
     """K4: write ``df`` as GeoParquet (WKB ``geom`` + ``geo`` metadata 2.0.0). An empty input is
     refused (a geo table without rows carries no geometry evidence): the writer's commit sees the
@@ -224,7 +234,16 @@ def write_geo(
 
     ``geometry_encoding="native"`` also marks ``geom`` with the Parquet GEOMETRY logical type
     (GeoParquet 2.0 style); Spark then reads it back only with an explicit ``geom binary``
-    schema (``scan_deliverable``)."""
+    schema (``scan_deliverable``).
+
+    ``version``: ``V2`` (default; ``geo`` 2.0.0 over WKB), ``V1`` (``geo`` 1.1.0), ``NONE`` (no
+    ``geo`` key, native GEOMETRY type), ``BOTH`` (native type plus ``geo`` 1.1.0). Only V2 passes
+    ``verify_geo``, as in the reference."""
+    if version not in GEO_VERSIONS:
+        raise ValueError(f"unknown GeoParquet version {version!r}; one of {sorted(GEO_VERSIONS)}")
+    geo_version, native = GEO_VERSIONS[version]
+    if geometry_encoding is None:
+        geometry_encoding = "native" if native else "wkb"
     if geom not in df.columns:
         raise ValueError(f"geometry column {geom!r} not in {df.columns}")
     register(df.sparkSession)
@@ -235,6 +254,7 @@ def write_geo(
             .option("geometry_column", geom)
             .option("crs", crs)
             .option("geometry_encoding", geometry_encoding)
+            .option("geo_version", geo_version or "")
             .save(path)
         )
     except Exception as exc:  # noqa: BLE001

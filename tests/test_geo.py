@@ -101,3 +101,18 @@ def test_native_geometry_logical_type(spark, tmp_dir):
     back = scan_deliverable(spark, path)
     assert back.count() == 100 and back.select(geometry_type("geom").alias("t")).distinct().first().t == "point"
     assert verify_geo(spark, path)["n_columns"] == 9
+
+
+@pytest.mark.parametrize("version,geo,native", [("V1", "1.1.0", False), ("NONE", None, True), ("BOTH", "1.1.0", True)])
+def test_writer_versions(spark, tmp_dir, version, geo, native):
+    path = f"{tmp_dir}/{version}"
+    write_geo(_deliverable(spark, 50).coalesce(1), path, version=version)
+    f = [x for x in __import__("os").listdir(path) if x.endswith(".parquet")][0]
+    pf = pq.ParquetFile(f"{path}/{f}")
+    kv = pf.metadata.metadata or {}
+    assert (json.loads(kv[b"geo"])["version"] if b"geo" in kv else None) == geo
+    assert ("Geometry" in str(pf.schema)) == native
+    with pytest.raises(AssertionError):
+        verify_geo(spark, path)
+    with pytest.raises(ValueError):
+        write_geo(_deliverable(spark, 5), f"{tmp_dir}/bad", version="V9")
