@@ -8,6 +8,9 @@ candidate id batches), never for fact tables.
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,21 +21,40 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 _SEEN: dict[tuple[int, int], tuple[float, bool]] = {}
 _MEMO_SECONDS = 60.0
+_LOCAL = threading.local()
+
+
+def _depth() -> int:
+    return getattr(_LOCAL, "depth", 0)
+
+
+@contextmanager
+def remember_sizes():
+    """Within this block a plan is counted once (keyed by its semantic hash, at most a minute):
+    used while one query or one pipeline step builds its plans. Outside it, and so inside
+    streaming micro-batches (which run on their own thread), every check counts afresh."""
+    _LOCAL.depth = _depth() + 1
+    try:
+        yield
+    finally:
+        _LOCAL.depth = _depth() - 1
+        if _depth() == 0:
+            _SEEN.clear()
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows).
 
-    The answer is remembered per plan (semantic hash) for a minute, so a plan checked by several
-    operators while one query is being built is counted once; inputs that grow (stores,
-    streams) are counted again later.
+    Inside ``remember_sizes()`` the answer is reused for the same plan.
     """
     import time
 
-    try:
-        key = (df.semanticHash(), max_rows)
-    except Exception:  # noqa: BLE001
-        key = None
+    key = None
+    if _depth():
+        try:
+            key = (df.semanticHash(), max_rows)
+        except Exception:  # noqa: BLE001
+            key = None
     now = time.monotonic()
     if key is not None and key in _SEEN and now - _SEEN[key][0] < _MEMO_SECONDS:
         return _SEEN[key][1]

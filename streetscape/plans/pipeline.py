@@ -26,6 +26,7 @@ from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
 from streetscape.operators.aoi import resolve_aoi
 from streetscape.operators.deliverable import deliverable_rows, run_summary
+from streetscape.operators.sizing import remember_sizes
 from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
 from streetscape.sources.images import scan_image_files
@@ -58,6 +59,11 @@ class RunConfig:
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> dict:
+    with remember_sizes():
+        return _run(spark, cfg)
+
+
+def _run(spark: SparkSession, cfg: RunConfig) -> dict:
     timings: dict[str, float] = {}
     counts = {k: 0 for k in ("candidates", "cached", "downloaded", "inference_cache_hit", "inferred", "written")}
     held: list[DataFrame] = []
