@@ -141,13 +141,33 @@ def filter_captured(
 TOP_N_MAX = 1_000_000
 
 
+def page_offsets(df: DataFrame, page: str = "page", ranges: int = 64) -> DataFrame:
+    """(page, __off): number of rows in all earlier pages, without one task seeing every page.
+
+    Per-page counts are range-partitioned by page; each range takes a running sum of its own
+    pages, the range totals (``ranges`` rows) are summed up to each range, and the two parts are
+    added. Range partitions are numbered in key order, so the partition id orders the ranges."""
+    from pyspark.sql import Window
+
+    sizes = df.groupBy(page).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = sizes.repartitionByRange(ranges, page).withColumn("__pid", F.spark_partition_id())
+    local = ranged.withColumn(
+        "__local",
+        F.coalesce(F.sum("__n").over(Window.partitionBy("__pid").orderBy(page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    )
+    totals = ranged.groupBy("__pid").agg(F.sum("__n").alias("__t"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("__pid", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__start"))
+    return local.join(F.broadcast(starts), "__pid", "inner").select(page, (F.col("__start") + F.col("__local")).alias("__off"))
+
+
 def cap_candidates(df: DataFrame, limit: int, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
     """First ``limit`` rows in arrival order (page, then position in the page).
 
     Caps up to ``TOP_N_MAX`` are a top-N (per-partition heaps, one merge of N rows). A larger
     cap first checks whether it binds at all (one count); when it does, rows are ranked inside
-    their page and shifted by the page's offset, computed from per-page counts (one row per
-    page), so no heap or window ever holds more than one page.
+    their page and shifted by the page's offset (``page_offsets``), so no heap or window ever
+    holds more than one page or one range of page counts.
     """
     if limit <= TOP_N_MAX:
         return df.orderBy(*order).limit(limit)
@@ -155,13 +175,11 @@ def cap_candidates(df: DataFrame, limit: int, order: tuple[str, ...] = ("page",
         return df
     from pyspark.sql import Window
 
-    page, rest = order[0], list(order[1:]) or [order[0]]
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(page).orderBy(*rest)))
-    sizes = df.groupBy(page).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(page, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     from streetscape.operators.sizing import broadcast_if_small
 
+    page, rest = order[0], list(order[1:]) or [order[0]]
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(page).orderBy(*rest)))
+    offsets = page_offsets(df, page)
     capped = ranked.join(broadcast_if_small(offsets), page, "inner").filter(F.col("__off") + F.col("__r") <= limit)
     return capped.drop("__r", "__off")
 

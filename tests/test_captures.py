@@ -130,3 +130,18 @@ def test_landed_page_directories_keep_fetch_order(spark, tmp_dir):
     parsed = C.parse_captures(scan_capture_pages(spark, f"{tmp_dir}/landed"))
     ids = [r.image_id for r in parsed.orderBy("page", "pos").collect()]
     assert ids == ["1-0", "1-1", "2-0", "2-1", "10-0", "10-1"]
+
+
+def test_page_offsets_match_running_sum(spark):
+    import random
+
+    rnd = random.Random(3)
+    sizes = {f"p{k:03d}": rnd.randint(1, 9) for k in range(120)}
+    rows = [(p, i) for p, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "page string, pos int")
+    got = {r.page: r["__off"] for r in C.page_offsets(df, "page", ranges=7).collect()}
+    run, exp = 0, {}
+    for p in sorted(sizes):
+        exp[p] = run
+        run += sizes[p]
+    assert got == exp
