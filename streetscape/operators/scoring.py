@@ -193,12 +193,19 @@ def postprocess_scores(
     model_repo: str = "test/byte-probe",
     inferred_at: Column | datetime | None = None,
     mode: str = "mean",
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """M4: segments -> score-store rows (image_id, brain_activity, top_regions, inferred_at,
-    model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2)."""
+    model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2).
+
+    The collapsed vectors feed both the output and the parcel means; ``hold`` (e.g. a persist
+    that the caller releases) materialises them once, otherwise Spark computes the collapse
+    for each consumer."""
     # The collapse (the heavy pass over all segment vectors) runs once; parcel means re-explode
     # the collapsed vectors map-side against the broadcast atlas instead of collapsing again.
     vectors = S.assemble_vectors(S.collapse_long(segments, mode)).drop("n_segments")
+    if hold is not None:
+        vectors = hold(vectors)
     means = S.parcel_means(S.explode_vector(vectors, "brain_activity"), atlas)
     ap = S.alias_parcels(S.atlas_parcels(atlas), alias_map)
     regions = S.top_regions(means, ap, aliases, k)

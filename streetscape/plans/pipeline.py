@@ -106,7 +106,7 @@ def _run(spark: SparkSession, cfg: RunConfig) -> dict:
 
         seg = hold(M.score_images(working.join(misses, "image_id", "left_semi"), cfg.predictor_factory, cfg.batch_size))
         amap = AT.alias_map_df(spark, cfg.alias_map)
-        fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo)
+        fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo, hold=hold)
         fresh = hold(fresh)
         counts["inferred"] = fresh.count()
         append_scores(fresh, cfg.score_store)

@@ -104,16 +104,20 @@ def stream_score(
         items = items.groupBy("image_id").agg(F.max(F.struct("downloaded_at", "image_blob")).alias("__m"))
         items = items.select("image_id", F.col("__m.image_blob").alias("image_blob"))
         items = items.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = None
+        held: list[DataFrame] = [items]
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df
+
         try:
             todo = ST.new_images(items, scan_score_store(spark, score_path))
             seg = M.good_segments(M.score_images(todo, predictor_factory, batch_size))
-            rows = M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo).persist(StorageLevel.MEMORY_AND_DISK)
+            rows = hold(M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo, hold=hold))
             append_scores(rows, score_path)
         finally:
-            items.unpersist()
-            if rows is not None:
-                rows.unpersist()
+            for df in held:
+                df.unpersist()
 
     writer = images.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

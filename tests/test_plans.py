@@ -44,3 +44,29 @@ def test_deliverable_moves_each_payload_once(static_plans, tmp_dir):
     assert exchanges_carrying(out, "image_blob") <= 1
     assert exchanges_carrying(out, "brain_activity") <= 1
     assert exchanges_carrying(out, "image_id") >= 2  # the key-only shuffles are seen by the helper
+
+
+def test_postprocess_collapses_segments_once(spark):
+    from pyspark import StorageLevel
+
+    from streetscape.operators import atlas as AT
+    from streetscape.operators import scoring as M
+
+    seg = spark.createDataFrame([("a", 0, [1.0] * 8), ("a", 1, [3.0] * 8), ("b", 0, [2.0] * 8)], "image_id string, segment_idx int, activity array<float>")
+    atlas = spark.createDataFrame([("V1", 0, v) for v in range(8)], "parcel string, ordinal int, vertex int")
+    held = []
+
+    def hold(df):
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    out = M.postprocess_scores(seg, atlas, AT.alias_map_df(spark), AT.alias_names(), k=10, hold=hold)
+    try:
+        assert {r.image_id: r.top_regions[0].name for r in out.collect()} == {"a": "V1", "b": "V1"}
+        # both consumers (output vectors, parcel means) read the one materialised copy
+        logical = out._jdf.queryExecution().withCachedData().toString()
+        assert logical.count("InMemoryRelation") >= 2
+        assert len(held) == 1
+    finally:
+        for df in held:
+            df.unpersist()
