@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import quality
+from streetscape.llm import langid, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,13 @@ def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
+    "op2_language_id": op2_language_id,
 }
 
 SQL: dict[str, str] = {}
