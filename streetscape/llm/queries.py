@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import langid, quality
+from streetscape.llm import langid, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
+    "op3_hierarchical_packing": op3_hierarchical_packing,
 }
 
 SQL: dict[str, str] = {}
