@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import langid, packing, quality
+from streetscape.llm import decontam, langid, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,15 @@ def op3_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
     "op3_hierarchical_packing": op3_hierarchical_packing,
+    "op4_simhash_decontamination": op4_simhash_decontamination,
 }
 
 SQL: dict[str, str] = {}
