@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import decontam, langid, packing, quality
+from streetscape.llm import decontam, langid, licenses, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +27,16 @@ def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
     "op3_hierarchical_packing": op3_hierarchical_packing,
     "op4_simhash_decontamination": op4_simhash_decontamination,
+    "op10_license_templates": op10_license_templates,
 }
 
 SQL: dict[str, str] = {}
