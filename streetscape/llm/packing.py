@@ -37,7 +37,7 @@ END_ID = 1
 STEP_TOKENS = 8 * 2048
 GROUP_TOKENS = 2_000_000
 SLICE_CHARS = 1 << 20
-CACHE_WORDS, CACHE_CHARS = 300_000, 48
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 1_000_000, 300_000, 48
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context int, step_id long, step_cost long"
 
 _PLAIN = re.compile(r"[!-~]+").fullmatch
@@ -54,13 +54,21 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.one = self.tokenizer.model.tokenize
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        out = self.parts.get(part)
+        if out is None:
+            out = np.array([t.id for t in self.one(part)], "<u4").tobytes()
+            if len(self.parts) < CACHE_PARTS and len(part) <= CACHE_CHARS:
+                self.parts[part] = out
+        return out
 
     def __missing__(self, word: str) -> bytes:
         if _PLAIN(word):
-            ids = [t.id for part in _PRETOKENS(word.lower()) for t in self.one(part)]
+            out = b"".join(map(self.part, _PRETOKENS(word.lower())))
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+            out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) < CACHE_WORDS and len(word) <= CACHE_CHARS:
             self[word] = out
         return out
