@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import decontam, langid, licenses, packing, quality
+from streetscape.llm import decontam, langid, licenses, lines, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,16 @@ def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
     "op3_hierarchical_packing": op3_hierarchical_packing,
     "op4_simhash_decontamination": op4_simhash_decontamination,
+    "op8_line_edit_dedup": op8_line_edit_dedup,
     "op10_license_templates": op10_license_templates,
 }
 
