@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import decontam, jaccard, langid, licenses, lines, packing, quality
+from streetscape.llm import decontam, html, jaccard, langid, licenses, lines, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,12 +39,17 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents"))
 
 
+def op7_html_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
     "op3_hierarchical_packing": op3_hierarchical_packing,
     "op4_simhash_decontamination": op4_simhash_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_html_consensus_paths": op7_html_consensus_paths,
     "op8_line_edit_dedup": op8_line_edit_dedup,
     "op10_license_templates": op10_license_templates,
 }
