@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import decontam, html, jaccard, langid, licenses, lines, packing, quality
+from streetscape.llm import chains, decontam, html, jaccard, langid, licenses, lines, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_html_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
 
 
+def op9_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
@@ -51,6 +55,7 @@ QUERIES = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_html_consensus_paths": op7_html_consensus_paths,
     "op8_line_edit_dedup": op8_line_edit_dedup,
+    "op9_chained_passages": op9_chained_passages,
     "op10_license_templates": op10_license_templates,
 }
 
