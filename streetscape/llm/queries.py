@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetscape.llm import chains, decontam, html, jaccard, langid, licenses, lines, packing, quality
+from streetscape.llm import chains, decontam, html, jaccard, langid, licenses, lines, lm, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +47,16 @@ def op9_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains.passages(table(spark, sf_dir, "documents"))
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_llr": op1_quality_llr,
     "op2_language_id": op2_language_id,
     "op3_hierarchical_packing": op3_hierarchical_packing,
     "op4_simhash_decontamination": op4_simhash_decontamination,
+    "op5_context_mixing": op5_context_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_html_consensus_paths": op7_html_consensus_paths,
     "op8_line_edit_dedup": op8_line_edit_dedup,
