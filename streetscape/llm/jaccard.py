@@ -13,8 +13,9 @@ classes instead, in blocks.
 
 Signatures travel as packed blocks: one row for each task and partition of the key space. Members of
 a bucket are compared with its least member first and linked; only members that are still in
-different components of one bucket are compared in a second round. All verdicts come from the
-whole sets, read for the classes in question only.
+different components of one bucket are compared in a second round. A pair whose sets, counted by hash
+slot, differ by more than the similarity allows is dropped (the counts' differences bound the sets' from
+below); all other verdicts come from the whole sets, read for the classes in question only.
 
 Sets and classes are known by 64-bit hashes of their shingles.
 
@@ -38,7 +39,7 @@ from streetscape.llm.graph import components, written
 
 SHINGLE, SHARE, OF = 5, 75, 100
 SINGLE, DOUBLE, SLACK = 32, 2, 1.25
-SKETCH = 1 << 18
+SKETCH = 1 << 20
 SKETCH_SLICES = 64
 #: Bytes of signatures in a partition of the key space, and the part of a text's bytes that they take.
 PART_BYTES, SIGNATURE_SHARE = 16 << 20, 1.0
@@ -77,6 +78,25 @@ def classes(key: np.ndarray, own: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return size, T.mix(total[first[1:]] - total[first[:-1]] + size.astype(_U))
 
 
+def slot_counts(key: np.ndarray, own: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Of each set, its shingles counted by hash slot, with about two for a slot and at most 255."""
+    slots = 1 << np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64) - 1
+    first = np.concatenate([[0], np.cumsum(slots)])
+    at = first[own] + (T.mix(key + _U(0x8EBC6AF09C88C6E3)) & (slots[own] - 1).astype(_U)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=int(first[-1])), 255).astype(np.uint8)
+    return [counts[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+
+
+def differ(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in one of two sets only."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if len(x) > len(y):
+        x, y = y, x
+    full = (x == 255).any() or (y == 255).any()
+    y = y.reshape(-1, len(x)).sum(axis=0)
+    return int(np.abs(x - y)[(x < 255) & (y < 255)].sum() if full else np.abs(x - y).sum())
+
+
 def need(t: np.ndarray) -> np.ndarray:
     """One more than the shingles in which a set of size t and a smaller similar one can differ."""
     return 2 * t * (OF - SHARE) // (OF + SHARE) + 1
@@ -148,14 +168,14 @@ def signatures(key: np.ndarray, own: np.ndarray, size: np.ndarray) -> Iterator[t
 def allot(s: dict[str, np.ndarray], size: np.ndarray, b: np.ndarray, sketch: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(weight of each subset, texts that can't reach their sum): the cheapest subsets first, each at 1; a subset
     of the first segments counts as a second unit at the cost of its deletions."""
-    cost = sketch[(s["key"] >> _U(46)).astype(np.int64)].astype(np.float64)
+    cost = sketch[(s["key"] >> _U(44)).astype(np.int64)].astype(np.float64)
     limit = np.where(size < SINGLE, np.iinfo(np.int64).max, reach(size, b))
     usable = (s["seg"] < limit[s["own"]]) | (size[s["own"]] < SINGLE)
     unit, at = [np.flatnonzero(usable)], [cost[usable]]
     if len(s["del_at"]):
         extra = np.unique(s["del_at"])
         extra = extra[usable[extra]]
-        more = np.bincount(s["del_at"], weights=sketch[(s["del_key"] >> _U(46)).astype(np.int64)], minlength=len(cost))
+        more = np.bincount(s["del_at"], weights=sketch[(s["del_key"] >> _U(44)).astype(np.int64)], minlength=len(cost))
         unit.append(extra)
         at.append(cost[extra] + more[extra] + 1)  # after the subset's own unit
     unit, at = np.concatenate(unit), np.concatenate(at)
@@ -174,16 +194,16 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sketch = np.zeros(SKETCH, np.int32)
     seen: set[int] = set()
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["kind", "doc_id", "n", "class", "bytes", "slice"]
+    names = ["kind", "doc_id", "n", "class", "bytes", "counts"]
     for batch in batches:
         for i, j, buf, off in T.chunks(batch.column("text")):
             key, own = sets(buf, off)
             size, cls = classes(key, own, j - i)
             ids = batch.column("doc_id").slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(j - i, np.int32)), ids, pa.array(size), pa.array(cls.view(np.int64)), pa.array(np.diff(off)), pa.nulls(j - i, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(j - i, np.int32)), ids, pa.array(size), pa.array(cls.view(np.int64)), pa.array(np.diff(off)), pa.array(slot_counts(key, own, size), pa.binary())], names=names)
             key, own, size, _ = _unseen(key, own, size, cls, seen)
             for s, _, _ in signatures(key, own, size):
-                sketch += np.bincount((s["key"] >> _U(46)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+                sketch += np.bincount((s["key"] >> _U(44)).astype(np.int64), minlength=SKETCH).astype(np.int32)
     width = SKETCH // SKETCH_SLICES
     rows = [(1, k, 0, 0, 0, sketch[k * width : (k + 1) * width].tobytes()) for k in range(SKETCH_SLICES)]
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -203,7 +223,7 @@ def _unseen(key, own, size, cls, seen: set[int]):
 def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for b in batches:
-        for k, raw in zip(b.column("doc_id").to_pylist(), b.column("slice").to_pylist()):
+        for k, raw in zip(b.column("doc_id").to_pylist(), b.column("counts").to_pylist()):
             total[k] = total.get(k, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
     if total:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "counts"])
@@ -263,7 +283,7 @@ def _keys(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-_BUCKETS = "part long, key long, class long, n long, probe boolean, hub long, hub_n long"
+_BUCKETS = "part long, key long, class long, n long, probe boolean, hub long, hub_n long, hub_probe boolean"
 
 
 def _buckets(parts: int):
@@ -289,7 +309,7 @@ def _buckets(parts: int):
         pick = np.repeat(live, many)
         hub = np.repeat(first, many)[pick]
         if pick.any():
-            cols = [np.full(int(pick.sum()), part), key[pick].astype(np.int64), cls[pick], size[pick], probe[pick], cls[hub], size[hub]]
+            cols = [np.full(int(pick.sum()), part), key[pick].astype(np.int64), cls[pick], size[pick], probe[pick], cls[hub], size[hub], probe[hub]]
             for k in range(0, len(cols[0]), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000]) for c in cols], names=[x.split()[0] for x in _BUCKETS.split(", ")])
 
@@ -334,19 +354,31 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ids_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents of ``ids`` (distinct doc_id), which is broadcast if it is small."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    return docs.join(_small(ids), "doc_id", "left_semi")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """To be broadcast up to ``BROADCAST_IDS`` rows, joined by a shuffle beyond."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        limit = [(m + n) * (OF - SHARE) // (OF + SHARE) for m, n in zip(b.column("a_n").to_pylist(), b.column("b_n").to_pylist())]
+        ok = [differ(x, y) <= most for x, y, most in zip(b.column("a_counts").to_pylist(), b.column("b_counts").to_pylist(), limit)]
+        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def links(docs: DataFrame, profile: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of classes whose whole sets are similar."""
-    pairs = written(pairs, "pairs")
-    named = profile.where("kind = 0 AND n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    one = profile.where("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
+    counted = one.select("class", "n", "counts").dropDuplicates(["class"])
+    side = lambda df, s: df.select(*[F.col(c).alias(s if c == "class" else f"{s}_{c}") for c in df.columns])
+    pairs = written(pairs.join(side(counted, "a"), "a").join(side(counted, "b"), "b").select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(_plausible, "a long, b long"), "pairs")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    chosen = written(named.join(wanted, "class", "left_semi").select("doc_id").distinct(), "chosen")
-    grams = _ids_only(docs, chosen).dropDuplicates(["doc_id", "text"]).mapInArrow(_whole_sets, "class long, grams binary")
-    left = pairs.join(grams.select(F.col("class").alias("a"), F.col("grams").alias("a_grams")), "a")
-    both = left.join(grams.select(F.col("class").alias("b"), F.col("grams").alias("b_grams")), "b")
+    chosen = written(one.groupBy("class").agg(F.min("doc_id").alias("doc_id")).join(wanted, "class", "left_semi").select("doc_id").distinct(), "chosen")
+    grams = _ids_only(docs, chosen).mapInArrow(_whole_sets, "class long, grams binary").dropDuplicates(["class"])
+    both = pairs.join(side(grams, "a"), "a").join(side(grams, "b"), "b")
     return written(both.select("a", "b", "a_grams", "b_grams").mapInArrow(_verify, "a long, b long").distinct(), "links")
 
 
@@ -354,6 +386,11 @@ def _fits(a: str, b: str) -> F.Column:
     return (F.col(a) * OF >= F.col(b) * SHARE) & (F.col(b) * OF >= F.col(a) * SHARE)
 
 
+def _probed(n: str, probe: str, n2: str, probe2: str) -> F.Column:
+    """Whether the larger of two members of a bucket probes there."""
+    return ((F.col(n) >= F.col(n2)) & F.col(probe)) | ((F.col(n) <= F.col(n2)) & F.col(probe2))
+
+
 def _against(block: list[tuple[int, bytes]]):
     queries = [(c, _keys(g)) for c, g in block]
 
@@ -370,8 +407,8 @@ def join_components(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = written(docs.mapInArrow(_profile, "kind int, doc_id long, n long, class long, bytes long, slice binary"), "profile")
-    slices = profile.where("kind = 1").select("doc_id", "slice").repartition(SKETCH_SLICES, "doc_id").mapInArrow(_add_slices, "k long, counts binary").toArrow()  # SKETCH counts
+    profile = written(docs.mapInArrow(_profile, "kind int, doc_id long, n long, class long, bytes long, counts binary"), "profile")
+    slices = profile.where("kind = 1").select("doc_id", "counts").repartition(SKETCH_SLICES, "doc_id").mapInArrow(_add_slices, "k long, counts binary").toArrow()  # SKETCH counts
     sketch = np.zeros(SKETCH, np.int64)
     width = SKETCH // SKETCH_SLICES
     for k, raw in zip(slices.column("k").to_pylist(), slices.column("counts").to_pylist()):
@@ -383,7 +420,7 @@ def join_components(documents: DataFrame) -> DataFrame:
     irregular = buckets.where(F.col("part") == parts).select("class").distinct()
     buckets = buckets.where(F.col("part") < parts)
 
-    first = buckets.where((F.col("class") != F.col("hub")) & _fits("n", "hub_n")).select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
+    first = buckets.where((F.col("class") != F.col("hub")) & _fits("n", "hub_n") & _probed("n", "probe", "hub_n", "hub_probe")).select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
     found = links(docs, profile, first)
     root = components(found)
     left = buckets.select("part", "key", "class", "n", "probe").join(root.withColumnRenamed("id", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -391,7 +428,7 @@ def join_components(documents: DataFrame) -> DataFrame:
     mixed = left.groupBy("part", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("part", "key")
     open_ = left.join(mixed, ["part", "key"], "left_semi")
     other = open_.select("part", "key", F.col("class").alias("class2"), F.col("n").alias("n2"), F.col("probe").alias("probe2"), F.col("root").alias("root2"))
-    second = open_.join(other, (open_.part == other.part) & (open_.key == other.key) & (F.col("class") < F.col("class2")) & (F.col("root") != F.col("root2")) & (F.col("probe") | F.col("probe2")) & _fits("n", "n2"))
+    second = open_.join(other, (open_.part == other.part) & (open_.key == other.key) & (F.col("class") < F.col("class2")) & (F.col("root") != F.col("root2")) & _fits("n", "n2") & _probed("n", "probe", "n2", "probe2"))
     second = second.select(F.greatest("class", "class2").alias("a"), F.least("class", "class2").alias("b")).distinct().join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
     found = found.union(links(docs, profile, second))
     found = found.union(_irregular_links(docs, profile, irregular))
@@ -405,6 +442,18 @@ def join_components(documents: DataFrame) -> DataFrame:
     return rows.where("n > 0").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).union(empty)
 
 
+def keep_first(documents: DataFrame) -> DataFrame:
+    """The documents, all their columns kept: of each component the one of least doc_id, and all without a
+    doc_id. Of rows that share an id that stays, any one does."""
+    ids = written(join_components(documents).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("rows")), "kept")
+    known = documents.where(documents["doc_id"].isNotNull())
+    gone = _small(ids.where(~F.col("first") | (F.col("rows") > 1)).select(F.col("doc_id").alias("id")))
+    twice = _small(ids.where(F.col("first") & (F.col("rows") > 1)).select(F.col("doc_id").alias("id")))
+    single = known.join(gone, known["doc_id"].cast("long") == gone["id"], "left_anti")
+    repeated = known.join(twice, known["doc_id"].cast("long") == twice["id"], "left_semi").dropDuplicates(["doc_id"])
+    return single.union(repeated).union(documents.where(documents["doc_id"].isNull()))
+
+
 def _irregular_links(docs: DataFrame, profile: DataFrame, irregular: DataFrame) -> DataFrame:
     """Links of the classes whose segments couldn't reach their sum, with every class, block by block."""
     spark = docs.sparkSession
