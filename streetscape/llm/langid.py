@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -266,6 +267,20 @@ def identify(rows: DataFrame, m: Model | None) -> DataFrame:
     return rows.mapInArrow(predictor(m), schema)
 
 
+def _recognised(m: Model | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for out in predictor(m)(iter([b.select(["text"])])):
+                yield b.filter(pa.compute.not_equal(out.column("lang_pred"), UNKNOWN))
+
+    return run
+
+
+def keep_recognised(documents: DataFrame, m: Model | None) -> DataFrame:
+    """The documents, all their columns kept, whose language isn't ``und``."""
+    return documents.mapInArrow(_recognised(m), documents.schema)
+
+
 def language_id(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
