@@ -43,11 +43,18 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """0-based start and length of segment ``i``; the last ``length % parts`` are one longer."""
-    small = F.floor(length / parts).cast("int")
-    extra = F.greatest(F.lit(0), F.lit(i - parts) + length % parts)
-    return small * i + extra, small + F.when(F.lit(i - parts) + length % parts >= 0, 1).otherwise(0)
+def _sizes(line: Column, edits: int) -> list[Column]:
+    """The line's length ``n`` and, for each length up to ``edits`` shorter, the base size ``q`` of its segments
+    and the number ``r`` of those that are one longer; as columns, so that they are computed once."""
+    parts = edits + 1
+    n = F.length(line)
+    return [n.alias("n"), *[((n - d - (n - d) % parts) / parts).cast("int").alias(f"q{d}") for d in range(parts)], *[((n - d) % parts).alias(f"r{d}") for d in range(parts)]]
+
+
+def _segment(shorter: int, i: int, parts: int) -> tuple[Column, Column]:
+    """0-based start and length of segment ``i`` of a line ``shorter`` than this; the last ones are the longer."""
+    q, r = F.col(f"q{shorter}"), F.col(f"r{shorter}")
+    return q * i + F.greatest(F.lit(0), r + (i - parts)), q + (r + i >= parts).cast("int")
 
 
 def _key(i: int, length: Column, line: Column, start: Column, size: Column) -> Column:
@@ -55,18 +62,17 @@ def _key(i: int, length: Column, line: Column, start: Column, size: Column) -> C
 
 
 def index_keys(line: Column, edits: int) -> list[Column]:
-    n = F.length(line)
-    return [_key(i, n, line, *_segment(n, i, edits + 1)) for i in range(edits + 1)]
+    return [_key(i, F.col("n"), line, *_segment(0, i, edits + 1)) for i in range(edits + 1)]
 
 
 def probe_keys(line: Column, edits: int, min_chars: int) -> list[Column]:
     """Keys of the substrings that a segment of a line up to ``edits`` shorter may match; those at
     their own place are the index keys already. Null where there is no such substring."""
-    n, parts, out = F.length(line), edits + 1, []
+    n, parts, out = F.col("n"), edits + 1, []
     for shorter in range(parts):
         length = n - shorter
         for i in range(parts):
-            start, size = _segment(length, i, parts)
+            start, size = _segment(shorter, i, parts)
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
                 if shorter or shift:
                     at = start + shift
@@ -74,6 +80,15 @@ def probe_keys(line: Column, edits: int, min_chars: int) -> list[Column]:
     return out
 
 
+def _chars(line: Column) -> Column:
+    return F.transform(F.split(line, ""), lambda c: F.ascii(c))
+
+
+def near_lines(a: Column, b: Column, edits: int) -> Column:
+    """Whether two texts are within ``edits`` edits."""
+    return _let(_chars(a), lambda x: _let(_chars(b), lambda y: within(x, y, edits)))
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two arrays of code points are within ``edits`` edits: Hyyrö's bit-parallel column
     update, restricted to the band of diagonals -edits..edits. The top bit of a word stands for row
@@ -117,18 +132,18 @@ def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
 def links(documents: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, earlier_id): distinct lines within ``edits`` edits, the later first."""
     first = _lines(documents, min_chars).groupBy("id").agg(F.min("place").alias("place"))
-    line = F.col("place.line")
-    entries = [F.struct(k.alias("key"), F.lit(own).alias("own")) for own, keys in ((True, index_keys(line, edits)), (False, probe_keys(line, edits, min_chars))) for k in keys]
-    rows = first.select("id", F.explode(F.array(*entries)).alias("e")).select("id", "e.key", "e.own").where("key IS NOT NULL")
-    other = rows.select(F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("own").alias("own2"))
-    live = rows.join(other, (F.col("key") == F.col("key2")) & (F.col("id") != F.col("id2")) & (F.col("own") | F.col("own2")), "left_semi")
+    sized = first.select("id", F.col("place.line").alias("line")).select("id", "line", *_sizes(F.col("line"), edits))
+    keys = [*index_keys(F.col("line"), edits), *probe_keys(F.col("line"), edits, min_chars)]
+    # the two sides of the join are one plan, so Spark shuffles these rows once; likewise the lines
+    rows = sized.select("id", F.posexplode(F.array(*keys)).alias("k", "key")).select("id", "key", (F.col("k") <= edits).alias("own")).where("id IS NOT NULL AND key IS NOT NULL")
+    a, b = rows.alias("a"), rows.alias("b")
+    live = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")) & (F.col("a.own") | F.col("b.own")), "left_semi")
     texts = live.join(first, "id")
-    chars = F.transform(F.split("place.line", ""), lambda c: F.ascii(c))
     bare = _written(texts.select("id", "key", "own", "place"), "candidates")
-    known = bare.select("id", "key", "own", F.struct("place.doc_id", "place.th", "place.line_no").alias("at"), chars.alias("chars"), *[(F.length("place.line") - F.length(F.replace("place.line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(COUNTED)])
+    known = bare.select("id", "key", "own", F.struct("place.doc_id", "place.th", "place.line_no").alias("at"), F.col("place.line").alias("line"), *[(F.length("place.line") - F.length(F.replace("place.line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(COUNTED)])
     a, b = known.alias("a"), known.alias("b")
     counts = reduce(lambda x, y: x + y, [F.abs(F.col(f"a.n{i}") - F.col(f"b.n{i}")) for i in range(len(COUNTED))])
-    near = (counts <= 2 * edits) & within(F.col("a.chars"), F.col("b.chars"), edits)
+    near = (counts <= 2 * edits) & near_lines(F.col("a.line"), F.col("b.line"), edits)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")) & (F.col("b.at") < F.col("a.at")) & (F.col("a.own") | F.col("b.own")) & near)
     return pairs.select(F.col("a.id").alias("id"), F.col("b.id").alias("earlier_id")).distinct()
 
@@ -141,25 +156,26 @@ def kept_lines(documents: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
 
 
 def _removed(documents: DataFrame, kept: DataFrame, keep: list[str], min_chars: int) -> DataFrame:
-    """The columns ``keep`` and the sorted numbers of each row's removed lines."""
-    long_lines = F.filter(F.transform(F.split("text", "\n", -1), lambda x, i: F.when(F.length(x) >= min_chars, i).otherwise(-1)), lambda i: i >= 0)
-    rows = documents.select(*keep, F.xxhash64("text").alias("__th"), F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("__n"), F.coalesce(long_lines, F.array().cast("array<int>")).alias("__long"))
-    right = kept.select(F.col("doc_id").alias("__id"), F.col("th").alias("__kth"), "kept")
-    joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__th").eqNullSafe(F.col("__kth")), "left")
-    return joined.withColumn("__removed", F.sort_array(F.array_except("__long", F.coalesce("kept", F.array().cast("array<int>"))))).drop("__th", "__kth", "__id", "kept", "__long")
+    """The columns ``keep`` as the struct ``row``, the number of lines ``n`` and the sorted numbers of the ``removed``."""
+    text = documents["text"]
+    long_lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.when(F.length(x) >= min_chars, i).otherwise(-1)), lambda i: i >= 0)
+    none = F.array().cast("array<int>")
+    rows = documents.select(F.struct(*[documents[c] for c in keep]).alias("row"), documents["doc_id"].alias("row_id"), F.xxhash64(text).alias("row_th"), F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias("n"), F.coalesce(long_lines, none).alias("long_lines"))
+    joined = rows.join(kept, F.col("row_id").eqNullSafe(F.col("doc_id")) & F.col("row_th").eqNullSafe(F.col("th")), "left")
+    return joined.select("row", "n", F.sort_array(F.array_except("long_lines", F.coalesce("kept", none))).alias("removed"))
 
 
 def line_report(documents: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, removed (line numbers from 0)."""
     docs = documents.select("doc_id", "text")
     out = _removed(docs, kept_lines(docs, edits, min_chars), ["doc_id"], min_chars)
-    return out.select("doc_id", F.when(F.col("__n") < 0, 0).otherwise(F.col("__n")).cast("long").alias("n_lines"), F.size("__removed").cast("long").alias("n_removed"), F.col("__removed").alias("removed"))
+    return out.select("row.doc_id", F.col("n").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def dedup_lines(documents: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents, all their columns kept, their texts without the removed lines."""
     out = _removed(documents, kept_lines(documents.select("doc_id", "text"), edits, min_chars), documents.columns, min_chars)
-    lines = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed"))
-    text = F.when(F.size("__removed") > 0, F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("text"))
-    return out.withColumn("text", text).select(*documents.columns)
+    lines = F.split("row.text", "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
+    text = F.when(F.size("removed") > 0, F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("row.text"))
+    return out.select(F.col("row").withField("text", text).alias("row")).select("row.*")
