@@ -59,21 +59,21 @@ def main() -> None:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         from streetscape.operators import sizing
 
-        sizing.DEFAULT_BROADCAST_ROWS = 0
+        sizing.DEFAULT_BROADCAST_BYTES = 0
     root = shared_path(spark, "plans")
     st = V.store(spark, sf)
     for shard in ("shard-1.parquet", "shard-2.parquet"):
         append_images(st.filter(F.col("source_file") == shard).select(*IMAGE_COLUMNS), f"{root}/images")
     append_scores(Q.score_view(spark, sf).select(*SCORE_COLUMNS), f"{root}/scores")
     images, scores = scan_image_store(spark, f"{root}/images"), scan_score_store(spark, f"{root}/scores")
-    cand = G.within_bbox(V.captures(spark, sf), G.NAMED_AOIS["camden"])
+    cand = G.within_bbox(V.captures(spark, sf), G.named_box("camden"))
 
-    summarize("within_bbox over the image store", G.within_bbox(images, G.NAMED_AOIS["camden"]).select("image_id"))
+    summarize("within_bbox over the image store", G.within_bbox(images, G.named_box("camden")).select("image_id"))
     summarize("new_images (J1)", ST.new_images(cand, images))
     summarize("working_set (J4)", ST.working_set(cand, images))
     summarize("latest_rows (A6)", ST.latest_rows(images))
     summarize("store_stats (A1)", ST.store_stats(images))
-    summarize("deliverable (J5)", deliverable_rows(images, scores, G.NAMED_AOIS["camden"]))
+    summarize("deliverable (J5)", deliverable_rows(images, scores, G.named_box("camden")))
     summarize("collapse + parcel means + top-k (M4)", Q.score_view(spark, sf))
     summarize("multi_aoi_join (G6)", Q.q_multi_aoi_join(spark, sf))
     summarize("pseudo_clip_plan (W6)", Q.q_pseudo_clip_plan(spark, sf))

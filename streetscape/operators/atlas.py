@@ -46,7 +46,7 @@ def alias_names(alias_map: Mapping[str, Sequence[str]] | None = None) -> list[st
 
 def clean_label_names(labels: DataFrame, name: str = "name") -> DataFrame:
     """Drop the 2-char side prefix (``L_``/``R_``), then ``_ROI``, ``-lh``, ``-rh``."""
-    n = F.substring(F.col(name), 3, 1 << 20)
+    n = F.expr(f"substring({name}, 3)")
     for token in ("_ROI", "-rh", "-lh"):
         n = F.replace(n, F.lit(token), F.lit(""))
     return labels.withColumn("parcel", n)
@@ -61,34 +61,29 @@ def hemisphere_vertices(labels: DataFrame, hemi_size: int = HEMI_VERTICES) -> Da
 
 
 def merge_labels(labels: DataFrame) -> DataFrame:
-    """Raw labels (name, hemi, vertex) -> long atlas (parcel, vertex), both sides merged by
-    clean name. Long form keeps every group's work on executors; ``ordinal`` is the parcel's
-    rank by name."""
+    """Raw labels (name, hemi, vertex) -> long atlas (parcel, ordinal, vertex, hemi), both sides
+    merged by clean name; ``ordinal`` is the parcel's rank by name, from 0. Vertices of a parcel stay
+    on executors; the distinct names, which the mesh bounds, are ranked."""
     cleaned = hemisphere_vertices(clean_label_names(labels))
-    return cleaned.select("parcel", F.col("vertex").cast("int").alias("vertex"), "hemi")
-
-
-def parcel_summary(atlas: DataFrame) -> DataFrame:
-    """(parcel, n_vertices, n_lh, n_rh) per merged parcel."""
-    return atlas.groupBy("parcel").agg(
-        F.count(F.lit(1)).alias("n_vertices"),
-        F.count_if(F.col("hemi") == "lh").alias("n_lh"),
-        F.count_if(F.col("hemi") == "rh").alias("n_rh"),
-    )
+    names = cleaned.select("parcel").distinct().agg(F.sort_array(F.collect_list("parcel")).alias("names"))
+    ranked = names.select(F.posexplode("names").alias("ordinal", "parcel"))
+    return cleaned.join(F.broadcast(ranked), "parcel").select("parcel", "ordinal", F.col("vertex").cast("int").alias("vertex"), "hemi")
 
 
 def alias_vertex_rows(atlas: DataFrame, alias_map: DataFrame) -> DataFrame:
-    """J6 + U3: distinct (alias, alias_ord, vertex) over all parcels matching the alias's globs,
-    with the matched parcel kept for counting."""
+    """J6 + U3: (alias, alias_ord, parcel, vertex) over all parcels matching the alias's globs; an
+    alias without a parcel has one row of NULLs."""
     from streetscape.operators.summary import alias_parcels
 
-    ap = alias_parcels(atlas.select("parcel"), alias_map)
-    return atlas.select("parcel", "vertex").join(F.broadcast(ap), "parcel", "inner")
+    matched = alias_parcels(atlas.select("parcel"), alias_map).join(atlas.select("parcel", "vertex"), "parcel")
+    every = alias_map.select("alias", "alias_ord").distinct()
+    return every.join(matched.select("alias", "parcel", "vertex"), "alias", "left")
 
 
 def alias_vertices(atlas: DataFrame, alias_map: DataFrame) -> DataFrame:
-    """A10: per alias the sorted distinct vertex list, the number of matched parcels and
-    vertices. The vertex list is bounded by the mesh (2 x 10242)."""
+    """A10: per alias the sorted distinct vertex list, the number of matched parcels and vertices;
+    every alias has its row, without a match an empty list. The vertex list is bounded by the mesh
+    (2 x 10242)."""
     rows = alias_vertex_rows(atlas, alias_map)
     return rows.groupBy("alias", "alias_ord").agg(
         F.sort_array(F.collect_set("vertex")).alias("vertices"),

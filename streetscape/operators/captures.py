@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,71 +139,62 @@ def filter_captured(
     return df.filter(cond)
 
 
-TOP_N_MAX = 1_000_000
+def cap_candidates(df: DataFrame, limit: int | None, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
+    """First ``limit`` rows in arrival order (page, then position in the page; NULLs first); all
+    rows for None or a limit below 1. The order of the result isn't defined.
 
-
-def page_offsets(df: DataFrame, page: str = "page", ranges: int = 64) -> DataFrame:
-    """(page, __off): number of rows in all earlier pages, without one task seeing every page.
-
-    Per-page counts are range-partitioned by page; each range takes a running sum of its own
-    pages, the range totals (``ranges`` rows) are summed up to each range, and the two parts are
-    added. Range partitions are numbered in key order, so the partition id orders the ranges."""
-    from pyspark.sql import Window
-
-    sizes = df.groupBy(page).agg(F.count(F.lit(1)).alias("__n"))
-    ranged = sizes.repartitionByRange(ranges, page).withColumn("__pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "__local",
-        F.coalesce(F.sum("__n").over(Window.partitionBy("__pid").orderBy(page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    totals = ranged.groupBy("__pid").agg(F.sum("__n").alias("__t"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("__pid", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__start"))
-    return local.join(F.broadcast(starts), "__pid", "inner").select(page, (F.col("__start") + F.col("__local")).alias("__off"))
-
-
-def cap_candidates(df: DataFrame, limit: int, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
-    """First ``limit`` rows in arrival order (page, then position in the page).
-
-    Caps up to ``TOP_N_MAX`` are a top-N (per-partition heaps, one merge of N rows). A larger
-    cap first checks whether it binds at all (one count); when it does, rows are ranked inside
-    their page and shifted by the page's offset (``page_offsets``), so no heap or window ever
-    holds more than one page or one range of page counts.
+    One way for every size: the rows of each page are counted, the page in which the limit falls is
+    found by narrowing a histogram over the page numbers (``CAP_BINS`` bins a round), whole pages
+    before it are taken by a filter, and only rows of that page are ranked, by a top-N.
     """
-    if limit <= TOP_N_MAX:
-        return df.orderBy(*order).limit(limit)
-    if df.count() <= limit:
+    if limit is None or limit < 1:
         return df
-    from pyspark.sql import Window
-
-    from streetscape.operators.sizing import broadcast_if_small
-
-    page, rest = order[0], list(order[1:]) or [order[0]]
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(page).orderBy(*rest)))
-    offsets = page_offsets(df, page)
-    capped = ranked.join(broadcast_if_small(offsets), page, "inner").filter(F.col("__off") + F.col("__r") <= limit)
-    return capped.drop("__r", "__off")
+    page, rest = order[0], order[1:]
+    sizes = df.groupBy(F.col(page).alias("page")).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total, none, lo, hi = sizes.agg(F.sum("n"), F.coalesce(F.sum(F.when(F.col("page").isNull(), F.col("n"))), F.lit(0)), F.min("page"), F.max("page")).first()
+        if total is None or total <= limit:
+            return df
+        left = limit - none
+        if left <= 0:
+            return _first_of_page(df.where(F.col(page).isNull()), limit, rest)
+        lo, hi = int(lo), int(hi)
+        while lo < hi:
+            width = (hi - lo) // CAP_BINS + 1
+            inside = sizes.where(F.col("page").between(lo, hi))
+            bins = dict(inside.groupBy(F.floor((F.col("page") - lo) / width).alias("bin")).agg(F.sum("n")).collect())  # CAP_BINS rows
+            for k in sorted(bins):
+                if bins[k] >= left:
+                    lo, hi = lo + k * width, min(hi, lo + (k + 1) * width - 1)
+                    break
+                left -= bins[k]
+    finally:
+        sizes.unpersist()
+    before = df.where(F.col(page).isNull() | (F.col(page) < lo))
+    return before.unionAll(_first_of_page(df.where(F.col(page) == lo), left, rest))
+
+
+CAP_BINS = 1024
+
+
+def _first_of_page(rows: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
+    return (rows.orderBy(*order) if order else rows).limit(n)
 
 
 def select_candidates(
     parsed: DataFrame,
     bbox,
-    max_images: int = 1000,
+    max_images: int | None = None,
     order: tuple[str, ...] = ("page", "pos"),
     dedupe: bool = False,
 ) -> DataFrame:
-    """The reference's candidate list: first cap (``max_images``, or 2000 when <= 0) in arrival
-    order, inclusive bbox re-check, second cap when ``max_images`` > 0. With ``dedupe`` the first
-    arrival of every id is kept (the reference keeps duplicates)."""
+    """The candidate list: first cap in arrival order, inclusive bbox re-check, second cap. Without
+    ``max_images`` (None or below 1) nothing is capped. With ``dedupe`` the first arrival of every
+    id is kept (the reference keeps duplicates)."""
     from streetscape.operators.aoi import within_bbox
 
-    first = cap_candidates(parsed, max_images if max_images > 0 else 2000, order)
-    kept = within_bbox(first, bbox)
-    if max_images > 0:
-        kept = cap_candidates(kept, max_images, order)
-    if dedupe:
-        kept = first_arrival(kept, order)
-    return kept
+    kept = cap_candidates(within_bbox(cap_candidates(parsed, max_images, order), bbox), max_images, order)
+    return first_arrival(kept, order) if dedupe else kept
 
 
 def first_arrival(df: DataFrame, order: tuple[str, ...] = ("page", "pos"), key: str = "image_id") -> DataFrame:

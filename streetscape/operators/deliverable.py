@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from streetscape.functions.geo import point_wkb, wkb_to_wkt
-from streetscape.operators.aoi import BBox, within_bbox
+from streetscape.operators.aoi import within_bbox
 from streetscape.operators.store import drop_sentinel, latest_keys
 from streetscape.schemas import DELIVERABLE_COLUMNS
 
@@ -23,7 +23,7 @@ def _residual_match(*pairs: tuple[str, str]) -> Column:
     return cond
 
 
-def deliverable_rows(images: DataFrame, scores: DataFrame, bbox: BBox | None = None, dedupe: bool = True) -> DataFrame:
+def deliverable_rows(images: DataFrame, scores: DataFrame, bbox: Row | None = None, dedupe: bool = True) -> DataFrame:
     """J5 + G6 + G7 + P10: images inside the bbox joined (inner, on image_id) with their scores,
     projected to the 9 deliverable columns; ``geom`` is a WKB point (x = lon).
 

@@ -28,8 +28,9 @@ Predictor = Callable[[list[tuple[str, bytes]]], dict[str, np.ndarray]]
 class ByteProbePredictor:
     """Deterministic stand-in model for tests and benchmarks.
 
-    For a blob of L bytes it returns ``1 + L % max_segments`` segments; segment s, element i is
-    ``blob[(7 i + 13 s) % L] / 255``. Empty blobs give no segments; blobs starting with
+    For a blob of L bytes it returns ``1 + L % max_segments`` segments; element i of segment s is the
+    mean of the bytes at positions congruent to i modulo ``dim``, plus s, over 255 (0 bytes there:
+    just s / 255), so every byte counts. Empty blobs give no segments; blobs starting with
     ``fail_marker`` make the call raise (to exercise the batch -> single-item fallback).
     """
 
@@ -47,8 +48,9 @@ class ByteProbePredictor:
                 continue
             arr = np.frombuffer(bytes(blob), dtype=np.uint8)
             n = 1 + len(arr) % self.max_segments
-            idx = (np.arange(self.dim)[None, :] * 7 + np.arange(n)[:, None] * 13) % len(arr)
-            out[image_id] = (arr[idx].astype(np.float32) / np.float32(255.0)).astype(np.float32)
+            lane = np.arange(len(arr)) % self.dim
+            mean = np.bincount(lane, weights=arr, minlength=self.dim) / np.maximum(np.bincount(lane, minlength=self.dim), 1)
+            out[image_id] = ((mean[None, :] + np.arange(n)[:, None]) / 255.0).astype(np.float32)
         return out
 
 
@@ -118,7 +120,7 @@ def _score_partition(
                     single = predictor([(iid, blob)])
                     _segment_rows(iid, single.get(iid), None, out)
                 except Exception as exc:  # noqa: BLE001
-                    _segment_rows(iid, None, f"inference_failed: {exc}"[:500], out)
+                    _segment_rows(iid, None, f"inference_failed: {exc}", out)
         return _to_batch(out)
 
     pending: list[tuple[str, bytes]] = []
@@ -168,20 +170,11 @@ def attach_timeline(segments: DataFrame, items: DataFrame) -> DataFrame:
     return seg.join(keys, "timeline", "inner").withColumnRenamed("__id", "image_id")
 
 
-def stack_segments(segments: DataFrame, chunk: int = 64) -> DataFrame:
-    """Segments grouped by image in segment order -> (image_id, chunk, first_segment,
-    segments array<array<float>>). Each row holds at most ``chunk`` consecutive segments, so an
-    image with very many segments becomes several ordered rows, never one unbounded array."""
-    grp = F.floor(F.col("segment_idx") / chunk).cast("int")
-    agg = segments.groupBy("image_id", grp.alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct("segment_idx", "activity"))).alias("__s")
-    )
-    return agg.select(
-        "image_id",
-        "chunk",
-        F.col("__s")[0]["segment_idx"].alias("first_segment"),
-        F.transform("__s", lambda s: s["activity"]).alias("segments"),
-    )
+def stack_segments(segments: DataFrame) -> DataFrame:
+    """The segments of each image in segment order -> (image_id, segments array<array<float>>).
+    A stack is one image's model output, a clip's worth of vectors."""
+    agg = segments.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("segment_idx", "activity"))).alias("__s"))
+    return agg.select("image_id", F.transform("__s", lambda s: s["activity"]).alias("segments"))
 
 
 def postprocess_scores(
@@ -193,33 +186,21 @@ def postprocess_scores(
     model_repo: str = "test/byte-probe",
     inferred_at: Column | datetime | None = None,
     mode: str = "mean",
-    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """M4: segments -> score-store rows (image_id, brain_activity, top_regions, inferred_at,
-    model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2).
-
-    The collapsed vectors feed both the output and the parcel means; ``hold`` (e.g. a persist
-    that the caller releases) materialises them once, otherwise Spark computes the collapse
-    for each consumer."""
-    # The collapse (the heavy pass over all segment vectors) runs once; parcel means re-explode
-    # the collapsed vectors map-side against the broadcast atlas instead of collapsing again.
-    vectors = S.assemble_vectors(S.collapse_long(segments, mode)).drop("n_segments")
-    if hold is not None:
-        vectors = hold(vectors)
-    means = S.parcel_means(S.explode_vector(vectors, "brain_activity"), atlas)
-    ap = S.alias_parcels(S.atlas_parcels(atlas), alias_map)
-    regions = S.top_regions(means, ap, aliases, k)
+    model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2): one exchange of
+    partial vectors, then everything in the image's row."""
+    vectors = S.collapse_segments(segments, mode).select("image_id", "brain_activity")
     if inferred_at is None:
         ts = F.current_timestamp().cast("timestamp_ntz")
     elif isinstance(inferred_at, datetime):
         ts = ntz_literal(inferred_at)
     else:
         ts = inferred_at
-    empty = F.array().cast("array<struct<name:string,score:float>>")
-    return vectors.join(regions, "image_id", "left").select(
+    return S.summarise(vectors, atlas, alias_map, aliases).select(
         "image_id",
         "brain_activity",
-        F.coalesce("top_regions", empty).alias("top_regions"),
+        S.top_k_regions(F.col("scores"), k).alias("top_regions"),
         ts.alias("inferred_at"),
         F.lit(model_repo).alias("model_repo"),
     )
@@ -235,15 +216,17 @@ def pseudo_clip_plan(
     """Chronological frame plan per sequence -> (sequence_id, frame_idx, image_id).
 
     n >= target: the first ``target`` frames. n < target: every frame repeated
-    r = ceil(target / n) times, cut to ``target`` (late frames can vanish). Ranking is the
+    r = ceil(target / n) times, cut to ``target`` (late frames can vanish). A repeated row is one
+    frame; frames without a sequence are a sequence of their own (NULL). Ranking is the
     skew-safe salted first-k; the group sizes come from a partial count, so no group is ever
     collected.
     """
     if target <= 0:
         raise ValueError("target must be positive")
-    counts = images.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = first_k(images.select(group, *order, "image_id").dropDuplicates(), [group], [F.col(c) for c in order], target, "__rank", salts)
-    plan = ranked.join(counts, group, "inner")
+    frames = images.select(group, *order, "image_id").dropDuplicates()
+    counts = frames.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = first_k(frames, [group], [F.col(c) for c in order], target, "__rank", salts)
+    plan = ranked.join(counts, F.col(group).eqNullSafe(F.col("__group")), "inner").drop("__group")
     r = F.when(F.col("__n") >= target, F.lit(1)).otherwise(F.ceil(F.lit(target) / F.col("__n"))).cast("int")
     i = F.col("__rank") - 1
     plan = plan.withColumn("__r", r).filter(i * F.col("__r") < target)

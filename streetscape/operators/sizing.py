@@ -1,84 +1,44 @@
 """Size-checked broadcast.
 
-A side is broadcast only when a cheap count proves it small; otherwise it is returned as is and
+A side is broadcast only when it is proved small in bytes; otherwise it is returned as is and
 Spark plans a shuffle join (AQE may still switch to broadcast at run time from real sizes).
-Counting is itself a job, so it is used only for lookup-sized inputs (atlas, alias map, AOIs,
+The check is a job of its own, so it is used only for lookup-sized inputs (atlas, alias map, AOIs,
 candidate id batches), never for fact tables.
 """
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound under which a lookup side is broadcast. 2M rows of a few narrow columns stay well
-# inside the default 8 GB broadcast ceiling and the executors' memory.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bytes of rows up to which a lookup side is broadcast; far below the executors' memory.
+DEFAULT_BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 16
 
 
-_SEEN: dict[tuple[int, int], tuple[float, bool]] = {}
-_MEMO_SECONDS = 60.0
-_LOCAL = threading.local()
+def _bytes(name: str, kind: T.DataType):
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * 16 + 8
+    return F.lit(16)
 
 
-def _depth() -> int:
-    return getattr(_LOCAL, "depth", 0)
+def size_in_bytes(df: DataFrame) -> int:
+    """About the bytes of all rows, as a partial aggregate: every task sums its own rows, one
+    number a task is shuffled."""
+    per_row = reduce(lambda a, b: a + b, [_bytes(f.name, f.dataType) for f in df.schema.fields], F.lit(ROW_BYTES))
+    return int(df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0])
 
 
-@contextmanager
-def remember_sizes():
-    """Within this block a plan is counted once (keyed by its semantic hash, at most a minute):
-    used while one query or one pipeline step builds its plans. Outside it, and so inside
-    streaming micro-batches (which run on their own thread), every check counts afresh."""
-    _LOCAL.depth = _depth() + 1
-    try:
-        yield
-    finally:
-        _LOCAL.depth = _depth() - 1
-        if _depth() == 0:
-            _SEEN.clear()
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes``."""
+    return size_in_bytes(df) <= max_bytes
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows).
-
-    Inside ``remember_sizes()`` the answer is reused for the same plan.
-    """
-    import time
-
-    key = None
-    if _depth():
-        try:
-            key = (df.semanticHash(), max_rows)
-        except Exception:  # noqa: BLE001
-            key = None
-    now = time.monotonic()
-    if key is not None and key in _SEEN and now - _SEEN[key][0] < _MEMO_SECONDS:
-        return _SEEN[key][1]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        if len(_SEEN) > 4096:
-            _SEEN.clear()
-        _SEEN[key] = (now, small)
-    return small
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan has fewer partitions than half the
-    default parallelism (a small single-row-group file read by one task). Large inputs already
-    have many splits and pass through untouched, so this never reshuffles a big table."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. Spark Connect: no RDD view; leave the plan as is)
-        return df
-    if parts < max(1, int(target * min_fraction)):
-        return df.repartition(target)
-    return df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_bytes) else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetscape.operators.sizing import DEFAULT_BROADCAST_ROWS, is_small
+from streetscape.operators.sizing import DEFAULT_BROADCAST_BYTES, is_small
 from streetscape.schemas import IMAGE_COLUMNS, IMAGE_MIME, IMAGE_SOURCE, SENTINEL_ID
 
 
@@ -61,27 +61,27 @@ def store_ids(store: DataFrame) -> DataFrame:
     return drop_sentinel(store.select("image_id")).distinct()
 
 
-def _ids_present(candidates: DataFrame, store: DataFrame, broadcast_rows: int) -> DataFrame | None:
+def _ids_present(candidates: DataFrame, store: DataFrame, broadcast_bytes: int) -> DataFrame | None:
     """Store ids that are also candidates, when the candidate id set is small: the store's id
     column is then filtered map-side by a broadcast hash join (the store is never shuffled).
     Returns None for a large candidate set (callers fall back to one sort-merge join)."""
     cand_ids = candidates.select("image_id").distinct()
-    if not is_small(cand_ids, broadcast_rows):
+    if not is_small(cand_ids, broadcast_bytes):
         return None
     return drop_sentinel(store.select("image_id")).join(F.broadcast(cand_ids), "image_id", "left_semi").distinct()
 
 
-def new_images(candidates: DataFrame, store: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def new_images(candidates: DataFrame, store: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Candidates whose id is not in the store (left anti; arrival columns kept)."""
-    present = _ids_present(candidates, store, broadcast_rows)
+    present = _ids_present(candidates, store, broadcast_bytes)
     if present is None:
         present = drop_sentinel(store.select("image_id"))
     return candidates.join(present, "image_id", "left_anti")
 
 
-def cached_images(candidates: DataFrame, store: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def cached_images(candidates: DataFrame, store: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Candidates whose id is in the store (left semi)."""
-    present = _ids_present(candidates, store, broadcast_rows)
+    present = _ids_present(candidates, store, broadcast_bytes)
     if present is None:
         present = drop_sentinel(store.select("image_id"))
     return candidates.join(present, "image_id", "left_semi")
@@ -122,11 +122,11 @@ def winning_rows(df: DataFrame, winners: DataFrame, key: list[str]) -> DataFrame
     return df.join(w, "image_id", "inner").filter(cond).drop(*[f"__w_{c}" for c in ident])
 
 
-def latest_rows(store: DataFrame, broadcast_rows: int | None = None, order_key: list[str] | None = None) -> DataFrame:
+def latest_rows(store: DataFrame, broadcast_bytes: int | None = None, order_key: list[str] | None = None) -> DataFrame:
     """The last written row of every id (keys aggregated first, full rows attached by join)."""
     key = order_key or _ORDER_KEY
     winners = latest_keys(store, key)
-    if broadcast_rows is not None and is_small(winners, broadcast_rows):
+    if broadcast_bytes is not None and is_small(winners, broadcast_bytes):
         winners = F.broadcast(winners)
     return winning_rows(drop_sentinel(store), winners, key)
 
@@ -151,7 +151,7 @@ def store_stats(store: DataFrame) -> DataFrame:
 def working_set(
     candidates: DataFrame,
     store: DataFrame,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     with_blob: bool = True,
 ) -> DataFrame:
     """J4 + P9: every candidate with its latest store row's payload, or a drop reason.
@@ -163,7 +163,7 @@ def working_set(
     """
     keys = drop_sentinel(store.select("image_id", *_ORDER_KEY))
     cand_ids = candidates.select("image_id").distinct()
-    small = is_small(cand_ids, broadcast_rows)
+    small = is_small(cand_ids, broadcast_bytes)
     keys = keys.join(F.broadcast(cand_ids) if small else cand_ids, "image_id", "left_semi")
     winners = latest_keys(keys)
     if small:
@@ -187,7 +187,7 @@ def audit_drops(
     raw_candidates: DataFrame,
     bbox,
     store: DataFrame,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Every dropped candidate with a reason: ``out_of_bbox`` (failed the re-check),
     ``not_in_cache``, ``null_blob``. Kept rows are not listed."""
@@ -195,14 +195,14 @@ def audit_drops(
 
     flagged = raw_candidates.withColumn("__in", F.coalesce(inside("lon", "lat", bbox), F.lit(False)))
     outside = flagged.filter(~F.col("__in")).drop("__in").withColumn("drop_reason", F.lit("out_of_bbox"))
-    ws = working_set(flagged.filter(F.col("__in")).drop("__in"), store, broadcast_rows, with_blob=False)
+    ws = working_set(flagged.filter(F.col("__in")).drop("__in"), store, broadcast_bytes, with_blob=False)
     ws = ws.filter(F.col("drop_reason").isNotNull()).drop("image_sha256", "image_bytes")
     return outside.unionByName(ws)
 
 
-def hit_miss(working: DataFrame, scores: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def hit_miss(working: DataFrame, scores: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
     """Split the working set into (hits, misses) against the score store."""
-    return cached_images(working, scores, broadcast_rows), new_images(working, scores, broadcast_rows)
+    return cached_images(working, scores, broadcast_bytes), new_images(working, scores, broadcast_bytes)
 
 
 def store_columns(df: DataFrame) -> DataFrame:

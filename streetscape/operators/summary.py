@@ -1,27 +1,26 @@
 """Segment vectors -> collapsed vector -> parcel means -> alias scores -> top-k regions.
 
-The collapse folds each image's segments inside every input partition (NumPy over Arrow
-batches, bounded buffer), then merges those partial vectors element-wise per (image, position)
-(``posexplode`` + ``groupBy``), which spreads a hot image's positions over reducers, so no task
-ever holds a whole group's vectors. Everything after the fold is native Spark: parcel means
-join the long (image, pos, value) rows with the broadcast atlas.
+No vector is ever exploded. Segments are folded in NumPy inside every input partition, the
+partial vectors (one for each image and flush) are exchanged by image and folded again in a stream
+with one accumulator. Parcel means and alias scores are computed in the row of the collapsed
+vector, so nothing is shuffled after the fold; ranking is an array expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streetscape.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-
-NAN = float("nan")
+from streetscape.operators.sizing import DEFAULT_BROADCAST_BYTES, broadcast_if_small, is_small
 
 
 def explode_vector(df: DataFrame, vector: str, keys: Sequence[str] = ("image_id",), pos: str = "pos", value: str = "value") -> DataFrame:
-    """(keys..., array) -> (keys..., pos, value), pos 0-based."""
+    """(keys..., array) -> (keys..., pos, value), pos 0-based. For inspection; no operator needs it."""
     return df.select(*keys, F.posexplode(vector).alias(pos, value))
 
 
@@ -29,120 +28,111 @@ COMBINE_FLUSH_IMAGES = 256
 PARTIAL_DDL = "image_id string, partial array<double>, n bigint"
 
 
-def _combine_partition(batches, mode: str, flush_at: int = COMBINE_FLUSH_IMAGES):
-    """Map-side combine: per image, the element-wise sum (float64) or max of its segment vectors
-    seen in this partition, with the segment count. At most ``flush_at`` images are held; then
-    partials are emitted and the buffer restarts, so memory is bounded whatever the skew.
-    Vectors of a different length than the image's first one are passed through on their own
-    (the position-wise merge downstream stays exact)."""
-    import numpy as np
-    import pyarrow as pa
-
-    acc: dict[str, list] = {}
-    loose: list[tuple[str, np.ndarray, int]] = []
-
-    def emit():
-        ids, parts, ns = [], [], []
-        for k, (vec, n) in acc.items():
-            ids.append(k)
-            parts.append(vec)
-            ns.append(n)
-        for k, vec, n in loose:
-            ids.append(k)
-            parts.append(vec)
-            ns.append(n)
-        acc.clear()
-        loose.clear()
-        lengths = np.array([len(v) for v in parts], dtype=np.int64)
-        offsets = np.zeros(len(parts) + 1, dtype=np.int32)
-        np.cumsum(lengths, out=offsets[1:])
-        flat = np.concatenate(parts) if parts else np.zeros(0)
-        arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float64()))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), arr, pa.array(ns, pa.int64())], names=["image_id", "partial", "n"])
-
-    for rb in batches:
-        ids = rb.column(0).to_pylist()
-        col = rb.column(1)
-        offs = col.offsets.to_numpy()
-        vals = col.values.to_numpy(zero_copy_only=False)
-        valid = col.is_valid().to_numpy(zero_copy_only=False)
-        for i, key in enumerate(ids):
-            if not valid[i] or key is None:
-                continue
-            v = vals[offs[i]:offs[i + 1]]
-            if len(v) == 0:
-                continue
-            cur = acc.get(key)
-            if cur is None:
-                if len(acc) >= flush_at:
-                    yield emit()
-                acc[key] = [v.astype(np.float64), 1]
-            elif len(cur[0]) != len(v):
-                loose.append((key, v.astype(np.float64), 1))
-            else:
+def _lists(vectors: Sequence[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(v) for v in vectors])]).astype(np.int32)
+    flat = np.concatenate(vectors) if len(vectors) else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
+
+
+def _rows(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, vector) of the rows with a vector; a NULL element is NaN."""
+    col = batch.column(column)
+    offsets = col.offsets.to_numpy()
+    values = col.values.to_numpy(zero_copy_only=False)
+    valid = col.is_valid().to_numpy(zero_copy_only=False)
+    for i in np.flatnonzero(valid).tolist():
+        yield i, values[offsets[i] : offsets[i + 1]]
+
+
+def _fold(mode: str, flush_at: int = COMBINE_FLUSH_IMAGES):
+    """Map-side: per image and vector width, the sum or maximum of the segment vectors seen, with
+    their number. At most ``flush_at`` accumulators are held, whatever the skew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list] = {}
+
+        def emit() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.string()), _lists([v for v, _ in held.values()], pa.float64()), pa.array([n for _, n in held.values()], pa.int64())], names=["image_id", "partial", "n"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for i, v in _rows(batch, 1):
+                if ids[i] is None or not len(v):
+                    continue
+                key = (ids[i], len(v))
+                if key not in held:
+                    if len(held) >= flush_at:
+                        yield emit()
+                    held[key] = [v.astype(np.float64), 1]
+                    continue
+                total = held[key]
                 if mode == "mean":
-                    cur[0] += v
+                    total[0] += v
                 else:
-                    np.maximum(cur[0], v, out=cur[0])
-                cur[1] += 1
-    if acc or loose:
-        yield emit()
-
-
-def collapse_long(
-    segments: DataFrame,
-    mode: str = "mean",
-    vector: str = "activity",
-    with_count: bool = False,
-    strategy: str = "combine",
-) -> DataFrame:
-    """A2/A3 long form: (image_id, pos, value float[, n_segments]).
-
-    ``mean``: average over segments (computed in double, stored as float32 like the reference);
-    ``max``: element-wise max, NaN wins. Any other mode raises ``ValueError``.
-
-    ``strategy="combine"`` (default) first folds each image's segments inside every input
-    partition with NumPy (``mapInArrow``), then explodes only those partial vectors and merges
-    them per (image, position); ``"explode"`` explodes every segment vector directly. Both are
-    exact and skew-safe; the combine path moves (segments per image per partition) times fewer
-    rows through the explode and the shuffle.
-    """
-    if mode not in ("mean", "max"):
-        raise ValueError(f"unknown collapse mode: {mode!r}")
-    if strategy == "explode":
-        long = explode_vector(segments, vector)
-        agg = F.avg(F.col("value").cast("double")) if mode == "mean" else F.max("value")
-        extra = [F.count(F.lit(1)).alias("n_segments")] if with_count else []
-        return long.groupBy("image_id", "pos").agg(agg.cast("float").alias("value"), *extra)
-    if strategy != "combine":
-        raise ValueError(f"unknown collapse strategy: {strategy!r}")
-
-    def fn(it):
-        return _combine_partition(it, mode)
-
-    partials = segments.select("image_id", F.col(vector).alias("activity")).mapInArrow(fn, PARTIAL_DDL)
-    long = partials.select("image_id", "n", F.posexplode("partial").alias("pos", "value"))
-    if mode == "mean":
-        agg = (F.sum("value") / F.sum("n")).cast("float").alias("value")
-    else:
-        agg = F.max("value").cast("float").alias("value")
-    extra = [F.sum("n").alias("n_segments")] if with_count else []
-    return long.groupBy("image_id", "pos").agg(agg, *extra)
-
+                    np.maximum(total[0], v, out=total[0])
+                total[1] += 1
+        if held:
+            yield emit()
+
+    return run
+
+
+def _merge(mode: str, rows: int = 64):
+    """Partials, sorted by image, to one vector an image. Positions that only some segments have
+    are averaged over those."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        image, total, count, n = None, np.zeros(0), np.zeros(0, np.int64), 0
+        done: list[tuple] = []
+
+        def emit() -> pa.RecordBatch:
+            ids, vectors, ns = zip(*done)
+            done.clear()
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), _lists(vectors, pa.float32()), pa.array(ns, pa.int64())], names=["image_id", "brain_activity", "n_segments"])
+
+        def close() -> None:
+            if n:
+                done.append((image, (total / count if mode == "mean" else total).astype(np.float32), n))
+
+        for batch in batches:
+            ids, ns = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for i, v in _rows(batch, 1):
+                if ids[i] != image:
+                    close()
+                    image, total, count, n = ids[i], np.zeros(0), np.zeros(0, np.int64), 0
+                    if len(done) >= rows:
+                        yield emit()
+                if len(v) > len(total):
+                    more = len(v) - len(total)
+                    total = np.concatenate([total, np.full(more, 0.0 if mode == "mean" else -np.inf)])
+                    count = np.concatenate([count, np.zeros(more, np.int64)])
+                part = total[: len(v)]
+                if mode == "mean":
+                    part += v
+                else:
+                    np.maximum(part, v, out=part)
+                count[: len(v)] += ns[i]
+                n += ns[i]
+        close()
+        if done:
+            yield emit()
 
-def assemble_vectors(long: DataFrame, value: str = "value", out: str = "brain_activity") -> DataFrame:
-    """(image_id, pos, value) -> (image_id, array in pos order). One row per image; the array is
-    as wide as the vector (a model constant), independent of the number of segments."""
-    agg = long.groupBy("image_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col(value).alias("v")))).alias("__pv"),
-        *([F.max("n_segments").alias("n_segments")] if "n_segments" in long.columns else []),
-    )
-    return agg.withColumn(out, F.transform("__pv", lambda x: x["v"])).drop("__pv")
+    return run
 
 
 def collapse_segments(segments: DataFrame, mode: str = "mean", vector: str = "activity") -> DataFrame:
-    """A2/A3: (image_id, brain_activity array<float>, n_segments)."""
-    return assemble_vectors(collapse_long(segments, mode, vector, with_count=True))
+    """A2/A3: (image_id, brain_activity array<float>, n_segments).
+
+    ``mean``: average over segments (in double, stored as float32 like the reference); ``max``:
+    element-wise maximum, NaN wins. Any other mode raises ``ValueError``. A NULL element counts as
+    NaN; NULL and empty vectors and NULL ids don't take part. What is shuffled are partial
+    vectors, one for each image in a task."""
+    if mode not in ("mean", "max"):
+        raise ValueError(f"unknown collapse mode: {mode!r}")
+    partials = segments.select("image_id", F.col(vector).alias("activity")).mapInArrow(_fold(mode), PARTIAL_DDL)
+    return partials.repartition("image_id").sortWithinPartitions("image_id").mapInArrow(_merge(mode), "image_id string, brain_activity array<float>, n_segments bigint")
 
 
 def atlas_parcels(atlas: DataFrame) -> DataFrame:
@@ -150,25 +140,64 @@ def atlas_parcels(atlas: DataFrame) -> DataFrame:
     return atlas.select("parcel", "ordinal").distinct()
 
 
-def parcel_means(long: DataFrame, atlas: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A4 + J9: mean of each parcel's vertices for every image -> (image_id, parcel, ordinal, mean).
-
-    ``long`` is (image_id, pos, value); the atlas (parcel, ordinal, vertex) is bounded by the
-    mesh size and broadcast after a size check.
-    """
-    at = broadcast_if_small(atlas.select("parcel", "ordinal", F.col("vertex").alias("pos")), broadcast_rows)
-    return (
-        long.join(at, "pos", "inner")
-        .groupBy("image_id", "parcel", "ordinal")
-        .agg(F.avg(F.col("value").cast("double")).alias("mean"))
-    )
-
-
-def parcel_means_from_vectors(vectors: DataFrame, atlas: DataFrame, vector: str = "brain_activity") -> DataFrame:
-    return parcel_means(explode_vector(vectors, vector), atlas)
-
-
-def name_parcels(values: DataFrame, vector: str, names: DataFrame | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def _summarise(parcels: list[tuple[str, int]], vertices: np.ndarray, of: np.ndarray, aliases: list[str], members: list[list[int]], vector: int):
+    """Means of each parcel's vertices and of each alias's parcels, in the vector's row. ``of`` is the
+    parcel of each vertex; ``members`` the parcels of each alias."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(parcels)
+        for batch in batches:
+            means, scores = [None] * batch.num_rows, [None] * batch.num_rows
+            for i, v in _rows(batch, vector):
+                inside = vertices < len(v)
+                at, own = (vertices, of) if inside.all() else (vertices[inside], of[inside])
+                count = np.bincount(own, minlength=k)
+                mean = np.bincount(own, weights=v[at].astype(np.float64), minlength=k) / np.maximum(count, 1)
+                means[i] = [{"parcel": p, "ordinal": o, "mean": float(mean[j])} for j, (p, o) in enumerate(parcels) if count[j]]
+                scores[i] = []
+                for j, name in enumerate(aliases):
+                    have = [p for p in members[j] if count[p]]
+                    scores[i].append({"name": name, "alias_ord": j, "score": float(np.mean(mean[have])) if have else float("nan")})
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array(means, pa.list_(pa.struct([("parcel", pa.string()), ("ordinal", pa.int32()), ("mean", pa.float64())]))),
+                    pa.array(scores, pa.list_(pa.struct([("name", pa.string()), ("alias_ord", pa.int32()), ("score", pa.float64())]))),
+                ],
+                names=[*batch.schema.names, "means", "scores"],
+            )
+
+    return run
+
+
+def summarise(vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame | None = None, aliases: Sequence[str] = (), vector: str = "brain_activity", max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """A4 + J9 + A5: ``vectors`` with ``means`` (array of parcel, ordinal, mean; parcels with a vertex
+    inside the vector) and ``scores`` (array of name, alias_ord, score; every alias in declaration
+    order, NaN without a parcel).
+
+    The atlas (parcel, ordinal, vertex) is bounded by the mesh; it goes to the tasks after a check
+    of its size, and a larger one is refused. Each row is worked on by itself: no shuffle."""
+    if not is_small(atlas.select("parcel", "ordinal", "vertex"), max_bytes):
+        raise ValueError(f"the atlas takes more than {max_bytes} bytes")
+    rows = atlas.select("parcel", "ordinal", F.col("vertex").cast("long").alias("vertex")).where("vertex IS NOT NULL").collect()
+    parcels = sorted({(r[0], r[1]) for r in rows}, key=lambda p: (p[1], p[0]))
+    index = {p: j for j, p in enumerate(parcels)}
+    of = np.array([index[r[0], r[1]] for r in rows], np.int64)
+    vertices = np.array([r[2] for r in rows], np.int64)
+    members: list[list[int]] = [[] for _ in aliases]
+    if alias_map is not None and parcels:
+        for r in alias_parcels(atlas, alias_map).collect():
+            members[list(aliases).index(r.alias)] += [j for j, (p, _) in enumerate(parcels) if p == r.parcel]
+    schema = T.StructType([*vectors.schema.fields, *T._parse_datatype_string("means array<struct<parcel:string,ordinal:int,mean:double>>, scores array<struct<name:string,alias_ord:int,score:double>>").fields])
+    return vectors.mapInArrow(_summarise(parcels, vertices, of, list(aliases), [sorted(set(m)) for m in members], vectors.columns.index(vector)), schema)
+
+
+def parcel_means(vectors: DataFrame, atlas: DataFrame, vector: str = "brain_activity") -> DataFrame:
+    """A4 + J9 as rows: (image_id, parcel, ordinal, mean)."""
+    return summarise(vectors, atlas, vector=vector).select("image_id", F.inline("means"))
+
+
+def name_parcels(values: DataFrame, vector: str, names: DataFrame | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Positional naming of a per-image value array -> (image_id, ordinal, name, value).
 
     With ``names`` (ordinal, name) the pairs are cut to the shorter of names and values (inner
@@ -177,7 +206,7 @@ def name_parcels(values: DataFrame, vector: str, names: DataFrame | None = None,
     long = explode_vector(values, vector, pos="ordinal")
     if names is None:
         return long.withColumn("name", F.format_string("parcel_%03d", F.col("ordinal"))).select("image_id", "ordinal", "name", "value")
-    nm = broadcast_if_small(names.select(F.col("ordinal").cast("int").alias("ordinal"), "name"), broadcast_rows)
+    nm = broadcast_if_small(names.select(F.col("ordinal").cast("int").alias("ordinal"), "name"), broadcast_bytes)
     return long.join(nm, "ordinal", "inner").select("image_id", "ordinal", "name", "value")
 
 
@@ -192,40 +221,10 @@ def alias_parcels(parcels: DataFrame, alias_map: DataFrame) -> DataFrame:
     return names.join(pats, F.expr("parcel rlike regex"), "inner").select("alias", "alias_ord", "parcel").dropDuplicates(["alias", "parcel"])
 
 
-def alias_scores_long(means: DataFrame, alias_parcel: DataFrame) -> DataFrame:
-    """A5 (matched part): (image_id, alias, alias_ord, score, n_parcels) — mean over the alias's
-    distinct parcels."""
-    ap = F.broadcast(alias_parcel.select("alias", "alias_ord", "parcel"))
-    return (
-        means.join(ap, "parcel", "inner")
-        .groupBy("image_id", "alias", "alias_ord")
-        .agg(F.avg("mean").alias("score"), F.count(F.lit(1)).alias("n_parcels"))
-    )
-
-
-def alias_score_array(scores_long: DataFrame, aliases: Sequence[str]) -> DataFrame:
-    """(image_id, alias, score) -> (image_id, scores array<struct<name, alias_ord, score>>) over
-    the full alias list in declaration order; an alias with no matched parcel scores NaN.
-    The per-image group is bounded by the alias list."""
-    by_image = scores_long.groupBy("image_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("alias", F.col("score").cast("double")))).alias("__m")
-    )
-    names = F.array(*[F.lit(a) for a in aliases])
-    scores = F.transform(
-        names,
-        lambda a, i: F.struct(
-            a.alias("name"),
-            i.alias("alias_ord"),
-            F.coalesce(F.element_at(F.col("__m"), a), F.lit(NAN)).alias("score"),
-        ),
-    )
-    return by_image.select("image_id", scores.alias("scores"))
-
-
-def alias_scores(means: DataFrame, alias_parcel: DataFrame, aliases: Sequence[str]) -> DataFrame:
-    """A5: (image_id, alias, alias_ord, score) for every alias; NaN when no parcel matched."""
-    arr = alias_score_array(alias_scores_long(means, alias_parcel), aliases)
-    return arr.select("image_id", F.inline("scores")).withColumnRenamed("name", "alias")
+def alias_scores(vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame, aliases: Sequence[str]) -> DataFrame:
+    """A5 as rows: (image_id, alias, alias_ord, score) for every image and alias; NaN when no
+    parcel matched."""
+    return summarise(vectors, atlas, alias_map, aliases).select("image_id", F.inline("scores")).withColumnRenamed("name", "alias")
 
 
 def top_k_regions(scores_array: Column, k: int = 10) -> Column:
@@ -246,10 +245,9 @@ def top_k_regions(scores_array: Column, k: int = 10) -> Column:
     return F.transform(ranked, lambda s: F.struct(s["name"].alias("name"), s["score"].cast("float").alias("score")))
 
 
-def top_regions(means: DataFrame, alias_parcel: DataFrame, aliases: Sequence[str], k: int = 10) -> DataFrame:
-    """(image_id, top_regions) from parcel means."""
-    arr = alias_score_array(alias_scores_long(means, alias_parcel), aliases)
-    return arr.select("image_id", top_k_regions(F.col("scores"), k).alias("top_regions"))
+def top_regions(vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame, aliases: Sequence[str], k: int = 10) -> DataFrame:
+    """(image_id, top_regions)."""
+    return summarise(vectors, atlas, alias_map, aliases).select("image_id", top_k_regions(F.col("scores"), k).alias("top_regions"))
 
 
 def normalize_regions(df: DataFrame, col: str = "top_regions") -> DataFrame:

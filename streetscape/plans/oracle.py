@@ -43,7 +43,7 @@ shard1 AS (
          c.lon, c.lat, c.compass_angle, epoch_ms(c.captured_at_ms) AS captured_at, c.camera_type, c.is_pano,
          c.sequence_id, c.creator_id, 'shard-1.parquet' AS source_file, c.event_id AS row_index
   FROM captures c JOIN blobs b ON b.image_id = c.image_id
-  WHERE c.captured_at < TIMESTAMP '2024-01-16 00:00:00'),
+  WHERE c.event_id % 3 = 0),
 store AS (
   SELECT * FROM shard1
   UNION ALL
@@ -69,7 +69,7 @@ matched_scores AS (
   FROM parcel_means pm JOIN alias_parcels ap ON ap.parcel = pm.parcel GROUP BY pm.image_id, ap.alias, ap.alias_ord),
 alias_scores AS (
   SELECT i.image_id, a.alias, a.alias_ord, coalesce(s.score, 'NaN'::DOUBLE) AS score
-  FROM (SELECT DISTINCT image_id FROM matched_scores) i CROSS JOIN aliases a
+  FROM (SELECT DISTINCT image_id FROM collapsed) i CROSS JOIN aliases a
   LEFT JOIN matched_scores s ON s.image_id = i.image_id AND s.alias = a.alias),
 top_regions AS (
   SELECT * FROM (
@@ -77,13 +77,20 @@ top_regions AS (
            row_number() OVER (PARTITION BY image_id ORDER BY score DESC, alias_ord) AS rank
     FROM alias_scores WHERE NOT isnan(score)) WHERE rank <= 10),
 scored AS (
-  SELECT v.image_id, v.n_activity, t.name AS top1_name, t.score AS top1_score
-  FROM (SELECT image_id, count(*) AS n_activity FROM collapsed GROUP BY image_id) v
-  LEFT JOIN (SELECT * FROM top_regions WHERE rank = 1) t ON t.image_id = v.image_id),
+  SELECT v.image_id, v.n_activity, v.activity_sum, coalesce(t.regions, '') AS regions, coalesce(t.region_sum, 0) AS region_sum
+  FROM (SELECT image_id, count(*) AS n_activity, round(sum(CAST(value AS DOUBLE) * (pos + 1) ORDER BY pos), 3) AS activity_sum FROM collapsed GROUP BY image_id) v
+  LEFT JOIN (SELECT image_id, string_agg(name, ',' ORDER BY rank) AS regions, round(sum(CAST(score AS DOUBLE) * rank ORDER BY rank), 5) AS region_sum
+             FROM top_regions GROUP BY image_id) t ON t.image_id = v.image_id),
 labels AS (
   SELECT CASE WHEN vec_id % 2 = 0 THEN 'L_' ELSE 'R_' END || p.parcel || '_ROI-' || CASE WHEN vec_id % 2 = 0 THEN 'lh' ELSE 'rh' END AS name,
-         CASE WHEN vec_id % 2 = 0 THEN 'lh' ELSE 'rh' END AS hemi, vec_id * 7 AS vertex
-  FROM embeddings e JOIN parcels p ON p.ordinal = e.label)
+         CASE WHEN vec_id % 2 = 0 THEN 'lh' ELSE 'rh' END AS hemi, vec_id * 7 % 11000 AS vertex
+  FROM embeddings e JOIN parcels p ON p.ordinal = (e.label + e.vec_id) % 16),
+merged_labels AS (
+  SELECT parcel, CAST(dense_rank() OVER (ORDER BY parcel) - 1 AS INTEGER) AS ordinal, hemi, vertex
+  FROM (SELECT replace(replace(replace(substr(name, 3), '_ROI', ''), '-rh', ''), '-lh', '') AS parcel, hemi,
+               CAST(CASE WHEN hemi = 'rh' THEN vertex + 10242 ELSE vertex END AS INTEGER) AS vertex
+        FROM labels WHERE vertex < 10242)),
+label_alias AS (SELECT DISTINCT m.alias, m.alias_ord, p.parcel FROM (SELECT DISTINCT parcel FROM merged_labels) p JOIN alias_patterns m ON p.parcel GLOB m.pattern)
 """
 
 
@@ -211,25 +218,19 @@ SQL: dict[str, str] = {
     "name_parcels": with_base("""
         SELECT c.image_id, p.ordinal, p.parcel AS name, round(CAST(c.value AS DOUBLE), 6) AS value
         FROM collapsed c JOIN parcels p ON p.ordinal = c.pos"""),
-    "alias_parcels": with_base("""
-        SELECT DISTINCT m.alias, p.parcel FROM (SELECT DISTINCT parcel FROM parcel_means) p
-        JOIN alias_patterns m ON p.parcel GLOB m.pattern"""),
+    "alias_parcels": with_base("SELECT alias, parcel FROM label_alias"),
     "alias_scores": with_base("SELECT image_id, alias, round(score, 6) AS score FROM alias_scores"),
     "top_regions": with_base("""
         SELECT image_id, CAST(rank AS INTEGER) AS rank, name, round(CAST(score AS DOUBLE), 6) AS score FROM top_regions"""),
-    "merge_labels": with_base("""
-        SELECT replace(replace(replace(substr(name, 3), '_ROI', ''), '-rh', ''), '-lh', '') AS parcel, hemi,
-               CAST(CASE WHEN hemi = 'rh' THEN vertex + 10242 ELSE vertex END AS INTEGER) AS vertex
-        FROM labels WHERE vertex < 10242"""),
+    "merge_labels": with_base("SELECT parcel, ordinal, hemi, vertex FROM merged_labels"),
+    "label_means": with_base("""
+        SELECT c.image_id, l.parcel, l.ordinal, round(avg(CAST(c.value AS DOUBLE)), 6) AS mean
+        FROM collapsed c JOIN merged_labels l ON l.vertex = c.pos GROUP BY ALL"""),
     "alias_vertices": with_base("""
-        , merged AS (
-            SELECT replace(replace(replace(substr(name, 3), '_ROI', ''), '-rh', ''), '-lh', '') AS parcel,
-                   CAST(CASE WHEN hemi = 'rh' THEN vertex + 10242 ELSE vertex END AS INTEGER) AS vertex
-            FROM labels WHERE vertex < 10242)
-        , ap AS (SELECT DISTINCT m.alias, p.parcel FROM (SELECT DISTINCT parcel FROM merged) p JOIN alias_patterns m ON p.parcel GLOB m.pattern)
-        , rows_ AS (SELECT ap.alias, ap.parcel, m.vertex FROM merged m JOIN ap ON ap.parcel = m.parcel)
-        , stats AS (SELECT alias, count(DISTINCT parcel) AS n_parcels, count(DISTINCT vertex) AS n_vertices FROM rows_ GROUP BY alias)
-        SELECT DISTINCT r.alias, s.n_parcels, s.n_vertices, r.vertex FROM rows_ r JOIN stats s ON s.alias = r.alias"""),
+        , hits AS (SELECT a.alias, a.parcel, m.vertex FROM label_alias a JOIN merged_labels m ON m.parcel = a.parcel)
+        , sizes AS (SELECT a.alias, count(DISTINCT h.parcel) AS n_parcels, count(DISTINCT h.vertex) AS n_vertices
+                    FROM aliases a LEFT JOIN hits h ON h.alias = a.alias GROUP BY a.alias)
+        SELECT DISTINCT s.alias, s.n_parcels, s.n_vertices, h.vertex FROM sizes s LEFT JOIN hits h ON h.alias = s.alias"""),
     "pseudo_clip_plan": with_base("""
         , imgs AS (SELECT DISTINCT sequence_id, captured_at, image_id FROM captures)
         , ranked AS (
@@ -244,7 +245,7 @@ SQL: dict[str, str] = {
 _DELIVERABLE = f"""
     , dl AS (
         SELECT l.image_id, l.image_mime, l.captured_at, l.compass_angle, l.camera_type, {wkb_hex('l.lon', 'l.lat')} AS geom_hex,
-               l.image_bytes AS blob_bytes, s.n_activity, s.top1_name, round(CAST(s.top1_score AS DOUBLE), 6) AS top1_score,
+               l.image_bytes AS blob_bytes, s.n_activity, s.activity_sum, s.regions, s.region_sum,
                'POINT (' || CAST(l.lon AS VARCHAR) || ' ' || CAST(l.lat AS VARCHAR) || ')' AS geom_wkt
         FROM latest l JOIN scored s ON s.image_id = l.image_id
         WHERE l.lon BETWEEN -0.1465e0 AND -0.1422e0 AND l.lat BETWEEN 51.5405e0 AND 51.543e0)
@@ -252,7 +253,7 @@ _DELIVERABLE = f"""
 
 SQL["deliverable"] = with_base(
     _DELIVERABLE
-    + "SELECT image_id, image_mime, captured_at, compass_angle, camera_type, geom_hex, blob_bytes, n_activity, top1_name, top1_score FROM dl"
+    + "SELECT image_id, image_mime, captured_at, compass_angle, camera_type, geom_hex, blob_bytes, n_activity, activity_sum, regions, region_sum FROM dl"
 )
 SQL["preview"] = with_base(
     _DELIVERABLE
@@ -276,14 +277,33 @@ SQL["stage_counts"] = with_base("""
            (SELECT count(*) FROM inferred) AS inferred,
            (SELECT count(*) FROM hits) + (SELECT count(*) FROM inferred) AS written""")
 
-_BYTE = "('0x' || substr(hex(encode(b.text)), 2 * (({k}) % strlen(b.text)) + 1, 2))::INTEGER"
+
+
+def model_ctes(items: str, prefix: str = "") -> str:
+    """CTEs of the stand-in model over ``items`` (image_id, text): its segments, their collapse, scores
+    and regions, named m_*. ``prefix``: hex of bytes before the text's."""
+    return f"""
+    , m_hex AS (SELECT image_id, '{prefix}' || hex(encode(text)) AS h FROM {items} WHERE strlen(text) + {len(prefix) // 2} > 0)
+    , m_bytes AS (SELECT image_id, len(h) // 2 AS n_bytes, unnest(regexp_extract_all(h, '..')) AS x, generate_subscripts(regexp_extract_all(h, '..'), 1) - 1 AS k FROM m_hex)
+    , m_seen AS (SELECT image_id, n_bytes, k % 64 AS lane, avg(('0x' || x)::INTEGER) AS m FROM m_bytes GROUP BY ALL)
+    , m_lanes AS (SELECT i.image_id, i.n_bytes, l.range AS lane, coalesce(s.m, 0) AS m
+                  FROM (SELECT DISTINCT image_id, n_bytes FROM m_seen) i CROSS JOIN range(64) l LEFT JOIN m_seen s ON s.image_id = i.image_id AND s.lane = l.range)
+    , m_segs AS (SELECT l.image_id, CAST(s.range AS INTEGER) AS segment_idx, l.lane, CAST((l.m + s.range) / 255.0 AS FLOAT) AS v FROM m_lanes l, range(1 + l.n_bytes % 3) s)
+    , m_collapsed AS (SELECT image_id, lane, CAST(avg(CAST(v AS DOUBLE)) AS FLOAT) AS v FROM m_segs GROUP BY image_id, lane)
+    , m_means AS (SELECT c.image_id, a.parcel, avg(CAST(c.v AS DOUBLE)) AS mean FROM m_collapsed c JOIN atlas a ON a.vertex = c.lane GROUP BY ALL)
+    , m_scores AS (SELECT m.image_id, ap.alias, ap.alias_ord, avg(m.mean) AS score FROM m_means m JOIN alias_parcels ap ON ap.parcel = m.parcel GROUP BY ALL)
+    , m_regions AS (SELECT image_id, string_agg(alias, ',' ORDER BY score DESC, alias_ord) AS regions FROM (
+          SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, alias_ord) AS rank FROM m_scores) WHERE rank <= 10 GROUP BY image_id)
+    , m_scored AS (SELECT c.image_id, count(*) AS n_activity, round(sum(CAST(c.v AS DOUBLE) * (c.lane + 1) ORDER BY c.lane), 3) AS activity_sum, any_value(r.regions) AS regions
+                   FROM m_collapsed c JOIN m_regions r ON r.image_id = c.image_id GROUP BY c.image_id)
+    """
+
+
 SQL["score_images"] = with_base(f"""
-    , items AS (SELECT l.image_id, b.text FROM latest l JOIN blobs b ON b.image_id = l.image_id WHERE strlen(b.text) > 0)
-    , segs AS (SELECT i.image_id, i.text, CAST(s.range AS INTEGER) AS segment_idx FROM items i, range(1 + strlen(i.text) % 3) s)
-    SELECT b.image_id, b.segment_idx, CAST(64 AS BIGINT) AS n_values,
-           round(CAST(CAST({_BYTE.format(k="13 * b.segment_idx")} / 255.0 AS FLOAT) AS DOUBLE), 6) AS v_first,
-           round(CAST(CAST({_BYTE.format(k="441 + 13 * b.segment_idx")} / 255.0 AS FLOAT) AS DOUBLE), 6) AS v_last
-    FROM segs b""")
+    , items AS (SELECT l.image_id, b.text FROM latest l JOIN blobs b ON b.image_id = l.image_id)
+    {model_ctes('items')}
+    SELECT image_id, segment_idx, count(*) AS n_values, round(sum(CAST(v AS DOUBLE) * (lane + 1) ORDER BY lane), 3) AS activity_sum
+    FROM m_segs GROUP BY image_id, segment_idx""")
 SQL["geo_roundtrip"] = SQL["deliverable"]
 _INGESTED = """
     , parsed AS (
@@ -300,27 +320,27 @@ _INGESTED = """
         WHERE p.lon BETWEEN -0.1465e0 AND -0.1422e0 AND p.lat BETWEEN 51.5405e0 AND 51.543e0)
 """
 SQL["stream_ingest"] = with_base(_INGESTED + "SELECT * FROM ingested")
-SQL["stream_score"] = with_base(_INGESTED + "SELECT image_id, CAST(64 AS BIGINT) AS n_activity FROM ingested WHERE image_bytes > 0")
+SQL["stream_score"] = with_base(
+    _INGESTED
+    + ", items AS (SELECT i.image_id, b.text FROM ingested i JOIN blobs b ON b.image_id = i.image_id)"
+    + model_ctes("items")
+    + "SELECT image_id, n_activity, activity_sum, regions FROM m_scored"
+)
 
-_MERGED = """
-    , merged AS (
-        SELECT replace(replace(replace(substr(name, 3), '_ROI', ''), '-rh', ''), '-lh', '') AS parcel,
-               CAST(CASE WHEN hemi = 'rh' THEN vertex + 10242 ELSE vertex END AS INTEGER) AS vertex
-        FROM labels WHERE vertex < 10242)
-    , ap AS (SELECT DISTINCT m.alias, m.alias_ord, p.parcel FROM (SELECT DISTINCT parcel FROM merged) p JOIN alias_patterns m ON p.parcel GLOB m.pattern)
-    , av AS (SELECT ap.alias, ap.alias_ord, list_sort(list(DISTINCT m.vertex)) AS vertices FROM merged m JOIN ap ON ap.parcel = m.parcel GROUP BY ap.alias, ap.alias_ord)
-"""
-SQL["alias_atlas_json"] = with_base(_MERGED + """
-    SELECT '{' || string_agg('"' || alias || '":[' || array_to_string(vertices, ',') || ']', ',' ORDER BY alias_ord) || '}' AS alias_atlas FROM av""")
+SQL["alias_atlas_json"] = with_base("""
+    , hits AS (SELECT a.alias, list_sort(list(DISTINCT m.vertex)) AS vertices FROM label_alias a JOIN merged_labels m ON m.parcel = a.parcel GROUP BY a.alias)
+    SELECT '{' || string_agg('"' || a.alias || '":[' || coalesce(array_to_string(h.vertices, ','), '') || ']', ',' ORDER BY a.alias_ord) || '}' AS alias_atlas
+    FROM aliases a LEFT JOIN hits h ON h.alias = a.alias""")
 SQL["stack_segments"] = with_base("""
-    , s AS (SELECT image_id, CAST(segment_idx // 4 AS INTEGER) AS chunk, segment_idx, activity FROM segments)
-    SELECT image_id, chunk, min(segment_idx) AS first_segment, count(*) AS n_segments,
-           round(CAST(arg_min(activity[1], segment_idx) AS DOUBLE), 6) AS v00
-    FROM s GROUP BY image_id, chunk""")
+    , cells AS (
+        SELECT image_id, segment_idx, generate_subscripts(activity, 1) AS i, unnest(activity) AS v FROM segments)
+    , placed AS (SELECT image_id, segment_idx, v, row_number() OVER (PARTITION BY image_id ORDER BY segment_idx, i) AS place FROM cells)
+    SELECT image_id, count(DISTINCT segment_idx) AS n_segments, round(sum(CAST(v AS DOUBLE) * place ORDER BY place), 3) AS stack_sum
+    FROM placed GROUP BY image_id""")
 SQL["attach_timeline"] = with_base("""
     SELECT c.image_id, s.segment_idx FROM segments s JOIN camden c ON c.image_id = s.image_id""")
 SQL["load_scores"] = with_base("""
-    SELECT s.image_id, s.n_activity, CAST(least(10, (SELECT count(*) FROM alias_scores a WHERE a.image_id = s.image_id AND NOT isnan(a.score))) AS BIGINT) AS n_regions
+    SELECT s.image_id, s.n_activity, s.activity_sum, s.regions, s.region_sum
     FROM scored s WHERE s.image_id IN (SELECT image_id FROM camden)""")
 
 SQL["pipeline_run"] = with_base(f"""
@@ -333,7 +353,10 @@ SQL["pipeline_run"] = with_base(f"""
           AND NOT (user_id % 3 <> 0 AND event_type = 'error')
           AND NOT (event_type = 'signup' AND value < 5)
           AND NOT (event_type = 'purchase' AND value < 10))
+    , items AS (SELECT k.image_id, b.text FROM kept k JOIN blobs b ON b.image_id = k.image_id
+                WHERE k.lon BETWEEN -0.1465e0 AND -0.1422e0 AND k.lat BETWEEN 51.5405e0 AND 51.543e0)
+    {model_ctes('items', 'FFD8FFE0')}
     SELECT k.image_id, 'image/jpeg' AS image_mime, k.captured_at, k.camera_type, {wkb_hex('k.lon', 'k.lat')} AS geom_hex,
-           CAST(strlen(b.text) + 4 AS BIGINT) AS blob_bytes, CAST(64 AS BIGINT) AS n_activity
-    FROM kept k JOIN blobs b ON b.image_id = k.image_id
+           CAST(strlen(b.text) + 4 AS BIGINT) AS blob_bytes, s.n_activity, s.activity_sum, s.regions
+    FROM kept k JOIN blobs b ON b.image_id = k.image_id JOIN m_scored s ON s.image_id = k.image_id
     WHERE k.lon BETWEEN -0.1465e0 AND -0.1422e0 AND k.lat BETWEEN 51.5405e0 AND 51.543e0""")

@@ -24,9 +24,8 @@ from streetscape.operators import atlas as AT
 from streetscape.operators import captures as C
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
-from streetscape.operators.aoi import resolve_aoi
+from streetscape.operators.aoi import bbox_text, find_aoi
 from streetscape.operators.deliverable import deliverable_rows, run_summary
-from streetscape.operators.sizing import remember_sizes
 from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
 from streetscape.sources.images import scan_image_files
@@ -46,8 +45,8 @@ class RunConfig:
     lon0: float | None = None
     lat0: float | None = None
     side_m: float = 300.0
-    max_images: int = 1000
-    start_captured_at: str | None = "2023-04-30"
+    max_images: int | None = None
+    start_captured_at: str | None = None
     end_captured_at: str | None = None
     is_pano: bool | None = False
     dedupe: bool = True
@@ -59,11 +58,6 @@ class RunConfig:
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> dict:
-    with remember_sizes():
-        return _run(spark, cfg)
-
-
-def _run(spark: SparkSession, cfg: RunConfig) -> dict:
     timings: dict[str, float] = {}
     counts = {k: 0 for k in ("candidates", "cached", "downloaded", "inference_cache_hit", "inferred", "written")}
     held: list[DataFrame] = []
@@ -78,7 +72,7 @@ def _run(spark: SparkSession, cfg: RunConfig) -> dict:
 
     try:
         t = time.monotonic()
-        bbox = resolve_aoi(cfg.aoi, cfg.lon0, cfg.lat0, cfg.side_m).check_area()
+        bbox = find_aoi(spark, cfg.aoi, cfg.lon0, cfg.lat0, cfg.side_m)
         init_store(spark, cfg.image_store, "images")
         init_store(spark, cfg.score_store, "scores")
         t = tick("resolve_bbox", t)
@@ -91,7 +85,7 @@ def _run(spark: SparkSession, cfg: RunConfig) -> dict:
 
         new = ST.new_images(cands, scan_image_store(spark, cfg.image_store))
         files = scan_image_files(spark, cfg.images_path).filter(F.col("reject_reason").isNull())
-        rows = hold(ST.build_image_rows(new, files.join(new.select("image_id"), "image_id", "left_semi"), bbox.text()))
+        rows = hold(ST.build_image_rows(new, files.join(new.select("image_id"), "image_id", "left_semi"), bbox_text(bbox)))
         n_new = new.count()
         counts["cached"] = counts["candidates"] - n_new
         counts["downloaded"] = rows.count()
@@ -106,7 +100,7 @@ def _run(spark: SparkSession, cfg: RunConfig) -> dict:
 
         seg = hold(M.score_images(working.join(misses, "image_id", "left_semi"), cfg.predictor_factory, cfg.batch_size))
         amap = AT.alias_map_df(spark, cfg.alias_map)
-        fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo, hold=hold)
+        fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo)
         fresh = hold(fresh)
         counts["inferred"] = fresh.count()
         append_scores(fresh, cfg.score_store)

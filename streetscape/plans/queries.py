@@ -21,7 +21,7 @@ from streetscape.operators import store as ST
 from streetscape.operators import summary as S
 from streetscape.plans import views as V
 
-CAMDEN = G.NAMED_AOIS["camden"]
+CAMDEN = G.named_box("camden")
 R9 = 9
 
 
@@ -149,7 +149,7 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
 def q_build_image_rows(spark: SparkSession, d: str) -> DataFrame:
     caps = V.captures(spark, d)
     day_later = F.timestamp_millis(F.col("captured_at_ms") + F.lit(86_400_000)).cast("timestamp_ntz")
-    rows = ST.build_image_rows(caps, V.blobs(spark, d), CAMDEN.text(), day_later)
+    rows = ST.build_image_rows(caps, V.blobs(spark, d), G.bbox_text(CAMDEN), day_later)
     return rows.drop("image_blob")
 
 
@@ -202,7 +202,7 @@ def q_union_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _collapsed(spark: SparkSession, d: str, mode: str = "mean") -> DataFrame:
-    return S.collapse_long(V.segments(spark, d), mode)
+    return S.collapse_segments(V.segments(spark, d), mode).select("image_id", "brain_activity")
 
 
 def _vector_rows(vectors: DataFrame) -> DataFrame:
@@ -210,11 +210,11 @@ def _vector_rows(vectors: DataFrame) -> DataFrame:
 
 
 def q_collapse_mean(spark: SparkSession, d: str) -> DataFrame:
-    return _vector_rows(S.collapse_segments(V.segments(spark, d), "mean"))
+    return _vector_rows(_collapsed(spark, d))
 
 
 def q_collapse_max(spark: SparkSession, d: str) -> DataFrame:
-    return _vector_rows(S.collapse_segments(V.segments(spark, d), "max"))
+    return _vector_rows(_collapsed(spark, d, "max"))
 
 
 def q_parcel_means(spark: SparkSession, d: str) -> DataFrame:
@@ -223,48 +223,44 @@ def q_parcel_means(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_name_parcels(spark: SparkSession, d: str) -> DataFrame:
-    vectors = S.collapse_segments(V.segments(spark, d), "mean")
-    named = S.name_parcels(vectors, "brain_activity", V.parcel_names(spark))
+    named = S.name_parcels(_collapsed(spark, d), "brain_activity", V.parcel_names(spark))
     return named.select("image_id", "ordinal", "name", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-def _alias_parts(spark: SparkSession, d: str):
-    pm = S.parcel_means(_collapsed(spark, d), V.atlas(spark))
-    ap = S.alias_parcels(S.atlas_parcels(V.atlas(spark)), AT.alias_map_df(spark))
-    return pm, ap
-
-
 def q_alias_parcels(spark: SparkSession, d: str) -> DataFrame:
-    """J6 over the parcels that occur in the data's parcel means."""
-    pm, _ = _alias_parts(spark, d)
-    ap = S.alias_parcels(pm.select("parcel").distinct(), AT.alias_map_df(spark))
-    return ap.select("alias", "parcel")
+    """J6 over the merged parcels of the label rows."""
+    return S.alias_parcels(AT.merge_labels(V.labels(spark, d)), AT.alias_map_df(spark)).select("alias", "parcel")
 
 
 def q_alias_scores(spark: SparkSession, d: str) -> DataFrame:
-    pm, ap = _alias_parts(spark, d)
-    sc = S.alias_scores(pm, ap, AT.alias_names())
+    sc = S.alias_scores(_collapsed(spark, d), V.atlas(spark), AT.alias_map_df(spark), AT.alias_names())
     return sc.select("image_id", "alias", F.round("score", 6).alias("score"))
 
 
 def q_top_regions(spark: SparkSession, d: str) -> DataFrame:
-    pm, ap = _alias_parts(spark, d)
-    tr = S.top_regions(pm, ap, AT.alias_names(), 10)
+    tr = S.top_regions(_collapsed(spark, d), V.atlas(spark), AT.alias_map_df(spark), AT.alias_names(), 10)
     return tr.select("image_id", F.posexplode("top_regions").alias("rank0", "r")).select(
         "image_id", (F.col("rank0") + 1).alias("rank"), F.col("r.name").alias("name"), F.round(F.col("r.score").cast("double"), 6).alias("score")
     )
 
 
+def q_label_means(spark: SparkSession, d: str) -> DataFrame:
+    """S7 -> P13, P14, A9 -> A4 in one chain: raw labels to merged parcels to each image's parcel
+    means, over the vertices that the vectors have."""
+    pm = S.parcel_means(_collapsed(spark, d), AT.merge_labels(V.labels(spark, d)))
+    return pm.select("image_id", "parcel", "ordinal", F.round("mean", 6).alias("mean"))
+
+
 # ---------------------------------------------------------------- atlas
 
 
 def q_merge_labels(spark: SparkSession, d: str) -> DataFrame:
-    return AT.merge_labels(V.labels(spark, d)).select("parcel", "hemi", "vertex")
+    return AT.merge_labels(V.labels(spark, d)).select("parcel", "ordinal", "hemi", "vertex")
 
 
 def q_alias_vertices(spark: SparkSession, d: str) -> DataFrame:
     av = AT.alias_vertices(AT.merge_labels(V.labels(spark, d)), AT.alias_map_df(spark))
-    return av.select("alias", "n_parcels", "n_vertices", F.explode("vertices").alias("vertex"))
+    return av.select("alias", "n_parcels", "n_vertices", F.explode_outer("vertices").alias("vertex"))
 
 
 def q_alias_atlas_json(spark: SparkSession, d: str) -> DataFrame:
@@ -276,15 +272,24 @@ def q_alias_atlas_json(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- segments
 
 
+def vector_sum(vector: str = "brain_activity") -> F.Column:
+    """A digest of a whole vector: the sum of its values, each times its place from 1."""
+    weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 3)
+
+
+def region_text() -> F.Column:
+    return F.array_join(F.transform("top_regions", lambda r: r["name"]), ",")
+
+
+def region_sum() -> F.Column:
+    scores = F.transform("top_regions", lambda r, i: r["score"].cast("double") * (i + 1))
+    return F.round(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x), 5)
+
+
 def q_stack_segments(spark: SparkSession, d: str) -> DataFrame:
-    st = M.stack_segments(V.segments(spark, d), chunk=4)
-    return st.select(
-        "image_id",
-        "chunk",
-        "first_segment",
-        F.size("segments").cast("bigint").alias("n_segments"),
-        F.round(F.col("segments")[0][0].cast("double"), 6).alias("v00"),
-    )
+    st = M.stack_segments(V.segments(spark, d))
+    return st.select("image_id", F.size("segments").cast("bigint").alias("n_segments"), vector_sum(F.flatten("segments")).alias("stack_sum"))
 
 
 def q_attach_timeline(spark: SparkSession, d: str) -> DataFrame:
@@ -301,7 +306,9 @@ def q_load_scores(spark: SparkSession, d: str) -> DataFrame:
     return sc.select(
         "image_id",
         F.size("brain_activity").cast("bigint").alias("n_activity"),
-        F.size("top_regions").cast("bigint").alias("n_regions"),
+        vector_sum().alias("activity_sum"),
+        region_text().alias("regions"),
+        region_sum().alias("region_sum"),
     )
 
 
@@ -336,8 +343,9 @@ def deliverable_columns(df: DataFrame) -> DataFrame:
         F.hex("geom").alias("geom_hex"),
         F.octet_length("image_blob").cast("bigint").alias("blob_bytes"),
         F.size("brain_activity").cast("bigint").alias("n_activity"),
-        F.col("top_regions")[0]["name"].alias("top1_name"),
-        F.round(F.col("top_regions")[0]["score"].cast("double"), 6).alias("top1_score"),
+        vector_sum().alias("activity_sum"),
+        region_text().alias("regions"),
+        region_sum().alias("region_sum"),
     )
 
 
@@ -405,8 +413,7 @@ def q_score_images(spark: SparkSession, d: str) -> DataFrame:
         "image_id",
         "segment_idx",
         F.size("activity").cast("bigint").alias("n_values"),
-        F.round(F.col("activity")[0].cast("double"), 6).alias("v_first"),
-        F.round(F.col("activity")[63].cast("double"), 6).alias("v_last"),
+        vector_sum("activity").alias("activity_sum"),
     )
 
 
@@ -457,7 +464,7 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     )
     q.awaitTermination()
     sc = scan_score_store(spark, f"{root}/scores", with_file=False)
-    return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"))
+    return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"), vector_sum().alias("activity_sum"), region_text().alias("regions"))
 
 
 def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
@@ -481,7 +488,6 @@ def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
         score_store=f"{root}/scores",
         out_path=f"{root}/deliverable",
         atlas=V.atlas(spark),
-        max_images=1_000_000_000,
         predictor_factory=lambda: M.ByteProbePredictor(fail_marker=None),
     )
     run(spark, cfg)
@@ -494,6 +500,8 @@ def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
         F.hex("geom").alias("geom_hex"),
         F.octet_length("image_blob").cast("bigint").alias("blob_bytes"),
         F.size("brain_activity").cast("bigint").alias("n_activity"),
+        vector_sum().alias("activity_sum"),
+        region_text().alias("regions"),
     )
 
 
@@ -527,6 +535,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alias_scores": q_alias_scores,
     "top_regions": q_top_regions,
     "merge_labels": q_merge_labels,
+    "label_means": q_label_means,
     "alias_vertices": q_alias_vertices,
     "alias_atlas_json": q_alias_atlas_json,
     "stack_segments": q_stack_segments,

@@ -9,10 +9,10 @@ compute in doubles. Every view grows with its table; nothing is sampled or cappe
                           compass = value % 360; camera_type = event_type; is_pano = 'error';
                           sequence_id = user_id as text; creator_id = user_id; page/pos by event_id
     blobs      documents  UTF-8 bytes of text, image_id = doc_id as text
-    store      captures x blobs: shard 1 = captures before 2024-01-16 (an earlier run),
+    store      captures x blobs: shard 1 = every third id (earlier runs),
                           shard 2 = the 'error' rows of shard 1 downloaded again a day later
     segments   embeddings image_id = vec_id div 5, segment_idx = vec_id % 5
-    labels     embeddings side by vec_id parity, parcel from ``label``, vertex = 7 * vec_id
+    labels     embeddings side by vec_id parity, parcel from ``label``, vertex = 7 * vec_id % 11000
     atlas      16 test parcels x 4 vertices over 0..63
 """
 
@@ -24,24 +24,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetscape.functions.timeparse import ntz_literal
-from streetscape.operators.aoi import NAMED_AOIS
-from streetscape.operators.sizing import spread
+from streetscape.operators.aoi import bbox_text, named_box
 from streetscape.operators.store import build_image_rows
 
 # Fixed values for the test atlas: parcel names in ordinal order, 4 vertices each.
 TEST_PARCELS = ["V1", "V4", "V4t", "MT", "MST", "FFC", "PHA1", "PHA2", "PHA3", "PH", "PHT", "TE2p", "VVC", "STSdp", "45", "A5"]
 VERTICES_PER_PARCEL = 4
+# Label vertices run a little beyond a hemisphere, so that some fail the range check.
+LABEL_VERTICES = 11_000
 
-SHARD1_CUTOFF = datetime(2024, 1, 16)
+# A third of the captures, by id, was stored by earlier runs; the others are new whatever the data.
+STORED_EACH = 3
 SHARD1_AT = datetime(2024, 1, 16)
 SHARD2_AT = datetime(2024, 1, 17)
 SCORED_AT = datetime(2024, 2, 1)
-CAMDEN = NAMED_AOIS["camden"]
+CAMDEN = named_box("camden")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, spread over the cores when its file is a single split (see ``spread``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +73,8 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-shard image store (18 columns + source_file, row_index)."""
-    caps = captures(spark, sf_dir).filter(F.col("captured_at") < ntz_literal(SHARD1_CUTOFF))
-    rows = build_image_rows(caps, blobs(spark, sf_dir), CAMDEN.text(), ntz_literal(SHARD1_AT))
+    caps = captures(spark, sf_dir).filter(F.col("image_id").cast("bigint") % STORED_EACH == 0)
+    rows = build_image_rows(caps, blobs(spark, sf_dir), bbox_text(CAMDEN), ntz_literal(SHARD1_AT))
     s1 = rows.withColumn("source_file", F.lit("shard-1.parquet")).withColumn("row_index", F.col("image_id").cast("bigint"))
     s2 = (
         s1.filter(F.col("camera_type") == "error")
@@ -110,6 +111,6 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(p) for p in TEST_PARCELS])
     left = F.col("vec_id") % 2 == 0
     hemi = F.when(left, F.lit("lh")).otherwise(F.lit("rh"))
-    parcel = F.element_at(names, F.col("label") + 1)
+    parcel = F.element_at(names, ((F.col("label") + F.col("vec_id")) % len(TEST_PARCELS) + 1).cast("int"))
     name = F.concat(F.when(left, F.lit("L_")).otherwise(F.lit("R_")), parcel, F.lit("_ROI-"), hemi)
-    return emb.select(name.alias("name"), hemi.alias("hemi"), (F.col("vec_id") * 7).alias("vertex"))
+    return emb.select(name.alias("name"), hemi.alias("hemi"), (F.col("vec_id") * 7 % LABEL_VERTICES).alias("vertex"))

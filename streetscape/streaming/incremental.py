@@ -13,14 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streetscape.operators import captures as C
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
-from streetscape.operators.aoi import BBox, within_bbox
+from streetscape.operators.aoi import bbox_text, within_bbox
 from streetscape.schemas import IMAGE_SCHEMA, PAGE_DDL
 from streetscape.sinks.stores import append_images, append_scores
 from streetscape.sources.pages import explode_pages
@@ -41,7 +41,7 @@ def stream_ingest(
     blobs: DataFrame,
     store_path: str,
     checkpoint: str,
-    bbox: BBox,
+    bbox: Row,
     is_pano: bool | None = False,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
@@ -61,7 +61,7 @@ def stream_ingest(
         try:
             store = scan_image_store(spark, store_path)
             new = ST.new_images(cand, store)
-            rows = ST.build_image_rows(new, blobs, bbox.text()).persist(StorageLevel.MEMORY_AND_DISK)
+            rows = ST.build_image_rows(new, blobs, bbox_text(bbox)).persist(StorageLevel.MEMORY_AND_DISK)
             append_images(rows, store_path)
         finally:
             cand.unpersist()
@@ -99,11 +99,12 @@ def stream_score(
     images = reader.parquet(store_path)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        items = ST.drop_sentinel(batch).filter(F.col("image_blob").isNotNull())
-        # newest row per id in this batch (max(struct) partial aggregate: skew-safe)
-        items = items.groupBy("image_id").agg(F.max(F.struct("downloaded_at", "image_blob")).alias("__m"))
-        items = items.select("image_id", F.col("__m.image_blob").alias("image_blob"))
-        items = items.persist(StorageLevel.MEMORY_AND_DISK)
+        # the newest row of each id counts, as in the batch path: its keys are found first, blobs
+        # are attached to them, and one without a blob is not scored by an older blob
+        rows_in = ST.drop_sentinel(batch)
+        newest = rows_in.groupBy(F.col("image_id").alias("__id")).agg(F.max("downloaded_at").alias("__at"))
+        items = rows_in.join(newest, (F.col("image_id") == F.col("__id")) & F.col("downloaded_at").eqNullSafe(F.col("__at"))).dropDuplicates(["image_id"])
+        items = items.filter(F.col("image_blob").isNotNull()).select("image_id", "image_blob").persist(StorageLevel.MEMORY_AND_DISK)
         held: list[DataFrame] = [items]
 
         def hold(df: DataFrame) -> DataFrame:
@@ -113,7 +114,7 @@ def stream_score(
         try:
             todo = ST.new_images(items, scan_score_store(spark, score_path))
             seg = M.good_segments(M.score_images(todo, predictor_factory, batch_size))
-            rows = hold(M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo, hold=hold))
+            rows = hold(M.postprocess_scores(seg, atlas, alias_map, aliases, k, model_repo))
             append_scores(rows, score_path)
         finally:
             for df in held:
@@ -134,8 +135,8 @@ def land_pages(records: DataFrame, path: str, page: str = "page", pos: str = "po
     """Write capture records as landed page files, one JSON page document per file.
 
     ``records`` has (page, pos, record_text); a page's records are ordered by pos. Pages are
-    bounded by the listing page size. Files go to ``page_key=<9 digits>/`` so that file paths
-    sort in page order.
+    bounded by the listing page size. Files go to ``page_key=<19 digits>/`` so that file paths
+    sort in page order (19 digits hold every page number).
     """
     pages = records.groupBy(page).agg(
         F.concat(
@@ -144,5 +145,5 @@ def land_pages(records: DataFrame, path: str, page: str = "page", pos: str = "po
             F.lit('],"paging":{}}'),
         ).alias("value")
     )
-    pages = pages.withColumn("page_key", F.lpad(F.col(page).cast("string"), 9, "0"))
+    pages = pages.withColumn("page_key", F.lpad(F.col(page).cast("string"), 19, "0"))
     pages.select("page_key", "value").repartition("page_key").write.mode("append").partitionBy("page_key").text(path)
