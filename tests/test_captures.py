@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from streetscape.operators import captures as C
-from streetscape.operators.aoi import NAMED_AOIS
+from streetscape.operators.aoi import named_box
 from streetscape.sources.pages import scan_capture_pages
 
-CAMDEN = NAMED_AOIS["camden"]
+CAMDEN = named_box("camden")
 
 
 def _rec(i, **kw):
@@ -104,20 +105,26 @@ def test_select_candidates_caps_before_and_after_recheck(spark):
 
 
 def test_with_captured_at(spark):
-    df = spark.createDataFrame([(1714564800000,)], "captured_at_ms bigint")
-    assert C.with_captured_at(df).first().captured_at == datetime(2024, 5, 1, 12)
-    assert F is not None
+    df = spark.createDataFrame([(0,), (951782399999,), (None,)], "captured_at_ms bigint")
+    assert [r.captured_at for r in C.with_captured_at(df).collect()] == [datetime(1970, 1, 1), datetime(2000, 2, 28, 23, 59, 59, 999000), None]
 
 
-def test_large_cap_uses_page_offsets(spark, monkeypatch):
-    import streetscape.operators.captures as CC
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_cap_takes_the_first_rows_in_arrival_order(spark, monkeypatch, kind):
+    """Pages of uneven size, one without a number; far more pages than bins; every limit."""
+    import random
 
-    rows = [(f"{p}-{i}", p, i) for p in range(5) for i in range(7)]
-    df = spark.createDataFrame(rows, "image_id string, page int, pos int")
-    monkeypatch.setattr(CC, "TOP_N_MAX", 3)
-    got = sorted((r.page, r.pos) for r in CC.cap_candidates(df, 17).collect())
-    assert got == sorted(((p, i) for p in range(5) for i in range(7)))[:17]
-    assert CC.cap_candidates(df, 100).count() == 35
+    monkeypatch.setattr(C, "CAP_BINS", 5)
+    rng = random.Random(4)
+    pages = [None, *(rng.sample(range(0, 10_000, 7), 60))]
+    rows = [(None if p is None else str(p) if kind == "string" else p, k) for p in pages for k in range(rng.randint(1, 9))]
+    rng.shuffle(rows)
+    first = sorted(rows, key=lambda r: (r[0] is not None, "" if r[0] is None and kind == "string" else -1 if r[0] is None else r[0], r[1]))
+    df = spark.createDataFrame(rows, f"page {kind}, pos int").repartition(3)
+    for limit in (1, 3, 40, 123, len(rows) - 1, len(rows), len(rows) + 5):
+        got = [(r.page, r.pos) for r in C.cap_candidates(df, limit).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, first[:limit]))
+    assert C.cap_candidates(df, None).count() == C.cap_candidates(df, 0).count() == len(rows)
 
 
 def test_landed_page_directories_keep_fetch_order(spark, tmp_dir):
@@ -130,18 +137,3 @@ def test_landed_page_directories_keep_fetch_order(spark, tmp_dir):
     parsed = C.parse_captures(scan_capture_pages(spark, f"{tmp_dir}/landed"))
     ids = [r.image_id for r in parsed.orderBy("page", "pos").collect()]
     assert ids == ["1-0", "1-1", "2-0", "2-1", "10-0", "10-1"]
-
-
-def test_page_offsets_match_running_sum(spark):
-    import random
-
-    rnd = random.Random(3)
-    sizes = {f"p{k:03d}": rnd.randint(1, 9) for k in range(120)}
-    rows = [(p, i) for p, n in sizes.items() for i in range(n)]
-    df = spark.createDataFrame(rows, "page string, pos int")
-    got = {r.page: r["__off"] for r in C.page_offsets(df, "page", ranges=7).collect()}
-    run, exp = 0, {}
-    for p in sorted(sizes):
-        exp[p] = run
-        run += sizes[p]
-    assert got == exp

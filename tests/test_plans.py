@@ -6,7 +6,7 @@ from datetime import datetime
 
 import pytest
 
-from streetscape.operators.aoi import NAMED_AOIS
+from streetscape.operators.aoi import named_box
 from streetscape.operators.deliverable import deliverable_rows
 from streetscape.plans.inspect import exchanges_carrying
 from streetscape.schemas import IMAGE_COLUMNS, IMAGE_SCHEMA, SCORE_SCHEMA
@@ -39,34 +39,24 @@ def test_deliverable_moves_each_payload_once(static_plans, tmp_dir):
     append_images(spark.createDataFrame([_image(i, datetime(2024, 2, 1)) for i in range(10)], IMAGE_SCHEMA), images)
     rows = [(str(i), [0.5] * 8, [("V1", 0.5)], datetime(2024, 3, 1), "m") for i in range(25)]
     append_scores(spark.createDataFrame(rows, SCORE_SCHEMA), scores)
-    out = deliverable_rows(scan_image_store(spark, images), scan_score_store(spark, scores), NAMED_AOIS["camden"])
+    out = deliverable_rows(scan_image_store(spark, images), scan_score_store(spark, scores), named_box("camden"))
     assert out.count() == 25
     assert exchanges_carrying(out, "image_blob") <= 1
     assert exchanges_carrying(out, "brain_activity") <= 1
     assert exchanges_carrying(out, "image_id") >= 2  # the key-only shuffles are seen by the helper
 
 
-def test_postprocess_collapses_segments_once(spark):
-    from pyspark import StorageLevel
-
+def test_postprocess_explodes_no_vector(static_plans):
+    """At full width: one exchange, of partial vectors, and no row for a vector's element."""
     from streetscape.operators import atlas as AT
     from streetscape.operators import scoring as M
 
-    seg = spark.createDataFrame([("a", 0, [1.0] * 8), ("a", 1, [3.0] * 8), ("b", 0, [2.0] * 8)], "image_id string, segment_idx int, activity array<float>")
-    atlas = spark.createDataFrame([("V1", 0, v) for v in range(8)], "parcel string, ordinal int, vertex int")
-    held = []
-
-    def hold(df):
-        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
-
-    out = M.postprocess_scores(seg, atlas, AT.alias_map_df(spark), AT.alias_names(), k=10, hold=hold)
-    try:
-        assert {r.image_id: r.top_regions[0].name for r in out.collect()} == {"a": "V1", "b": "V1"}
-        # both consumers (output vectors, parcel means) read the one materialised copy
-        logical = out._jdf.queryExecution().withCachedData().toString()
-        assert logical.count("InMemoryRelation") >= 2
-        assert len(held) == 1
-    finally:
-        for df in held:
-            df.unpersist()
+    spark, width = static_plans, 20_484
+    seg = spark.range(12).selectExpr("cast(id % 4 as string) image_id", "cast(id div 4 as int) segment_idx", f"transform(sequence(1, {width}), x -> cast(x % 7 + id as float)) activity")
+    atlas = spark.range(width).selectExpr("if(id % 2 = 0, 'V1', 'FFC') parcel", "cast(id % 2 as int) ordinal", "cast(id as int) vertex")
+    out = M.postprocess_scores(seg, atlas, AT.alias_map_df(spark), AT.alias_names(), k=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan.lower() and plan.count("Exchange") == 1
+    rows = {r.image_id: r for r in out.collect()}
+    assert {k: (len(r.brain_activity), r.brain_activity[0]) for k, r in rows.items()} == {str(k): (width, 1.0 + 4 + k) for k in range(4)}
+    assert {t.name for t in rows["0"].top_regions} == {"V1", "FFA"}

@@ -35,12 +35,17 @@ def test_attach_timeline_drops_unmatched(spark):
 
 
 def test_stack_segments_in_order(spark):
-    seg = spark.createDataFrame([("a", 1, [2.0]), ("a", 0, [1.0])], "image_id string, segment_idx int, activity array<float>")
-    assert M.stack_segments(seg).first().segments == [[1.0], [2.0]]
-    many = spark.createDataFrame([("b", i, [float(i)]) for i in range(10)], "image_id string, segment_idx int, activity array<float>")
-    rows = sorted(M.stack_segments(many, chunk=4).collect(), key=lambda r: r.chunk)
-    assert [r.first_segment for r in rows] == [0, 4, 8]
-    assert [v[0] for r in rows for v in r.segments] == [float(i) for i in range(10)]
+    seg = spark.createDataFrame([("b", i, [float(i), -1.0]) for i in (3, 0, 99, 70)] + [("a", 5, [2.0])], "image_id string, segment_idx int, activity array<float>")
+    assert {r.image_id: r.segments for r in M.stack_segments(seg).collect()} == {"a": [[2.0]], "b": [[0.0, -1.0], [3.0, -1.0], [70.0, -1.0], [99.0, -1.0]]}
+
+
+def test_every_byte_reaches_the_model():
+    blob = bytearray(range(256)) * 20
+    base = M.ByteProbePredictor()([("a", bytes(blob))])["a"]
+    for at in (0, 700, len(blob) - 1):
+        changed = bytearray(blob)
+        changed[at] ^= 0xFF
+        assert (M.ByteProbePredictor()([("a", bytes(changed))])["a"] != base).any()
 
 
 def test_postprocess_scores_rows(spark):
@@ -52,33 +57,23 @@ def test_postprocess_scores_rows(spark):
     assert [t.name for t in r.top_regions] == ["MT", "FFA", "V1"]
 
 
-def _brute_plan(frames, target=64):
-    n = len(frames)
-    if n >= target:
-        return frames[:target]
-    rep = (target + n - 1) // n
-    out = []
-    for f in frames:
-        out.extend([f] * rep)
-    return out[:target]
-
-
-def test_pseudo_clip_plan_sizes(spark):
-    base = datetime(2024, 1, 1)
-    rows, expected, frames_of = [], {}, {}
-    for n in (1, 33, 64, 65, 3):
-        seq = f"s{n}"
-        frames = [f"{seq}-{i:03d}" for i in range(n)]
-        frames_of[seq] = frames
-        expected[seq] = _brute_plan(frames)
-        for i, fid in enumerate(frames):
-            rows.append((seq, base + timedelta(seconds=n - i if n == 3 else i), fid))
-    df = spark.createDataFrame(rows, "sequence_id string, captured_at timestamp_ntz, image_id string")
-    # sequence s3 arrives in reverse time order: the plan must be chronological
-    expected["s3"] = _brute_plan(sorted(frames_of["s3"], reverse=True))
-    got: dict[str, list] = {}
-    for r in M.pseudo_clip_plan(df, 64, salts=4).collect():
-        got.setdefault(r.sequence_id, {})[r.frame_idx] = r.image_id
-    for seq, exp in expected.items():
-        assert [got[seq][j] for j in range(len(got[seq]))] == exp, seq
-        assert len(got[seq]) == 64
+def test_pseudo_clip_plan_by_hand(spark):
+    """Four slots: a lone frame fills them, three frames stand twice and the last one falls out, five lose
+    one; order is by time; a repeated row is one frame; frames without a sequence are one of their own."""
+    noon = datetime(2022, 7, 1, 12)
+    at = lambda s: noon + timedelta(seconds=s)
+    rows = [("one", at(0), "x")] * 5
+    rows += [("three", at(9), "late"), ("three", at(1), "early"), ("three", at(5), "mid")]
+    rows += [("five", at(k), f"f{k}") for k in (4, 2, 0, 3, 1)]
+    rows += [(None, at(1), "n1"), (None, at(0), "n0")]
+    plan = {}
+    for r in M.pseudo_clip_plan(spark.createDataFrame(rows, "sequence_id string, captured_at timestamp_ntz, image_id string"), target=4, salts=3).collect():
+        plan.setdefault(r.sequence_id, {})[r.frame_idx] = r.image_id
+    assert {k: [v[i] for i in range(len(v))] for k, v in plan.items()} == {
+        "one": ["x", "x", "x", "x"],
+        "three": ["early", "early", "mid", "mid"],
+        "five": ["f0", "f1", "f2", "f3"],
+        None: ["n0", "n0", "n1", "n1"],
+    }
+    full = M.pseudo_clip_plan(spark.createDataFrame([("one", at(0), "x")] * 64, "sequence_id string, captured_at timestamp_ntz, image_id string"))
+    assert full.count() == 64

@@ -6,11 +6,11 @@ import json
 
 from streetscape.operators import atlas as AT
 from streetscape.operators import scoring as M
-from streetscape.operators.aoi import NAMED_AOIS
+from streetscape.operators.aoi import named_box
 from streetscape.sources.stores import scan_image_store, scan_score_store
 from streetscape.streaming.incremental import stream_ingest, stream_score
 
-CAMDEN = NAMED_AOIS["camden"]
+CAMDEN = named_box("camden")
 
 
 def _page(path, ids, lon=-0.144):
