@@ -143,38 +143,50 @@ def cap_candidates(df: DataFrame, limit: int | None, order: tuple[str, ...] = ("
     """First ``limit`` rows in arrival order (page, then position in the page; NULLs first); all
     rows for None or a limit below 1. The order of the result isn't defined.
 
-    One way for every size: the rows of each page are counted, the page in which the limit falls is
-    found by narrowing a histogram over the page numbers (``CAP_BINS`` bins a round), whole pages
-    before it are taken by a filter, and only rows of that page are ranked, by a top-N.
+    One way for every size and type of page: the rows of each page are counted, the page in which the
+    limit falls is found by narrowing a histogram between ``CAP_BINS`` of the pages a round, whole
+    pages before it are taken by a filter, and only rows of that page are ranked, by a top-N.
     """
     if limit is None or limit < 1:
         return df
     page, rest = order[0], order[1:]
     sizes = df.groupBy(F.col(page).alias("page")).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total, none, lo, hi = sizes.agg(F.sum("n"), F.coalesce(F.sum(F.when(F.col("page").isNull(), F.col("n"))), F.lit(0)), F.min("page"), F.max("page")).first()
+        total, none = sizes.agg(F.sum("n"), F.coalesce(F.sum(F.when(F.col("page").isNull(), F.col("n"))), F.lit(0))).first()
         if total is None or total <= limit:
             return df
-        left = limit - none
-        if left <= 0:
+        if none >= limit:
             return _first_of_page(df.where(F.col(page).isNull()), limit, rest)
-        lo, hi = int(lo), int(hi)
-        while lo < hi:
-            width = (hi - lo) // CAP_BINS + 1
-            inside = sizes.where(F.col("page").between(lo, hi))
-            bins = dict(inside.groupBy(F.floor((F.col("page") - lo) / width).alias("bin")).agg(F.sum("n")).collect())  # CAP_BINS rows
-            for k in sorted(bins):
-                if bins[k] >= left:
-                    lo, hi = lo + k * width, min(hi, lo + (k + 1) * width - 1)
-                    break
-                left -= bins[k]
+        cut, left = _cut_page(sizes.where("page IS NOT NULL"), limit - none)
     finally:
         sizes.unpersist()
-    before = df.where(F.col(page).isNull() | (F.col(page) < lo))
-    return before.unionAll(_first_of_page(df.where(F.col(page) == lo), left, rest))
-
-
-CAP_BINS = 1024
+    before = df.where(F.col(page).isNull() | (F.col(page) < cut))
+    return before.unionAll(_first_of_page(df.where(F.col(page) == cut), left, rest))
+
+
+CAP_BINS = 256
+
+
+def _cut_page(sizes: DataFrame, left: int) -> tuple:
+    """The page of (page, n) that holds the ``left``-th row in page order, and the row's rank in it."""
+    while True:
+        head = sizes.orderBy("page").limit(CAP_BINS + 1).collect()
+        for page, n in head:
+            if n >= left:
+                return page, left
+            left -= n
+        sizes = sizes.where(F.col("page") > F.lit(head[-1][0]))
+        splits = sorted(r[0] for r in sizes.orderBy(F.xxhash64("page"), "page").limit(CAP_BINS).collect())
+        bin_ = F.size(F.filter(F.array(*[F.lit(x) for x in splits]), lambda x: x < F.col("page")))
+        counts = dict(sizes.groupBy(bin_.alias("bin")).agg(F.sum("n")).collect())  # CAP_BINS + 1 rows
+        for k in sorted(counts):
+            if counts[k] >= left:
+                break
+            left -= counts[k]
+        if k:
+            sizes = sizes.where(F.col("page") > F.lit(splits[k - 1]))
+        if k < len(splits):
+            sizes = sizes.where(F.col("page") <= F.lit(splits[k]))
 
 
 def _first_of_page(rows: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
