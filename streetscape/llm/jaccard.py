@@ -6,15 +6,17 @@ shingles is hashed into segments, more of them than that. Each class indexes, in
 its size allows in the next one, its subset of every segment that isn't empty, and in the first
 ``DOUBLE`` segments also the subsets with one shingle deleted. The larger set of a pair probes: it allots its
 segments weights of 0, 1 (equal subsets) or 2 (subsets within one deletion) whose sum exceeds 2t / 7,
-so at least one allotted segment must match. The allotment takes the cheapest segments by a count
-sketch of all index keys, so common passages are left out. Sets below ``SINGLE`` shingles take each
+so at least one allotted segment must match. The allotment is made when every key's bucket has been
+counted and takes the cheapest units first: those whose keys no other class has cost nothing, so a class
+that shares only a passage with others is a candidate of none. Sets below ``SINGLE`` shingles take each
 shingle as a segment of its own. A class whose segments can't reach the sum is compared with all
 classes instead, in blocks.
 
 Signatures travel as packed blocks: one row for each task and partition of the key space. Members of
-a bucket are compared with its least member first and linked; only members that are still in
-different components of one bucket are compared in a second round. A pair whose sets, counted by hash
-slot, differ by more than the similarity allows is dropped (the counts' differences bound the sets' from
+a bucket are compared with its best connected member first and linked; only members that are still in
+different components of one bucket are compared in a second round, and in the join itself only if the
+parities of their shingles in 1,024 hash slots differ in no more slots than the similarity allows. A pair whose sets,
+counted by hash slot, differ by more than it allows is dropped too (both bound the sets' difference from
 below); all other verdicts come from the whole sets, read for the classes in question only.
 
 Sets and classes are known by 64-bit hashes of their shingles.
@@ -28,24 +30,29 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetscape.llm import tokens as T
 from streetscape.llm.graph import components, written
 
 SHINGLE, SHARE, OF = 5, 75, 100
-SINGLE, DOUBLE, SLACK = 32, 2, 1.25
-SKETCH = 1 << 20
-SKETCH_SLICES = 64
+SINGLE, DOUBLE, SLACK = 32, 2, 1.25  # two doubled segments: see the tags
+#: What a key is for, in its lowest bits: an exact subset; one in the first or second segment that has deletions;
+#: a deletion in the first or second segment; any key in a band where its class doesn't probe.
+PLAIN, EXACT, DELETED, INDEX = 0, 1, 3, 5
+TAG_BITS, KEY_BITS = 3, 45
 #: Bytes of signatures in a partition of the key space, and the part of a text's bytes that they take.
-PART_BYTES, SIGNATURE_SHARE = 16 << 20, 1.0
+PART_BYTES, SIGNATURE_SHARE = 8 << 20, 1.0
 #: Ids up to which a set of documents to be read is broadcast; beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
 IRREGULAR_BLOCK = 1000
+#: 64-bit words of a set's parity sketch.
+PARITY = 16
 _U = np.uint64
 
 
@@ -97,6 +104,14 @@ def differ(a: bytes, b: bytes) -> int:
     return int(np.abs(x - y)[(x < 255) & (y < 255)].sum() if full else np.abs(x - y).sum())
 
 
+def parities(key: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    """[n, PARITY] words: of each hash slot, whether an odd number of the set's shingles is in it."""
+    bits = PARITY * 64
+    slot = (T.mix(key + _U(0xD2B74407B1CE6E93)) >> _U(64 - (bits.bit_length() - 1))).astype(np.int64)
+    odd = np.bincount(own * bits + slot, minlength=n * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1, bitorder="little").view("<i8")
+
+
 def need(t: np.ndarray) -> np.ndarray:
     """One more than the shingles in which a set of size t and a smaller similar one can differ."""
     return 2 * t * (OF - SHARE) // (OF + SHARE) + 1
@@ -165,48 +180,30 @@ def signatures(key: np.ndarray, own: np.ndarray, size: np.ndarray) -> Iterator[t
         yield _subsets(key[pick], own[pick], size, b + 1), b + 1, False
 
 
-def allot(s: dict[str, np.ndarray], size: np.ndarray, b: np.ndarray, sketch: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(weight of each subset, texts that can't reach their sum): the cheapest subsets first, each at 1; a subset
-    of the first segments counts as a second unit at the cost of its deletions."""
-    cost = sketch[(s["key"] >> _U(44)).astype(np.int64)].astype(np.float64)
+def tagged(s: dict[str, np.ndarray], size: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tags of the subsets' keys, tags of the deletion keys, units that each set can allot) in the band where the sets probe."""
     limit = np.where(size < SINGLE, np.iinfo(np.int64).max, reach(size, b))
     usable = (s["seg"] < limit[s["own"]]) | (size[s["own"]] < SINGLE)
-    unit, at = [np.flatnonzero(usable)], [cost[usable]]
-    if len(s["del_at"]):
-        extra = np.unique(s["del_at"])
-        extra = extra[usable[extra]]
-        more = np.bincount(s["del_at"], weights=sketch[(s["del_key"] >> _U(44)).astype(np.int64)], minlength=len(cost))
-        unit.append(extra)
-        at.append(cost[extra] + more[extra] + 1)  # after the subset's own unit
-    unit, at = np.concatenate(unit), np.concatenate(at)
-    owner = s["own"][unit]
-    order = np.lexsort((at, owner))
-    unit, owner = unit[order], owner[order]
-    have = np.bincount(owner, minlength=n)
-    rank = np.arange(len(owner)) - np.repeat(np.cumsum(have) - have, have)
-    want = need(size)
-    taken = rank < want[owner]
-    return np.bincount(unit[taken], minlength=len(cost)), np.flatnonzero((size > 0) & (have < want))
+    doubled = np.zeros(len(s["key"]), bool)
+    doubled[s["del_at"]] = True
+    tag = np.where(~usable, INDEX, np.where(doubled, EXACT + s["seg"], PLAIN))
+    at = s["del_at"]
+    units = np.bincount(s["own"], weights=usable.astype(np.int64) + (usable & doubled), minlength=n).astype(np.int64)
+    return tag, np.where(usable[at], DELETED + s["seg"][at], INDEX), units
+
+
+_PROFILE = ", ".join(["doc_id long", "n long", "class long", "bytes long", "counts binary", *(f"p{k} long" for k in range(PARITY))])
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: a document, its set's size and class. Rows of kind 1: slices of the task's sketch of index keys."""
-    sketch = np.zeros(SKETCH, np.int32)
-    seen: set[int] = set()
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["kind", "doc_id", "n", "class", "bytes", "counts"]
+    """Each document with its set's size, class and counts by hash slot."""
     for batch in batches:
         for i, j, buf, off in T.chunks(batch.column("text")):
             key, own = sets(buf, off)
             size, cls = classes(key, own, j - i)
-            ids = batch.column("doc_id").slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(j - i, np.int32)), ids, pa.array(size), pa.array(cls.view(np.int64)), pa.array(np.diff(off)), pa.array(slot_counts(key, own, size), pa.binary())], names=names)
-            key, own, size, _ = _unseen(key, own, size, cls, seen)
-            for s, _, _ in signatures(key, own, size):
-                sketch += np.bincount((s["key"] >> _U(44)).astype(np.int64), minlength=SKETCH).astype(np.int32)
-    width = SKETCH // SKETCH_SLICES
-    rows = [(1, k, 0, 0, 0, sketch[k * width : (k + 1) * width].tobytes()) for k in range(SKETCH_SLICES)]
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            columns = [batch.column("doc_id").slice(i, j - i), pa.array(size), pa.array(cls.view(np.int64)), pa.array(np.diff(off)), pa.array(slot_counts(key, own, size), pa.binary())]
+            odd = parities(key, own, j - i)
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(odd[:, k]) for k in range(PARITY))], names=[x.split()[0] for x in _PROFILE.split(", ")])
 
 
 def _unseen(key, own, size, cls, seen: set[int]):
@@ -220,18 +217,9 @@ def _unseen(key, own, size, cls, seen: set[int]):
     return key[pick], own[pick], np.where(new, size, 0), new
 
 
-def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for b in batches:
-        for k, raw in zip(b.column("doc_id").to_pylist(), b.column("counts").to_pylist()):
-            total[k] = total.get(k, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["k", "counts"])
-
-
-def _emit(sketch: np.ndarray, parts: int):
-    """Packed signatures: for each partition of the key space, the task's classes with their number of keys and
-    their 48-bit keys, whose lowest bit tells a probe."""
+def _emit(parts: int):
+    """Packed signatures: for each partition of the key space, the task's classes (with size, units and number
+    of keys) and their keys, 45 bits with the tag below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -243,16 +231,19 @@ def _emit(sketch: np.ndarray, parts: int):
                 size, cls = classes(key, own, j - i)
                 key, own, size, _ = _unseen(key, own, size, cls, seen)
                 for s, b, probing in signatures(key, own, size):
-                    weight, irregular = allot(s, size, b, sketch, j - i) if probing else (np.zeros(len(s["key"]), np.int64), [])
+                    if probing:
+                        tag, del_tag, units = tagged(s, size, b, j - i)
+                        short = np.flatnonzero((size > 0) & (units < need(size)))
+                        held.append((np.full(len(short), parts), np.zeros(len(short), _U), cls[short], size[short], units[short]))
+                    else:
+                        tag, del_tag = np.full(len(s["key"]), INDEX), np.full(len(s["del_at"]), INDEX)
                     keys = np.concatenate([s["key"], s["del_key"]])
                     owner = np.concatenate([s["own"], s["own"][s["del_at"]]])
-                    flag = np.concatenate([weight > 0, weight[s["del_at"]] > 1])
                     part = ((keys >> _U(32)) * _U(parts)) >> _U(32)
-                    held.append((part.astype(np.int64), (T.mix(keys) >> _U(16)) & _U(0xFFFFFFFFFFFE) | flag.astype(_U), cls[owner], size[owner]))
+                    packed = (T.mix(keys) >> _U(64 - KEY_BITS)) << _U(TAG_BITS) | np.concatenate([tag, del_tag]).astype(_U)
+                    held.append((part.astype(np.int64), packed, cls[owner], size[owner], units[owner]))
                     rows += len(keys)
-                    if len(irregular):
-                        held.append((np.full(len(irregular), parts), np.zeros(len(irregular), _U), cls[irregular], size[irregular]))
-                if rows > 4_000_000:
+                if rows > 500_000:
                     yield from _pack(held)
                     held, rows = [], 0
         yield from _pack(held)
@@ -263,14 +254,14 @@ def _emit(sketch: np.ndarray, parts: int):
 def _pack(held: list[tuple]) -> Iterator[pa.RecordBatch]:
     if not held:
         return
-    part, key, cls, size = (np.concatenate(x) for x in zip(*held))
+    part, key, cls, size, units = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((cls, part))
-    part, key, cls, size = part[order], key[order], cls[order], size[order]
+    part, key, cls, size, units = part[order], key[order], cls[order], size[order], units[order]
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
     out = []
     for a, b in zip(first, np.append(first[1:], len(part))):
         head = np.flatnonzero(np.append(True, cls[a + 1 : b] != cls[a : b - 1])) + a
-        table = np.stack([cls[head].view(np.int64), size[head], np.diff(np.append(head, b))], axis=1)
+        table = np.stack([cls[head].view(np.int64), size[head], units[head], np.diff(np.append(head, b))], axis=1)
         out.append((int(part[a]), table.astype("<i8").tobytes(), key[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
     for k in range(0, len(out), 64):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 64]), [pa.int64(), pa.binary(), pa.binary()])], names=["part", "classes", "keys"])
@@ -283,35 +274,33 @@ def _keys(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-_BUCKETS = "part long, key long, class long, n long, probe boolean, hub long, hub_n long, hub_probe boolean"
+_BUCKETS = "key long, class long, n long, units long, tag int, others long"
 
 
 def _buckets(parts: int):
-    """Members of the buckets with a probe and two classes at least, each with the bucket's least class; in partition
-    ``parts``, which lists classes without keys, all of them. Rows come by partition."""
+    """Members of the buckets with two classes at least, each with the number of ``others``; for partition
+    ``parts``, which lists classes without keys, all of them with the key -1. Rows come by partition."""
 
     def flush(part: int, tables: list[bytes], keys: list[bytes]) -> Iterator[pa.RecordBatch]:
-        table = np.concatenate([np.frombuffer(t, "<i8").reshape(-1, 3) for t in tables])
+        table = np.concatenate([np.frombuffer(t, "<i8").reshape(-1, 4) for t in tables])
         key = np.concatenate([_keys(k) for k in keys])
-        cls, size = np.repeat(table[:, 0], table[:, 2]), np.repeat(table[:, 1], table[:, 2])
-        probe = (key & _U(1)).astype(bool)
-        key >>= _U(1)
-        order = np.lexsort((cls, key))
-        key, cls, size, probe = key[order], cls[order], size[order], probe[order]
-        # one row for each class in a bucket, a probe if any of its rows is
-        new = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))
-        at = np.flatnonzero(new)
-        probe = np.logical_or.reduceat(probe, at)
-        key, cls, size = key[at], cls[at], size[at]
+        row = np.repeat(np.arange(len(table)), table[:, 3])
+        tag = (key & _U((1 << TAG_BITS) - 1)).astype(np.int32)
+        key >>= _U(TAG_BITS)
+        order = np.lexsort((tag, table[row, 0], key))
+        key, row, tag = key[order], row[order], tag[order]
+        cls = table[row, 0]
+        new_class = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))
+        at = np.flatnonzero(new_class | np.append(True, tag[1:] != tag[:-1]))
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        many = np.diff(np.append(first, len(key)))
-        live = (many > 1) & np.logical_or.reduceat(probe, first) | (part == parts)
-        pick = np.repeat(live, many)
-        hub = np.repeat(first, many)[pick]
-        if pick.any():
-            cols = [np.full(int(pick.sum()), part), key[pick].astype(np.int64), cls[pick], size[pick], probe[pick], cls[hub], size[hub], probe[hub]]
-            for k in range(0, len(cols[0]), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000]) for c in cols], names=[x.split()[0] for x in _BUCKETS.split(", ")])
+        many = np.add.reduceat(new_class.astype(np.int64), first)
+        size = many[np.cumsum(np.append(True, key[1:] != key[:-1])) - 1]
+        at = at[(size[at] > 1) | (part == parts)]
+        if len(at):
+            place = np.full(len(at), -1) if part == parts else (part << KEY_BITS) + key[at].astype(np.int64)
+            columns = [place, cls[at], table[row[at], 1], table[row[at], 2], tag[at], size[at] - 1]
+            for k in range(0, len(at), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 200_000]) for c in columns], names=[x.split()[0] for x in _BUCKETS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, tables, keys = None, [], []
@@ -329,6 +318,27 @@ def _buckets(parts: int):
     return run
 
 
+def allotted(buckets: DataFrame) -> DataFrame:
+    """The members of the buckets that some class probes in, with ``probe`` for those that do and the
+    ``degree`` of each class, its others in all its buckets.
+
+    A unit is a subset's key or, of a doubled segment, its key and its deletions together; it costs the others in its buckets.
+    Units without a shared key cost nothing and aren't in the table; of the rest each class takes the
+    cheapest, as many as it still needs."""
+    unit = F.when(F.col("tag") == PLAIN, F.array("key"))
+    for k in range(DOUBLE):
+        unit = unit.when(F.col("tag") == EXACT + k, F.array(F.col("key"), F.lit(-1 - k).cast("long"))).when(F.col("tag") == DELETED + k, F.array(F.lit(-1 - k).cast("long")))
+    rows = buckets.where(F.col("tag") != INDEX).select("key", "class", "n", "units", "others", F.explode(unit).alias("unit"))
+    costs = rows.groupBy("class", "n", "units", "unit").agg(F.sum("others").alias("cost"))
+    by_class = Window.partitionBy("class")
+    wanted = F.expr(f"2 * n * {OF - SHARE} div {OF + SHARE} + 1") - (F.col("units") - F.count("*").over(by_class))
+    taken = costs.withColumn("still", wanted).withColumn("rank", F.row_number().over(by_class.orderBy("cost", "unit"))).where("rank <= still").select("class", "unit")
+    probes = written(rows.join(taken, ["class", "unit"], "left_semi").select("key", "class").distinct(), "probes")
+    degree = buckets.groupBy("class").agg(F.sum("others").alias("degree"))
+    members = buckets.select("key", "class", "n").distinct().join(probes.select("key").distinct(), "key", "left_semi").join(degree, "class")
+    return written(members.join(probes.withColumn("probe", F.lit(True)), ["key", "class"], "left").withColumn("probe", F.coalesce("probe", F.lit(False))), "members")
+
+
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(class, sorted 48-bit shingles) of each text."""
     for b in batches:
@@ -371,7 +381,7 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(docs: DataFrame, profile: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of classes whose whole sets are similar."""
-    one = profile.where("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
+    one = profile.where("n > 0 AND doc_id IS NOT NULL")
     counted = one.select("class", "n", "counts").dropDuplicates(["class"])
     side = lambda df, s: df.select(*[F.col(c).alias(s if c == "class" else f"{s}_{c}") for c in df.columns])
     pairs = written(pairs.join(side(counted, "a"), "a").join(side(counted, "b"), "b").select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(_plausible, "a long, b long"), "pairs")
@@ -405,36 +415,36 @@ def _against(block: list[tuple[int, bytes]]):
 
 def join_components(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = written(docs.mapInArrow(_profile, "kind int, doc_id long, n long, class long, bytes long, counts binary"), "profile")
-    slices = profile.where("kind = 1").select("doc_id", "counts").repartition(SKETCH_SLICES, "doc_id").mapInArrow(_add_slices, "k long, counts binary").toArrow()  # SKETCH counts
-    sketch = np.zeros(SKETCH, np.int64)
-    width = SKETCH // SKETCH_SLICES
-    for k, raw in zip(slices.column("k").to_pylist(), slices.column("counts").to_pylist()):
-        sketch[k * width : (k + 1) * width] = np.frombuffer(raw, np.int64)
-    volume = profile.where("kind = 0").agg(F.sum("bytes")).first()[0] or 0
+    profile = written(docs.mapInArrow(_profile, _PROFILE), "profile")
+    volume = profile.agg(F.sum("bytes")).first()[0] or 0
     parts = max(8, int(volume * SIGNATURE_SHARE / PART_BYTES))
-    packed = docs.mapInArrow(_emit(sketch.astype(np.int32) if sketch.max(initial=0) < 1 << 31 else sketch, parts), "part long, classes binary, keys binary")
+    packed = docs.mapInArrow(_emit(parts), "part long, classes binary, keys binary")
     buckets = written(packed.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_buckets(parts), _BUCKETS), "buckets")
-    irregular = buckets.where(F.col("part") == parts).select("class").distinct()
-    buckets = buckets.where(F.col("part") < parts)
+    irregular = buckets.where("key = -1").select("class").distinct()
+    members = allotted(buckets.where("key >= 0"))
 
-    first = buckets.where((F.col("class") != F.col("hub")) & _fits("n", "hub_n") & _probed("n", "probe", "hub_n", "hub_probe")).select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
+    # the hub is the member that shares most with others: of a text and its near copies, the text
+    hubs = members.groupBy("key").agg(F.max(F.struct("degree", "class", "n", "probe")).alias("hub")).select("key", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.probe").alias("hub_probe"))
+    first = members.join(hubs, "key").where((F.col("class") != F.col("hub")) & _fits("n", "hub_n") & _probed("n", "probe", "hub_n", "hub_probe"))
+    first = written(first.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct(), "first")
     found = links(docs, profile, first)
     root = components(found)
-    left = buckets.select("part", "key", "class", "n", "probe").join(root.withColumnRenamed("id", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    left = written(left, "members")
-    mixed = left.groupBy("part", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("part", "key")
-    open_ = left.join(mixed, ["part", "key"], "left_semi")
-    other = open_.select("part", "key", F.col("class").alias("class2"), F.col("n").alias("n2"), F.col("probe").alias("probe2"), F.col("root").alias("root2"))
-    second = open_.join(other, (open_.part == other.part) & (open_.key == other.key) & (F.col("class") < F.col("class2")) & (F.col("root") != F.col("root2")) & _fits("n", "n2") & _probed("n", "probe", "n2", "probe2"))
+    left = members.join(root.withColumnRenamed("id", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    left = written(left, "rooted")
+    mixed = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    odd = profile.where("n > 0").select("class", *[f"p{k}" for k in range(PARITY)]).dropDuplicates(["class"])
+    open_ = left.join(mixed, "key", "left_semi").join(odd, "class")
+    x, y = open_.alias("x"), open_.alias("y")
+    differ_in = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(PARITY)])
+    plausible = differ_in * (OF + SHARE) <= (F.col("x.n") + F.col("y.n")) * (OF - SHARE)
+    second = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & _fits("x.n", "y.n") & _probed("x.n", "x.probe", "y.n", "y.probe") & plausible)
+    second = second.select(F.col("x.class").alias("class"), F.col("y.class").alias("class2"))
     second = second.select(F.greatest("class", "class2").alias("a"), F.least("class", "class2").alias("b")).distinct().join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-    found = found.union(links(docs, profile, second))
-    found = found.union(_irregular_links(docs, profile, irregular))
-    root = components(found)
+    more = links(docs, profile, second).union(_irregular_links(docs, profile, irregular))
+    root = components(found.union(more)) if more.limit(1).count() else root
 
-    rows = profile.where("kind = 0").select("doc_id", "n", "class")
+    rows = profile.select("doc_id", "n", "class")
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")).join(root.withColumnRenamed("id", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     of_root = least.groupBy("root").agg(F.min("least").alias("component"))
     named = least.join(of_root, "root").select("class", "component")
@@ -461,7 +471,7 @@ def _irregular_links(docs: DataFrame, profile: DataFrame, irregular: DataFrame)
     n = irregular.count()
     blocks = -(-n // IRREGULAR_BLOCK)
     for k in range(blocks):
-        named = profile.where("kind = 0 AND doc_id IS NOT NULL").join(irregular, "class", "left_semi").where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == k).groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        named = profile.where("doc_id IS NOT NULL").join(irregular, "class", "left_semi").where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == k).groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
         block = docs.join(named, "doc_id", "left_semi").mapInArrow(_whole_sets, "class long, grams binary").dropDuplicates(["class"]).collect()  # about IRREGULAR_BLOCK sets
         out = out.union(docs.mapInArrow(_against([(r[0], bytes(r[1])) for r in block]), "a long, b long"))
     return written(out.distinct(), "irregular") if blocks else out

@@ -246,8 +246,8 @@ def test_jaccard_irregular_classes_are_compared_with_all(spark, monkeypatch):
     """With a universe too coarse for any allotment every class takes the exact way."""
     docs = spark.createDataFrame([(i, prose(i // 2, 80) + (" end" if i % 2 else "")) for i in range(20)], "doc_id long, text string")
     want = {r.doc_id: r.component_id for r in jaccard.join_components(docs).collect()}
-    profile = jaccard.written(docs.mapInArrow(jaccard._profile, "kind int, doc_id long, n long, class long, bytes long, counts binary"), "profile")
-    found = jaccard._irregular_links(docs, profile, profile.where("kind = 0").select("class").distinct())
+    profile = jaccard.written(docs.mapInArrow(jaccard._profile, jaccard._PROFILE), "profile")
+    found = jaccard._irregular_links(docs, profile, profile.select("class").distinct())
     assert found.where("a <> b").select(F.least("a", "b"), F.greatest("a", "b")).distinct().count() == 10
     assert want == {i: i // 2 * 2 for i in range(20)}
 
