@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -114,6 +115,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir isn't set: on a cluster it names the folder that all executors share")
         root = tempfile.mkdtemp(prefix="streetscape-ckpt-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -23,14 +23,41 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 GEO_VERSION = "2.0.0"
 # Writer version choices (fixed values): option -> (geo metadata version or None, native GEOMETRY type)
-GEO_VERSIONS = {"V2": ("2.0.0", False), "V1": ("1.1.0", False), "NONE": (None, True), "BOTH": ("1.1.0", True)}
+GEO_VERSIONS = {"V2": ("2.0.0", True), "V1": ("1.0.0", False), "NONE": (None, True), "BOTH": ("1.0.0", True)}
 DEFAULT_CRS = "OGC:CRS84"
+# Fixed value: the PROJJSON of OGC:CRS84.
+CRS84_PROJJSON = {
+    "$schema": "https://proj.org/schemas/v0.7/projjson.schema.json",
+    "type": "GeographicCRS",
+    "name": "WGS 84 (CRS84)",
+    "datum": {"type": "GeodeticReferenceFrame", "name": "World Geodetic System 1984", "ellipsoid": {"name": "WGS 84", "semi_major_axis": 6378137, "inverse_flattening": 298.257223563}},
+    "coordinate_system": {
+        "subtype": "ellipsoidal",
+        "axis": [
+            {"name": "Geodetic longitude", "abbreviation": "Lon", "direction": "east", "unit": "degree"},
+            {"name": "Geodetic latitude", "abbreviation": "Lat", "direction": "north", "unit": "degree"},
+        ],
+    },
+    "id": {"authority": "OGC", "code": "CRS84"},
+}
 ROW_GROUP_ROWS = 2048
 STAGING = "_staging"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's file systems resolve it: without one it is on the cluster's default."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        given = jvm.org.apache.hadoop.fs.Path(path)
+        return given.getFileSystem(conf).makeQualified(given).toString()
+    except Exception:  # noqa: BLE001  (Spark Connect: no JVM; the path is taken as it is)
+        return path
+
+
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" in path and not path.startswith("file:"):
+        for alias in ("s3a://", "s3n://"):
+            path = path.replace(alias, "s3://", 1) if path.startswith(alias) else path
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
 
@@ -50,9 +77,7 @@ def _point_bbox(col: pa.ChunkedArray | pa.Array) -> list[float] | None:
 
 
 def geo_metadata_json(geom_col: str, bbox: list[float] | None, crs: str = DEFAULT_CRS, version: str = GEO_VERSION) -> str:
-    col_meta: dict = {"encoding": "WKB", "geometry_types": ["Point"]}
-    if crs != DEFAULT_CRS:  # CRS84 is the spec default when "crs" is absent
-        col_meta["crs"] = crs
+    col_meta: dict = {"encoding": "WKB", "geometry_types": ["Point"], "crs": CRS84_PROJJSON if crs == DEFAULT_CRS else crs}
     if bbox is not None:
         col_meta["bbox"] = bbox
     return json.dumps({"version": version, "primary_column": geom_col, "columns": {geom_col: col_meta}}, separators=(",", ":"))
@@ -108,6 +133,7 @@ class _GeoWriter(DataSourceArrowWriter):
         self.refuse_empty = options.get("refuse_empty", "true").lower() == "true"
         self.native = options.get("geometry_encoding", "wkb").lower() == "native"
         self.geo_version = options.get("geo_version", GEO_VERSION) or None
+        self.staging = f"{STAGING}/{uuid.uuid4().hex}"  # of this job alone
 
     def write(self, iterator):
         """Stream the task's Arrow batches into one staged file: rows are buffered only up to a
@@ -118,7 +144,7 @@ class _GeoWriter(DataSourceArrowWriter):
         part = ctx.partitionId() if ctx else 0
         name = f"part-{part:05d}-{uuid.uuid4().hex}.parquet"
         fs, base = _fs(self.path)
-        staged = f"{base}/{STAGING}/{name}.tmp"
+        staged = f"{base}/{self.staging}/{name}.tmp"
         writer = None
         sink = None
         pending: list[pa.RecordBatch] = []
@@ -145,7 +171,7 @@ class _GeoWriter(DataSourceArrowWriter):
                 if self.native:
                     batch = _as_native_geometry(batch, self.geom, self.crs)
                 if writer is None:
-                    fs.create_dir(f"{base}/{STAGING}", recursive=True)
+                    fs.create_dir(f"{base}/{self.staging}", recursive=True)
                     sink = fs.open_output_stream(staged)
                     writer = pq.ParquetWriter(sink, batch.schema, compression="zstd", compression_level=self.level)
                 b = _point_bbox(batch.column(batch.schema.get_field_index(self.geom)))
@@ -179,18 +205,18 @@ class _GeoWriter(DataSourceArrowWriter):
         if self.refuse_empty and sum(m.rows for m in messages if m is not None) == 0:
             self.abort(messages)
             raise RuntimeError("refusing to write an empty deliverable")
-        if self.overwrite:
-            for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-                if info.type == pafs.FileType.File and info.base_name.endswith(".parquet"):
-                    fs.delete_file(info.path)
+        before = [i.path for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if i.type == pafs.FileType.File and i.base_name.endswith(".parquet")]
+        # new files come into place before old ones go, so no moment has neither
         for m in messages:
-            if m is None:
-                continue
-            for src, dst in zip(m.staged, m.final):
-                fs.move(src, dst)
-        # Staged leftovers of failed or speculative task attempts go with the staging folder.
-        if fs.get_file_info(f"{base}/{STAGING}").type != pafs.FileType.NotFound:
-            fs.delete_dir(f"{base}/{STAGING}")
+            if m is not None:
+                for src, dst in zip(m.staged, m.final):
+                    fs.move(src, dst)
+        if self.overwrite:
+            for old in before:
+                fs.delete_file(old)
+        # Staged leftovers of failed or speculative task attempts go with this job's staging folder.
+        if fs.get_file_info(f"{base}/{self.staging}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{base}/{self.staging}")
 
     def abort(self, messages):
         fs, _ = _fs(self.path)
@@ -228,17 +254,15 @@ def write_geo(
     geometry_encoding: str | None = None,
     version: str = "V2",
 ) -> str:
-    """K4: write ``df`` as GeoParquet (WKB ``geom`` + ``geo`` metadata 2.0.0). An empty input is
+    """K4: write ``df`` as GeoParquet (native ``geom`` + ``geo`` metadata 2.0.0). An empty input is
     refused (a geo table without rows carries no geometry evidence): the writer's commit sees the
     row counts of all tasks and aborts instead, so the input is computed only once.
 
-    ``geometry_encoding="native"`` also marks ``geom`` with the Parquet GEOMETRY logical type
-    (GeoParquet 2.0 style); Spark then reads it back only with an explicit ``geom binary``
-    schema (``scan_deliverable``).
-
-    ``version``: ``V2`` (default; ``geo`` 2.0.0 over WKB), ``V1`` (``geo`` 1.1.0), ``NONE`` (no
-    ``geo`` key, native GEOMETRY type), ``BOTH`` (native type plus ``geo`` 1.1.0). Only V2 passes
-    ``verify_geo``, as in the reference."""
+    ``version``: ``V2`` (default: ``geo`` 2.0.0 and the Parquet GEOMETRY logical type), ``V1`` (``geo`` 1.0.0 over
+    WKB), ``NONE`` (no ``geo`` key, native type), ``BOTH`` (native type plus ``geo`` 1.0.0); ``geometry_encoding``
+    ("native" or "wkb") overrides the type. Only metadata 2.0.0 passes ``verify_geo``, as in the reference.
+    Spark reads a native column back with an explicit ``geom binary`` schema (``scan_deliverable``). The CRS is
+    always written out."""
     if version not in GEO_VERSIONS:
         raise ValueError(f"unknown GeoParquet version {version!r}; one of {sorted(GEO_VERSIONS)}")
     geo_version, native = GEO_VERSIONS[version]
@@ -255,7 +279,7 @@ def write_geo(
             .option("crs", crs)
             .option("geometry_encoding", geometry_encoding)
             .option("geo_version", geo_version or "")
-            .save(path)
+            .save(qualified(df.sparkSession, path))
         )
     except Exception as exc:  # noqa: BLE001
         if "refusing to write an empty deliverable" in str(exc):
@@ -300,61 +324,49 @@ def geo_metadata(spark: SparkSession, path: str) -> DataFrame:
 def crs_of(meta: DataFrame) -> DataFrame:
     """CRS of each file's primary geometry column (spec default when absent)."""
     col = F.col("geo.columns")[F.col("geo.primary_column")]
-    return meta.select("file", F.coalesce(col["crs"], F.lit(DEFAULT_CRS)).alias("crs"))
+    named = F.concat_ws(":", F.get_json_object(col["crs"], "$.id.authority"), F.get_json_object(col["crs"], "$.id.code"))
+    return meta.select("file", F.coalesce(F.nullif(named, F.lit("")), col["crs"], F.lit(DEFAULT_CRS)).alias("crs"))
 
 
 def verify_geo(spark: SparkSession, path: str) -> dict:
     """V1-V4: version, primary column, geometry types, rows and columns of a written table.
 
-    Fails unless every file has a ``geo`` key (V2) with version 2.0.0 (V3) and, when types are
-    declared, exactly ``['point']`` (V4); undeclared types are read from the data (A12).
+    Every file must have a ``geo`` key (V2) of version 2.0.0 (V3), all the same primary column, and
+    hold points only (V4): as declared or, for each file that declares no types, as its data says (A12).
     """
     from streetscape.functions.geo import geometry_type
 
     meta = geo_metadata(spark, path)
+    primary = F.col("geo.primary_column")
+    declared = F.transform(F.col("geo.columns")[primary]["geometry_types"], F.lower)
     flat = meta.select(
-        F.col("geo").isNull().alias("no_geo"),
-        F.col("geo.version").alias("version"),
-        F.col("geo.primary_column").alias("primary_column"),
-        F.to_json(F.col("geo.columns")).alias("columns_json"),
-        "n_rows",
-        "n_columns",
-    )
-    flat = flat.withColumn(
-        "types",
-        F.transform(
-            F.element_at(F.from_json("columns_json", "map<string, struct<geometry_types: array<string>>>"), F.col("primary_column"))["geometry_types"],
-            F.lower,
-        ),
-    )
-    summary = flat.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("no_geo")).alias("missing_geo"),
-        F.collect_set("version").alias("versions"),
-        F.collect_set("primary_column").alias("primaries"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("types", F.array().cast("array<string>")))))).alias("types"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
-        F.max("n_columns").alias("n_columns"),
-    ).first()
-    if summary is None or summary["files"] == 0:
-        raise AssertionError(f"no parquet files under {path}")
-    if summary["missing_geo"]:
-        raise AssertionError("no 'geo' key found in parquet key/value metadata")
-    versions = list(summary["versions"])
-    primary = (list(summary["primaries"]) or [""])[0]
-    types = [str(t) for t in (summary["types"] or [])]
-    n_rows = int(summary["n_rows"])
-    if not types and n_rows > 0 and primary:
-        data = spark.read.schema(f"`{primary}` binary").parquet(path).select(geometry_type(primary).alias("t")).filter("t is not null").distinct()
-        types = sorted(r["t"] for r in data.collect())
-    if versions != [GEO_VERSION]:
-        raise AssertionError(f"expected geo.version == '{GEO_VERSION}', got {versions!r}")
-    if types and types != ["point"]:
-        raise AssertionError(f"expected geo_types == ['point'], got {types!r}")
-    return {
-        "version": versions[0],
-        "primary_column": primary,
-        "geo_types": types,
-        "n_rows": n_rows,
-        "n_columns": int(summary["n_columns"] or 0),
-    }
+        F.element_at(F.split("file", "/"), -1).alias("name"), F.col("geo.version").alias("version"), primary.alias("primary"), F.coalesce(declared, F.array().cast("array<string>")).alias("types"), F.col("geo").isNull().alias("bare"), "n_rows", "n_columns"
+    ).persist()
+    try:
+        told = flat.agg(
+            F.count(F.lit(1)).alias("files"),
+            F.count_if("bare").alias("bare"),
+            F.count_if(F.size("types") == 0).alias("undeclared"),
+            F.collect_set("version").alias("versions"),
+            F.collect_set("primary").alias("primaries"),
+            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+            F.max("n_columns").alias("n_columns"),
+        ).first()
+        if not told.files:
+            raise AssertionError(f"{path} holds no parquet file")
+        if told.bare:
+            raise AssertionError(f"{told.bare} of {told.files} files have no geo metadata")
+        if told.versions != [GEO_VERSION]:
+            raise AssertionError(f"geo metadata of version {sorted(told.versions)}; it must be {GEO_VERSION}")
+        if len(told.primaries) != 1:
+            raise AssertionError(f"the files disagree on the primary column: {sorted(told.primaries)}")
+        column = told.primaries[0]
+        types = {r[0] for r in flat.select(F.explode("types")).distinct().collect()}
+        if told.undeclared:
+            data = spark.read.schema(f"`{column}` binary").parquet(path).select(F.col("_metadata.file_name").alias("name"), geometry_type(column).alias("t"))
+            types |= {r[0] for r in data.join(flat.where(F.size("types") == 0).select("name"), "name", "left_semi").where("t IS NOT NULL").select("t").distinct().collect()}
+        if types - {"point"}:
+            raise AssertionError(f"not only points: {sorted(types)}")
+    finally:
+        flat.unpersist()
+    return {"version": told.versions[0], "primary_column": column, "geo_types": sorted(types), "n_rows": int(told.n_rows), "n_columns": int(told.n_columns or 0)}

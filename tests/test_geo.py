@@ -45,14 +45,15 @@ def test_write_and_verify_roundtrip(spark, tmp_dir):
     v = verify_geo(spark, path)
     assert v == {"version": "2.0.0", "primary_column": "geom", "geo_types": ["point"], "n_rows": 5000, "n_columns": 3}
     files = [f for f in __import__("os").listdir(path) if f.endswith(".parquet")]
-    assert len(files) == 3 and not any(f.startswith("_staging") for f in files)
+    assert len(files) == 3 and __import__("os").listdir(f"{path}/_staging") == []
     meta = pq.ParquetFile(f"{path}/{files[0]}")
     geo = json.loads(meta.metadata.metadata[b"geo"])
     assert geo["columns"]["geom"]["encoding"] == "WKB" and len(geo["columns"]["geom"]["bbox"]) == 4
     assert all(meta.metadata.row_group(i).num_rows <= 2048 for i in range(meta.num_row_groups))
     assert meta.metadata.row_group(0).column(0).compression == "ZSTD"
+    assert geo["columns"]["geom"]["crs"]["id"] == {"authority": "OGC", "code": "CRS84"} and "Geometry" in str(meta.schema)
     assert {r.crs for r in crs_of(geo_metadata(spark, path)).collect()} == {"OGC:CRS84"}
-    assert spark.read.parquet(path).count() == 5000
+    assert spark.read.schema("image_id string, image_blob binary, geom binary").parquet(path).count() == 5000
 
 
 def test_empty_input_refused(spark, tmp_dir):
@@ -70,7 +71,7 @@ def _plain(path, geo):
 def test_verify_failures(spark, tmp_path):
     (tmp_path / "a").mkdir()
     _plain(str(tmp_path / "a" / "p.parquet"), None)
-    with pytest.raises(AssertionError, match="geo"):
+    with pytest.raises(AssertionError, match="no geo metadata"):
         verify_geo(spark, str(tmp_path / "a"))
     (tmp_path / "b").mkdir()
     _plain(str(tmp_path / "b" / "p.parquet"), {"version": "1.1.0", "primary_column": "geom", "columns": {"geom": {"encoding": "WKB", "geometry_types": ["Point"]}}})
@@ -103,7 +104,7 @@ def test_native_geometry_logical_type(spark, tmp_dir):
     assert verify_geo(spark, path)["n_columns"] == 9
 
 
-@pytest.mark.parametrize("version,geo,native", [("V1", "1.1.0", False), ("NONE", None, True), ("BOTH", "1.1.0", True)])
+@pytest.mark.parametrize("version,geo,native", [("V1", "1.0.0", False), ("NONE", None, True), ("BOTH", "1.0.0", True)])
 def test_writer_versions(spark, tmp_dir, version, geo, native):
     path = f"{tmp_dir}/{version}"
     write_geo(_deliverable(spark, 50).coalesce(1), path, version=version)
@@ -116,3 +117,35 @@ def test_writer_versions(spark, tmp_dir, version, geo, native):
         verify_geo(spark, path)
     with pytest.raises(ValueError):
         write_geo(_deliverable(spark, 5), f"{tmp_dir}/bad", version="V9")
+
+
+def _file(path, types, blob, primary="geom"):
+    geo = {"version": "2.0.0", "primary_column": primary, "columns": {primary: {"encoding": "WKB", "geometry_types": types}}}
+    pq.write_table(pa.table({"image_id": ["1"], primary: [blob]}).replace_schema_metadata({b"geo": json.dumps(geo).encode()}), path)
+
+
+def test_every_file_is_verified_by_itself(spark, tmp_path):
+    point, polygon = struct.pack("<BIdd", 1, 1, 0.0, 0.0), struct.pack("<BII", 1, 3, 0)
+    (tmp_path / "mixed").mkdir()
+    _file(str(tmp_path / "mixed" / "a.parquet"), ["Point"], point)
+    _file(str(tmp_path / "mixed" / "b.parquet"), [], polygon)
+    with pytest.raises(AssertionError, match="polygon"):
+        verify_geo(spark, str(tmp_path / "mixed"))
+    (tmp_path / "primary").mkdir()
+    _file(str(tmp_path / "primary" / "a.parquet"), ["Point"], point)
+    _file(str(tmp_path / "primary" / "b.parquet"), ["Point"], point, "shape")
+    with pytest.raises(AssertionError, match="disagree"):
+        verify_geo(spark, str(tmp_path / "primary"))
+
+
+def test_overwrite_leaves_other_jobs_staging_alone(spark, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/out"
+    write_geo(_deliverable(spark, 30).coalesce(1), path)
+    other = f"{path}/_staging/other-job"
+    os.makedirs(other)
+    open(f"{other}/part.tmp", "w").close()
+    write_geo(_deliverable(spark, 40).repartition(2), path)
+    assert os.listdir(f"{path}/_staging") == ["other-job"] and os.listdir(other) == ["part.tmp"]
+    assert verify_geo(spark, path)["n_rows"] == 40

@@ -7,6 +7,7 @@ import json
 import pytest
 
 from streetscape.plans.pipeline import RunConfig, run
+from streetscape.sources.stores import scan_deliverable
 
 
 def _fixtures(tmp_path, spark):
@@ -44,7 +45,7 @@ def test_run_twice(spark, tmp_path):
     c2 = second["counts"]
     assert c2["cached"] == 9 and c2["downloaded"] == 0 and c2["inference_cache_hit"] == 9 and c2["inferred"] == 0
     assert c2["written"] == 9
-    df = spark.read.parquet(str(tmp_path / "out2"))
+    df = scan_deliverable(spark, str(tmp_path / "out2"))
     top = df.select("top_regions").first().top_regions
     assert 1 <= len(top) <= 10
 
