@@ -279,11 +279,11 @@ SQL["stage_counts"] = with_base("""
 
 
 
-def model_ctes(items: str, prefix: str = "") -> str:
-    """CTEs of the stand-in model over ``items`` (image_id, text): its segments, their collapse, scores
-    and regions, named m_*. ``prefix``: hex of bytes before the text's."""
+def model_ctes(items: str) -> str:
+    """CTEs of the stand-in model over ``items`` (image_id, h: hex of the blob): its segments, their collapse,
+    scores and regions, named m_*."""
     return f"""
-    , m_hex AS (SELECT image_id, '{prefix}' || hex(encode(text)) AS h FROM {items} WHERE strlen(text) + {len(prefix) // 2} > 0)
+    , m_hex AS (SELECT image_id, h FROM {items} WHERE length(h) > 0)
     , m_bytes AS (SELECT image_id, len(h) // 2 AS n_bytes, unnest(regexp_extract_all(h, '..')) AS x, generate_subscripts(regexp_extract_all(h, '..'), 1) - 1 AS k FROM m_hex)
     , m_seen AS (SELECT image_id, n_bytes, k % 64 AS lane, avg(('0x' || x)::INTEGER) AS m FROM m_bytes GROUP BY ALL)
     , m_lanes AS (SELECT i.image_id, i.n_bytes, l.range AS lane, coalesce(s.m, 0) AS m
@@ -300,7 +300,7 @@ def model_ctes(items: str, prefix: str = "") -> str:
 
 
 SQL["score_images"] = with_base(f"""
-    , items AS (SELECT l.image_id, b.text FROM latest l JOIN blobs b ON b.image_id = l.image_id)
+    , items AS (SELECT l.image_id, hex(encode(b.text)) AS h FROM latest l JOIN blobs b ON b.image_id = l.image_id)
     {model_ctes('items')}
     SELECT image_id, segment_idx, count(*) AS n_values, round(sum(CAST(v AS DOUBLE) * (lane + 1) ORDER BY lane), 3) AS activity_sum
     FROM m_segs GROUP BY image_id, segment_idx""")
@@ -322,7 +322,7 @@ _INGESTED = """
 SQL["stream_ingest"] = with_base(_INGESTED + "SELECT * FROM ingested")
 SQL["stream_score"] = with_base(
     _INGESTED
-    + ", items AS (SELECT i.image_id, b.text FROM ingested i JOIN blobs b ON b.image_id = i.image_id)"
+    + ", items AS (SELECT i.image_id, hex(encode(b.text)) AS h FROM ingested i JOIN blobs b ON b.image_id = i.image_id)"
     + model_ctes("items")
     + "SELECT image_id, n_activity, activity_sum, regions FROM m_scored"
 )
@@ -343,7 +343,11 @@ SQL["load_scores"] = with_base("""
     SELECT s.image_id, s.n_activity, s.activity_sum, s.regions, s.region_sum
     FROM scored s WHERE s.image_id IN (SELECT image_id FROM camden)""")
 
-SQL["pipeline_run"] = with_base(f"""
+_LANDED = """
+    , landed AS (SELECT image_id, CASE WHEN CAST(image_id AS BIGINT) % 7 = 0 THEN '00000000' ELSE 'FFD8FFE0' END
+                        || CASE WHEN CAST(image_id AS BIGINT) % 11 = 0 THEN '4641494C' ELSE '' END || hex(encode(text)) AS h FROM blobs)
+"""
+_KEPT = """
     , kept AS (
         SELECT CAST(event_id AS VARCHAR) AS image_id, -0.1465e0 + (event_id % 1000) * 6.5e-6 AS lon,
                51.5405e0 + (user_id % 150) * 2e-5 AS lat, epoch_ms(epoch_us(ts) // 1000) AS captured_at, event_type AS camera_type
@@ -353,10 +357,29 @@ SQL["pipeline_run"] = with_base(f"""
           AND NOT (user_id % 3 <> 0 AND event_type = 'error')
           AND NOT (event_type = 'signup' AND value < 5)
           AND NOT (event_type = 'purchase' AND value < 10))
-    , items AS (SELECT k.image_id, b.text FROM kept k JOIN blobs b ON b.image_id = k.image_id
-                WHERE k.lon BETWEEN -0.1465e0 AND -0.1422e0 AND k.lat BETWEEN 51.5405e0 AND 51.543e0)
-    {model_ctes('items', 'FFD8FFE0')}
+    , cands AS (SELECT * FROM kept WHERE lon BETWEEN -0.1465e0 AND -0.1422e0 AND lat BETWEEN 51.5405e0 AND 51.543e0)
+    , found AS (SELECT c.image_id, l.h, CASE WHEN substr(l.h, 1, 6) <> 'FFD8FF' THEN 'not_image' WHEN l.h LIKE 'FFD8FFE04641494C%' THEN 'inference_failed' END AS reason
+                FROM cands c JOIN landed l ON l.image_id = c.image_id)
+"""
+SQL["pipeline_run"] = with_base(f"""
+    {_LANDED}{_KEPT}
+    , items AS (SELECT image_id, h FROM found WHERE reason IS NULL)
+    {model_ctes('items')}
     SELECT k.image_id, 'image/jpeg' AS image_mime, k.captured_at, k.camera_type, {wkb_hex('k.lon', 'k.lat')} AS geom_hex,
-           CAST(strlen(b.text) + 4 AS BIGINT) AS blob_bytes, s.n_activity, s.activity_sum, s.regions
-    FROM kept k JOIN blobs b ON b.image_id = k.image_id JOIN m_scored s ON s.image_id = k.image_id
-    WHERE k.lon BETWEEN -0.1465e0 AND -0.1422e0 AND k.lat BETWEEN 51.5405e0 AND 51.543e0""")
+           CAST(length(i.h) // 2 AS BIGINT) AS blob_bytes, s.n_activity, s.activity_sum, s.regions
+    FROM kept k JOIN items i ON i.image_id = k.image_id JOIN m_scored s ON s.image_id = k.image_id""")
+SQL["run_rejects"] = with_base(f"""
+    {_LANDED}{_KEPT}
+    , parsed AS ({SQL["parse_captures"].split("FROM ev)")[0].split(", p AS (")[1]} FROM (
+          SELECT *, -0.1465e0 + (event_id % 1000) * 6.5e-6 AS lon_, 51.5405e0 + (user_id % 150) * 2e-5 AS lat_ FROM events))
+    SELECT 'parse' AS stage, image_id,
+           CASE WHEN bad THEN 'bad_record' WHEN lon IS NULL OR lat IS NULL THEN 'no_coordinates' WHEN is_pano <> false THEN 'pano_mismatch'
+                WHEN captured_at_ms IS NULL THEN 'no_captured_at' ELSE 'no_url' END AS reason
+    FROM parsed WHERE bad OR lon IS NULL OR lat IS NULL OR is_pano <> false OR captured_at_ms IS NULL OR coalesce(length(thumb_2048_url), 0) = 0
+    UNION ALL SELECT 'aoi', image_id, 'out_of_bbox' FROM kept WHERE image_id NOT IN (SELECT image_id FROM cands)
+    UNION ALL SELECT 'download', image_id, 'download_failed' FROM cands WHERE image_id NOT IN (SELECT image_id FROM landed)
+    UNION ALL SELECT CASE reason WHEN 'not_image' THEN 'download' ELSE 'inference' END, image_id, reason FROM found WHERE reason IS NOT NULL""")
+SQL["geo_verify"] = with_base(
+    _DELIVERABLE
+    + "SELECT '2.0.0' AS version, 'geom' AS primary_column, 'point' AS geo_types, count(*) AS n_rows, CAST(9 AS BIGINT) AS n_columns, 'OGC:CRS84' AS crs FROM dl"
+)

@@ -13,6 +13,7 @@ stages read them; a lost executor recomputes them from lineage.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -20,15 +21,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetscape.session import shared_path
 from streetscape.operators import atlas as AT
 from streetscape.operators import captures as C
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
-from streetscape.operators.aoi import bbox_text, find_aoi
+from streetscape.operators.aoi import bbox_text, find_aoi, inside
 from streetscape.operators.deliverable import deliverable_rows, run_summary
 from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
-from streetscape.sources.images import scan_image_files
+from streetscape.sources.images import read_images_of
 from streetscape.sources.pages import scan_capture_pages
 from streetscape.sources.stores import scan_image_store, scan_score_store
 
@@ -55,17 +57,27 @@ class RunConfig:
     model_repo: str = "test/byte-probe"
     alias_map: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(AT.ALIAS_GLOBS))
     k: int = 10
+    rejects_path: str | None = None  # default: out_path + "-rejects"
+    score_group: int = 10_000  # images scored between two appends to the score store
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> dict:
     timings: dict[str, float] = {}
     counts = {k: 0 for k in ("candidates", "cached", "downloaded", "inference_cache_hit", "inferred", "written")}
     held: list[DataFrame] = []
+    run_id = uuid.uuid4().hex
 
     def hold(df: DataFrame) -> DataFrame:
         held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
 
+    rejects = cfg.rejects_path or f"{cfg.out_path.rstrip('/')}-rejects"
+
+    def reject(found: DataFrame, stage: str) -> None:
+        """Append what a stage dropped to the run's reject table; rows without a reason were kept."""
+        lost = found.where("reason IS NOT NULL").select(F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), F.col("image_id").cast("string").alias("image_id"), "reason")
+        lost.write.mode("append").parquet(rejects)
+
     def tick(name: str, t0: float) -> float:
         timings[f"{name}_s"] = round(time.monotonic() - t0, 3)
         return time.monotonic()
@@ -77,33 +89,51 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         init_store(spark, cfg.score_store, "scores")
         t = tick("resolve_bbox", t)
 
-        parsed = C.drop_incomplete(C.parse_captures(scan_capture_pages(spark, cfg.pages_path), is_pano=cfg.is_pano))
-        parsed = hold(C.filter_captured(C.with_captured_at(parsed), cfg.start_captured_at, cfg.end_captured_at))
+        every = hold(C.parse_captures(scan_capture_pages(spark, cfg.pages_path), is_pano=cfg.is_pano))
+        reject(every.select("image_id", F.col("reject_reason").alias("reason")), "parse")
+        parsed = hold(C.filter_captured(C.with_captured_at(C.drop_incomplete(every)), cfg.start_captured_at, cfg.end_captured_at))
+        reject(parsed.select("image_id", F.when(~F.coalesce(inside("lon", "lat", bbox), F.lit(False)), "out_of_bbox").alias("reason")), "aoi")
         cands = hold(C.select_candidates(parsed, bbox, cfg.max_images, dedupe=cfg.dedupe))
         counts["candidates"] = cands.count()
         t = tick("candidates", t)
 
-        new = ST.new_images(cands, scan_image_store(spark, cfg.image_store))
-        files = scan_image_files(spark, cfg.images_path).filter(F.col("reject_reason").isNull())
-        rows = hold(ST.build_image_rows(new, files.join(new.select("image_id"), "image_id", "left_semi"), bbox_text(bbox)))
-        n_new = new.count()
-        counts["cached"] = counts["candidates"] - n_new
+        # only files of new ids are opened
+        new = hold(ST.new_images(cands, scan_image_store(spark, cfg.image_store)))
+        files = hold(read_images_of(spark, cfg.images_path, new))
+        reject(files.select("image_id", F.col("reject_reason").alias("reason")), "download")
+        reject(new.join(files.select("image_id"), "image_id", "left_anti").select("image_id", F.lit("download_failed").alias("reason")), "download")
+        rows = hold(ST.build_image_rows(new, files.filter(F.col("reject_reason").isNull()), bbox_text(bbox)))
+        counts["cached"] = counts["candidates"] - new.count()
         counts["downloaded"] = rows.count()
         append_images(rows, cfg.image_store)
         t = tick("download", t)
 
-        working = hold(ST.working_set(cands, scan_image_store(spark, cfg.image_store)).filter(F.col("drop_reason").isNull()))
-        scores = scan_score_store(spark, cfg.score_store)
-        hits, misses = ST.hit_miss(working.select("image_id"), scores)
+        checked = ST.working_set(cands, scan_image_store(spark, cfg.image_store))
+        reject(checked.where("drop_reason = 'null_blob'").select("image_id", F.col("drop_reason").alias("reason")), "store")
+        working = hold(checked.filter(F.col("drop_reason").isNull()))
+        hits, misses = ST.hit_miss(working.select("image_id"), scan_score_store(spark, cfg.score_store))
         counts["inference_cache_hit"] = hits.count()
+        # written down: a plan over the score store would change with every append to it
+        missing = f"{shared_path(spark, 'misses')}/ids"
+        misses.select("image_id").distinct().write.parquet(missing)
+        misses = spark.read.schema("image_id string").parquet(missing)
         t = tick("working_set", t)
 
-        seg = hold(M.score_images(working.join(misses, "image_id", "left_semi"), cfg.predictor_factory, cfg.batch_size))
+        # Scores are appended group by group (by a hash of the id), so a run that dies keeps what it has
+        # scored: the next one finds those images in the score store.
         amap = AT.alias_map_df(spark, cfg.alias_map)
-        fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo)
-        fresh = hold(fresh)
-        counts["inferred"] = fresh.count()
-        append_scores(fresh, cfg.score_store)
+        groups = -(-misses.count() // cfg.score_group)
+        for g in range(groups):
+            mine = working.join(misses.where(F.pmod(F.xxhash64("image_id"), F.lit(groups)) == g), "image_id", "left_semi")
+            seg = M.score_images(mine, cfg.predictor_factory, cfg.batch_size).persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                counts["inferred"] += fresh.count()
+                reject(M.scoring_rejects(seg).select("image_id", F.col("drop_reason").alias("reason")), "inference")
+                append_scores(fresh, cfg.score_store)
+            finally:
+                fresh.unpersist()
+                seg.unpersist()
         t = tick("inference", t)
 
         if counts["inferred"] + counts["inference_cache_hit"] == 0:
@@ -118,7 +148,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         verify = verify_geo(spark, cfg.out_path)
         counts["written"] = int(verify["n_rows"])
         tick("verify", t)
-        return run_summary(counts, timings, verify, cfg.out_path)
+        lost = spark.read.schema("run_id string, stage string, image_id string, reason string").parquet(rejects).where(F.col("run_id") == run_id)
+        kind = F.when(F.col("reason").startswith("inference_failed"), "inference_failed").otherwise(F.col("reason"))
+        counts |= {f"rejected_{r[0]}": r[1] for r in lost.groupBy(kind.alias("kind")).count().collect()}  # a row for each kind of reason
+        return run_summary(counts, timings, verify, cfg.out_path) | {"rejects": rejects, "run_id": run_id}
     finally:
         for df in held:
             df.unpersist()

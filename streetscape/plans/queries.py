@@ -467,20 +467,21 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"), vector_sum().alias("activity_sum"), region_text().alias("regions"))
 
 
-def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
     """The whole incremental run (plans.pipeline.run) over data landed from the tables: capture
-    pages from events, JPEG-marked image files from documents, fresh stores; returns the
-    verified deliverable read back."""
+    pages from events, JPEG-marked image files from documents (every seventh without the marker,
+    every eleventh failing in the model), fresh stores. Returns the output path and the summary."""
     from streetscape.plans.pipeline import RunConfig, run
     from streetscape.session import shared_path
     from streetscape.sinks.files import land_files
-    from streetscape.sources.stores import scan_deliverable
     from streetscape.streaming.incremental import land_pages
 
     root = shared_path(spark, "run")
     land_pages(capture_records(spark, d), f"{root}/pages")
-    jpeg = V.blobs(spark, d).select("image_id", F.concat(F.unhex(F.lit("FFD8FFE0")), F.col("image_blob")).alias("image_blob"))
-    land_files(jpeg, f"{root}/files")
+    number = F.col("image_id").cast("bigint")
+    marker = F.when(number % 7 == 0, F.unhex(F.lit("00000000"))).otherwise(F.unhex(F.lit("FFD8FFE0")))
+    fails = F.when(number % 11 == 0, F.encode(F.lit("FAIL"), "UTF-8")).otherwise(F.unhex(F.lit("")))
+    land_files(V.blobs(spark, d).select("image_id", F.concat(marker, fails, F.col("image_blob")).alias("image_blob")), f"{root}/files")
     cfg = RunConfig(
         pages_path=f"{root}/pages",
         images_path=f"{root}/files",
@@ -488,10 +489,17 @@ def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
         score_store=f"{root}/scores",
         out_path=f"{root}/deliverable",
         atlas=V.atlas(spark),
-        predictor_factory=lambda: M.ByteProbePredictor(fail_marker=None),
+        score_group=500,
+        predictor_factory=lambda: M.ByteProbePredictor(fail_marker=b"\xff\xd8\xff\xe0FAIL"),
     )
-    run(spark, cfg)
-    out = scan_deliverable(spark, cfg.out_path)
+    return cfg.out_path, run(spark, cfg)
+
+
+def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+    """The verified deliverable of a run, read back."""
+    from streetscape.sources.stores import scan_deliverable
+
+    out = scan_deliverable(spark, _pipeline(spark, d)[0])
     return out.select(
         "image_id",
         "image_mime",
@@ -505,6 +513,24 @@ def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_run_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Everything a run dropped, with the stage and the reason."""
+    summary = _pipeline(spark, d)[1]
+    return spark.read.parquet(summary["rejects"]).select("stage", "image_id", F.split("reason", ":")[0].alias("reason"))
+
+
+def q_geo_verify(spark: SparkSession, d: str) -> DataFrame:
+    """The verification record of a written deliverable, and its CRS."""
+    from streetscape.session import shared_path
+    from streetscape.sinks.geoparquet import crs_of, geo_metadata, verify_geo, write_geo
+
+    path = shared_path(spark, "verified")
+    write_geo(deliverable(spark, d), path)
+    told = verify_geo(spark, path)
+    crs = crs_of(geo_metadata(spark, path)).select("crs").distinct()
+    return crs.select(*[F.lit(told[k]).alias(k) for k in ("version", "primary_column")], F.lit(",".join(told["geo_types"])).alias("geo_types"), F.lit(told["n_rows"]).cast("bigint").alias("n_rows"), F.lit(told["n_columns"]).cast("bigint").alias("n_columns"), "crs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "square_bbox": q_square_bbox,
     "bbox_text": q_bbox_text,
@@ -551,4 +577,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "stream_score": q_stream_score,
     "pipeline_run": q_pipeline_run,
+    "run_rejects": q_run_rejects,
+    "geo_verify": q_geo_verify,
 }

@@ -7,6 +7,9 @@ non-image content type the same way).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +24,23 @@ def scan_image_files(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)
         F.col("path"),
         F.when(F.hex(F.substring("content", 1, 3)) != F.lit(JPEG_MAGIC_HEX), F.lit("not_image")).alias("reject_reason"),
     )
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from streetscape.sinks.geoparquet import _fs
+
+    for b in batches:
+        for image_id, path in zip(b.column("image_id").to_pylist(), b.column("path").to_pylist()):
+            fs, local = _fs(path)
+            with fs.open_input_stream(local) as f:
+                blob = f.read()
+            yield pa.RecordBatch.from_arrays([pa.array([image_id]), pa.array([blob], pa.binary()), pa.array([path])], names=["image_id", "image_blob", "path"])
+
+
+def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: str = r"([^/]+)\.[A-Za-z0-9]+$", glob: str = "*") -> DataFrame:
+    """The landed images of ``ids`` alone, as ``scan_image_files`` gives them: files are listed, joined by
+    id on their names, and only those that remain are opened, one at a time, by the executors."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path")
+    wanted = listed.join(ids.select("image_id").distinct(), "image_id", "left_semi")
+    read = wanted.mapInArrow(_contents, "image_id string, image_blob binary, path string")
+    return read.withColumn("reject_reason", F.when(F.hex(F.substring("image_blob", 1, 3)) != F.lit(JPEG_MAGIC_HEX), F.lit("not_image")))

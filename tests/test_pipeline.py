@@ -40,6 +40,9 @@ def test_run_twice(spark, tmp_path):
     assert c["candidates"] == 11 and c["cached"] == 0
     assert c["downloaded"] == 9  # 7 has no file, 9 is not a JPEG
     assert c["inference_cache_hit"] == 0 and c["inferred"] == 9 and c["written"] == 9
+    lost = {(r.stage, r.image_id, r.reason) for r in spark.read.parquet(first["rejects"]).collect()}
+    assert lost == {("aoi", "1005", "out_of_bbox"), ("download", "1007", "download_failed"), ("download", "1009", "not_image")}
+    assert all(c[f"rejected_{kind}"] == 1 for kind in ("out_of_bbox", "download_failed", "not_image"))
     assert first["verify"]["version"] == "2.0.0" and first["verify"]["n_columns"] == 9
     second = run(spark, RunConfig(pages, images, cfg.image_store, cfg.score_store, str(tmp_path / "out2"), atlas, start_captured_at="2024-01-01"))
     c2 = second["counts"]
