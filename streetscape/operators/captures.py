@@ -7,6 +7,7 @@ abort on (no id, a field that does not cast) becomes a reject row instead.
 
 from __future__ import annotations
 
+import warnings
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -119,6 +120,13 @@ def with_captured_at(df: DataFrame, ms_col: str = "captured_at_ms", out: str = "
     return df.withColumn(out, F.timestamp_millis(F.col(ms_col)).cast("timestamp_ntz"))
 
 
+def _bound(given: str | datetime | None) -> datetime | None:
+    parsed = parse_utc_bound(given) if isinstance(given, str) else given
+    if given and parsed is None:
+        warnings.warn(f"{given!r} is no ISO date or time; captures aren't bounded by it", stacklevel=3)
+    return parsed
+
+
 def filter_captured(
     df: DataFrame,
     start: str | datetime | None = None,
@@ -127,10 +135,9 @@ def filter_captured(
 ) -> DataFrame:
     """``start <= col <= end`` (each bound optional, whole-second UTC).
 
-    Text bounds are ISO dates or datetimes; an unparseable bound means no bound.
+    Text bounds are ISO dates or datetimes; an unparseable bound means no bound, with a warning.
     """
-    lo = parse_utc_bound(start) if isinstance(start, str) else start
-    hi = parse_utc_bound(end) if isinstance(end, str) else end
+    lo, hi = (_bound(x) for x in (start, end))
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(col) >= ntz_literal(lo.replace(microsecond=0)))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetscape.operators.sizing import DEFAULT_BROADCAST_BYTES, is_small
-from streetscape.schemas import IMAGE_COLUMNS, IMAGE_MIME, IMAGE_SOURCE, SENTINEL_ID
+from streetscape.schemas import IMAGE_MIME, IMAGE_SOURCE, SENTINEL_ID
 
 
 def drop_sentinel(df: DataFrame, col: str = "image_id") -> DataFrame:
@@ -203,7 +203,3 @@ def audit_drops(
 def hit_miss(working: DataFrame, scores: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
     """Split the working set into (hits, misses) against the score store."""
     return cached_images(working, scores, broadcast_bytes), new_images(working, scores, broadcast_bytes)
-
-
-def store_columns(df: DataFrame) -> DataFrame:
-    return df.select(*IMAGE_COLUMNS)

@@ -383,3 +383,11 @@ SQL["geo_verify"] = with_base(
     _DELIVERABLE
     + "SELECT '2.0.0' AS version, 'geom' AS primary_column, 'point' AS geo_types, count(*) AS n_rows, CAST(9 AS BIGINT) AS n_columns, 'OGC:CRS84' AS crs FROM dl"
 )
+SQL["scan_segments"] = with_base("""
+    , cells AS (SELECT image_id, segment_idx, generate_subscripts(activity, 1) AS place, unnest(activity) AS v FROM segments)
+    SELECT image_id, 'clip_' || image_id AS timeline, segment_idx, round(sum(CAST(v AS DOUBLE) * place ORDER BY place), 3) AS activity_sum
+    FROM cells GROUP BY image_id, segment_idx""")
+SQL["scan_labels"] = with_base("SELECT name, hemi, vertex FROM labels")
+SQL["drop_sentinel"] = with_base("SELECT image_id, source_file FROM store WHERE CAST(image_id AS BIGINT) % 5 <> 0 AND CAST(image_id AS BIGINT) % 7 <> 0")
+SQL["normalize_regions"] = with_base("SELECT image_id, regions, region_sum FROM scored")
+SQL["write_alias_atlas"] = SQL["alias_atlas_json"]

@@ -531,6 +531,53 @@ def q_geo_verify(spark: SparkSession, d: str) -> DataFrame:
     return crs.select(*[F.lit(told[k]).alias(k) for k in ("version", "primary_column")], F.lit(",".join(told["geo_types"])).alias("geo_types"), F.lit(told["n_rows"]).cast("bigint").alias("n_rows"), F.lit(told["n_columns"]).cast("bigint").alias("n_columns"), "crs")
 
 
+# ---------------------------------------------------------------- landed inputs and small steps
+
+
+def q_scan_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Model output landed as files, read with its own schema."""
+    from streetscape.session import shared_path
+    from streetscape.sources.stores import scan_segments
+
+    path = f"{shared_path(spark, 'segments')}/rows"
+    V.segments(spark, d).write.parquet(path)
+    return scan_segments(spark, path).select("image_id", "timeline", "segment_idx", vector_sum("activity").alias("activity_sum"))
+
+
+def q_scan_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Label rows landed as CSV."""
+    from streetscape.session import shared_path
+    from streetscape.sources.stores import scan_parcel_labels
+
+    path = f"{shared_path(spark, 'labels')}/rows"
+    V.labels(spark, d).write.option("header", True).csv(path)
+    return scan_parcel_labels(spark, path, "csv").select("name", "hemi", F.col("vertex").cast("bigint").alias("vertex"))
+
+
+def q_drop_sentinel(spark: SparkSession, d: str) -> DataFrame:
+    """Every fifth store row turned into a placeholder, every seventh into one without an id."""
+    number = F.col("image_id").cast("bigint")
+    marked = F.when(number % 5 == 0, F.lit("__sentinel__")).when(number % 7 == 0, F.lit(None)).otherwise(F.col("image_id"))
+    return ST.drop_sentinel(V.store(spark, d).withColumn("image_id", marked)).select("image_id", "source_file")
+
+
+def q_normalize_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Region lists given as [name, score] pairs of text."""
+    pairs = score_view(spark, d).select("image_id", F.transform("top_regions", lambda r: F.array(r["name"], r["score"].cast("string"))).alias("top_regions"))
+    normal = S.normalize_regions(pairs)
+    return normal.select("image_id", region_text().alias("regions"), region_sum().alias("region_sum"))
+
+
+def q_write_alias_atlas(spark: SparkSession, d: str) -> DataFrame:
+    """K5: the atlas written as one line of text and read back."""
+    from streetscape.session import shared_path
+    from streetscape.sinks.text import write_alias_atlas
+
+    path = f"{shared_path(spark, 'atlas')}/json"
+    write_alias_atlas(AT.alias_vertices(AT.merge_labels(V.labels(spark, d)), AT.alias_map_df(spark)), path)
+    return spark.read.text(path).withColumnRenamed("value", "alias_atlas")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "square_bbox": q_square_bbox,
     "bbox_text": q_bbox_text,
@@ -578,5 +625,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_score": q_stream_score,
     "pipeline_run": q_pipeline_run,
     "run_rejects": q_run_rejects,
+    "scan_segments": q_scan_segments,
+    "scan_labels": q_scan_labels,
+    "drop_sentinel": q_drop_sentinel,
+    "normalize_regions": q_normalize_regions,
+    "write_alias_atlas": q_write_alias_atlas,
     "geo_verify": q_geo_verify,
 }
