@@ -37,7 +37,7 @@ END_ID = 1
 STEP_TOKENS = 8 * 2048
 GROUP_TOKENS = 2_000_000
 SLICE_CHARS = 1 << 20
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 1_000_000, 300_000, 48
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 500_000, 150_000, 48
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context int, step_id long, step_cost long"
 
 _PLAIN = re.compile(r"[!-~]+").fullmatch
