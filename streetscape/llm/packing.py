@@ -20,6 +20,7 @@ a text is tokenized in slices cut at white space, however long it is; an empty t
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
@@ -59,7 +60,8 @@ class WordIds(dict):
     def part(self, part: str) -> bytes:
         out = self.parts.get(part)
         if out is None:
-            out = np.array([t.id for t in self.one(part)], "<u4").tobytes()
+            ids = [t.id for t in self.one(part)]
+            out = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.parts) < CACHE_PARTS and len(part) <= CACHE_CHARS:
                 self.parts[part] = out
         return out
