@@ -8,8 +8,8 @@ its size allows in the next one, its subset of every segment that isn't empty, a
 segments weights of 0, 1 (equal subsets) or 2 (subsets within one deletion) whose sum exceeds 2t / 7,
 so at least one allotted segment must match. The allotment is made when every key's bucket has been
 counted and takes the cheapest units first: those whose keys no other class has cost nothing, so a class
-that shares only a passage with others is a candidate of none. Sets below ``SINGLE`` shingles take each
-shingle as a segment of its own. A class whose segments can't reach the sum is compared with all
+that shares only a passage with others is a candidate of none. In the bands below ``SINGLE`` shingles each
+shingle is a segment of its own. A class whose segments can't reach the sum is compared with all
 classes instead, in blocks.
 
 Signatures travel as packed blocks: one row for each task and partition of the key space. Members of
@@ -135,15 +135,21 @@ def reach(t: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(m, np.ceil((1.1 * want + 2 * np.sqrt(want) + 4) / filled).astype(np.int64))
 
 
+def furthest(t: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The greatest reach of the probes of a band up to size t: ``need`` grows by one in every 3.5 sizes at
+    least, and between two steps the reach falls."""
+    return reduce(np.maximum, [reach(np.maximum(t - k, 1 << b), b) for k in range(4)])
+
+
 def _subsets(key: np.ndarray, own: np.ndarray, size: np.ndarray, b: np.ndarray) -> dict[str, np.ndarray]:
     """The filled segments of each set in the universe of its band ``b``: owner, segment, number
     of shingles, sum of their hashes, key; and the deletion keys with the segment they come from."""
     scr = T.mix(key + (b[own].astype(_U) + _U(1)) * _U(0x9FB21C651E98DF25))
-    single = size[own] < SINGLE
+    single = (1 << b[own]) < SINGLE  # by band, so that a set that indexes itself in the next one has the keys that probes look for
     m = segments(b)[own]
     seg = np.where(single, 0, ((scr >> _U(32)) * m.astype(_U)) >> _U(32)).astype(np.int64)
     top = np.minimum(size * OF // SHARE, (2 << b) - 1)
-    inside = single | (seg < reach(top, b)[own])
+    inside = single | (seg < furthest(top, b)[own])
     scr, seg, own, single = scr[inside], seg[inside], own[inside], single[inside]
     seg = np.where(single, np.arange(len(seg)), seg)  # each shingle by itself
     order = np.lexsort((seg, own))

@@ -242,6 +242,33 @@ def test_jaccard_components(spark, seed):
     assert got == {d: (len(sets[d]), find(d)) for d in ids}
 
 
+def test_jaccard_pairs_across_a_size_band(spark):
+    """Pairs without a third document to join them, on both sides of 31/32 and of 63/64 shingles."""
+    rng = random.Random(6)
+    data, want = [], {}
+    for low, high in ((24, 41), (48, 84)):
+        for k in range(250):
+            s, t = rng.randint(low, high), rng.randint(low, high)
+            s, t = (35 - 4, 36 - 4) if k < 10 else (min(s, t), max(s, t))
+            w = prose(60_000 + 1000 * low + k, t + 4, "ka lo mi ren tu vas pel dor fi gun ba ce du").split()
+            other = w[: s + 4]
+            if k >= 10 and k % 3 == 0:
+                other[0] = "another"
+            a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (w, other))
+            d = len(data)
+            data += [(d, " ".join(w)), (d + 1, " ".join(other))]
+            want |= {d: d, d + 1: d if 100 * len(a & b) >= 75 * len(a | b) else d + 1}
+    got = {r.doc_id: r.component_id for r in jaccard.join_components(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want
+
+
+def test_jaccard_sets_index_the_segments_of_all_their_probes():
+    for b in range(5, 14):
+        t = np.arange(1 << b, 2 << b)
+        band = np.full(len(t), b)
+        assert (jaccard.furthest(t, band) == np.maximum.accumulate(jaccard.reach(t, band))).all()
+
+
 def test_jaccard_irregular_classes_are_compared_with_all(spark, monkeypatch):
     """With a universe too coarse for any allotment every class takes the exact way."""
     docs = spark.createDataFrame([(i, prose(i // 2, 80) + (" end" if i % 2 else "")) for i in range(20)], "doc_id long, text string")
