@@ -361,6 +361,39 @@ def test_chains_score_like_all_pairs():
         assert sorted(k for c in chains.chain(x, y) for k in c) == list(range(n))
 
 
+def test_best_chains_reach_the_scores_of_all_pairs():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n = int(rng.integers(2, 60))
+        x = np.sort(rng.choice(150, n, replace=False))
+        y = np.where(rng.random(n) < 0.6, x + rng.choice([0, 0, 5, 30, 90], n), rng.integers(0, 200, n))
+        best = np.ones(n)
+        for k in range(n):
+            for p in range(k):
+                dx, dy = x[k] - x[p], y[k] - y[p]
+                if 0 < dx <= chains.MAX_GAP and 0 < dy <= chains.MAX_GAP and abs(dx - dy) <= chains.MAX_SHIFT:
+                    best[k] = max(best[k], 1 + best[p] - chains.GAP_COST * (dx + dy))
+        c = chains.chain(x, y)[0]
+        dx, dy = np.diff(x[c]), np.diff(y[c])
+        assert (dx > 0).all() and (dy > 0).all() and max(dx.max(initial=0), dy.max(initial=0)) <= chains.MAX_GAP and (abs(dx - dy) <= chains.MAX_SHIFT).all()
+        score = len(c) - chains.GAP_COST * (dx.sum() + dy.sum())
+        # a path on one diagonal is taken whole, though a part of it may score more
+        assert abs(score - best.max()) < 1e-6 or len(c) == n
+
+
+def test_passages_after_a_long_one(spark):
+    one, two, half = prose(40_000, 400), prose(40_001, 100), prose(40_002, 250)
+    data = [(k, f"{one} {prose(41_000 + k, 60)} {two}") for k in (0, 1)]
+    data += [(10, half), (11, " ".join(half.split()[:125]) + " " + prose(41_010, 30) + " " + " ".join(half.split()[125:]))]
+    got = chains.passages(spark.createDataFrame(data, "doc_id long, text string").repartition(2)).collect()
+
+    def covered(doc: int) -> set[int]:
+        return {k for r in got for d, a, n in ((r.doc_id, r.start_word, r.n_words), (r.source_doc_id, r.source_start, r.source_words)) if d == doc for k in range(a, a + n)}
+
+    for doc, places in ((0, [*range(400), *range(460, 560)]), (1, [*range(400), *range(460, 560)]), (10, range(250)), (11, [*range(125), *range(155, 280)])):
+        assert len(covered(doc).intersection(places)) >= 0.97 * len(places), doc
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(50):
