@@ -394,6 +394,31 @@ def test_passages_after_a_long_one(spark):
         assert len(covered(doc).intersection(places)) >= 0.97 * len(places), doc
 
 
+def test_sound_passages_of_a_chain_that_does_not_align(spark):
+    """Eight equal passages with 20 different words between them, and a source that shares one of them."""
+    parts = [prose(50_000 + i, 55).replace("\n", " ") for i in range(8)]
+    form = lambda seed: " ".join(f"{p} {prose(51_000 + 100 * seed + i, 20)}" for i, p in enumerate(parts))
+    data = [(0, form(0)), (1, form(1)), (2, prose(52_000, 80) + " " + parts[3] + " " + prose(52_001, 80))]
+    got = chains.passages(spark.createDataFrame(data, "doc_id long, text string").repartition(2)).collect()
+
+    def covered(doc: int) -> set[int]:
+        return {k for r in got for d, a, n in ((r.doc_id, r.start_word, r.n_words), (r.source_doc_id, r.source_start, r.source_words)) if d == doc for k in range(a, a + n)}
+
+    for doc in (0, 1):
+        assert set(range(600)) & {75 * i + k for i in range(8) for k in range(55)} <= covered(doc)
+    assert set(range(82, 133)) <= covered(2)
+    assert all(r.identity >= chains.MIN_IDENTITY for r in got)
+
+
+def test_covered_chains_name_the_covering_one():
+    import pyarrow as pa
+
+    names = ["b", "b_from", "b_to", "n_seeds", "id"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip((1, 0, 600, 120, 7), (1, 100, 160, 12, 8), (1, 550, 700, 5, 9), (2, 100, 160, 12, 10))], names=names)
+    (out,) = chains._covered(iter([batch]))
+    assert out.column("cover").to_pylist() == [None, 7, None, None]
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(50):
