@@ -4,7 +4,8 @@ Each page is read once into blocks of text and the elements they stand in. Conta
 a block gives its characters outside links to the element around it and half of them to the next
 one out. The page's best container votes, under its generalised path (tags with their classes, digits and
 positions left out), for its host. Spark counts the votes and picks each host's winning path; then
-every page is read again and its text is what stands in the elements of that path. A page without
+every page is read again and its text is what stands in the elements of that path, with the whole article around
+each of them and the page's best container if that is around one of them. A page without
 that path, or with less than ``MIN_SHARE`` of its best container's text there, uses its own best one.
 
 Left out everywhere: scripts, styles, menus, asides, footers, forms and the like by tag, and adverts, notices,
@@ -201,14 +202,27 @@ class Page:
                 out.append(text)
         return out
 
+    def above(self, element: int) -> Iterator[int]:
+        """The element and all around it."""
+        while element > 0:
+            yield element
+            element = self.parent[element]
+
+    def article(self, element: int) -> int:
+        """The innermost article at or above an element, or the element itself."""
+        return next((e for e in self.above(element) if self.tag[e] == "article"), element)
+
     def extract(self, path: str | None) -> str:
         own = self.best()
-        blocks = self.inside({own})  # element 0 holds every block
+        chosen = {self.article(own)}  # element 0 holds every block
         if path:
-            agreed = self.inside({e for e, p in enumerate(self.path) if p == path})
-            if sum(map(len, agreed)) >= MIN_SHARE * sum(map(len, blocks)) and agreed:
-                blocks = agreed
-        return "\n\n".join(blocks)
+            agreed = {e for e, p in enumerate(self.path) if p == path}
+            text = self.inside(agreed)
+            if sum(map(len, text)) >= MIN_SHARE * sum(map(len, self.inside({own}))) and text:
+                # a best container around the path's elements has text of the same article beside them
+                around = {own} if any(own in self.above(e) for e in agreed) else set()
+                chosen = {self.article(e) for e in agreed} | around
+        return "\n\n".join(self.inside(chosen))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

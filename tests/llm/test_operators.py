@@ -290,6 +290,18 @@ def test_html_consensus(spark):
     assert got == {k: want.format(k=k) for k in (0, 1, 2, 3, 4, 9)}
 
 
+def test_html_articles_over_several_containers(spark):
+    inner = "<section class=a><p>" + "In the section. " * 12 + "</p></section>"
+    direct = "<p>" + "Beside it, directly. " * 20 + "</p>"
+    page = "<html><body><div class=top>Top line</div>{}</body></html>"
+    data = [(k, page.format(f"<article>{inner}</article>")) for k in range(5)]
+    data += [(10, page.format(f"<article>{inner}{direct}</article>")), (11, page.format(f"<article>{inner}<section class=b><p>Other kind.</p></section>{inner}</article>"))]
+    data += [(12, page.format(f"<div class=text>{inner}{direct}</div>"))]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame([(k, f"http://h.example/{k}", p) for k, p in data], "page_id long, url string, html string")).collect()}
+    one, two = ("In the section. " * 12).strip(), ("Beside it, directly. " * 20).strip()
+    assert got == {k: one for k in range(5)} | {10: f"{one}\n\n{two}", 11: f"{one}\n\nOther kind.\n\n{one}", 12: f"{one}\n\n{two}"}
+
+
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
