@@ -83,25 +83,27 @@ def geo_metadata_json(geom_col: str, bbox: list[float] | None, crs: str = DEFAUL
     return json.dumps({"version": version, "primary_column": geom_col, "columns": {geom_col: col_meta}}, separators=(",", ":"))
 
 
-def _wkb_extension(crs: str):
-    """Arrow extension type ``geoarrow.wkb``; PyArrow writes it as the Parquet GEOMETRY logical
-    type. Registered once per Python worker."""
+class WkbType(pa.ExtensionType):
+    """Arrow extension type ``geoarrow.wkb``; PyArrow writes it as the Parquet GEOMETRY logical type.
 
-    class WkbType(pa.ExtensionType):
-        def __init__(self, meta: bytes = b"{}"):
-            self._meta = meta
-            super().__init__(pa.binary(), "geoarrow.wkb")
+    One class for the whole process: types of two classes are unequal, and batches of a task must share a schema."""
 
-        def __arrow_ext_serialize__(self):
-            return self._meta
+    def __init__(self, meta: bytes = b"{}"):
+        self._meta = meta
+        super().__init__(pa.binary(), "geoarrow.wkb")
 
-        @classmethod
-        def __arrow_ext_deserialize__(cls, storage_type, serialized):
-            return cls(serialized)
+    def __arrow_ext_serialize__(self):
+        return self._meta
 
+    @classmethod
+    def __arrow_ext_deserialize__(cls, storage_type, serialized):
+        return cls(serialized)
+
+
+def _wkb_extension(crs: str) -> WkbType:
     try:
         pa.register_extension_type(WkbType())
-    except pa.ArrowKeyError:
+    except pa.ArrowKeyError:  # registered before in this process
         pass
     return WkbType(json.dumps({"crs": crs}).encode())
 

@@ -56,6 +56,20 @@ def test_write_and_verify_roundtrip(spark, tmp_dir):
     assert spark.read.schema("image_id string, image_blob binary, geom binary").parquet(path).count() == 5000
 
 
+@pytest.mark.parametrize("version", ["V2", "V1", "NONE", "BOTH"])
+@pytest.mark.parametrize("rows", [1, 2000, 2001, 5000])
+def test_any_row_count_in_one_task(spark, tmp_dir, version, rows):
+    path = f"{tmp_dir}/{version}-{rows}"
+    write_geo(_deliverable(spark, rows).coalesce(1), path, version=version)
+    back = spark.read.schema("image_id string, image_blob binary, geom binary").parquet(path)
+    assert back.where(geometry_type("geom") == "point").count() == rows == back.select("image_id").distinct().count()
+    (file,) = [f for f in __import__("os").listdir(path) if f.endswith(".parquet")]
+    footer = pq.ParquetFile(f"{path}/{file}")
+    told = footer.metadata.metadata.get(b"geo")
+    assert (json.loads(told)["version"] if told else None) == {"V2": "2.0.0", "V1": "1.0.0", "NONE": None, "BOTH": "1.0.0"}[version]
+    assert ("Geometry" in str(footer.schema)) == (version != "V1")
+
+
 def test_empty_input_refused(spark, tmp_dir):
     with pytest.raises(RuntimeError):
         write_geo(_deliverable(spark).limit(0), f"{tmp_dir}/x")
