@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetscape.llm import chains, decontam, digest_cache, html, jaccard, langid, licenses, lines, lm, packing, quality
+from streetscape.llm import chains, decontam, digest_cache, divergence, html, jaccard, langid, licenses, lines, lm, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = digest_cache.token_counts(table(spark, sf_dir, "documents"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > digest_cache.TOKEN_LIMIT).alias("over_limit"))
@@ -68,7 +72,8 @@ QUERIES = {
     "op8_line_edit_dedup": op8_line_edit_dedup,
     "op9_chained_passages": op9_chained_passages,
     "op10_license_templates": op10_license_templates,
+    "op12_source_divergence": op12_source_divergence,
     "op13_digest_cache": op13_digest_cache,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_source_divergence": divergence.SQL}
