@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetscape.llm import chains, decontam, digest_cache, divergence, html, jaccard, langid, licenses, lines, lm, packing, quality
+from streetscape.llm import chains, decontam, digest_cache, divergence, html, jaccard, langid, licenses, lines, lm, packing, periodic, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_line_edit_dedup": op8_line_edit_dedup,
     "op9_chained_passages": op9_chained_passages,
     "op10_license_templates": op10_license_templates,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_source_divergence": op12_source_divergence,
     "op13_digest_cache": op13_digest_cache,
 }
