@@ -6,8 +6,9 @@ differs by the sum of f over the V terms, and a source's ten most distinctive te
 language's own share, by f.
 
 1. One ``CountVectorizer`` with minDF and the greatest integer as vocabSize is fitted over terms that carry their
-   language in front: as a document has one language, its minDF is each language's own, and there is one pass however
-   many languages there are. It turns every document into an exact sparse vector of term counts.
+   language's code in front: as a document has one language, its minDF is each language's own, and there is one pass
+   however many languages there are. It turns every document into an exact sparse vector of term counts. The terms are
+   cut from Arrow buffers in NumPy; the code takes the place of the byte before a term, which no term holds.
 2. The vectors' indices and values are summed by (language, source) in Spark: a sparse form of ``Summarizer.sum``, whose
    dense sums would take V numbers for every group and task.
 3. A pair is evaluated over occurring terms only. With p0, q0 the shares of a term that doesn't occur,
@@ -18,11 +19,12 @@ language's own share, by f.
    The middle sums depend on the distinct shares of a group only, the last one is an equi-join by term, of at most one
    row a source; both are partial aggregates by pair.
 
-The fitted vocabulary passes through the driver and is broadcast. So it is fitted only when the number of distinct
-terms of all documents, estimated without a shuffle, is at most ``MAX_TERMS``; beyond, the same counts come from two
-aggregates and a join by term, with nothing in the driver (``counts_by_join``). Everything after the counts is the same.
+The fitted vocabulary passes through the driver and is broadcast, so its size is checked first: the number of kept terms
+is estimated from those terms whose hash ends in ``MARK_BITS`` zero bits, with their exact document frequencies. With more than
+``MAX_TERMS`` of them, or more than ``MAX_CODES`` languages, the same counts come from one aggregate by term and a join, with nothing in
+the driver (``counts_by_join``). Everything after the counts is the same.
 
-Counts are doubles inside vectors and exact up to 2^53; shares are computed in decimals, f in 64-bit integers.
+Counts are doubles inside vectors and exact up to 2^53; shares and f are computed in integers, beyond 64 bits in decimals.
 
 Defined cases: null text, lang and source are empty strings; a group without terms has count 0 everywhere; a language
 without kept terms gives pairs of value 0; a language with one source has no pairs; equal values rank by the item's
@@ -31,27 +33,35 @@ UTF-8 bytes; repeated rows count as documents of their own; an empty table gives
 
 from __future__ import annotations
 
-import string
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streetscape.llm import tokens as T
 from streetscape.operators.sizing import broadcast_if_small
 from streetscape.operators.topk import first_k
 from streetscape.session import checkpoint_root
 
 MIN_DF = 10
 TOP_TERMS = 10
-#: Up to this many distinct terms (an estimate, with 2 % error) a vocabulary is fitted through the driver.
+#: Up to about this many kept terms a vocabulary is fitted through the driver.
 MAX_TERMS = 1_000_000
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Languages that one byte below the letters can tell apart.
+MAX_CODES = 64
+MARK_BITS = 8
 SCALE = 1_000_000_000
+_BYTES = np.arange(256)
+#: Bytes of terms ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+``: letters and everything beyond ASCII.
+TERM_BYTES = ((_BYTES >= 0x41) & (_BYTES <= 0x5A)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
 
 
-def _folder(documents: DataFrame, name: str) -> str:
-    return f"{checkpoint_root(documents.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+def _folder(df: DataFrame, name: str) -> str:
+    return f"{checkpoint_root(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -60,88 +70,153 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def terms_of(documents: DataFrame) -> DataFrame:
-    """(lang, source, terms): every match of ``TERM`` in the whole text, with A-Z lower-cased."""
+def _named(documents: DataFrame) -> DataFrame:
     empty = F.lit("")
-    text = F.translate(F.coalesce(F.col("text").cast("string"), empty), string.ascii_uppercase, string.ascii_lowercase)
-    return documents.select(
-        F.coalesce(F.col("lang").cast("string"), empty).alias("lang"),
-        F.coalesce(F.col("source").cast("string"), empty).alias("source"),
-        F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("terms"),
-    )
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Terms with their language in front; a term has no zero byte, so the last one ends the language."""
-    return docs.withColumn("terms", F.transform("terms", lambda t: F.concat(F.col("lang"), F.lit("\0"), t)))
+    return documents.select(*[F.coalesce(F.col(c).cast("string"), empty).alias(c) for c in ("lang", "source", "text")])
+
+
+def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans, which follow one another in ``buf``, as a string array."""
+    size = ends - starts
+    change = np.zeros(len(buf) + 1, np.int8)
+    change[starts] += 1
+    change[ends] -= 1
+    data = buf[np.cumsum(change[:-1], dtype=np.int8).astype(bool)]
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _coded_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's terms, the byte of its language's code before each."""
+    for b in batches:
+        codes = b.column("code").to_numpy()
+        for i, j, text, off in T.chunks(b.column("text")):
+            # a byte more at each text's head, so that every term has one before it
+            n = j - i
+            at = off + np.arange(n + 1)
+            buf = np.zeros(len(text) + n, np.uint8)
+            body = np.ones(len(buf), bool)
+            body[at[:-1]] = False
+            buf[body] = T.lower(text)
+            starts, ends = T.spans(buf, at, TERM_BYTES)
+            doc = T.owners(starts, at)
+            buf[starts - 1] = codes[i:j][doc]
+            offsets = np.concatenate([[0], np.cumsum(T.counts(doc, n))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("gid").slice(i, n), pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts - 1, ends))], names=["gid", "terms"])
+
+
+def _combined(marked_only: bool):
+    """Terms of a block of texts by group, with their occurrences and documents; with ``marked_only`` the hashes of marked
+    terms and their documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            gid = b.column("gid").to_numpy()
+            lid = b.column("lid").to_numpy()
+            for i, j, text, off in T.chunks(b.column("text")):
+                starts, ends = T.spans(text, off, TERM_BYTES)
+                doc = T.owners(starts, off)
+                h = T.hashes(text, starts, ends, fold=True)
+                if marked_only:
+                    at = np.flatnonzero(h << np.uint64(64 - MARK_BITS) == 0)
+                    pairs = np.unique(np.stack([h[at], doc[at].astype(np.uint64)]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(lid[i:j][pairs[1].astype(np.int64)]), pa.array(pairs[0].view(np.int64))], names=["lid", "h"])
+                    continue
+                of = gid[i:j][doc]
+                by = np.lexsort((doc, h, of))
+                first = np.ones(len(by), bool)
+                first[1:] = (h[by][1:] != h[by][:-1]) | (of[by][1:] != of[by][:-1])
+                met = first.copy()
+                met[1:] |= doc[by][1:] != doc[by][:-1]
+                at = np.flatnonzero(first)
+                ends_ = np.append(at[1:], len(by))
+                seen = np.concatenate([[0], np.cumsum(met)])
+                pick = by[at]
+                order = np.argsort(pick)  # back in the order of the text
+                pick = pick[order]
+                strings = _strings(T.lower(text), starts[pick], ends[pick])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(of[pick]), pa.array(lid[i:j][doc[pick]]), strings, pa.array((ends_ - at)[order]), pa.array((seen[ends_] - seen[at])[order])],
+                    names=["gid", "lid", "term", "c", "df"],
+                )
+
+    return run
 
 
 def counts_by_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
-    """The vocabulary (idx, lang, term) and the counts (lang, source, idx, c) by way of CountVectorizer."""
+    """The vocabulary (idx, lid, term) and the counts (gid, idx, c) by way of CountVectorizer."""
     spark = docs.sparkSession
-    keyed = _keyed(docs)
-    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(keyed)
+    terms = docs.select("gid", "text", F.col("lid").cast("short").alias("code")).mapInArrow(_coded_terms, "gid long, terms array<string>")
+    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(terms)
     saved = _folder(docs, "vocabulary")
     model.save(saved)
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("idx", "word"))
-    vocabulary = words.select(
-        "idx",
-        F.expr(r"substring(word, 1, length(word) - length(substring_index(word, '\0', -1)) - 1)").alias("lang"),
-        F.substring_index("word", "\0", -1).alias("term"),
-    )
-    vectors = model.transform(keyed).select("lang", "source", F.unwrap_udt("features").alias("v"))
-    entries = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    sums = entries.groupBy("lang", "source", F.col("e.indices").alias("idx")).agg(F.sum("e.values").cast("long").alias("c"))
-    return _written(vocabulary, "terms"), sums
+    vocabulary = words.select(F.col("idx").cast("long").alias("idx"), F.ascii("word").cast("long").alias("lid"), F.expr("substring(word, 2)").alias("term"))
+    vectors = model.transform(terms).select("gid", F.unwrap_udt("features").alias("v"))
+    entries = vectors.select("gid", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
+    sums = entries.groupBy("gid", F.col("e.indices").alias("idx")).agg(F.sum("e.values").alias("c"))
+    return _written(vocabulary, "terms"), sums.select("gid", F.col("idx").cast("long").alias("idx"), F.col("c").cast("long").alias("c"))
 
 
 def counts_by_join(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
-    """The same two tables without the driver: document frequencies and counts by term, joined."""
-    seen = docs.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("df"))
-    kept = _written(seen.where(F.col("df") >= min_df).select(F.monotonically_increasing_id().alias("idx"), "lang", "term"), "terms")
-    counts = docs.select("lang", "source", F.explode("terms").alias("term")).groupBy("lang", "source", "term").agg(F.count("*").alias("c"))
-    return kept, counts.join(kept, ["lang", "term"]).select("lang", "source", "idx", "c")
+    """The same two tables without the driver."""
+    parts = docs.select("gid", "lid", "text").mapInArrow(_combined(False), "gid long, lid long, term string, c long, df long")
+    every = _written(parts.groupBy("gid", "lid", "term").agg(F.sum("c").alias("c"), F.sum("df").alias("df")), "term-counts")
+    kept = every.groupBy("lid", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
+    kept = _written(kept.select(F.monotonically_increasing_id().alias("idx"), "lid", "term"), "terms")
+    return kept, every.join(kept, ["lid", "term"]).select("gid", "idx", "c")
+
 
+def kept_terms(docs: DataFrame, min_df: int) -> int:
+    """About the number of kept terms: the marked ones among them, times the share of marks."""
+    marked = docs.select("gid", "lid", "text").mapInArrow(_combined(True), "lid long, h long")
+    return marked.groupBy("lid", "h").agg(F.count("*").alias("df")).where(F.col("df") >= min_df).count() << MARK_BITS
 
-def n_terms(docs: DataFrame) -> int:
-    """About the number of distinct (language, term), each task folding its own into one sketch."""
-    return int(docs.select("lang", F.explode("terms").alias("t")).agg(F.approx_count_distinct(F.xxhash64("lang", "t"), 0.02)).first()[0])
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
 
 
 def _share(count: Column, total: Column, size: Column) -> Column:
     """1 + floor(10^9 (count + 2) / (total + 2 size)) for any counts of 64 bits."""
-    of = F.call_function("div", ((count + 2).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")), (total + 2 * size).cast("decimal(20,0)"))
-    return F.when(size > 0, 1 + of)
+    whole = total + 2 * size
+    wide = _div((count + 2).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)"), whole.cast("decimal(20,0)"))
+    return F.when(size > 0, 1 + F.when(count < 9 * 10**9, _div((count + 2) * F.lit(SCALE).cast("long"), whole)).otherwise(wide))
 
 
 def _apart(p: Column, q: Column) -> Column:
-    return F.call_function("div", (p - q) * (p - q), p + q)
+    return _div((p - q) * (p - q), p + q)
 
 
 def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS, max_terms: int = MAX_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank: for each source of each language its distance to every other one (part
     ``pair``) and its ``top`` distinctive terms (part ``term``)."""
-    docs = terms_of(documents)
-    counted = counts_by_vectors if n_terms(docs) <= max_terms else counts_by_join
-    vocabulary, sums = counted(docs, min_df)
+    named = _named(documents)
+    sources = named.groupBy("lang").agg(F.sort_array(F.collect_set("source")).alias("sources"))
+    langs = _written(sources.select(F.col("lang"), "sources"), "langs")
+    # numbers in the order of the names; a row for each language is what the window sees
+    numbered = langs.select("lang", F.expr("row_number() over (order by lang)").cast("long").alias("lid"))
+    every = _written(langs.join(numbered, "lang").select("lang", "lid", F.explode("sources").alias("source")).withColumn("gid", F.monotonically_increasing_id()), "sources")
+    docs = named.join(broadcast_if_small(every), ["lang", "source"]).select("gid", "lid", "text")
+
+    few = every.agg(F.max("lid")).first()[0] or 0
+    vectors = 0 < few <= MAX_CODES and kept_terms(docs, min_df) <= max_terms
+    vocabulary, sums = (counts_by_vectors if vectors else counts_by_join)(docs, min_df)
     sums = _written(sums, "sums")
 
-    sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
-    every = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).distinct()
-    totals = sums.groupBy("lang", "source").agg(F.sum("c").alias("n"))
-    groups = every.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0, ["n", "v"])
-    groups = _written(groups.select(F.monotonically_increasing_id().alias("gid"), "lang", "source", "n", "v", _share(F.lit(0), F.col("n"), F.col("v")).alias("p0")), "groups")
-    known = broadcast_if_small(groups)
-    shares = sums.join(known, ["lang", "source"]).select("gid", "idx", "lang", "p0", _share(F.col("c"), F.col("n"), F.col("v")).alias("p"))
-
-    pairs = _pairs(groups, shares)
-    distinctive = _terms(shares, sums, vocabulary, groups, top)
-    return pairs.unionByName(distinctive)
+    sizes = vocabulary.groupBy("lid").agg(F.count("*").alias("v"))
+    totals = sums.groupBy("gid").agg(F.sum("c").alias("n"))
+    groups = every.join(totals, "gid", "left").join(sizes, "lid", "left").na.fill(0, ["n", "v"])
+    groups = _written(groups.withColumn("p0", _share(F.lit(0).cast("long"), F.col("n"), F.col("v"))), "groups")
+    known = broadcast_if_small(groups.select("gid", "lid", "n", "v", "p0"))
+    shares = sums.join(known, "gid").select("gid", "idx", "lid", "c", "p0", _share(F.col("c"), F.col("n"), F.col("v")).alias("p"))
+    shares = _written(shares, "shares")
+    return _pairs(groups, shares).unionByName(_terms(shares, vocabulary, groups, top))
 
 
 def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
-    b = groups.select("lang", F.col("gid").alias("other"), F.col("source").alias("item"), F.col("p0").alias("q0"))
-    both = groups.join(broadcast_if_small(b), "lang").where("gid <> other")
+    b = groups.select("lid", F.col("gid").alias("other"), F.col("source").alias("item"), F.col("p0").alias("q0"))
+    both = groups.join(broadcast_if_small(b), "lid").where("gid <> other")
     f00 = _apart(F.col("p0"), F.col("q0"))
 
     # a group's own terms against another's share of absent ones: by distinct shares
@@ -152,25 +227,25 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     c = shares.select("idx", F.col("gid").alias("other"), F.col("p").alias("q"), F.col("p0").alias("q0"))
     p, q, p0, q0 = map(F.col, ("p", "q", "p0", "q0"))
     gain = _apart(p, q) - _apart(p, q0) - _apart(p0, q) + f00
-    shared = a.join(c, "idx").where("gid < other").groupBy("gid", "other").agg(F.sum(gain).alias("shared"))
+    shared = a.join(c.hint("merge"), "idx").where("gid < other").groupBy("gid", "other").agg(F.sum(gain).alias("shared"))
 
-    back = alone.select(F.col("gid").alias("other"), F.col("other").alias("gid"), F.col("alone").alias("back"))
-    mirrored = shared.union(shared.select("other", "gid", "shared"))
+    # the three parts of a pair, seen from both its ends
+    parts = alone.select("gid", "other", F.col("alone").alias("part"))
+    parts = parts.union(parts.select("other", "gid", "part")).union(shared).union(shared.select("other", "gid", "shared"))
+    parts = parts.groupBy("gid", "other").agg(F.sum("part").alias("part"))
     zero = F.lit(0).cast("long")
-    value = F.coalesce(F.col("v") * f00, zero) + F.coalesce("alone", zero) + F.coalesce("back", zero) + F.coalesce("shared", zero)
-    keys = ["gid", "other"]
-    found = both.join(alone, keys, "left").join(back, keys, "left").join(mirrored, keys, "left").select("gid", "lang", "source", "item", value.cast("long").alias("value"))
+    value = F.coalesce(F.col("v") * f00, zero) + F.coalesce("part", zero)
+    found = both.join(parts, ["gid", "other"], "left").select("gid", "lang", "source", "item", value.cast("long").alias("value"))
     rank = F.expr("row_number() over (partition by gid order by value desc, item)")
     return found.select("lang", "source", F.lit("pair").alias("part"), "item", "value", rank.alias("rank"))
 
 
-def _terms(shares: DataFrame, sums: DataFrame, vocabulary: DataFrame, groups: DataFrame, top: int) -> DataFrame:
-    whole = groups.groupBy("lang").agg(F.sum("n").alias("n"), F.first("v").alias("v"))
-    common = sums.groupBy("lang", "idx").agg(F.sum("c").alias("c")).join(broadcast_if_small(whole), "lang")
-    common = common.select("idx", _share(F.col("c"), F.col("n"), F.col("v")).alias("q"))
-    ahead = shares.join(common, "idx").where("p > q").select("gid", "idx", _apart(F.col("p"), F.col("q")).alias("value"))
-    named = ahead.join(vocabulary.select("idx", "term"), "idx")
-    best = first_k(named, ["gid"], [F.desc("value"), F.asc("term")], top, salt_on=["idx"])
+def _terms(shares: DataFrame, vocabulary: DataFrame, groups: DataFrame, top: int) -> DataFrame:
+    whole = groups.groupBy("lid").agg(F.sum("n").alias("n"), F.first("v").alias("v"))
+    common = shares.groupBy("lid", "idx").agg(F.sum("c").alias("c")).join(broadcast_if_small(whole), "lid")
+    common = common.join(vocabulary.select("idx", "term"), "idx").select("idx", "term", _share(F.col("c"), F.col("n"), F.col("v")).alias("q"))
+    ahead = shares.select("gid", "idx", "p").join(common, "idx").where("p > q").select("gid", "idx", "term", _apart(F.col("p"), F.col("q")).alias("value"))
+    best = first_k(ahead, ["gid"], [F.desc("value"), F.asc("term")], top, salts=8, salt_on=["idx"])
     return best.join(broadcast_if_small(groups.select("gid", "lang", "source")), "gid").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
 

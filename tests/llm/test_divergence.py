@@ -15,7 +15,7 @@ from streetscape.llm import queries as Q
 
 from .conftest import SCHEMA, rows
 
-TERM = re.compile(D.TERM)
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def brute(docs, min_df, top=10):
@@ -88,6 +88,17 @@ def test_shares_beyond_64_bits(spark):
     assert out == 1 + 10**9 * (n + 2) // (3 * n + 10)
 
 
+def test_more_languages_than_codes(spark):
+    data = [(f"l{i % 70}", f"s{i % 3}", f"alpha beta w{i % 5} " * (1 + i % 4)) for i in range(700)]
+    assert got(D.audit(spark.createDataFrame(data, "lang string, source string, text string"), min_df=2)) == brute(data, 2)
+
+
+def test_estimate_of_kept_terms(spark):
+    word = lambda k: "".join(chr(97 + k // 26**p % 26) for p in range(4))
+    docs = spark.createDataFrame([(1, 1, " ".join(map(word, range(60_000)))), (1, 1, " ".join(map(word, range(20_000, 90_000))))], "gid long, lid long, text string")
+    assert 32_000 < D.kept_terms(docs, 2) < 50_000 and 75_000 < D.kept_terms(docs, 1) < 106_000
+
+
 def test_odd_tables(spark, docs, no_docs):
     assert D.audit(no_docs).count() == 0
     want = brute([(r[2], r[3], r[1]) for r in rows()], 2)
