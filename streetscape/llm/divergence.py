@@ -86,23 +86,30 @@ def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
 
 
-def _coded_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's terms, the byte of its language's code before each."""
-    for b in batches:
-        codes = b.column("code").to_numpy()
-        for i, j, text, off in T.chunks(b.column("text")):
-            # a byte more at each text's head, so that every term has one before it
-            n = j - i
-            at = off + np.arange(n + 1)
-            buf = np.zeros(len(text) + n, np.uint8)
-            body = np.ones(len(buf), bool)
-            body[at[:-1]] = False
-            buf[body] = T.lower(text)
-            starts, ends = T.spans(buf, at, TERM_BYTES)
-            doc = T.owners(starts, at)
-            buf[starts - 1] = codes[i:j][doc]
-            offsets = np.concatenate([[0], np.cumsum(T.counts(doc, n))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("gid").slice(i, n), pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts - 1, ends))], names=["gid", "terms"])
+def _coded_terms(distinct: bool):
+    """Each document's terms, the byte of its language's code before each; ``distinct``: each term once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = b.column("code").to_numpy()
+            for i, j, text, off in T.chunks(b.column("text")):
+                # a byte more at each text's head, so that every term has one before it
+                n = j - i
+                at = off + np.arange(n + 1)
+                buf = np.zeros(len(text) + n, np.uint8)
+                body = np.ones(len(buf), bool)
+                body[at[:-1]] = False
+                buf[body] = T.lower(text)
+                starts, ends = T.spans(buf, at, TERM_BYTES)
+                doc = T.owners(starts, at)
+                if distinct:
+                    pick = ~T.repeated(T.hashes(buf, starts, ends), doc)[1]
+                    starts, ends, doc = starts[pick], ends[pick], doc[pick]
+                buf[starts - 1] = codes[i:j][doc]
+                offsets = np.concatenate([[0], np.cumsum(T.counts(doc, n))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("gid").slice(i, n), pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts - 1, ends))], names=["gid", "terms"])
+
+    return run
 
 
 def _combined(marked_only: bool):
@@ -146,15 +153,17 @@ def _combined(marked_only: bool):
 def counts_by_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
     """The vocabulary (idx, lid, term) and the counts (gid, idx, c) by way of CountVectorizer."""
     spark = docs.sparkSession
-    terms = docs.select("gid", "text", F.col("lid").cast("short").alias("code")).mapInArrow(_coded_terms, "gid long, terms array<string>")
-    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(terms)
+    coded = docs.select("gid", "text", F.col("lid").cast("short").alias("code"))
+    terms, once = (coded.mapInArrow(_coded_terms(distinct), "gid long, terms array<string>") for distinct in (False, True))
+    # what is kept depends on documents only, so the fit reads each term of a document once
+    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(once)
     saved = _folder(docs, "vocabulary")
     model.save(saved)
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("idx", "word"))
     vocabulary = words.select(F.col("idx").cast("long").alias("idx"), F.ascii("word").cast("long").alias("lid"), F.expr("substring(word, 2)").alias("term"))
     vectors = model.transform(terms).select("gid", F.unwrap_udt("features").alias("v"))
-    entries = vectors.select("gid", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    sums = entries.groupBy("gid", F.col("e.indices").alias("idx")).agg(F.sum("e.values").alias("c"))
+    entries = vectors.where(F.size("v.indices") > 0).select("gid", "v", F.explode(F.sequence(F.lit(0), F.size("v.indices") - 1)).alias("k"))
+    sums = entries.select("gid", F.expr("v.indices[k]").alias("idx"), F.expr("v.values[k]").alias("c")).groupBy("gid", "idx").agg(F.sum("c").alias("c"))
     return _written(vocabulary, "terms"), sums.select("gid", F.col("idx").cast("long").alias("idx"), F.col("c").cast("long").alias("c"))
 
 
