@@ -31,6 +31,7 @@ from streetscape.operators.deliverable import deliverable_rows, run_summary
 from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
 from streetscape.sources.images import read_images_of
+from streetscape.sources.layout import buckets_of, new_in
 from streetscape.sources.pages import scan_capture_pages
 from streetscape.sources.stores import scan_image_store, scan_score_store
 
@@ -59,6 +60,7 @@ class RunConfig:
     k: int = 10
     rejects_path: str | None = None  # default: out_path + "-rejects"
     score_group: int = 10_000  # images scored between two appends to the score store
+    store_buckets: int | None = None  # stores that a run creates are bucketed by id
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> dict:
@@ -85,8 +87,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
     try:
         t = time.monotonic()
         bbox = find_aoi(spark, cfg.aoi, cfg.lon0, cfg.lat0, cfg.side_m)
-        init_store(spark, cfg.image_store, "images")
-        init_store(spark, cfg.score_store, "scores")
+        init_store(spark, cfg.image_store, "images", cfg.store_buckets)
+        init_store(spark, cfg.score_store, "scores", cfg.store_buckets)
         t = tick("resolve_bbox", t)
 
         every = hold(C.parse_captures(scan_capture_pages(spark, cfg.pages_path), is_pano=cfg.is_pano))
@@ -98,7 +100,9 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         t = tick("candidates", t)
 
         # only files of new ids are opened
-        new = hold(ST.new_images(cands, scan_image_store(spark, cfg.image_store)))
+        stored = scan_image_store(spark, cfg.image_store)
+        buckets = buckets_of(spark, cfg.image_store)
+        new = hold(new_in(cands, stored, buckets) if buckets else ST.new_images(cands, stored))
         files = hold(read_images_of(spark, cfg.images_path, new))
         reject(files.select("image_id", F.col("reject_reason").alias("reason")), "download")
         reject(new.join(files.select("image_id"), "image_id", "left_anti").select("image_id", F.lit("download_failed").alias("reason")), "download")

@@ -100,5 +100,5 @@ DELIVERABLE_COLUMNS = [
     "top_regions",
 ]
 
-# Landed capture page: {"data": [ {...}, ... ], "paging": {"next": "..."}}
-PAGE_DDL = "data array<variant>, paging struct<next: string>"
+# Landed capture page: {"request": "...", "data": [ {...}, ... ], "paging": {"next": "..."}}; request may be missing
+PAGE_DDL = "request string, data array<variant>, paging struct<next: string>"

@@ -20,6 +20,8 @@ SESSION_CONF: dict[str, str] = {
     # rows that a Python worker holds at once: texts and images are kilobytes to megabytes each
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.mergeSchema": "false",
+    # comparisons reach the GeoParquet reader
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 def land_files(df: DataFrame, path: str, id_col: str = "image_id", blob_col: str = "image_blob", ext: str = ".jpg") -> int:
     """Write ``blob_col`` of every row to ``<path>/<id><ext>``; returns the number of files."""
-    base = path.rstrip("/")
+    from streetscape.sinks.geoparquet import qualified
+
+    base = qualified(df.sparkSession, path.rstrip("/"))
 
     def write(batches):
         import pyarrow as pa

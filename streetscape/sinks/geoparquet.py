@@ -233,7 +233,8 @@ class _GeoWriter(DataSourceArrowWriter):
 
 
 class GeoParquetDataSource(DataSource):
-    """``df.write.format("geoparquet").option("geometry_column", "geom").save(path)``"""
+    """``df.write.format("geoparquet").option("geometry_column", "geom").save(path)`` and ``spark.read``: see
+    ``sources.geoparquet``."""
 
     @classmethod
     def name(cls):
@@ -242,6 +243,16 @@ class GeoParquetDataSource(DataSource):
     def writer(self, schema, overwrite):
         return _GeoWriter(self.options, overwrite)
 
+    def schema(self):
+        from streetscape.sources.geoparquet import schema_of
+
+        return schema_of(self.options["path"], self.options.get("geometry_column", "geom"))
+
+    def reader(self, schema):
+        from streetscape.sources.geoparquet import GeoReader
+
+        return GeoReader(self.options, schema)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(GeoParquetDataSource)

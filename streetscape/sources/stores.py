@@ -20,11 +20,15 @@ from streetscape.schemas import (
     SEGMENT_SCHEMA,
     SENTINEL_ID,
 )
+from streetscape.sources.layout import bucketed_table, buckets_of
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, with_file: bool) -> DataFrame:
     try:
-        df = spark.read.schema(schema).parquet(path)
+        if buckets_of(spark, path) is not None:  # the scan then tells its partitioning by id
+            df = spark.table(bucketed_table(spark, path, schema))
+        else:
+            df = spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:  # store never written yet
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
