@@ -32,7 +32,7 @@ from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
 from streetscape.sources.images import read_images_of
 from streetscape.sources.layout import buckets_of, new_in
-from streetscape.sources.pages import scan_capture_pages
+from streetscape.sources.pages import records_and_rejects
 from streetscape.sources.stores import scan_image_store, scan_score_store
 
 
@@ -91,7 +91,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         init_store(spark, cfg.score_store, "scores", cfg.store_buckets)
         t = tick("resolve_bbox", t)
 
-        every = hold(C.parse_captures(scan_capture_pages(spark, cfg.pages_path), is_pano=cfg.is_pano))
+        records, broken = records_and_rejects(spark, cfg.pages_path)
+        if broken is not None:
+            reject(broken.select(F.col("request").alias("image_id"), "reason"), "pages")
+        every = hold(C.parse_captures(records, is_pano=cfg.is_pano))
         reject(every.select("image_id", F.col("reject_reason").alias("reason")), "parse")
         parsed = hold(C.filter_captured(C.with_captured_at(C.drop_incomplete(every)), cfg.start_captured_at, cfg.end_captured_at))
         reject(parsed.select("image_id", F.when(~F.coalesce(inside("lon", "lat", bbox), F.lit(False)), "out_of_bbox").alias("reason")), "aoi")

@@ -467,11 +467,11 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"), vector_sum().alias("activity_sum"), region_text().alias("regions"))
 
 
-def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
-    """The whole incremental run (plans.pipeline.run) over data landed from the tables: capture
-    pages from events, JPEG-marked image files from documents (every seventh without the marker,
-    every eleventh failing in the model), fresh stores. Returns the output path and the summary."""
-    from streetscape.plans.pipeline import RunConfig, run
+def landed_run(spark: SparkSession, d: str):
+    """A run's configuration over data landed from the tables: capture pages from events,
+    JPEG-marked image files from documents (every seventh without the marker, every eleventh failing
+    in the model), fresh stores."""
+    from streetscape.plans.pipeline import RunConfig
     from streetscape.session import shared_path
     from streetscape.sinks.files import land_files
     from streetscape.streaming.incremental import land_pages
@@ -482,7 +482,7 @@ def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
     marker = F.when(number % 7 == 0, F.unhex(F.lit("00000000"))).otherwise(F.unhex(F.lit("FFD8FFE0")))
     fails = F.when(number % 11 == 0, F.encode(F.lit("FAIL"), "UTF-8")).otherwise(F.unhex(F.lit("")))
     land_files(V.blobs(spark, d).select("image_id", F.concat(marker, fails, F.col("image_blob")).alias("image_blob")), f"{root}/files")
-    cfg = RunConfig(
+    return RunConfig(
         pages_path=f"{root}/pages",
         images_path=f"{root}/files",
         image_store=f"{root}/images",
@@ -492,6 +492,13 @@ def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
         score_group=500,
         predictor_factory=lambda: M.ByteProbePredictor(fail_marker=b"\xff\xd8\xff\xe0FAIL"),
     )
+
+
+def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
+    """The whole incremental run (plans.pipeline.run): the output path and the summary."""
+    from streetscape.plans.pipeline import run
+
+    cfg = landed_run(spark, d)
     return cfg.out_path, run(spark, cfg)
 
 

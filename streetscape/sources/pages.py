@@ -93,9 +93,16 @@ def ordered_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return pages.select("file", "data").join(kept, "file").select("page", "data"), rejects
 
 
-def scan_capture_pages(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all pages, in order of the links where pages carry them, else of the paths."""
+def records_and_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """(page, pos, record) of all pages, in order of the links where pages carry them, else of the paths; and (request,
+    reason) of broken chains, if there are links."""
     pages = read_pages(spark, path)
     if pages.select("request").where("request IS NOT NULL").isEmpty():
-        return explode_pages(pages.select(F.col("file").alias("page"), "data"))
-    return explode_pages(ordered_pages(spark, path)[0])
+        return explode_pages(pages.select(F.col("file").alias("page"), "data")), None
+    ordered, rejects = ordered_pages(spark, path)
+    return explode_pages(ordered), rejects
+
+
+def scan_capture_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all pages, in order of arrival."""
+    return records_and_rejects(spark, path)[0]
