@@ -13,7 +13,7 @@ Everything happens in the task that tokenizes: no shuffle and no state beyond ``
 waiting tokens, so a retried task gives the same rows. Tokens of words are kept in a bounded cache
 of the worker.
 
-Defined cases: a null or empty text is the end id alone; repeated rows are packed each on its own;
+Defined cases: strings of special tokens inside a text are those tokens, as the tokenizer's default has it; a null or empty text is the end id alone; repeated rows are packed each on its own;
 a text is tokenized in slices cut at white space, however long it is; an empty table gives no rows.
 """
 
@@ -38,12 +38,14 @@ END_ID = 1
 STEP_TOKENS = 8 * 2048
 GROUP_TOKENS = 2_000_000
 SLICE_CHARS = 1 << 20
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 500_000, 150_000, 48
+#: Sizes of the caches of words and of their parts; longer strings aren't kept.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 400_000, 48
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context int, step_id long, step_cost long"
 
-_PLAIN = re.compile(r"[!-~]+").fullmatch
-#: The tokenizer's own word pattern, for printable ASCII.
-_PRETOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+#: Words of printable ASCII and Latin-1 letters: composed and lower-cased character by character.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+#: The tokenizer's own word pattern, for such words in lower case.
+_PRETOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
 
 class WordIds(dict):
@@ -51,23 +53,27 @@ class WordIds(dict):
 
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"\b\B").search
         self.one = self.tokenizer.model.tokenize
         self.parts: dict[str, bytes] = {}
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x100)]
+        self.byte_level = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in letters})
 
     def part(self, part: str) -> bytes:
         out = self.parts.get(part)
         if out is None:
-            ids = [t.id for t in self.one(part)]
+            ids = [t.id for t in self.one(part if part.isascii() else part.translate(self.byte_level))]
             out = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.parts) < CACHE_PARTS and len(part) <= CACHE_CHARS:
                 self.parts[part] = out
         return out
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN(word):
+        if _PLAIN(word) and not self.special(word):
             out = b"".join(map(self.part, _PRETOKENS(word.lower())))
         else:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()

@@ -107,7 +107,6 @@ def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.tokenizer_path())
-    tok.encode_special_tokens = True
     out = packing.pack(docs, with_ids=True).collect()
     want = Counter(tuple(tok.encode(r[1] or "", add_special_tokens=False).ids + [packing.END_ID]) for r in rows())
     assert sum(r.length for r in out) == sum(len(k) * n for k, n in want.items())
@@ -143,6 +142,24 @@ def test_word_ids_equal_the_tokenizers():
         assert "".join(packing.slices(s, 3)) == s
 
 
+def test_special_strings_and_small_caches_as_the_tokenizers_default(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y<|endoftext|>.", "<|ENDOFTEXT|> <|endoftext |>", "ÀÖØÞ àöøþ ß Straße GROẞ ÿ É's l'été,123 ×÷ æ-Œ e\u0301", prose(1, 3000), prose(2, 3000, "és or üb ing wha")]
+    for words, parts in ((300_000, 200_000), (5, 3)):
+        monkeypatch.setattr(packing, "CACHE_WORDS", words)
+        monkeypatch.setattr(packing, "CACHE_PARTS", parts)
+        known = packing.WordIds(open(packing.tokenizer_path(), encoding="utf-8").read())
+        for _ in range(2):
+            assert [known.encode(t).tolist() for t in texts] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in plain.encode(texts[0], add_special_tokens=False).ids
+    out = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), with_ids=True).collect()
+    for k, t in enumerate(texts):
+        got = [i for r in sorted((r for r in out if r.doc_id == k), key=lambda r: r.start) for i in r.ids]
+        assert got == plain.encode(t, add_special_tokens=False).ids + [packing.END_ID]
+
+
 def test_hamming_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 300).astype(np.uint64)
