@@ -49,6 +49,9 @@ TOKEN_LIMIT = 1024
 CACHE_DDL = "tokenizer string, digest binary, n_tokens long"
 
 _EDGE = re.compile(r"(?<=\w) (?=\w)")
+#: Words that a worker keeps the counts of, and their greatest length.
+KNOWN_WORDS, KNOWN_CHARS = 400_000, 48
+_TWO_SPACES = re.compile(r"\s\s").search
 
 
 def tokenizer_path() -> str:
@@ -86,6 +89,15 @@ def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
+def words(text: str) -> list[str]:
+    """The text cut before every space and line break, or whole if two white-space characters meet anywhere. With a pattern
+    that ``sliceable`` accepts, no token crosses such a cut: a single space goes with what follows it, a single line break
+    stands alone."""
+    if "\0" in text or _TWO_SPACES(text):
+        return list(slices(text, 1))
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
 _COUNTERS: dict[str, object] = {}
 
 
@@ -100,15 +112,34 @@ def counter(model: bytes, kind: str):
             tokenizer = Tokenizer.from_str(model.decode())
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            _COUNTERS[key] = lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            whole = lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             import sentencepiece
 
             pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-            _COUNTERS[key] = lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
+            whole = lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)]
+        _COUNTERS[key] = by_words(whole) if sliceable(model, kind) else whole
     return _COUNTERS[key]
 
 
+def by_words(whole):
+    """The same counts, each new word of a list of texts encoded once."""
+    known: dict[str, int] = {}
+
+    def count(texts: list[str]) -> list[int]:
+        split = list(map(words, texts))
+        new = list(set().union(*split).difference(known))
+        known.update(zip(new, whole(new)))
+        out = [sum(map(known.__getitem__, w)) for w in split]
+        room = KNOWN_WORDS - (len(known) - len(new))
+        for k, w in enumerate(new):
+            if k >= room or len(w) > KNOWN_CHARS:
+                del known[w]
+        return out
+
+    return count
+
+
 def _encode(model: bytes, kind: str):
     cut = sliceable(model, kind)
 

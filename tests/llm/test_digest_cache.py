@@ -86,6 +86,21 @@ def test_slices_cut_where_no_token_crosses(plain):
     assert list(D.slices("x" * 100, 20)) == ["x" * 100]
 
 
+def test_words_cut_where_no_token_crosses(plain, monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    model = open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
+    texts = ["".join(rng.choice(["a", "Bc", "it's", " ", "  ", "\n", "\n\n", "\t", " \n", "1", "22", ".", "...", "é", "\xa0", "\u2003", "日", "<|endoftext|>", "\x1f", "\x85", "\0"]) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [prose(k, 80) for k in range(20)] + [" a", "a ", "\na", "a\n", " ", "\n", "a \nb", "a\n b"]
+    want = [plain(t) for t in texts]
+    for limit in (D.KNOWN_WORDS, 3):
+        monkeypatch.setattr(D, "KNOWN_WORDS", limit)
+        count = D.by_words(lambda some: [plain(x) for x in some])
+        assert [n for k in range(0, len(texts), 500) for n in count(texts[k : k + 500])] == want
+    assert D.counter(model, "json")(texts) == want
+
+
 def test_odd_tables(spark, docs, no_docs):
     assert D.token_counts(no_docs).count() == 0
     extra = docs.withColumns({c: F.lit("x") for c in ("digest", "n_tokens", "n", "at", "tokenizer", "hot_tokens", "n_bytes")})
