@@ -11,6 +11,7 @@ from streetscape.operators import deliverable as D
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
 from streetscape.operators.deliverable import STAGES
+from streetscape.operators.maintained import read_index, read_stats, refresh
 from streetscape.operators.spatial import append_clustered, scan_box
 from streetscape.plans import queries as Q
 from streetscape.plans import views as V
@@ -60,6 +61,39 @@ def q_bucketed_latest(spark: SparkSession, d: str) -> DataFrame:
     return latest.select("image_id", "downloaded_at", "image_sha256", "image_bytes")
 
 
+def _maintained(spark: SparkSession, d: str) -> str:
+    """An index kept over a store that grows twice and loses shards: a third append, of later copies, is deleted again."""
+    import pyarrow.fs as pafs
+
+    from streetscape.sinks.geoparquet import _fs, qualified
+
+    root = shared_path(spark, "maintained")
+    path, index = f"{root}/images", f"{root}/index"
+    store = V.store(spark, d)
+    append_images(store.where("source_file = 'shard-1.parquet'"), path)
+    refresh(spark, path, index)
+    append_images(store.where("source_file = 'shard-2.parquet'"), path)
+    refresh(spark, path, index)
+    before = set(spark.read.parquet(path).inputFiles())
+    append_images(store.where("camera_type = 'view'").withColumn("downloaded_at", F.expr("downloaded_at + interval 9 days")), path)
+    refresh(spark, path, index)
+    for url in set(spark.read.parquet(path).inputFiles()) - before:
+        fs, file = _fs(qualified(spark, url))
+        fs.delete_file(file)
+    refresh(spark, path, index)
+    return index
+
+
+def q_maintained_index(spark: SparkSession, d: str) -> DataFrame:
+    """The latest rows, kept from a log of shards through appends and deletions."""
+    return read_index(spark, _maintained(spark, d)).select("image_id", "downloaded_at", "image_sha256", "image_bytes")
+
+
+def q_maintained_stats(spark: SparkSession, d: str) -> DataFrame:
+    """A1: the store's figures from the same log."""
+    return read_stats(spark, _maintained(spark, d)).drop("n_shards")
+
+
 def q_box_scan(spark: SparkSession, d: str) -> DataFrame:
     """Captures as shards clustered in space, in two appends; a box read by way of the manifest."""
     path = f"{shared_path(spark, 'clustered')}/rows"
@@ -184,6 +218,8 @@ def q_run_record(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "bucketed_ids": q_bucketed_ids,
     "bucketed_latest": q_bucketed_latest,
+    "maintained_index": q_maintained_index,
+    "maintained_stats": q_maintained_stats,
     "box_scan": q_box_scan,
     "geo_box_scan": q_geo_box_scan,
     "preview_whole": q_preview_whole,
@@ -202,6 +238,9 @@ SQL = {
         SELECT image_id, 'new' AS side FROM camden WHERE image_id NOT IN (SELECT image_id FROM store)
         UNION ALL SELECT image_id, 'cached' FROM camden WHERE image_id IN (SELECT image_id FROM store)"""),
     "bucketed_latest": with_base("SELECT image_id, downloaded_at, image_sha256, image_bytes FROM latest"),
+    "maintained_index": with_base("SELECT image_id, downloaded_at, image_sha256, image_bytes FROM latest"),
+    "maintained_stats": with_base("""
+        SELECT count(*) AS n_rows, CAST(sum(image_bytes) AS BIGINT) AS total_bytes, min(captured_at) AS oldest_captured_at, max(captured_at) AS newest_captured_at FROM store"""),
     "box_scan": with_base(f"SELECT image_id, lon, lat, camera_type FROM captures WHERE {_PART}"),
     "geo_box_scan": with_base(f"""
         , part AS (
