@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streetscape.operators import atlas as AT
 from streetscape.operators import deliverable as D
 from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
+from streetscape.operators.aoi import tiles_by_content
 from streetscape.operators.deliverable import STAGES
 from streetscape.operators.maintained import read_index, read_stats, refresh
 from streetscape.operators.spatial import append_clustered, scan_box
@@ -20,6 +22,7 @@ from streetscape.plans.queries import CAMDEN
 from streetscape.session import shared_path
 from streetscape.sinks.geoparquet import crs_of, geo_metadata, verify_geo, write_geo
 from streetscape.sinks.stores import append_images, init_store
+from streetscape.sources.drift import scan_drifted
 from streetscape.sources.geoparquet import read_geo
 from streetscape.sources.layout import cached_in, new_in
 from streetscape.sources.pages import rank_pages, read_pages
@@ -32,6 +35,7 @@ BUCKETS = 16
 #: A part of the area, by its own edges.
 PART = Row(west=-0.1452, south=51.5408, east=-0.1440, north=51.5421)
 PAGE_RECORDS = 100
+TILE_POINTS, TILE_AREA, TILE_LEVELS = 20, 2e-6, 8
 URL = "https://api.example/list?page="
 #: The first of two runs takes captures up to this time.
 FIRST_RUN_UNTIL = "2024-01-16T00:00:00"
@@ -103,6 +107,34 @@ def q_box_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan_box(spark, path, PART, captures.schema)
 
 
+def q_content_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quadtrees of two boxes whose tiles keep an area and a number of captures."""
+    aois = spark.createDataFrame([("camden", *(CAMDEN[s] for s in ("west", "south", "east", "north"))), ("part", *PART)], "aoi string, west double, south double, east double, north double")
+    tiles = tiles_by_content(V.captures(spark, d), aois, TILE_POINTS, TILE_AREA, TILE_LEVELS)
+    return tiles.select("aoi", F.col("level").cast("long").alias("level"), "col", "row", "n_points", "over", *[Q._r(F.col(c)).alias(c) for c in ("west", "south", "east", "north")])
+
+
+DRIFT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (("image_id", T.StringType()), ("lon", T.DoubleType()), ("camera_type", T.StringType()), ("sequence_id", T.StringType()), ("width", T.LongType()), ("creator_id", T.LongType()))])
+
+
+def q_drifted_shards(spark: SparkSession, d: str) -> DataFrame:
+    """U4: captures in shards of four kinds: as they should be, without a column and in another order, with shorter integers and a
+    column more, with text where a number is due."""
+    captures = V.captures(spark, d)
+    path = f"{shared_path(spark, 'drifted')}/rows"
+    kind = F.col("image_id").cast("long") % 4
+    long = F.col("creator_id")
+    whole = ["image_id", "lon", "camera_type", "sequence_id", F.col("width").cast("long").alias("width"), "creator_id"]
+    for k, columns in enumerate((
+        whole,
+        ["creator_id", F.col("width").cast("long").alias("width"), "camera_type", "lon", "image_id"],
+        ["image_id", "lon", "camera_type", "sequence_id", F.col("width").cast("short").alias("width"), long.cast("int").alias("creator_id"), F.col("height").alias("height")],
+        ["image_id", "lon", "camera_type", "sequence_id", F.col("width").cast("long").alias("width"), F.when(F.col("camera_type") == "error", F.concat(F.lit("u"), long.cast("string"))).otherwise(long.cast("string")).alias("creator_id")],
+    )):
+        captures.where(kind == k).select(*columns).write.mode("append").parquet(path)
+    return scan_drifted(spark, path, DRIFT_SCHEMA).select(*DRIFT_SCHEMA.fieldNames(), F.to_json("drift").alias("drift"))
+
+
 def q_geo_box_scan(spark: SparkSession, d: str) -> DataFrame:
     """The deliverable with native geometry and as plain WKB, both read back inside a box."""
     rows = Q.deliverable(spark, d)
@@ -221,6 +253,8 @@ QUERIES = {
     "maintained_index": q_maintained_index,
     "maintained_stats": q_maintained_stats,
     "box_scan": q_box_scan,
+    "content_tiles": q_content_tiles,
+    "drifted_shards": q_drifted_shards,
     "geo_box_scan": q_geo_box_scan,
     "preview_whole": q_preview_whole,
     "geo_refused": q_geo_refused,
@@ -242,6 +276,32 @@ SQL = {
     "maintained_stats": with_base("""
         SELECT count(*) AS n_rows, CAST(sum(image_bytes) AS BIGINT) AS total_bytes, min(captured_at) AS oldest_captured_at, max(captured_at) AS newest_captured_at FROM store"""),
     "box_scan": with_base(f"SELECT image_id, lon, lat, camera_type FROM captures WHERE {_PART}"),
+    "content_tiles": with_base(f"""
+        , boxes AS (
+            SELECT *, CAST(greatest(0, ceil(log2((e - w) * (n - s) / {TILE_AREA:.1e}) / 2)) AS BIGINT) AS base
+            FROM (VALUES ('camden', -0.1465e0, 51.5405e0, -0.1422e0, 51.543e0), ('part', {PART.west}e0, {PART.south}e0, {PART.east}e0, {PART.north}e0)) t(aoi, w, s, e, n))
+        , cells AS (
+            SELECT aoi, base, CAST(least(floor((lon - w) / (e - w) * {1 << TILE_LEVELS}.0e0), {(1 << TILE_LEVELS) - 1}) AS BIGINT) AS col,
+                   CAST(least(floor((lat - s) / (n - s) * {1 << TILE_LEVELS}.0e0), {(1 << TILE_LEVELS) - 1}) AS BIGINT) AS row
+            FROM captures JOIN boxes ON lon BETWEEN w AND e AND lat BETWEEN s AND n)
+        , counts AS (
+            SELECT aoi, l.range AS level, col // CAST(pow(2, {TILE_LEVELS} - l.range) AS BIGINT) AS col, row // CAST(pow(2, {TILE_LEVELS} - l.range) AS BIGINT) AS row, count(*) AS n_points
+            FROM cells JOIN range({TILE_LEVELS + 1}) l ON l.range >= base GROUP BY ALL)
+        , split AS (SELECT aoi, level, col, row FROM counts WHERE n_points > {TILE_POINTS} AND level < {TILE_LEVELS})
+        , tiles AS (
+            SELECT aoi, base AS level, c.range AS col, r.range AS row FROM boxes, range(1000) c, range(1000) r WHERE c.range < pow(2, base) AND r.range < pow(2, base)
+            UNION ALL SELECT aoi, level + 1, col * 2 + c.range, row * 2 + r.range FROM split, range(2) c, range(2) r)
+        SELECT t.aoi, t.level, t.col, t.row, coalesce(n_points, 0) AS n_points, coalesce(n_points, 0) > {TILE_POINTS} AS over,
+               round(w + t.col * ((e - w) / pow(2, t.level)), 9) AS west, round(s + t.row * ((n - s) / pow(2, t.level)), 9) AS south,
+               round(w + (t.col + 1) * ((e - w) / pow(2, t.level)), 9) AS east, round(s + (t.row + 1) * ((n - s) / pow(2, t.level)), 9) AS north
+        FROM tiles t JOIN boxes b ON b.aoi = t.aoi LEFT JOIN counts k ON k.aoi = t.aoi AND k.level = t.level AND k.col = t.col AND k.row = t.row
+        WHERE NOT EXISTS (SELECT 1 FROM split x WHERE x.aoi = t.aoi AND x.level = t.level AND x.col = t.col AND x.row = t.row)"""),
+    "drifted_shards": with_base("""
+        SELECT image_id, lon, camera_type, CASE WHEN CAST(image_id AS BIGINT) % 4 <> 1 THEN sequence_id END AS sequence_id, CAST(width AS BIGINT) AS width,
+               CASE WHEN CAST(image_id AS BIGINT) % 4 <> 3 OR camera_type <> 'error' THEN creator_id END AS creator_id,
+               CASE CAST(image_id AS BIGINT) % 4 WHEN 2 THEN '{"height":' || height || '}'
+                    WHEN 3 THEN CASE WHEN camera_type = 'error' THEN '{"creator_id":"u' || creator_id || '"}' END END AS drift
+        FROM captures"""),
     "geo_box_scan": with_base(f"""
         , part AS (
             SELECT l.image_id, l.captured_at, {wkb_hex('l.lon', 'l.lat')} AS geom_hex, round(l.lon, 9) AS x, round(l.lat, 9) AS y, s.regions
