@@ -14,7 +14,9 @@ from streetscape.operators import store as ST
 from streetscape.operators.aoi import tiles_by_content
 from streetscape.operators.deliverable import STAGES
 from streetscape.operators.maintained import read_index, read_stats, refresh
+from streetscape.operators.score_udtf import register_scorer, score_by_sql
 from streetscape.operators.spatial import append_clustered, scan_box
+from streetscape.plans import oracle
 from streetscape.plans import queries as Q
 from streetscape.plans import views as V
 from streetscape.plans.oracle import _DELIVERABLE, _INGESTED, _KEPT, _LANDED, model_ctes, with_base, wkb_hex
@@ -247,7 +249,16 @@ def q_run_record(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, value long")
 
 
+def q_score_udtf(spark: SparkSession, d: str) -> DataFrame:
+    """M1 from SQL: the table function over every latest store row."""
+    items = ST.latest_rows(V.store(spark, d)).select("image_id", "image_blob")
+    register_scorer(spark, lambda: M.ByteProbePredictor(fail_marker=None), batch_bytes=1 << 20)
+    seg = M.good_segments(score_by_sql(items, 8))
+    return seg.select("image_id", "segment_idx", F.size("activity").cast("long").alias("n_values"), Q.vector_sum("activity").alias("activity_sum"))
+
+
 QUERIES = {
+    "score_udtf": q_score_udtf,
     "bucketed_ids": q_bucketed_ids,
     "bucketed_latest": q_bucketed_latest,
     "maintained_index": q_maintained_index,
@@ -268,6 +279,7 @@ _PART = f"lon BETWEEN {PART.west}e0 AND {PART.east}e0 AND lat BETWEEN {PART.sout
 _MARK = "CASE WHEN CAST({0} AS BIGINT) % 11 = 0 THEN 4 ELSE 0 END"
 
 SQL = {
+    "score_udtf": oracle.SQL["score_images"],
     "bucketed_ids": with_base("""
         SELECT image_id, 'new' AS side FROM camden WHERE image_id NOT IN (SELECT image_id FROM store)
         UNION ALL SELECT image_id, 'cached' FROM camden WHERE image_id IN (SELECT image_id FROM store)"""),
