@@ -4,16 +4,26 @@ Items are put into size classes; every document is read in windows of each class
 of it apart. A window and an item get 64-bit SimHash fingerprints over their two-word shingles. The
 fingerprint is cut into ``BLOCKS`` blocks of 16 bits: two fingerprints at most ``RADIUS`` apart agree
 in some block up to ``RADIUS // BLOCKS`` bits, so an index of every item's blocks with all their
-neighbours at that distance finds every item within the radius. A candidate is then verified
-exactly: the weighted share of the item's five-word shingles that stand in the window, widened by a
-quarter of its size on either side, must be 0.75 or more. A shingle weighs 1 + ln(items / items
-that have it).
+neighbours at that distance finds every item within the radius.
+
+An item of which a part is rewritten, or into which words are put, differs from the whole window by more
+than the radius though most of its shingles stand. So windows of ``PIECE`` words, ``PIECE_STRIDE`` apart,
+are looked up as well, among the fingerprints of the items' own windows of that size at every word
+(``PIECE_RADIUS``, again by blocks): a run of ``PIECE + PIECE_STRIDE - 1`` words that stands holds one that
+is equal, and gives the place of the item around it. An item that keeps 0.75 of its shingles after k edits, each of which
+breaks at least four of them, has such a run if it has about 28 words.
+
+Each candidate is verified exactly: the weighted share of the item's five-word shingles that stand in
+the window, widened by a quarter of its size on either side, must be 0.75 or more. A shingle weighs
+1 + ln(items / items that have it). ``hamming`` is the distance of the place reported, beyond ``RADIUS`` if
+pieces led to it.
 
 Documents are only mapped, nothing of them is shuffled or gathered. The benchmark is a stated
 query set: it is read in blocks of about ``ITEMS`` items, each of which is checked against all documents.
 
 Defined cases: null and empty texts and items match nothing; an item or document of fewer than five
-words has its whole wording as its one shingle; of several equally good places the first counts;
+words has its whole wording as its one shingle; of several places the most similar one, then the
+one of the nearest fingerprint, then the first counts;
 repeated documents and items each give their own rows; empty tables give an empty result.
 """
 
@@ -33,6 +43,7 @@ from streetscape.llm import tokens as T
 SHINGLE, SIMILARITY = 5, 0.75
 FEATURE, RADIUS, BLOCKS = 2, 15, 4
 STRIDES, CLASS_RATIO = 6, 1.15
+PIECE, PIECE_STRIDE, PIECE_RADIUS = 8, 4, 3
 ITEMS = 4096
 BLOCK_WORDS = 32_768
 OUT = "doc_id long, item_id long, similarity double, hamming int, start_word long, n_words long"
@@ -79,13 +90,18 @@ class Prints:
         return out
 
 
+def _whole(words: np.ndarray) -> np.ndarray:
+    """The one fingerprint of all ``words``."""
+    return Prints(words).of(np.array([0]), np.array([len(words)]))
+
+
 class HammingIndex:
-    """All fingerprints within ``RADIUS`` of a query, by blocks and their neighbours."""
+    """All fingerprints within ``radius`` of a query, by blocks and their neighbours."""
 
-    def __init__(self, prints: np.ndarray) -> None:
-        self.prints = prints
+    def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
+        self.prints, self.radius = prints, radius
         width = 64 // BLOCKS
-        near = RADIUS // BLOCKS
+        near = radius // BLOCKS
         flips = np.array([sum(1 << i for i in c) for k in range(near + 1) for c in combinations(range(width), k)], np.int64)
         self.tables = []
         for b in range(BLOCKS):
@@ -105,7 +121,7 @@ class HammingIndex:
             q = np.repeat(np.arange(len(queries)), n)
             at = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[key], n)
             item = items[at]
-            near = np.bitwise_count(queries[q] ^ self.prints[item]) <= RADIUS
+            near = np.bitwise_count(queries[q] ^ self.prints[item]) <= self.radius
             found.append(q[near] * len(self.prints) + item[near])
         pair = np.unique(np.concatenate(found))
         q, item = np.divmod(pair, max(1, len(self.prints)))
@@ -145,8 +161,18 @@ class Benchmark:
         self.totals = [sum(k * w for k, w in c.values()) for c in self.weighted]
         self.classes = []
         for size, members in sorted(by_class.items()):
-            prints = np.concatenate([Prints(self.words[i]).of(np.array([0]), np.array([len(self.words[i])])) for i in members])
+            prints = np.concatenate([_whole(self.words[i]) for i in members])
             self.classes.append((size, np.array(members), HammingIndex(prints)))
+        self._cut_pieces()
+
+    def _cut_pieces(self) -> None:
+        """The items' own windows of ``PIECE`` words: (item, word) of each fingerprint, and their index."""
+        self.n_words = np.array([len(w) for w in self.words], np.int64)
+        at = [np.arange(max(0, n - PIECE + 1)) for n in self.n_words.tolist()]
+        self.piece_item = np.repeat(np.arange(len(at)), [len(a) for a in at])
+        self.piece_at = np.concatenate([np.zeros(0, np.int64), *at])
+        own = [Prints(w).of(a, a + PIECE) for w, a in zip(self.words, at) if len(a)]
+        self.pieces = HammingIndex(np.concatenate(own), PIECE_RADIUS) if own else None
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted share of the item's shingles that stand in ``words``."""
@@ -166,6 +192,8 @@ class Benchmark:
             first = np.searchsorted(starts, off)  # words before each text
             best: dict[tuple[int, int], tuple] = {}
             by_class = [windows(first, size) for size, _, _ in self.classes]
+            by_piece = windows(first, PIECE, PIECE_STRIDE)
+            led: dict[tuple[int, int, int], int] = {}  # (text, item, place by quarters of the item) -> place
             widest = self.classes[-1][0] if self.classes else 0
             for lo in range(0, len(h) if self.classes else 0, BLOCK_WORDS):
                 prints = Prints(h[lo : lo + BLOCK_WORDS + widest])
@@ -182,14 +210,35 @@ class Benchmark:
                             got = (sim, -int(distance[k]), -int(a[w] - first[d]), int(b[w] - a[w]))
                             if got > best.get((d, m), (0.0,)):
                                 best[d, m] = got
+                if self.pieces:
+                    a, b, row = by_piece
+                    i0, i1 = np.searchsorted(a, [lo, lo + BLOCK_WORDS])
+                    q, piece, _ = self.pieces.search(prints.of(a[i0:i1] - lo, b[i0:i1] - lo))
+                    d, m = row[i0 + q], self.piece_item[piece]
+                    place = a[i0 + q] - self.piece_at[piece]
+                    quarter = (place - first[d]) // np.maximum(1, self.n_words[m] // 4)
+                    for key, x in zip(zip(d.tolist(), m.tolist(), quarter.tolist()), place.tolist()):
+                        led[key] = min(x, led.get(key, x))
+            whole = set(best)
+            for (d, m, _), x in sorted(led.items()):
+                if (d, m) not in whole:
+                    n = len(self.words[m])
+                    s, e = max(int(first[d]), x), min(int(first[d + 1]), x + n)
+                    margin = n // 4
+                    sim = self.similarity(m, h[max(int(first[d]), x - margin) : min(int(first[d + 1]), x + n + margin)])
+                    if sim >= SIMILARITY:
+                        distance = _whole(self.words[m]) ^ _whole(h[s:e])
+                        got = (sim, -int(np.bitwise_count(distance)[0]), -int(s - first[d]), e - s)
+                        if got > best.get((d, m), (0.0,)):
+                            best[d, m] = got
             for (d, m), (sim, distance, start, n) in sorted(best.items()):
                 yield i + d, m, sim, -distance, -start, n
 
 
-def windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, text) of the windows of ``size`` words, a stride apart and at each text's end; a
+def windows(first: np.ndarray, size: int, stride: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of the windows of ``size`` words, a stride (a sixth of them) apart and at each text's end; a
     shorter text is one window."""
-    stride = max(1, size // STRIDES)
+    stride = stride or max(1, size // STRIDES)
     n = np.diff(first)
     room = np.maximum(n - size, 0)
     per = np.where(n > 0, -(-room // stride) + 1, 0)

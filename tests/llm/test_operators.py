@@ -184,6 +184,72 @@ def test_decontamination_finds_planted_items(spark):
     assert {r.doc_id for r in left.collect()} == {i for i, _ in clean}
 
 
+def rewritten(rng: random.Random, words: list[str], kind: str, new) -> list[str]:
+    """A copy of an item that keeps about three quarters of its five-word shingles."""
+    w, cut = list(words), max(1, int((len(words) - 4) * 0.23))
+    if kind == "head":
+        w[:cut] = new(cut)
+    elif kind == "tail":
+        w[len(w) - cut :] = new(cut)
+    elif kind == "middle":
+        k = max(1, cut - 4)
+        at = rng.randint(5, len(w) - k - 5)
+        w[at : at + k] = new(k)
+    elif kind == "inserted":
+        for _ in range(max(1, cut // 4)):
+            w[(at := rng.randint(5, len(w) - 5)) : at] = new(1)
+    else:
+        for _ in range(max(1, cut // 5)):
+            w[rng.randint(4, len(w) - 5)] = new(1)[0]
+    return w
+
+
+def test_decontamination_finds_rewritten_items_as_brute_force_does():
+    """Every (document, item) for which some place holds 0.75 of the item's weighted shingles, and no other."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(400)]
+    new = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [new(rng.choice((28, 40, 60, 100))) for _ in range(40)]
+    items += [[*items[0][:20], *new(20)], items[1][:-3]]  # items that share wording
+    bench = decontam.Benchmark([(i, " ".join(w)) for i, w in enumerate(items)])
+    texts = [" ".join(new(rng.randint(0, 60)) + rewritten(rng, w, kind, new) + new(rng.randint(0, 60))) for w in items for kind in ("head", "tail", "middle", "inserted", "replaced")]
+    texts += ["", None, " ".join(new(500))]
+    got = {(d, i): sim for d, i, sim, *_ in bench.matches(pa.array(texts))}
+    weight = {g: 1 + math.log(len(items) / n) for g, n in Counter(g for w in items for g in {tuple(w[k : k + 5]) for k in range(len(w) - 4)}).items()}
+    for d, t in enumerate(texts):
+        words = (t or "").split()
+        for i, w in enumerate(items):
+            want = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+            total = sum(n * weight[g] for g, n in want.items())
+            span = len(w) + 2 * (len(w) // 4)  # the item's words and a quarter on either side
+            best = 0.0
+            if len(set(words) & set(w)) > len(w) // 2:
+                for s in range(max(1, len(words) - span + 1)):
+                    have = Counter(tuple(words[k : k + 5]) for k in range(s, min(s + span, len(words)) - 4))
+                    best = max(best, sum(min(n, have[g]) * weight[g] for g, n in want.items()) / total)
+            if (d, i) in got:
+                assert got[d, i] >= 0.75 and best >= 0.75 - 1e-9
+            else:
+                assert best < 0.75
+    assert len(got) >= 200
+
+
+def test_decontamination_ties_go_to_the_first_place():
+    import pyarrow as pa
+
+    item = prose(31, 40)
+    bench = decontam.Benchmark([(7, item)])
+    stride = decontam.size_class(40) // decontam.STRIDES
+    between = prose(2, 10 * stride - 40 % stride)  # so that windows stand in both copies alike
+    (once,) = bench.matches(pa.array([" ".join([prose(1, 30), item, between, item, prose(3, 70)])]))
+    assert once[1:3] == (0, 1.0) and abs(once[4] - 30) <= 7
+    cut = " ".join(item.split()[:33])
+    (once,) = bench.matches(pa.array([" ".join([prose(1, 30), cut, prose(2, 60), cut, prose(3, 20)])]))
+    assert once[2] >= 0.75 and abs(once[4] - 30) <= 10
+
+
 def test_lm_base_score(docs):
     data = [(r[0], SPACED.findall(fold(r[1] or "")) + [None]) for r in rows()]
     held = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2
