@@ -4,7 +4,10 @@ A template is wording with markup: ``<<beginOptional>>...<<endOptional>>`` (may
 left out, ``<<var;max=N>>`` stands for up to N words of any kind, ``<<var;match=a|b>>`` for one of
 the words given. All other words are mandatory. Each template becomes an automaton over words;
 a document carries its label where the automaton accepts a run of the document's words, that is
-where the mandatory wording matches exactly, word by word, whatever the case and punctuation.
+where the mandatory wording matches exactly, word by word, whatever the case and punctuation. A run ends
+at no word that a point joins to the digits after it: version 2 isn't found in version 2.1. Licenses stand
+as their whole wordings, from the grant to the end of the disclaimer; of those named by a notice
+(GNU, Apache, Mozilla, Creative Commons) the notice is the template.
 
 Words of all documents of a batch are hashed at once; an automaton is only run where two words
 follow one another that it can begin with. Documents are mapped and nothing is shuffled.
@@ -30,21 +33,53 @@ from streetscape.llm import tokens as T
 #: Fixed phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Fixed wordings of public licenses and of their notices, with markup.
+_MIT_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;max=12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"
+_BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: <<beginOptional>>1. <<endOptional>>Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2. <<endOptional>>Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+_BSD_NAMES = "<<beginOptional>>3. <<endOptional>>Neither the name of <<var;max=12>> nor the names of <<var;max=4>> contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_WARRANTY = "THIS SOFTWARE IS PROVIDED BY <<var;max=12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;max=12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
+_ISC_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var;max=12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;max=12>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"
+_LICENSED = "licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>>"
+_GNU = "licensed under the <<beginOptional>>terms of the <<endOptional>>GNU {kind} Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>><<beginOptional>> either<<endOptional>> "
+_GNU_HEADER = "you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the Free Software Foundation, either version <<var;match={versions}>><<beginOptional>> <<var;match=0|1>><<endOptional>> of the License, or (at your option) any later version"
+
+
+def _creative_commons() -> tuple[tuple[str, str], ...]:
+    """Notices of the Creative Commons licenses: by their short and their long names."""
+    names = {"by": "Attribution", "nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+    out = []
+    for code in ("by", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd"):
+        parts = code.split("-")
+        for brand in ("CC", "Creative Commons"):
+            out.append((f"cc-{code}-4.0", f"{_LICENSED}{brand} {' '.join(parts)} 4.0"))
+            out.append((f"cc-{code}-4.0", f"{_LICENSED}{brand} {' '.join(names[p] for p in parts)} 4.0<<beginOptional>> International<<endOptional>>"))
+    return tuple(out)
+
+
+def _gnu() -> tuple[tuple[str, str], ...]:
+    """Notices of the GNU licenses, by version ("version 2", "version 2.0", "v2") and as in the usual file header."""
+    out = []
+    for name, kind, versions in (("gpl", "General", ("2.0", "3.0")), ("lgpl", "Lesser General", ("2.1", "3.0")), ("agpl", "Affero General", ("3.0",))):
+        for v in versions:
+            number = f"{v[0]}<<beginOptional>>.0<<endOptional>>" if v.endswith("0") else v
+            for word in ("version ", "v"):
+                out.append((f"{name}-{v}", _GNU.format(kind=kind) + word + number))
+        out.append((f"{name}-or-later", _GNU_HEADER.format(kind=kind, versions="1|2|3")))
+    return tuple(out)
+
+
+#: Fixed wordings of public licenses, whole, and of their notices, with markup.
 TEMPLATES = (
     ("apache-2.0", "licensed under the Apache License<<beginOptional>>,<<endOptional>> Version 2.0<<beginOptional>> (the \"License\"); you may not use this <<var;max=3>> except in compliance with the License. You may obtain a copy of the License at <<var;max=12>> Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License<<endOptional>>"),
-    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: <<beginOptional>>1. <<endOptional>>Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2. <<endOptional>>Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
-    ("cc-by-4.0", "licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>><<beginOptional>>Creative Commons <<endOptional>><<var;match=cc|attribution>> <<beginOptional>>BY <<endOptional>>4.0"),
-    ("cc-by-nc-4.0", "licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>>CC BY NC 4.0"),
-    ("cc-by-nc-4.0", "licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>>Creative Commons Attribution NonCommercial 4.0<<beginOptional>> International<<endOptional>> License"),
-    ("cc-by-sa-4.0", "licensed under <<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>>CC BY SA 4.0"),
-    ("gpl-2.0", "licensed under the <<beginOptional>>terms of the <<endOptional>>GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>><<beginOptional>> either<<endOptional>> version 2"),
-    ("gpl-3.0", "licensed under the <<beginOptional>>terms of the <<endOptional>>GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>><<beginOptional>> either<<endOptional>> version 3"),
-    ("gpl-or-later", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation<<beginOptional>>,<<endOptional>> either version <<var;match=1|2|3>> of the License, or (at your option) any later version"),
-    ("isc", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd-2-clause", _BSD_CONDITIONS + _BSD_WARRANTY),
+    ("bsd-3-clause", _BSD_CONDITIONS + _BSD_NAMES + _BSD_WARRANTY),
+    ("cc0-1.0", "under <<beginOptional>>the <<endOptional>><<beginOptional>>Creative Commons <<endOptional>>CC0 1.0<<beginOptional>> Universal<<endOptional>>"),
+    ("isc", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. " + _ISC_WARRANTY),
     ("mit-notice", "<<var;match=released|licensed|distributed|available>> under the <<beginOptional>>terms of the <<endOptional>>MIT License"),
-    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>shall be included in all copies or substantial portions of the Software"),
+    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>shall be included in all copies or substantial portions of the Software. " + _MIT_WARRANTY),
     ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. <<beginOptional>>In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. <<endOptional>>" + _MIT_WARRANTY),
+    *_creative_commons(),
+    *_gnu(),
 )
 
 OUT = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, matches array<struct<label:string,first_word:bigint,n_words:bigint>>"
@@ -80,7 +115,7 @@ class Automaton:
             elif part == "endOptional":
                 self.empty[opened.pop()].append(at)
             elif part.startswith("var;match="):
-                at = self._step(at, [word_hash(w) for w in part.removeprefix("var;match=").split("|")])
+                at = self._step(at, [word_hash(w) for w in words(part.removeprefix("var;match="))])
             elif part.startswith("var;max="):
                 skips = []
                 for _ in range(int(part.removeprefix("var;max="))):
@@ -114,14 +149,15 @@ class Automaton:
                     todo.append(t)
         return tuple(sorted(seen))
 
-    def match(self, h: list[int]) -> int:
-        """Words of the longest accepted beginning of ``h``; 0 if there is none."""
+    def match(self, h: list[int], joined: list[bool] | None = None) -> int:
+        """Words of the longest accepted beginning of ``h``; 0 if there is none. It ends at no word that is ``joined``
+        to the next."""
         states, longest = set(self.closed[0]), 0
         for n, w in enumerate(h, 1):
             states = {u for s in states for x, t in self.edges[s] if x is None or x == w for u in self.closed[t]}
             if not states:
                 break
-            if self.final in states:
+            if self.final in states and not (joined and joined[n - 1]):
                 longest = n
         return longest
 
@@ -137,6 +173,16 @@ def compiled(templates: tuple) -> tuple[list[Automaton], np.ndarray, dict]:
     return automata, np.array(sorted({a for a, _ in begin}), np.uint64), begin
 
 
+def _joined(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a word and the next are parts of one number, as 2 and 1 in 2.1."""
+    out = np.zeros(len(starts), bool)
+    digit = lambda at: (buf[at] >= ord("0")) & (buf[at] <= ord("9"))
+    out[:-1] = (starts[1:] == ends[:-1] + 1) & (doc[1:] == doc[:-1])
+    x = np.flatnonzero(out)
+    out[x] = (buf[ends[x]] == ord(".")) & digit(ends[x] - 1) & digit(starts[x + 1])
+    return out
+
+
 def _scan(templates: tuple, base: tuple):
     phrases = tuple((tuple(word_hash(w) for w in words(p)), label) for p, label in base)
 
@@ -158,11 +204,13 @@ def _scan(templates: tuple, base: tuple):
                     for x in at.tolist():
                         places.setdefault(int(doc[x]), []).append((x - int(first[doc[x]]), label))
                 found: dict[int, list[tuple[str, int, int]]] = {}
+                joined = _joined(buf, starts, ends, doc)
                 for x in np.flatnonzero(np.isin(h[:-1], first_words)).tolist():
                     d = int(doc[x])
                     if x + 1 < first[d + 1]:
                         for a in begin.get((int(h[x]), int(h[x + 1])), ()):
-                            if m := a.match(h[x : min(x + reach, int(first[d + 1]))].tolist()):
+                            stop = min(x + reach, int(first[d + 1]))
+                            if m := a.match(h[x:stop].tolist(), joined[x:stop].tolist()):
                                 found.setdefault(d, []).append((a.label, x - int(first[d]), m))
                 at = [places.get(d, []) for d in range(n)]
                 of_base = [sorted({label for _, label in p}) for p in at]

@@ -560,3 +560,82 @@ def test_license_automata(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at})))
     assert {d: r.labels for d, r in got.items()} == {0: "mit,mit-notice", 1: "apache,gpl", 2: "cc-by-nc-4.0", 3: "", 4: "gpl,gpl-3.0", 5: "", 6: "apache,apache-2.0"}
     assert {d: r.score for d, r in got.items()} == {0: 1.0, 1: 0.5, 2: 1.0, 3: 0.0, 4: 1.0, 5: 0.0, 6: 1.0}
+
+
+def template_pattern(template: str) -> str:
+    """A template as a regular expression over words that each end in a space."""
+    out = ""
+    for k, part in enumerate(re.split(r"<<(.*?)>>", template)):
+        if k % 2 == 0:
+            out += "".join(f"{w} " for w in licenses.words(part))
+        elif part.startswith("var;max="):
+            out += rf"(?:\S+ ){{0,{part[8:]}}}"
+        elif part.startswith("var;match="):
+            out += "(?:" + "|".join("".join(licenses.words(w)) for w in part[10:].split("|")) + ") "
+        else:
+            out += "(?:" if part == "beginOptional" else ")?"
+    return out
+
+
+def variant(rng: random.Random, template: str) -> str:
+    """A wording that a template allows, now and then with a word lost or changed."""
+    out, skipped = [], 0
+    for k, part in enumerate(re.split(r"<<(.*?)>>", template)):
+        if part == "beginOptional" and k % 2:
+            skipped += 1 if skipped or rng.random() < 0.5 else 0
+        elif part == "endOptional" and k % 2:
+            skipped = max(0, skipped - 1)
+        elif skipped:
+            continue
+        elif k % 2 == 0:
+            out += licenses.words(part)
+        elif part.startswith("var;max="):
+            out += [f"any{j}" for j in range(rng.randint(0, int(part[8:]) + (rng.random() < 0.2)))]
+        else:
+            out.append(rng.choice(part[10:].split("|")).lower())
+    if rng.random() < 0.4:
+        at = rng.randrange(len(out))
+        out[at : at + 1] = [] if rng.random() < 0.5 else ["other"]
+    return " ".join(out)
+
+
+def test_license_places_by_brute_force(spark):
+    """The longest run from each word that a template's regular expression takes whole."""
+    rng = random.Random(5)
+    data = []
+    for k, (_, t) in enumerate(licenses.TEMPLATES * 3):
+        data.append((k, f"{prose(k, rng.randint(0, 9))} {variant(rng, t)} {prose(k + 900, rng.randint(0, 9))}"))
+    got = {r.doc_id: sorted((m.label, m.first_word, m.n_words) for m in r.matches) for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    patterns = [(label, re.compile(template_pattern(t))) for label, t in licenses.TEMPLATES]
+    found = 0
+    for d, t in data:
+        w = licenses.words(t)
+        want = []
+        for label, p in patterns:
+            for x in range(len(w)):
+                if p.match("".join(f"{v} " for v in w[x:])):  # some beginning is taken: which is the longest?
+                    want.append((label, x, max(n for n in range(1, len(w) - x + 1) if p.fullmatch("".join(f"{v} " for v in w[x : x + n])))))
+        assert got[d] == sorted(want)
+        found += len(want)
+    assert found >= len(licenses.TEMPLATES)
+
+
+def test_license_wordings_that_differ_in_little(spark):
+    three = licenses._BSD_CONDITIONS + "3. Neither the name of the Foundation nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + licenses._BSD_WARRANTY.replace("<<var;max=12>>", "THE AUTHORS")
+    bare = lambda t: re.sub("<<.*?>>", "", t)
+    data = {
+        bare(three): "bsd-3-clause",
+        bare(licenses._BSD_CONDITIONS + licenses._BSD_WARRANTY): "bsd-2-clause",
+        bare(licenses._BSD_CONDITIONS): "",
+        "Licensed under CC 4.0.": "",
+        "Licensed under Creative Commons Attribution 4.0 International.": "cc-by-4.0",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa-4.0",
+        "licensed under the GNU General Public License, version 2.1": "gpl",
+        "licensed under the GNU General Public License, version 2. 1 copy": "gpl,gpl-2.0",
+        "licensed under the GNU General Public License v2.0.": "gpl,gpl-2.0",
+        "licensed under the GNU Lesser General Public License, version 2.1.": "gpl,lgpl-2.1",
+        "licensed under the GNU Affero General Public License version 3": "agpl-3.0,gpl",
+        "Released under CC0 1.0 Universal": "cc0-1.0",
+    }
+    out = licenses.scan(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in out} == dict(enumerate(data.values()))
