@@ -543,6 +543,46 @@ def test_repeated_passages(spark):
             assert abs(r.start_word - 40) <= 3 and abs(r.n_words - 70) <= 6
 
 
+def test_long_runs_equal_for_equal_words_only():
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 3, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    doc = np.repeat(np.arange(4), 100)
+    key, at = chains.long_runs(h, doc, 5)
+    assert at.tolist() == [k for k in range(396) if doc[k] == doc[k + 4]]
+    same: dict = {}
+    for k, x in zip(key.tolist(), at.tolist()):
+        assert same.setdefault(tuple(h[x : x + 5].tolist()), k) == k
+    assert len(set(same.values())) == len(same)
+    for size in (5, 60, 100, 101):
+        k, x = chains.least_of_windows(*chains.long_runs(h, doc, size), doc, 3)
+        assert len(k) == len(x) == (0 if size > 100 else len(set(x.tolist())))
+
+
+def test_passages_whose_parts_stand_in_many_texts(spark):
+    """Pairs that share 60 words of which the first and the last 40 are in 30 texts each; no other text has 50 of them."""
+    data, want = [], set()
+    for k in range(8):
+        p = prose(8000 + k, 60).split()
+        for j in range(60):
+            part = p[:40] if j < 30 else p[20:]
+            data.append((1000 * k + j, " ".join([prose(9_000 + 100 * k + j, 30), *part, prose(20_000 + 100 * k + j, 30)])))
+        for j in (100, 101):
+            data.append((1000 * k + j, " ".join([prose(30_000 + 200 * k + j, 40), *p, prose(40_000 + 200 * k + j, 40)])))
+        want.add((1000 * k + 100, 1000 * k + 101))
+    got = {tuple(sorted((r.doc_id, r.source_doc_id))) for r in chains.passages(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+    assert want <= got
+
+
+def test_passages_that_repeat_within_a_text(spark):
+    p = prose(8100, 70)
+    texts = [" ".join([prose(1, 50), p, prose(2, 90), p, prose(3, 20)]), " ".join([prose(4, 33), p, prose(5, 40)]), prose(6, 300), "lala " * 5_000]
+    out = chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)).collect()
+    places = {(r.doc_id, r.start_word, r.start_word + r.n_words) for r in out} | {(r.source_doc_id, r.source_start, r.source_start + r.source_words) for r in out}
+    for d, s in ((0, 50), (0, 210), (1, 33)):
+        assert any(x == d and a <= s + 1 and b >= s + 69 for x, a, b in places)
+    assert {r.doc_id for r in out} <= {0, 1, 3} and any(r.doc_id == r.source_doc_id == 3 for r in out)
+
+
 def test_license_automata(spark):
     a = licenses.Automaton("t", "released under <<beginOptional>>the <<beginOptional>>new <<endOptional>>terms of <<endOptional>><<var;max=2>> License <<var;match=one|two>>")
     h = lambda s: [licenses.word_hash(w) for w in licenses.words(s)]
