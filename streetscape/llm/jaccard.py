@@ -22,9 +22,9 @@ below); all other verdicts come from the whole sets, read for the classes in que
 Sets and classes are known by 64-bit hashes of their shingles.
 
 Defined cases: null and empty texts and texts without words have no shingles and are their own
-component; a text of fewer than five words is one shingle; repeated rows are of one class; a null
-doc_id keeps its row, is never the smallest id, and is null as a component if alone; an empty table gives an
-empty result.
+component; a text of fewer than five words is one shingle; repeated rows are of one class; a row without
+doc_id takes part in links like any other, is never the smallest id, and has a null component if it reaches no
+row with one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ TAG_BITS, KEY_BITS = 3, 45
 PART_BYTES, SIGNATURE_SHARE = 8 << 20, 1.0
 #: Ids up to which a set of documents to be read is broadcast; beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
-IRREGULAR_BLOCK = 1000
+IRREGULAR_BLOCK, IRREGULAR_BYTES = 1000, 32 << 20
 #: 64-bit words of a set's parity sketch.
 PARITY = 16
 _U = np.uint64
@@ -368,14 +368,23 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _ids_only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of ``ids`` (distinct doc_id), which is broadcast if it is small."""
-    return docs.join(_small(ids), "doc_id", "left_semi")
+def sets_of(docs: DataFrame, profile: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, grams) of the classes ``wanted`` (distinct class): each from the document of its least doc_id, or, if
+    none of its documents has one, from any of these, known by the class that its words give."""
+    chosen = written(profile.where("n > 0").join(_small(wanted), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "chosen")
+    ids = _small(chosen.where("doc_id IS NOT NULL").select("doc_id").distinct())
+    read = docs.join(ids, "doc_id", "left_semi").mapInArrow(_whole_sets, "class long, grams binary")
+    nameless = chosen.where("doc_id IS NULL").select("class")
+    if not nameless.isEmpty():
+        more = docs.where("doc_id IS NULL").mapInArrow(_whole_sets, "class long, grams binary")
+        read = read.union(more.join(_small(nameless), "class", "left_semi"))
+    return read.dropDuplicates(["class"])
 
 
 def _small(ids: DataFrame) -> DataFrame:
-    """To be broadcast up to ``BROADCAST_IDS`` rows, joined by a shuffle beyond."""
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    """To be broadcast up to ``BROADCAST_IDS`` rows of one number each, joined by a shuffle beyond. The rows are
+    counted in their tasks, none of them is moved for it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,13 +396,11 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(docs: DataFrame, profile: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of classes whose whole sets are similar."""
-    one = profile.where("n > 0 AND doc_id IS NOT NULL")
-    counted = one.select("class", "n", "counts").dropDuplicates(["class"])
+    counted = profile.where("n > 0").select("class", "n", "counts").dropDuplicates(["class"])
     side = lambda df, s: df.select(*[F.col(c).alias(s if c == "class" else f"{s}_{c}") for c in df.columns])
     pairs = written(pairs.join(side(counted, "a"), "a").join(side(counted, "b"), "b").select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(_plausible, "a long, b long"), "pairs")
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    chosen = written(one.groupBy("class").agg(F.min("doc_id").alias("doc_id")).join(wanted, "class", "left_semi").select("doc_id").distinct(), "chosen")
-    grams = _ids_only(docs, chosen).mapInArrow(_whole_sets, "class long, grams binary").dropDuplicates(["class"])
+    wanted = written(pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct(), "wanted")
+    grams = sets_of(docs, profile, wanted)
     both = pairs.join(side(grams, "a"), "a").join(side(grams, "b"), "b")
     return written(both.select("a", "b", "a_grams", "b_grams").mapInArrow(_verify, "a long, b long").distinct(), "links")
 
@@ -471,13 +478,14 @@ def keep_first(documents: DataFrame) -> DataFrame:
 
 
 def _irregular_links(docs: DataFrame, profile: DataFrame, irregular: DataFrame) -> DataFrame:
-    """Links of the classes whose segments couldn't reach their sum, with every class, block by block."""
+    """Links of the classes whose segments couldn't reach their sum, with every class, block by block. A block has
+    about ``IRREGULAR_BLOCK`` classes and ``IRREGULAR_BYTES`` of sets."""
     spark = docs.sparkSession
     out = spark.createDataFrame([], "a long, b long")
-    n = irregular.count()
-    blocks = -(-n // IRREGULAR_BLOCK)
+    sized = profile.where("n > 0").select("class", "n").dropDuplicates(["class"]).join(irregular, "class", "left_semi")
+    n, shingles = sized.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    blocks = max(-(-n // IRREGULAR_BLOCK), -(-shingles * 6 // IRREGULAR_BYTES))
     for k in range(blocks):
-        named = profile.where("doc_id IS NOT NULL").join(irregular, "class", "left_semi").where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == k).groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-        block = docs.join(named, "doc_id", "left_semi").mapInArrow(_whole_sets, "class long, grams binary").dropDuplicates(["class"]).collect()  # about IRREGULAR_BLOCK sets
+        block = sets_of(docs, profile, irregular.where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == k)).collect()
         out = out.union(docs.mapInArrow(_against([(r[0], bytes(r[1])) for r in block]), "a long, b long"))
     return written(out.distinct(), "irregular") if blocks else out

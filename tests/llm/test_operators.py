@@ -345,6 +345,24 @@ def test_jaccard_pairs_across_a_size_band(spark):
     assert got == want
 
 
+def test_jaccard_links_through_rows_without_an_id(spark, monkeypatch):
+    """Two texts that only a row without id joins, a pair of such rows, and one of them beside a text; both ways."""
+    w = prose(4321, 200).split()
+    ends = [" ".join(["x" + str(k) for k in range(18)] + w[18:]), " ".join(w[:-18] + ["y" + str(k) for k in range(18)])]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (*ends, " ".join(w))]
+    share = lambda a, b: 100 * len(a & b) / len(a | b)
+    assert share(sets[0], sets[1]) < 75 <= min(share(sets[0], sets[2]), share(sets[1], sets[2]))
+    lone = prose(99, 80)
+    data = [(5, ends[0]), (9, ends[1]), (None, " ".join(w)), (None, lone), (None, lone + " more"), (7, prose(55, 90)), (None, prose(55, 90) + " end"), (None, prose(55, 90) + " end")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in jaccard.join_components(docs).collect())
+    assert got == sorted([(5, 5), (9, 5), (0, 5), (0, 0), (0, 0), (7, 7), (0, 7), (0, 7)])
+    profile = jaccard.written(docs.mapInArrow(jaccard._profile, jaccard._PROFILE), "profile")
+    monkeypatch.setattr(jaccard, "IRREGULAR_BYTES", 2000)
+    found = jaccard._irregular_links(docs, profile, profile.select("class").distinct())
+    assert found.where("a <> b").select(F.least("a", "b"), F.greatest("a", "b")).distinct().count() == 4
+
+
 def test_jaccard_sets_index_the_segments_of_all_their_probes():
     for b in range(5, 14):
         t = np.arange(1 << b, 2 << b)
