@@ -5,9 +5,13 @@ a block gives its characters outside links to the element around it and half of
 one out. The page's best container votes, under its generalised path (tags with their classes, digits and
 positions left out), for its host. Spark counts the votes and picks each host's winning path; then
 every page is read again and its text is what stands in the elements of that path, with the whole article around
-each of them and the page's best container if that is around one of them. A page without
+each of them and the page's best container if that is around one of them and not the whole body. A page without
 that path, or with less than ``MIN_SHARE`` of its best container's text there, uses its own best one.
 
+An article outside of ``article`` and ``main`` may stand in several containers side by side. Those next to a page's best one
+that hold ``MIN_SHARE`` of its text or more vote too; the paths that do so on half of the pages
+that voted for the winning one are read with it.
+
 Left out everywhere: scripts, styles, menus, asides, footers, forms and the like by tag, and adverts, notices,
 sidebars, reader comments and the like by class or id; a header only outside of an article.
 An article inside an element that merely looks like an advert (one that was never closed) counts.
@@ -212,16 +216,30 @@ class Page:
         """The innermost article at or above an element, or the element itself."""
         return next((e for e in self.above(element) if self.tag[e] == "article"), element)
 
-    def extract(self, path: str | None) -> str:
+    def beside(self, best: int) -> list[int]:
+        """The containers next to the best one that hold much of the text, unless an article's own tag bounds it."""
+        if any(self.tag[e] in ("article", "main") for e in self.above(best)):
+            return []
+        plain = [0] * len(self.tag)
+        for text, element, linked in self.blocks:
+            plain[element] += max(0, len(text) - linked)
+        for e in range(len(plain) - 1, 0, -1):  # an element comes after its parent
+            plain[self.parent[e]] += plain[e]
+        least = max(1, MIN_SHARE * plain[best])
+        return [e for e in range(1, len(plain)) if self.parent[e] == self.parent[best] and e != best and self.tag[e] in CONTAINERS and plain[e] >= least]
+
+    def extract(self, path: str | None, others: list[str] | None = None) -> str:
         own = self.best()
-        chosen = {self.article(own)}  # element 0 holds every block
+        chosen = {self.article(own), *(self.beside(own) if own else ())}  # element 0 holds every block
         if path:
             agreed = {e for e, p in enumerate(self.path) if p == path}
             text = self.inside(agreed)
             if sum(map(len, text)) >= MIN_SHARE * sum(map(len, self.inside({own}))) and text:
                 # a best container around the path's elements has text of the same article beside them
-                around = {own} if any(own in self.above(e) for e in agreed) else set()
-                chosen = {self.article(e) for e in agreed} | around
+                # (the body is around everything, so it says nothing of that kind)
+                around = {own} if self.tag[own] not in ("body", "html") and any(own in self.above(e) for e in agreed) else set()
+                beside = {e for e, p in enumerate(self.path) if p in others} if others else set()
+                chosen = {self.article(e) for e in agreed} | around | beside
         return "\n\n".join(self.inside(chosen))
 
 
@@ -231,23 +249,30 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, html in zip(b.column("host").to_pylist(), b.column("html")):
             page = Page(html.as_py() or "")
             if best := page.best():
-                votes[host, page.path[best]] += 1
-    rows = [(h, p, n) for (h, p), n in votes.items()]
+                votes[host, page.path[best], ""] += 1
+                for other in {page.path[e] for e in page.beside(best)} - {page.path[best]}:
+                    votes[host, page.path[best], other] += 1
+    rows = [(*key, n) for key, n in votes.items()]
     for k in range(0, len(rows), 10_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 10_000]), [pa.string(), pa.string(), pa.int64()])], names=["host", "path", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 10_000]), [pa.string(), pa.string(), pa.string(), pa.int64()])], names=["host", "path", "other", "n"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [Page(html.as_py() or "").extract(path) for html, path in zip(b.column("html"), b.column("path").to_pylist())]
+        texts = [Page(html.as_py() or "").extract(path, others) for html, path, others in zip(b.column("html"), b.column("path").to_pylist(), b.column("others").to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with the most votes of each host's pages."""
-    votes = _with_host(pages).select("host", "html").mapInArrow(_vote, "host string, path string, n long")
-    ranked = votes.groupBy("host", "path").agg(F.sum("n").alias("n")).groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path")).alias("top"))
-    return ranked.select("host", "top.path")
+    """(host, path, others): the path with the most votes of each host's pages, and the paths that stand beside it on half
+    of the pages that voted for it."""
+    votes = _with_host(pages).select("host", "html").mapInArrow(_vote, "host string, path string, other string, n long")
+    counted = votes.groupBy("host", "path", "other").agg(F.sum("n").alias("n"))
+    by_path = counted.groupBy("host", "path").agg(
+        F.max(F.when(F.col("other") == "", F.col("n"))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("other") != "", F.struct("other", "n")))).alias("beside")
+    )
+    top = by_path.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path", "beside")).alias("top"))
+    return top.select("host", "top.path", F.expr("transform(filter(top.beside, b -> 2 * b.n >= -top.n), b -> b.other)").alias("others"))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -258,6 +283,6 @@ def _with_host(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     paths = written(host_paths(pages), "paths")
-    small = paths.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    small = paths.count() <= BROADCAST_HOSTS
     joined = _with_host(pages).join(F.broadcast(paths) if small else paths, "host", "left")
-    return joined.select("page_id", "url", "html", "path").mapInArrow(_extract, OUT)
+    return joined.select("page_id", "url", "html", "path", "others").mapInArrow(_extract, OUT)

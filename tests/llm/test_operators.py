@@ -403,6 +403,27 @@ def test_html_articles_over_several_containers(spark):
     assert got == {k: one for k in range(5)} | {10: f"{one}\n\n{two}", 11: f"{one}\n\nOther kind.\n\n{one}", 12: f"{one}\n\n{two}"}
 
 
+def test_html_articles_over_containers_side_by_side(spark):
+    """Outside of an article's tag: parts side by side are one article if the host's pages agree, a box that is long on one page isn't."""
+    first, second = "<div class=intro{k}><p>{a}</p></div>", "<div class=more><p>{b}</p></div><div class=box><p>{c}</p></div>"
+    page = "<html><body><div class=top>Top</div>" + first + second + "<div class=ads>buy this</div></body></html>"
+    a, b = ("Part one of the text. " * 15).strip(), ("And the rest of it. " * 12).strip()
+    data = [(k, "http://h.example/1", page.format(k=k, a=a, b=b, c="short")) for k in range(5)]
+    data += [(7, "http://h.example/2", page.format(k=7, a=a, b="Brief.", c="short")), (8, "http://h.example/3", page.format(k=8, a=a, b=b, c="not part of it " * 20))]
+    data.append((20, "http://alone.example/1", f"<body><div><p>{a}</p></div><div class=x><p>{b}</p></div></body>"))
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"{a}\n\n{b}" for k in (0, 1, 2, 3, 4, 8, 20)} | {7: f"{a}\n\nBrief."}
+
+
+def test_html_long_and_cut_pages():
+    many = "".join(f"<p>Paragraph {k}.</p>" for k in range(40_000))
+    assert html.Page(f"<body><nav>m</nav><article>{many}</article>").extract(None).count("\n\n") == 39_999
+    deep = "<div>" * 3000 + "<p>Deep text here.</p>"
+    assert html.Page(deep).extract(None) == "Deep text here."
+    assert html.Page("<article><p>Kept text.</p><p class='cut").extract(None) == "Kept text."
+    assert html.Page("<div><p>Same.</p></div><section><p>Same.</p></section>").best() == 1
+
+
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
