@@ -285,6 +285,29 @@ def test_lm_is_a_distribution():
         assert abs(p.sum() - 1) < 1e-4
 
 
+def test_lm_learns_weights_and_map_from_all_parts(spark):
+    """Every part of the vocabulary moves its gates; the parts' averages cost less than the start and about what one pass over all does."""
+    words = sorted({w for i in range(60) for w in prose(i, 200, "ka lo mi ren tu vas pel dor fi gun").lower().split()})
+    text = "".join(words).encode()
+    off = np.concatenate([[0], np.cumsum([len(w.encode()) for w in words])])
+    raw, n = np.frombuffer(text, np.uint8), 1 + np.arange(len(words)) % 7
+    begun = np.ones(1 << lm.BEGUN_BITS, bool)
+    counts = np.zeros((2, int(lm.BASE[-1])), np.int64)
+    lm.gather(raw, off, n, counts, begun)
+    few = lm.scarce(counts)
+    cut = [0, len(words) // 3, len(words) // 2, len(words)]
+    rows = [(bytes(8 * (c - a)), n[a:c].astype("<i8").tobytes(), np.diff(off[a : c + 1]).astype("<u4").tobytes(), text[off[a] : off[c]]) for a, c in zip(cut, cut[1:])]
+    vocabulary = spark.createDataFrame(rows, "h binary, n binary, size binary, raw binary").repartition(3)
+    start, parts, whole = (lm.Model(counts, begun) for _ in range(3))
+    lm.trained(parts, vocabulary, few)
+    whole.train(raw, off, n, counts)
+    cost = [float(-(m.cost(raw, off) * n).sum()) for m in (start, parts, whole)]
+    assert cost[1] < cost[0] and abs(cost[1] - cost[2]) < 0.05 * cost[0]
+    again = lm.Model(counts, begun)
+    lm.trained(again, vocabulary, few)
+    assert np.allclose(again.weights, parts.weights, atol=1e-5)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_jaccard_components(spark, seed):
     rng = random.Random(seed)
