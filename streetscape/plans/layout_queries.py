@@ -26,6 +26,8 @@ from streetscape.sinks.geoparquet import crs_of, geo_metadata, verify_geo, write
 from streetscape.sinks.stores import append_images, init_store
 from streetscape.sources.drift import scan_drifted
 from streetscape.sources.geoparquet import read_geo
+from streetscape.sources.image_shards import land_shards, scan_image_shards, shard_entries
+from streetscape.sources.images import read_images_of
 from streetscape.sources.layout import cached_in, new_in
 from streetscape.sources.pages import rank_pages, read_pages
 from streetscape.sources.stores import scan_image_store, scan_score_store
@@ -257,7 +259,26 @@ def q_score_udtf(spark: SparkSession, d: str) -> DataFrame:
     return seg.select("image_id", "segment_idx", F.size("activity").cast("long").alias("n_values"), Q.vector_sum("activity").alias("activity_sum"))
 
 
+def q_image_shards(spark: SparkSession, d: str) -> DataFrame:
+    """Images landed in packed shards: all of them, the index of some, and the contents of every third id alone."""
+    root = f"{shared_path(spark, 'shards')}/images"
+    land_shards(Q.marked_blobs(spark, d), root, folders=8)
+    told = lambda df, side: df.select(F.lit(side).alias("side"), "image_id", F.md5(F.hex("image_blob").cast("binary")).alias("content"), F.octet_length("image_blob").cast("bigint").alias("bytes"), "reject_reason")
+    third = V.blobs(spark, d).where(F.col("image_id").cast("bigint") % 3 == 0).select("image_id")
+    some = shard_entries(spark, root).where(F.col("image_id").isin("1", "4", "7"))
+    none = F.lit(None).cast("string")
+    entries = some.select(F.lit("index").alias("side"), "image_id", none.alias("content"), F.col("length").alias("bytes"), none.alias("reject_reason"))
+    return told(scan_image_shards(spark, root), "all").union(told(read_images_of(spark, root, third), "third")).union(entries)
+
+
+def q_pipeline_on_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The deliverable of the whole run over images in packed shards."""
+    return Q._delivered(spark, Q._pipeline(spark, d, land_shards)[0])
+
+
 QUERIES = {
+    "image_shards": q_image_shards,
+    "pipeline_on_shards": q_pipeline_on_shards,
     "score_udtf": q_score_udtf,
     "bucketed_ids": q_bucketed_ids,
     "bucketed_latest": q_bucketed_latest,
@@ -279,6 +300,13 @@ _PART = f"lon BETWEEN {PART.west}e0 AND {PART.east}e0 AND lat BETWEEN {PART.sout
 _MARK = "CASE WHEN CAST({0} AS BIGINT) % 11 = 0 THEN 4 ELSE 0 END"
 
 SQL = {
+    "image_shards": with_base(f"""{_LANDED}
+        , told AS (SELECT image_id, md5(h) AS content, CAST(length(h) // 2 AS BIGINT) AS bytes, CASE WHEN substr(h, 1, 6) <> 'FFD8FF' THEN 'not_image' END AS reject_reason
+                   FROM landed WHERE h IS NOT NULL)
+        SELECT 'all' AS side, image_id, content, bytes, reject_reason FROM told
+        UNION ALL SELECT 'third', image_id, content, bytes, reject_reason FROM told WHERE CAST(image_id AS BIGINT) % 3 = 0
+        UNION ALL SELECT 'index', image_id, NULL, bytes, NULL FROM told WHERE image_id IN ('1', '4', '7')"""),
+    "pipeline_on_shards": oracle.SQL["pipeline_run"],
     "score_udtf": oracle.SQL["score_images"],
     "bucketed_ids": with_base("""
         SELECT image_id, 'new' AS side FROM camden WHERE image_id NOT IN (SELECT image_id FROM store)

@@ -467,10 +467,18 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     return sc.select("image_id", F.size("brain_activity").cast("bigint").alias("n_activity"), vector_sum().alias("activity_sum"), region_text().alias("regions"))
 
 
-def landed_run(spark: SparkSession, d: str):
+def marked_blobs(spark: SparkSession, d: str) -> DataFrame:
+    """Contents with a JPEG's marker; every seventh is without it, every eleventh fails in the model."""
+    number = F.col("image_id").cast("bigint")
+    marker = F.when(number % 7 == 0, F.unhex(F.lit("00000000"))).otherwise(F.unhex(F.lit("FFD8FFE0")))
+    fails = F.when(number % 11 == 0, F.encode(F.lit("FAIL"), "UTF-8")).otherwise(F.unhex(F.lit("")))
+    return V.blobs(spark, d).select("image_id", F.concat(marker, fails, F.col("image_blob")).alias("image_blob"))
+
+
+def landed_run(spark: SparkSession, d: str, land=None):
     """A run's configuration over data landed from the tables: capture pages from events,
     JPEG-marked image files from documents (every seventh without the marker, every eleventh failing
-    in the model), fresh stores."""
+    in the model), fresh stores. ``land``: what lands the images, one file each unless told."""
     from streetscape.plans.pipeline import RunConfig
     from streetscape.session import shared_path
     from streetscape.sinks.files import land_files
@@ -478,10 +486,7 @@ def landed_run(spark: SparkSession, d: str):
 
     root = shared_path(spark, "run")
     land_pages(capture_records(spark, d), f"{root}/pages")
-    number = F.col("image_id").cast("bigint")
-    marker = F.when(number % 7 == 0, F.unhex(F.lit("00000000"))).otherwise(F.unhex(F.lit("FFD8FFE0")))
-    fails = F.when(number % 11 == 0, F.encode(F.lit("FAIL"), "UTF-8")).otherwise(F.unhex(F.lit("")))
-    land_files(V.blobs(spark, d).select("image_id", F.concat(marker, fails, F.col("image_blob")).alias("image_blob")), f"{root}/files")
+    (land or land_files)(marked_blobs(spark, d), f"{root}/files")
     return RunConfig(
         pages_path=f"{root}/pages",
         images_path=f"{root}/files",
@@ -494,20 +499,23 @@ def landed_run(spark: SparkSession, d: str):
     )
 
 
-def _pipeline(spark: SparkSession, d: str) -> tuple[str, dict]:
+def _pipeline(spark: SparkSession, d: str, land=None) -> tuple[str, dict]:
     """The whole incremental run (plans.pipeline.run): the output path and the summary."""
     from streetscape.plans.pipeline import run
 
-    cfg = landed_run(spark, d)
+    cfg = landed_run(spark, d, land)
     return cfg.out_path, run(spark, cfg)
 
 
 def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
     """The verified deliverable of a run, read back."""
+    return _delivered(spark, _pipeline(spark, d)[0])
+
+
+def _delivered(spark: SparkSession, path: str) -> DataFrame:
     from streetscape.sources.stores import scan_deliverable
 
-    out = scan_deliverable(spark, _pipeline(spark, d)[0])
-    return out.select(
+    return scan_deliverable(spark, path).select(
         "image_id",
         "image_mime",
         "captured_at",

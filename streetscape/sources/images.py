@@ -39,7 +39,13 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: str = r"([^/]+)\.[A-Za-z0-9]+$", glob: str = "*") -> DataFrame:
     """The landed images of ``ids`` alone, as ``scan_image_files`` gives them: files are listed, joined by
-    id on their names, and only those that remain are opened, one at a time, by the executors."""
+    id on their names, and only those that remain are opened, one at a time, by the executors. A folder of packed shards
+    (``sources.image_shards``) isn't listed by the driver."""
+    from streetscape.sinks.geoparquet import qualified
+    from streetscape.sources.image_shards import folders_of, read_shard_images_of
+
+    if folders_of(qualified(spark, path)) is not None:
+        return read_shard_images_of(spark, path, ids)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path")
     wanted = listed.join(ids.select("image_id").distinct(), "image_id", "left_semi")
     read = wanted.mapInArrow(_contents, "image_id string, image_blob binary, path string")
