@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetscape.session import shared_path
@@ -35,6 +35,9 @@ from streetscape.sources.layout import buckets_of, new_in
 from streetscape.sources.pages import records_and_rejects
 from streetscape.sources.stores import scan_image_store, scan_score_store
 
+#: Bytes of images that a task writes down for scoring.
+TASK_BYTES = 128 << 20
+
 
 @dataclass
 class RunConfig:
@@ -59,10 +62,28 @@ class RunConfig:
     alias_map: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(AT.ALIAS_GLOBS))
     k: int = 10
     rejects_path: str | None = None  # default: out_path + "-rejects"
-    score_group: int = 10_000  # images scored between two appends to the score store
+    score_group: int = 10_000  # images scored before the first append to the score store; each further round is twice as large
     store_buckets: int | None = None  # stores that a run creates are bucketed by id
 
 
+def round_of(image_id: Column, groups: int) -> Column:
+    """The round of an image among ``groups`` groups of images by a hash of the id: round r takes 2^r of them. So the
+    rounds, each a scan and an append, grow with the logarithm of the images, and one that dies loses about as many scores
+    as are kept, or a first round."""
+    return F.length(F.bin(F.pmod(F.xxhash64(image_id), F.lit(groups)) + 1)) - 1
+
+
+def _written_by_round(items: DataFrame, groups: int) -> str:
+    """The folder of the images to be scored, one sub-folder a round, so that each is read once."""
+    spark = items.sparkSession
+    path = f"{shared_path(spark, 'unscored')}/images"
+    rows = items.select("image_id", "image_blob", round_of(F.col("image_id"), max(1, groups)).alias("round"))
+    volume = items.agg(F.sum(F.octet_length("image_blob"))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES))
+    rows.coalesce(int(tasks)).write.partitionBy("round").parquet(path)
+    return path
+
+
 def run(spark: SparkSession, cfg: RunConfig) -> dict:
     timings: dict[str, float] = {}
     counts = {k: 0 for k in ("candidates", "cached", "downloaded", "inference_cache_hit", "inferred", "written")}
@@ -124,14 +145,15 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         missing = f"{shared_path(spark, 'misses')}/ids"
         misses.select("image_id").distinct().write.parquet(missing)
         misses = spark.read.schema("image_id string").parquet(missing)
+        groups = -(-misses.count() // cfg.score_group)
+        todo = _written_by_round(working.join(misses, "image_id", "left_semi"), groups)
         t = tick("working_set", t)
 
-        # Scores are appended group by group (by a hash of the id), so a run that dies keeps what it has
-        # scored: the next one finds those images in the score store.
+        # Scores are appended round by round, so a run that dies keeps what it has scored: the next one finds
+        # those images in the score store.
         amap = AT.alias_map_df(spark, cfg.alias_map)
-        groups = -(-misses.count() // cfg.score_group)
-        for g in range(groups):
-            mine = working.join(misses.where(F.pmod(F.xxhash64("image_id"), F.lit(groups)) == g), "image_id", "left_semi")
+        for r in range(groups.bit_length()):
+            mine = spark.read.schema("image_id string, image_blob binary, round int").parquet(todo).where(F.col("round") == r)
             seg = M.score_images(mine, cfg.predictor_factory, cfg.batch_size).persist(StorageLevel.MEMORY_AND_DISK)
             fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo).persist(StorageLevel.MEMORY_AND_DISK)
             try:

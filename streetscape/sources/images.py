@@ -13,7 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetscape.session import shared_path
+
 JPEG_MAGIC_HEX = "FFD8FF"
+#: Bytes and files that a task opens, about.
+TASK_BYTES, TASK_FILES = 128 << 20, 2_000
 
 
 def scan_image_files(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.[A-Za-z0-9]+$", glob: str = "*") -> DataFrame:
@@ -39,14 +43,19 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: str = r"([^/]+)\.[A-Za-z0-9]+$", glob: str = "*") -> DataFrame:
     """The landed images of ``ids`` alone, as ``scan_image_files`` gives them: files are listed, joined by
-    id on their names, and only those that remain are opened, one at a time, by the executors. A folder of packed shards
+    id on their names, and only those that remain are opened, one at a time, by the executors, shared out by their number and size. A folder of packed shards
     (``sources.image_shards``) isn't listed by the driver."""
     from streetscape.sinks.geoparquet import qualified
     from streetscape.sources.image_shards import folders_of, read_shard_images_of
 
     if folders_of(qualified(spark, path)) is not None:
         return read_shard_images_of(spark, path, ids)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path")
-    wanted = listed.join(ids.select("image_id").distinct(), "image_id", "left_semi")
-    read = wanted.mapInArrow(_contents, "image_id string, image_blob binary, path string")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path", "length")
+    kept = f"{shared_path(spark, 'wanted')}/files"
+    listed.join(ids.select("image_id").distinct(), "image_id", "left_semi").write.parquet(kept)
+    wanted = spark.read.schema("image_id string, path string, length bigint").parquet(kept)
+    n, volume = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    # Spark's scan takes a file for 4 MB at least: a task for every few dozen small ones
+    tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES), -(-n // TASK_FILES))
+    read = wanted.repartition(int(tasks), "path").mapInArrow(_contents, "image_id string, image_blob binary, path string")
     return read.withColumn("reject_reason", F.when(F.hex(F.substring("image_blob", 1, 3)) != F.lit(JPEG_MAGIC_HEX), F.lit("not_image")))
