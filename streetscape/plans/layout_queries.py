@@ -23,13 +23,14 @@ from streetscape.plans.oracle import _DELIVERABLE, _INGESTED, _KEPT, _LANDED, mo
 from streetscape.plans.queries import CAMDEN
 from streetscape.session import shared_path
 from streetscape.sinks.geoparquet import crs_of, geo_metadata, verify_geo, write_geo
+from streetscape.sinks.files import land_files
 from streetscape.sinks.stores import append_images, init_store
 from streetscape.sources.drift import scan_drifted
 from streetscape.sources.geoparquet import read_geo
 from streetscape.sources.image_shards import land_shards, scan_image_shards, shard_entries
 from streetscape.sources.images import read_images_of
 from streetscape.sources.layout import cached_in, new_in
-from streetscape.sources.pages import rank_pages, read_pages
+from streetscape.sources.pages import rank_pages, read_pages, written
 from streetscape.sources.stores import scan_image_store, scan_score_store
 from streetscape.streaming.incremental import land_pages, stream_score
 from streetscape.streaming.ledger import scan_rejects
@@ -192,12 +193,12 @@ def q_page_order(spark: SparkSession, d: str) -> DataFrame:
         F.lit('],"paging":{'), F.coalesce(F.concat(F.lit('"next":"'), after, F.lit('"')), F.lit("")), F.lit("}}"),
     )
     landed = pages.select(F.explode(F.when(last == 9, F.array(F.lit("a"), F.lit("z"))).otherwise(F.array(F.lit("a")))).alias("copy"), k.alias("k"), body.alias("value"))
-    landed = landed.select(F.concat("copy", F.md5(F.concat("copy", k.cast("string")))).alias("name"), "value")
+    landed = landed.select(F.concat("copy", F.md5(F.concat("copy", k.cast("string")))).alias("name"), F.encode("value", "UTF-8").alias("value"))
     path = f"{shared_path(spark, 'linked')}/pages"
-    landed.repartition("name").write.partitionBy("name").text(path)
-    read = read_pages(spark, path)
+    land_files(landed, path, "name", "value", ext=".json")
+    read = written(read_pages(spark, path).select("file", "request", "next", F.size("data").cast("long").alias("n_records")), "pages-read")
     ranked = rank_pages(read)
-    size = read.select("file", F.size("data").cast("long").alias("n_records"))
+    size = read.select("file", "n_records")
     return ranked.join(size, "file").select("request", "chain", "rank", "status", "n_records")
 
 

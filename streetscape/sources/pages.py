@@ -38,7 +38,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return pages.select(F.col("_metadata.file_path").alias("file"), "request", F.col("paging.next").alias("next"), "data")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder."""
     path = f"{shared_path(df.sparkSession, name)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -49,7 +50,7 @@ def rank_pages(links: DataFrame) -> DataFrame:
 
     ``status`` is null for a page in order; the module tells the others. Pages without request are alone in a chain named
     by their file. Chain and rank are null for rejected pages."""
-    links = _written(links.select("file", "request", "next"), "page-links")
+    links = written(links.select("file", "request", "next"), "page-links")
     named = links.where("request IS NOT NULL")
     first = named.groupBy("request").agg(F.min(F.struct("file", "next")).alias("f")).select("request", "f.file", "f.next")
     # of the pages that name the same next one, the least leads on; a page that names itself is a cycle of one
@@ -59,16 +60,16 @@ def rank_pages(links: DataFrame) -> DataFrame:
     landed = first.select(F.col("request").alias("next"), F.lit(True).alias("landed"))
     nodes = nodes.join(landed, "next", "left")
     status = F.when(F.col("next").isNull(), None).when(F.col("landed").isNull(), F.lit("missing_next")).when(F.col("leader") != F.col("request"), F.lit("forked"))
-    nodes = _written(nodes.select("file", "request", "pred", status.alias("status")), "page-nodes")
+    nodes = written(nodes.select("file", "request", "pred", status.alias("status")), "page-nodes")
 
     alone = F.col("pred").isNull()
-    at = _written(nodes.select("request", F.when(alone, F.col("request")).alias("root"), F.col("pred").alias("jump"), F.when(alone, 0).otherwise(1).cast("long").alias("dist")), "page-ranks")
+    at = written(nodes.select("request", F.when(alone, F.col("request")).alias("root"), F.col("pred").alias("jump"), F.when(alone, 0).otherwise(1).cast("long").alias("dist")), "page-ranks")
     for _ in range(math.ceil(math.log2(max(nodes.count(), 1) + 1)) + 1):
         if at.where("jump IS NOT NULL").isEmpty():
             break
         to = at.select(F.col("request").alias("jump"), F.col("root").alias("r"), F.col("jump").alias("j"), F.col("dist").alias("d"))
         at = at.join(to, "jump", "left").select("request", F.coalesce("root", "r").alias("root"), F.col("j").alias("jump"), (F.col("dist") + F.coalesce("d", F.lit(0))).alias("dist"))
-        at = _written(at, "page-ranks")
+        at = written(at, "page-ranks")
 
     on_cycle = F.col("root").isNull()
     ranked = nodes.join(at.select("request", "root", "dist"), "request").select(
@@ -87,7 +88,7 @@ def ordered_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     ranked = rank_pages(pages)
     place = F.concat("chain", F.lit("#"), F.lpad(F.col("rank").cast("string"), 19, "0"))
     place = F.when(F.col("request").isNull(), F.col("file")).otherwise(place)
-    ranked = _written(ranked.select("file", "request", place.alias("page"), "status"), "page-order")
+    ranked = written(ranked.select("file", "request", place.alias("page"), "status"), "page-order")
     kept = ranked.where(~F.coalesce(F.col("status").isin(*REJECTED), F.lit(False))).select("file", "page")
     rejects = ranked.where("status IS NOT NULL").select("request", F.col("status").alias("reason"))
     return pages.select("file", "data").join(kept, "file").select("page", "data"), rejects
