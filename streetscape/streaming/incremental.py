@@ -10,6 +10,7 @@ continuously.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -22,6 +23,7 @@ from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
 from streetscape.operators.aoi import bbox_text, within_bbox
 from streetscape.schemas import IMAGE_SCHEMA, PAGE_DDL, SCORE_COLUMNS
+from streetscape.sinks.files import land_files
 from streetscape.sinks.stores import append_images
 from streetscape.sources.images import read_images_of
 from streetscape.sources.pages import explode_pages
@@ -184,8 +186,8 @@ def land_pages(records: DataFrame, path: str, page: str = "page", pos: str = "po
     """Write capture records as landed page files, one JSON page document per file.
 
     ``records`` has (page, pos, record_text); a page's records are ordered by pos. Pages are
-    bounded by the listing page size. Files go to ``page_key=<19 digits>/`` so that file paths
-    sort in page order (19 digits hold every page number).
+    bounded by the listing page size. Files are named ``<19 digits>-<landing>.json``, so that file paths
+    sort in page order (19 digits hold every page number); the tasks write them into the one folder themselves.
     """
     pages = records.groupBy(page).agg(
         F.concat(
@@ -194,5 +196,5 @@ def land_pages(records: DataFrame, path: str, page: str = "page", pos: str = "po
             F.lit('],"paging":{}}'),
         ).alias("value")
     )
-    pages = pages.withColumn("page_key", F.lpad(F.col(page).cast("string"), 19, "0"))
-    pages.select("page_key", "value").repartition("page_key").write.mode("append").partitionBy("page_key").text(path)
+    key = F.coalesce(F.lpad(F.col(page).cast("string"), 19, "0"), F.lit("none"))  # records without a page come last
+    land_files(pages.select(F.concat(key, F.lit(f"-{uuid.uuid4().hex}")).alias("name"), F.encode("value", "UTF-8").alias("value")), path, "name", "value", ext=".json")
