@@ -741,3 +741,11 @@ def test_license_wordings_that_differ_in_little(spark):
     }
     out = licenses.scan(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in out} == dict(enumerate(data.values()))
+
+
+def test_seeds_are_dealt_evenly():
+    """op9: the keys of minimizers are the least of their windows (before: on 0.1 GB the largest block took 61.7 MB of the shuffle, the mean 8.2)."""
+    key, at = chains.minimizers(T.mix(np.arange(200_000, dtype=np.uint64)), np.zeros(200_000, np.int64))
+    rows = chains._packed([(key, np.zeros(len(key), np.uint64), at.astype(np.uint32))], 64)
+    sizes = [len(x) for b in rows for x in b.column("c0").to_pylist()]
+    assert len(sizes) == 64 and sum(sizes) == 8 * len(key) and max(sizes) < 1.3 * np.mean(sizes)
