@@ -7,10 +7,12 @@ language's own share, by f.
 
 1. One ``CountVectorizer`` with minDF and the greatest integer as vocabSize is fitted over terms that carry their
    language's code in front: as a document has one language, its minDF is each language's own, and there is one pass
-   however many languages there are. It turns every document into an exact sparse vector of term counts. The terms are
-   cut from Arrow buffers in NumPy; the code takes the place of the byte before a term, which no term holds.
-2. The vectors' indices and values are summed by (language, source) in Spark: a sparse form of ``Summarizer.sum``, whose
-   dense sums would take V numbers for every group and task.
+   however many languages there are. The terms are cut from Arrow buffers in NumPy; the code takes the place of the byte
+   before a term, which no term holds.
+2. It turns the terms of every (language, source) into exact sparse vectors. As the audit needs a group's sums only, the
+   texts of a group in a block of ``BLOCK_BYTES`` are one document for each binary digit of their terms' counts, weighted by it: a term is
+   looked up as often as its count has ones. The weights are summed by group and index in Spark: a sparse form of
+   ``Summarizer.sum``, whose dense sums would take V numbers for every group and task. Within a block terms are told apart by 64-bit hashes.
 3. A pair is evaluated over occurring terms only. With p0, q0 the shares of a term that doesn't occur,
 
        sum f(p, q) = V f(p0, q0) + sum over the terms of one (f(p, q0) - f(p0, q0)) + the same for the other
@@ -24,7 +26,7 @@ is estimated from those terms whose hash ends in ``MARK_BITS`` zero bits, with t
 ``MAX_TERMS`` of them, or more than ``MAX_CODES`` languages, the same counts come from one aggregate by term and a join, with nothing in
 the driver (``counts_by_join``). Everything after the counts is the same.
 
-Counts are doubles inside vectors and exact up to 2^53; shares and f are computed in integers, beyond 64 bits in decimals.
+Counts are 64-bit integers; shares and f are computed in integers, beyond 64 bits in decimals.
 
 Defined cases: null text, lang and source are empty strings; a group without terms has count 0 everywhere; a language
 without kept terms gives pairs of value 0; a language with one source has no pairs; equal values rank by the item's
@@ -54,6 +56,8 @@ MAX_TERMS = 1_000_000
 #: Languages that one byte below the letters can tell apart.
 MAX_CODES = 64
 MARK_BITS = 8
+#: Bytes of texts whose terms a task counts by group before it looks them up.
+BLOCK_BYTES = 8 << 20
 SCALE = 1_000_000_000
 _BYTES = np.arange(256)
 #: Bytes of terms ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+``: letters and everything beyond ASCII.
@@ -86,30 +90,85 @@ def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
 
 
-def _coded_terms(distinct: bool):
-    """Each document's terms, the byte of its language's code before each; ``distinct``: each term once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            codes = b.column("code").to_numpy()
-            for i, j, text, off in T.chunks(b.column("text")):
-                # a byte more at each text's head, so that every term has one before it
-                n = j - i
-                at = off + np.arange(n + 1)
-                buf = np.zeros(len(text) + n, np.uint8)
-                body = np.ones(len(buf), bool)
-                body[at[:-1]] = False
-                buf[body] = T.lower(text)
-                starts, ends = T.spans(buf, at, TERM_BYTES)
-                doc = T.owners(starts, at)
-                if distinct:
-                    pick = ~T.repeated(T.hashes(buf, starts, ends), doc)[1]
-                    starts, ends, doc = starts[pick], ends[pick], doc[pick]
-                buf[starts - 1] = codes[i:j][doc]
-                offsets = np.concatenate([[0], np.cumsum(T.counts(doc, n))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column("gid").slice(i, n), pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts - 1, ends))], names=["gid", "terms"])
-
-    return run
+def _coded(text: np.ndarray, off: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, documents, hashes) of the terms, in bytes where each has its language's code before it."""
+    # a byte more at each text's head, so that every term has one before it
+    at = off + np.arange(len(off))
+    buf = np.zeros(len(text) + len(codes), np.uint8)
+    body = np.ones(len(buf), bool)
+    body[at[:-1]] = False
+    buf[body] = T.lower(text)
+    starts, ends = T.spans(buf, at, TERM_BYTES)
+    doc = T.owners(starts, at)
+    h = T.hashes(buf, starts, ends)
+    buf[starts - 1] = codes[doc]
+    return buf, starts, ends, doc, h
+
+
+def _group_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of each group in a block of texts as rows of weight 1, 2, 4 and so on: a term stands once in those rows
+    whose weights add up to its occurrences in the block."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+    for b in batches:
+        gid, codes = b.column("gid").to_numpy(), b.column("code").to_numpy()
+        for i, j, text, off in T.chunks(b.column("text"), BLOCK_BYTES):
+            if held and size + len(text) > BLOCK_BYTES:
+                yield from _weighted(held)
+                held, size = [], 0
+            held.append((gid[i:j], codes[i:j], text, np.diff(off)))
+            size += len(text)
+    if held:
+        yield from _weighted(held)
+
+
+def _counted(h: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one, number) of the equal terms of a group, by group."""
+    key = T.mix(h + of.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    order = np.argsort(key)
+    first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    pick, count = order[first], np.diff(np.append(first, len(key)))
+    by = np.argsort(of[pick], kind="stable")
+    return pick[by], count[by]
+
+
+def _listed(of: np.ndarray, terms: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(groups, the terms of each) of terms that come by group."""
+    head = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    return of[head], pa.ListArray.from_arrays(pa.array(np.append(head, len(of)).astype(np.int32)), terms)
+
+
+def _taken(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, pick: np.ndarray) -> pa.Array:
+    """The terms at ``pick`` with their codes, in its order."""
+    place = np.argsort(pick)
+    back = np.empty(len(pick), np.int64)
+    back[place] = np.arange(len(pick))
+    return _strings(buf, starts[pick[place]] - 1, ends[pick[place]]).take(pa.array(back))
+
+
+def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's distinct terms, the byte of its language's code before each."""
+    for b in batches:
+        codes = b.column("code").to_numpy()
+        for i, j, text, off in T.chunks(b.column("text")):
+            buf, starts, ends, doc, h = _coded(text, off, codes[i:j])
+            pick = ~T.repeated(h, doc)[1]
+            offsets = np.concatenate([[0], np.cumsum(T.counts(doc[pick], j - i))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts[pick] - 1, ends[pick]))], names=["terms"])
+
+
+def _weighted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    gid, codes, text, lengths = (np.concatenate(x) for x in zip(*held))
+    buf, starts, ends, doc, h = _coded(text, np.concatenate([[0], np.cumsum(lengths)]), codes)
+    if not len(h):
+        return
+    pick, count = _counted(h, gid[doc])
+    of, terms = gid[doc[pick]], _taken(buf, starts, ends, pick)
+    for k in range(int(count.max()).bit_length()):
+        mine = np.flatnonzero(count >> k & 1)
+        if len(mine):
+            groups, lists = _listed(of[mine], terms.take(pa.array(mine)))
+            yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(np.full(len(groups), 1 << k)), lists], names=["gid", "weight", "terms"])
 
 
 def _combined(marked_only: bool):
@@ -154,17 +213,20 @@ def counts_by_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFram
     """The vocabulary (idx, lid, term) and the counts (gid, idx, c) by way of CountVectorizer."""
     spark = docs.sparkSession
     coded = docs.select("gid", "text", F.col("lid").cast("short").alias("code"))
-    terms, once = (coded.mapInArrow(_coded_terms(distinct), "gid long, terms array<string>") for distinct in (False, True))
     # what is kept depends on documents only, so the fit reads each term of a document once
+    once = coded.mapInArrow(_document_terms, "terms array<string>")
     model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(once)
     saved = _folder(docs, "vocabulary")
     model.save(saved)
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("idx", "word"))
     vocabulary = words.select(F.col("idx").cast("long").alias("idx"), F.ascii("word").cast("long").alias("lid"), F.expr("substring(word, 2)").alias("term"))
-    vectors = model.transform(terms).select("gid", F.unwrap_udt("features").alias("v"))
-    entries = vectors.where(F.size("v.indices") > 0).select("gid", "v", F.explode(F.sequence(F.lit(0), F.size("v.indices") - 1)).alias("k"))
-    sums = entries.select("gid", F.expr("v.indices[k]").alias("idx"), F.expr("v.values[k]").alias("c")).groupBy("gid", "idx").agg(F.sum("c").alias("c"))
-    return _written(vocabulary, "terms"), sums.select("gid", F.col("idx").cast("long").alias("idx"), F.col("c").cast("long").alias("c"))
+    terms = coded.mapInArrow(_group_terms, "gid long, weight long, terms array<string>")
+    vectors = model.transform(terms).select("gid", "weight", F.unwrap_udt("features").alias("v"))
+    # a term stands once in a row, so all values of a vector are 1; a plain explode would be given a filter on the
+    # vectors, for which the rows are transformed two more times
+    entries = vectors.select("gid", "weight", F.explode_outer("v.indices").alias("idx")).where("idx IS NOT NULL")
+    sums = entries.groupBy("gid", "idx").agg(F.sum("weight").alias("c"))
+    return _written(vocabulary, "terms"), sums.select("gid", F.col("idx").cast("long").alias("idx"), "c")
 
 
 def counts_by_join(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:

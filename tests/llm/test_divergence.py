@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,30 @@ def test_equals_brute_force_by_either_count(small, min_df, max_terms):
     assert got(D.audit(docs, min_df=min_df, max_terms=max_terms)) == brute(data, min_df)
 
 
+@pytest.mark.parametrize("block", [1, 300, 1 << 20])
+def test_a_group_looks_each_term_up_once_for_each_one_of_its_count(monkeypatch, block):
+    monkeypatch.setattr(D, "BLOCK_BYTES", block)
+    texts = [(1, 33, "Alpha beta alpha 日本 " * 50), (2, 34, "alpha"), (1, 33, None), (1, 33, "12 34"), (1, 33, "beta gamma " * 7), (2, 34, "alpha " * 3)]
+    gid, code, text = zip(*texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(text), pa.array(code, pa.int16())], names=["gid", "text", "code"])
+    rows = [r for b in D._group_terms(iter([batch.slice(0, 2), batch.slice(2)])) for r in b.to_pylist()]
+    got, want = Counter(), Counter()
+    for r in rows:
+        assert len(set(r["terms"])) == len(r["terms"])
+        got.update({(r["gid"], t): r["weight"] for t in r["terms"]})
+    for g, c, t in texts:
+        want.update((g, chr(c) + w) for w in TERM.findall((t or "").replace("A", "a")))
+    assert got == want
+    if block > 300:
+        assert sum(len(r["terms"]) for r in rows) == sum(n.bit_count() for n in want.values()) < sum(want.values()) / 10
+
+
+def test_each_row_is_transformed_once(small):
+    docs = small[0].select(F.lit(1).cast("long").alias("gid"), F.lit(1).cast("long").alias("lid"), "text")
+    sums = D.counts_by_vectors(docs, 3)[1]
+    assert sums._jdf.queryExecution().executedPlan().toString().count("UDF(") == 1
+
+
 def test_values_that_need_more_than_double(spark):
     docs = spark.createDataFrame([("x", "a", "w " * 30_000 + "u v"), ("x", "b", "u " * 7 + "v " * 20_000)], "lang string, source string, text string")
     want = brute([("x", "a", "w " * 30_000 + "u v"), ("x", "b", "u " * 7 + "v " * 20_000)], 1)
