@@ -186,10 +186,11 @@ def postprocess_scores(
     model_repo: str = "test/byte-probe",
     inferred_at: Column | datetime | None = None,
     mode: str = "mean",
+    lookup: S.Lookup | None = None,
 ) -> DataFrame:
     """M4: segments -> score-store rows (image_id, brain_activity, top_regions, inferred_at,
     model_repo). Collapse (A2), parcel means (A4), alias scores (A5), top-k (W2): one exchange of
-    partial vectors, then everything in the image's row."""
+    partial vectors, then everything in the image's row. ``lookup``: see ``summary.summarise``."""
     vectors = S.collapse_segments(segments, mode).select("image_id", "brain_activity")
     if inferred_at is None:
         ts = F.current_timestamp().cast("timestamp_ntz")
@@ -197,7 +198,7 @@ def postprocess_scores(
         ts = ntz_literal(inferred_at)
     else:
         ts = inferred_at
-    return S.summarise(vectors, atlas, alias_map, aliases).select(
+    return S.summarise(vectors, atlas, alias_map, aliases, lookup=lookup).select(
         "image_id",
         "brain_activity",
         S.top_k_regions(F.col("scores"), k).alias("top_regions"),

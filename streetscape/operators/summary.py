@@ -9,6 +9,7 @@ vector, so nothing is shuffled after the fold; ranking is an array expression.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -170,13 +171,19 @@ def _summarise(parcels: list[tuple[str, int]], vertices: np.ndarray, of: np.ndar
     return run
 
 
-def summarise(vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame | None = None, aliases: Sequence[str] = (), vector: str = "brain_activity", max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """A4 + J9 + A5: ``vectors`` with ``means`` (array of parcel, ordinal, mean; parcels with a vertex
-    inside the vector) and ``scores`` (array of name, alias_ord, score; every alias in declaration
-    order, NaN without a parcel).
+class Lookup(NamedTuple):
+    """What the tasks need of an atlas and its aliases: the parcels in order, the atlas' vertices with the index of the
+    parcel of each, and the indexes of each alias's parcels."""
 
-    The atlas (parcel, ordinal, vertex) is bounded by the mesh; it goes to the tasks after a check
-    of its size, and a larger one is refused. Each row is worked on by itself: no shuffle."""
+    parcels: list[tuple[str, int]]
+    vertices: np.ndarray
+    of: np.ndarray
+    members: list[list[int]]
+
+
+def lookup_of(atlas: DataFrame, alias_map: DataFrame | None = None, aliases: Sequence[str] = (), max_bytes: int = DEFAULT_BROADCAST_BYTES) -> Lookup:
+    """The atlas (parcel, ordinal, vertex) is bounded by the mesh; it goes to the tasks after a check
+    of its size, and a larger one is refused."""
     if not is_small(atlas.select("parcel", "ordinal", "vertex"), max_bytes):
         raise ValueError(f"the atlas takes more than {max_bytes} bytes")
     rows = atlas.select("parcel", "ordinal", F.col("vertex").cast("long").alias("vertex")).where("vertex IS NOT NULL").collect()
@@ -188,8 +195,21 @@ def summarise(vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame | None
     if alias_map is not None and parcels:
         for r in alias_parcels(atlas, alias_map).collect():
             members[list(aliases).index(r.alias)] += [j for j, (p, _) in enumerate(parcels) if p == r.parcel]
+    return Lookup(parcels, vertices, of, [sorted(set(m)) for m in members])
+
+
+def summarise(
+    vectors: DataFrame, atlas: DataFrame, alias_map: DataFrame | None = None, aliases: Sequence[str] = (), vector: str = "brain_activity", max_bytes: int = DEFAULT_BROADCAST_BYTES, lookup: Lookup | None = None
+) -> DataFrame:
+    """A4 + J9 + A5: ``vectors`` with ``means`` (array of parcel, ordinal, mean; parcels with a vertex
+    inside the vector) and ``scores`` (array of name, alias_ord, score; every alias in declaration
+    order, NaN without a parcel).
+
+    ``lookup``: that of the atlas and the aliases (``lookup_of``), for those who call more than once.
+    Each row is worked on by itself: no shuffle."""
+    at = lookup or lookup_of(atlas, alias_map, aliases, max_bytes)
     schema = T.StructType([*vectors.schema.fields, *T._parse_datatype_string("means array<struct<parcel:string,ordinal:int,mean:double>>, scores array<struct<name:string,alias_ord:int,score:double>>").fields])
-    return vectors.mapInArrow(_summarise(parcels, vertices, of, list(aliases), [sorted(set(m)) for m in members], vectors.columns.index(vector)), schema)
+    return vectors.mapInArrow(_summarise(at.parcels, at.vertices, at.of, list(aliases), at.members, vectors.columns.index(vector)), schema)
 
 
 def parcel_means(vectors: DataFrame, atlas: DataFrame, vector: str = "brain_activity") -> DataFrame:

@@ -28,6 +28,7 @@ from streetscape.operators import scoring as M
 from streetscape.operators import store as ST
 from streetscape.operators.aoi import bbox_text, find_aoi, inside
 from streetscape.operators.deliverable import deliverable_rows, run_summary
+from streetscape.operators.summary import lookup_of
 from streetscape.sinks.geoparquet import verify_geo, write_geo
 from streetscape.sinks.stores import append_images, append_scores, init_store
 from streetscape.sources.images import read_images_of
@@ -152,10 +153,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict:
         # Scores are appended round by round, so a run that dies keeps what it has scored: the next one finds
         # those images in the score store.
         amap = AT.alias_map_df(spark, cfg.alias_map)
+        lookup = lookup_of(cfg.atlas, amap, list(cfg.alias_map)) if groups else None
         for r in range(groups.bit_length()):
             mine = spark.read.schema("image_id string, image_blob binary, round int").parquet(todo).where(F.col("round") == r)
             seg = M.score_images(mine, cfg.predictor_factory, cfg.batch_size).persist(StorageLevel.MEMORY_AND_DISK)
-            fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo).persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = M.postprocess_scores(M.good_segments(seg), cfg.atlas, amap, list(cfg.alias_map), cfg.k, cfg.model_repo, lookup=lookup).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 counts["inferred"] += fresh.count()
                 reject(M.scoring_rejects(seg).select("image_id", F.col("drop_reason").alias("reason")), "inference")

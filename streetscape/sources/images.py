@@ -8,6 +8,7 @@ non-image content type the same way).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,19 @@ def scan_image_files(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)
     )
 
 
+@contextmanager
+def _cheap_to_open(spark: SparkSession) -> Iterator[None]:
+    """Files count for ``TASK_BYTES / TASK_FILES`` more than their size where they are shared out, not for the 4 MB of
+    Spark's default, by which a task lists a few dozen small ones. Only for what is run inside."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(TASK_BYTES // TASK_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from streetscape.sinks.geoparquet import _fs
 
@@ -52,7 +66,8 @@ def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: s
         return read_shard_images_of(spark, path, ids)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path", "length")
     kept = f"{shared_path(spark, 'wanted')}/files"
-    listed.join(ids.select("image_id").distinct(), "image_id", "left_semi").write.parquet(kept)
+    with _cheap_to_open(spark):
+        listed.join(ids.select("image_id").distinct(), "image_id", "left_semi").write.parquet(kept)
     wanted = spark.read.schema("image_id string, path string, length bigint").parquet(kept)
     n, volume = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     # Spark's scan takes a file for 4 MB at least: a task for every few dozen small ones

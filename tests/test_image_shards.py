@@ -81,3 +81,21 @@ def test_run_over_shards(spark, tmp_path):
     assert outs[0]["counts"] == outs[1]["counts"] and outs[1]["counts"]["written"] == 9
     again = run(spark, RunConfig(pages, shards, str(tmp_path / "shards-store"), str(tmp_path / "shards-scores"), str(tmp_path / "out2"), atlas, start_captured_at="2024-01-01"))
     assert again["counts"]["downloaded"] == 9
+
+
+def test_small_files_are_listed_by_few_tasks(spark, tmp_path):
+    images = tmp_path / "many"
+    images.mkdir()
+    for i in range(1500):
+        (images / f"{i}.jpg").write_bytes(b"\xff\xd8\xff" + bytes(i % 50))
+    ids = spark.range(0, 1500, 2).selectExpr("cast(id as string) image_id")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.sparkContext.setJobGroup("few", "listing")
+    try:
+        rows = read_images_of(spark, str(images), ids)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    told = spark.sparkContext.statusTracker()
+    tasks = [told.getStageInfo(s).numTasks for j in told.getJobIdsForGroup("few") for s in told.getJobInfo(j).stageIds if told.getStageInfo(s)]
+    assert tasks and max(tasks) <= max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))) + 1 < 46  # 32 files a task before
+    assert rows.count() == 750 and spark.conf.get("spark.sql.files.openCostInBytes") == before

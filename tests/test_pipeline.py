@@ -98,3 +98,14 @@ def test_rounds_are_appended_one_by_one(spark, tmp_path, monkeypatch):
     cfg = RunConfig(pages, images, str(tmp_path / "store"), str(tmp_path / "scores"), str(tmp_path / "out"), atlas, start_captured_at="2024-01-01", score_group=1)
     told = run(spark, cfg)
     assert len(appended) == 4 and sum(appended) == 9 == told["counts"]["inferred"]  # nine groups: 1, 2, 4 and the rest
+
+
+def test_the_atlas_is_gathered_once_however_many_rounds(spark, tmp_path, monkeypatch):
+    from streetscape.operators import summary
+
+    pages, images, atlas = _fixtures(tmp_path, spark)
+    calls = []
+    monkeypatch.setattr(summary, "is_small", lambda df, *a: calls.append(df.columns) or True)
+    cfg = RunConfig(pages, images, str(tmp_path / "store"), str(tmp_path / "scores"), str(tmp_path / "out"), atlas, start_captured_at="2024-01-01", score_group=1)
+    assert run(spark, cfg)["counts"]["inferred"] == 9
+    assert len(calls) == 1
