@@ -8,11 +8,13 @@ language's own share, by f.
 1. One ``CountVectorizer`` with minDF and the greatest integer as vocabSize is fitted over terms that carry their
    language's code in front: as a document has one language, its minDF is each language's own, and there is one pass
    however many languages there are. The terms are cut from Arrow buffers in NumPy; the code takes the place of the byte
-   before a term, which no term holds.
+   before a term, which no term holds. The tasks sum the terms'
+   document frequencies, which come together by the terms' hashes; the fit then reads each term of ``min_df`` documents or more in
+   ``min_df`` rows, which minDF lets through, instead of in every document's.
 2. It turns the terms of every (language, source) into exact sparse vectors. As the audit needs a group's sums only, the
    texts of a group in a block of ``BLOCK_BYTES`` are one document for each binary digit of their terms' counts, weighted by it: a term is
    looked up as often as its count has ones. The weights are summed by group and index in Spark: a sparse form of
-   ``Summarizer.sum``, whose dense sums would take V numbers for every group and task. Within a block terms are told apart by 64-bit hashes.
+   ``Summarizer.sum``, whose dense sums would take V numbers for every group and task. Terms are told apart by 64-bit hashes until they are fitted or looked up.
 3. A pair is evaluated over occurring terms only. With p0, q0 the shares of a term that doesn't occur,
 
        sum f(p, q) = V f(p0, q0) + sum over the terms of one (f(p, q0) - f(p0, q0)) + the same for the other
@@ -21,8 +23,7 @@ language's own share, by f.
    The middle sums depend on the distinct shares of a group only, the last one is an equi-join by term, of at most one
    row a source; both are partial aggregates by pair.
 
-The fitted vocabulary passes through the driver and is broadcast, so its size is checked first: the number of kept terms
-is estimated from those terms whose hash ends in ``MARK_BITS`` zero bits, with their exact document frequencies. With more than
+The fitted vocabulary passes through the driver and is broadcast, so the number of its terms is looked at first. With more than
 ``MAX_TERMS`` of them, or more than ``MAX_CODES`` languages, the same counts come from one aggregate by term and a join, with nothing in
 the driver (``counts_by_join``). Everything after the counts is the same.
 
@@ -55,7 +56,10 @@ TOP_TERMS = 10
 MAX_TERMS = 1_000_000
 #: Languages that one byte below the letters can tell apart.
 MAX_CODES = 64
-MARK_BITS = 8
+#: Bytes of texts for each part of the terms.
+PART_BYTES = 32 << 20
+#: Terms that a task holds before it hands them over, and terms of a row of the fit.
+HELD, ROW_TERMS = 1_000_000, 50_000
 #: Bytes of texts whose terms a task counts by group before it looks them up.
 BLOCK_BYTES = 8 << 20
 SCALE = 1_000_000_000
@@ -105,6 +109,26 @@ def _coded(text: np.ndarray, off: np.ndarray, codes: np.ndarray) -> tuple[np.nda
     return buf, starts, ends, doc, h
 
 
+def _keys(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of terms of languages."""
+    return T.mix(h + codes.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+
+
+def _added(keys: np.ndarray, counts: np.ndarray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(distinct keys ascending, their counts added up, a term of each)."""
+    if not len(keys):
+        return keys, counts, terms
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(counts[order], first), terms.take(pa.array(order[first]))
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    keys, counts, terms = zip(*held)
+    return _added(np.concatenate(keys), np.concatenate(counts), pa.concat_arrays(terms))
+
+
 def _group_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The terms of each group in a block of texts as rows of weight 1, 2, 4 and so on: a term stands once in those rows
     whose weights add up to its occurrences in the block."""
@@ -146,17 +170,6 @@ def _taken(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, pick: np.ndarr
     return _strings(buf, starts[pick[place]] - 1, ends[pick[place]]).take(pa.array(back))
 
 
-def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's distinct terms, the byte of its language's code before each."""
-    for b in batches:
-        codes = b.column("code").to_numpy()
-        for i, j, text, off in T.chunks(b.column("text")):
-            buf, starts, ends, doc, h = _coded(text, off, codes[i:j])
-            pick = ~T.repeated(h, doc)[1]
-            offsets = np.concatenate([[0], np.cumsum(T.counts(doc[pick], j - i))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), _strings(buf, starts[pick] - 1, ends[pick]))], names=["terms"])
-
-
 def _weighted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     gid, codes, text, lengths = (np.concatenate(x) for x in zip(*held))
     buf, starts, ends, doc, h = _coded(text, np.concatenate([[0], np.cumsum(lengths)]), codes)
@@ -171,51 +184,132 @@ def _weighted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]])
             yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(np.full(len(groups), 1 << k)), lists], names=["gid", "weight", "terms"])
 
 
-def _combined(marked_only: bool):
-    """Terms of a block of texts by group, with their occurrences and documents; with ``marked_only`` the hashes of marked
-    terms and their documents."""
+def _frequencies(parts: int):
+    """The task's terms with the documents that hold each, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        size = 0
         for b in batches:
-            gid = b.column("gid").to_numpy()
-            lid = b.column("lid").to_numpy()
+            codes = b.column("code").to_numpy()
             for i, j, text, off in T.chunks(b.column("text")):
-                starts, ends = T.spans(text, off, TERM_BYTES)
-                doc = T.owners(starts, off)
-                h = T.hashes(text, starts, ends, fold=True)
-                if marked_only:
-                    at = np.flatnonzero(h << np.uint64(64 - MARK_BITS) == 0)
-                    pairs = np.unique(np.stack([h[at], doc[at].astype(np.uint64)]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(lid[i:j][pairs[1].astype(np.int64)]), pa.array(pairs[0].view(np.int64))], names=["lid", "h"])
+                buf, starts, ends, doc, h = _coded(text, off, codes[i:j])
+                if not len(h):
                     continue
-                of = gid[i:j][doc]
-                by = np.lexsort((doc, h, of))
-                first = np.ones(len(by), bool)
-                first[1:] = (h[by][1:] != h[by][:-1]) | (of[by][1:] != of[by][:-1])
-                met = first.copy()
-                met[1:] |= doc[by][1:] != doc[by][:-1]
-                at = np.flatnonzero(first)
-                ends_ = np.append(at[1:], len(by))
-                seen = np.concatenate([[0], np.cumsum(met)])
-                pick = by[at]
-                order = np.argsort(pick)  # back in the order of the text
-                pick = pick[order]
-                strings = _strings(T.lower(text), starts[pick], ends[pick])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(of[pick]), pa.array(lid[i:j][doc[pick]]), strings, pa.array((ends_ - at)[order]), pa.array((seen[ends_] - seen[at])[order])],
-                    names=["gid", "lid", "term", "c", "df"],
-                )
+                key = _keys(h, codes[i:j][doc])
+                order = np.argsort(key)
+                new = np.append(True, key[order][1:] != key[order][:-1])
+                which = np.empty(len(key), np.int64)
+                which[order] = np.cumsum(new) - 1
+                pick = order[new]  # in the order of the keys
+                once = np.unique(doc * len(pick) + which) % len(pick)
+                held.append((key[pick], T.counts(once, len(pick)), _taken(buf, starts, ends, pick)))
+                size += len(pick)
+                if size > HELD:
+                    held = [_joined(held)]
+                    size = len(held[0][0])
+                    if size > HELD // 2:
+                        yield from rows(held)
+                        held, size = [], 0
+        yield from rows(held)
+
+    def rows(held: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        key, n, terms = _joined(held)
+        ends = np.frombuffer(terms.buffers()[1], np.int32, len(terms) + 1)
+        raw = np.frombuffer(terms.buffers()[2], np.uint8)
+        cut = np.searchsorted(((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cut)).tolist():
+            a, c = int(cut[p]), int(cut[p + 1])
+            packed = [key[a:c].tobytes(), n[a:c].astype("<u4").tobytes(), np.diff(ends[a : c + 1]).astype("<i4").tobytes(), raw[ends[a] : ends[c]].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([p]), *(pa.array([x], pa.binary()) for x in packed)], names=["part", "h", "n", "size", "raw"])
+
+    return run
+
+
+def _frequent(min_df: int):
+    """The terms of each part that stand in ``min_df`` documents or more, in ``min_df`` rows. Rows come by part."""
+
+    def done(held: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> Iterator[pa.RecordBatch]:
+        _, n, terms = _joined(held)
+        terms = terms.take(pa.array(np.flatnonzero(n >= min_df)))
+        for a in range(0, len(terms), ROW_TERMS):
+            row = terms.slice(a, ROW_TERMS)
+            for k in range(min_df):
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.ListArray.from_arrays(pa.array([0, len(row)], pa.int32()), row)], names=["round", "terms"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for b in batches:
+            for p, h, n, size, raw in zip(*(b.column(k).to_pylist() for k in range(5))):
+                if p != part and held:
+                    yield from done(held)
+                    held = []
+                part = p
+                offsets = np.concatenate([[0], np.cumsum(np.frombuffer(size, "<i4"))]).astype(np.int32)
+                terms = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(raw))
+                held.append((np.frombuffer(h, "<u8"), np.frombuffer(n, "<u4").astype(np.int64), terms))
+        if held:
+            yield from done(held)
 
     return run
 
 
-def counts_by_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
+def frequent_terms(docs: DataFrame, min_df: int, volume: int | None = None) -> DataFrame:
+    """(round, terms): the terms in ``min_df`` documents of their language, the byte of its code before each, once in every
+    round of ``min_df``. ``volume``: bytes of all texts."""
+    if volume is None:
+        volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(4, int(volume // PART_BYTES))
+    coded = docs.select("text", F.col("lid").cast("short").alias("code"))
+    counted = coded.mapInArrow(_frequencies(parts), "part long, h binary, n binary, size binary, raw binary")
+    return _written(counted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_frequent(min_df), "round long, terms array<string>"), "frequent")
+
+
+def _number(frequent: DataFrame) -> int:
+    return frequent.where("round = 0").agg(F.sum(F.size("terms"))).first()[0] or 0
+
+
+def kept_terms(docs: DataFrame, min_df: int) -> int:
+    """The number of kept terms."""
+    return _number(frequent_terms(docs, min_df))
+
+
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of a block of texts by group, with their occurrences and documents."""
+    for b in batches:
+        gid = b.column("gid").to_numpy()
+        lid = b.column("lid").to_numpy()
+        for i, j, text, off in T.chunks(b.column("text")):
+            starts, ends = T.spans(text, off, TERM_BYTES)
+            doc = T.owners(starts, off)
+            h = T.hashes(text, starts, ends, fold=True)
+            of = gid[i:j][doc]
+            by = np.lexsort((doc, h, of))
+            first = np.ones(len(by), bool)
+            first[1:] = (h[by][1:] != h[by][:-1]) | (of[by][1:] != of[by][:-1])
+            met = first.copy()
+            met[1:] |= doc[by][1:] != doc[by][:-1]
+            at = np.flatnonzero(first)
+            ends_ = np.append(at[1:], len(by))
+            seen = np.concatenate([[0], np.cumsum(met)])
+            pick = by[at]
+            order = np.argsort(pick)  # back in the order of the text
+            pick = pick[order]
+            strings = _strings(T.lower(text), starts[pick], ends[pick])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of[pick]), pa.array(lid[i:j][doc[pick]]), strings, pa.array((ends_ - at)[order]), pa.array((seen[ends_] - seen[at])[order])],
+                names=["gid", "lid", "term", "c", "df"],
+            )
+
+
+def counts_by_vectors(docs: DataFrame, min_df: int, frequent: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The vocabulary (idx, lid, term) and the counts (gid, idx, c) by way of CountVectorizer."""
     spark = docs.sparkSession
     coded = docs.select("gid", "text", F.col("lid").cast("short").alias("code"))
-    # what is kept depends on documents only, so the fit reads each term of a document once
-    once = coded.mapInArrow(_document_terms, "terms array<string>")
-    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(once)
+    frequent = frequent_terms(docs, min_df) if frequent is None else frequent
+    model = CountVectorizer(inputCol="terms", outputCol="features", minDF=float(min_df), vocabSize=2**31 - 1).fit(frequent.select("terms"))
     saved = _folder(docs, "vocabulary")
     model.save(saved)
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("idx", "word"))
@@ -231,19 +325,13 @@ def counts_by_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFram
 
 def counts_by_join(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
     """The same two tables without the driver."""
-    parts = docs.select("gid", "lid", "text").mapInArrow(_combined(False), "gid long, lid long, term string, c long, df long")
+    parts = docs.select("gid", "lid", "text").mapInArrow(_combined, "gid long, lid long, term string, c long, df long")
     every = _written(parts.groupBy("gid", "lid", "term").agg(F.sum("c").alias("c"), F.sum("df").alias("df")), "term-counts")
     kept = every.groupBy("lid", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
     kept = _written(kept.select(F.monotonically_increasing_id().alias("idx"), "lid", "term"), "terms")
     return kept, every.join(kept, ["lid", "term"]).select("gid", "idx", "c")
 
 
-def kept_terms(docs: DataFrame, min_df: int) -> int:
-    """About the number of kept terms: the marked ones among them, times the share of marks."""
-    marked = docs.select("gid", "lid", "text").mapInArrow(_combined(True), "lid long, h long")
-    return marked.groupBy("lid", "h").agg(F.count("*").alias("df")).where(F.col("df") >= min_df).count() << MARK_BITS
-
-
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
@@ -263,16 +351,19 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS, max_
     """lang, source, part, item, value, rank: for each source of each language its distance to every other one (part
     ``pair``) and its ``top`` distinctive terms (part ``term``)."""
     named = _named(documents)
-    sources = named.groupBy("lang").agg(F.sort_array(F.collect_set("source")).alias("sources"))
-    langs = _written(sources.select(F.col("lang"), "sources"), "langs")
+    sources = named.groupBy("lang").agg(F.sort_array(F.collect_set("source")).alias("sources"), F.sum(F.octet_length("text").cast("long")).alias("volume"))
+    langs = _written(sources, "langs")
     # numbers in the order of the names; a row for each language is what the window sees
     numbered = langs.select("lang", F.expr("row_number() over (order by lang)").cast("long").alias("lid"))
     every = _written(langs.join(numbered, "lang").select("lang", "lid", F.explode("sources").alias("source")).withColumn("gid", F.monotonically_increasing_id()), "sources")
     docs = named.join(broadcast_if_small(every), ["lang", "source"]).select("gid", "lid", "text")
 
     few = every.agg(F.max("lid")).first()[0] or 0
-    vectors = 0 < few <= MAX_CODES and kept_terms(docs, min_df) <= max_terms
-    vocabulary, sums = (counts_by_vectors if vectors else counts_by_join)(docs, min_df)
+    frequent = frequent_terms(docs, min_df, langs.agg(F.sum("volume")).first()[0]) if 0 < few <= MAX_CODES else None
+    if frequent is not None and _number(frequent) <= max_terms:
+        vocabulary, sums = counts_by_vectors(docs, min_df, frequent)
+    else:
+        vocabulary, sums = counts_by_join(docs, min_df)
     sums = _written(sums, "sums")
 
     sizes = vocabulary.groupBy("lid").agg(F.count("*").alias("v"))

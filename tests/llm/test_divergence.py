@@ -124,6 +124,18 @@ def test_estimate_of_kept_terms(spark):
     assert 32_000 < D.kept_terms(docs, 2) < 50_000 and 75_000 < D.kept_terms(docs, 1) < 106_000
 
 
+@pytest.mark.parametrize("held", [2, 1_000_000])
+def test_fit_reads_frequent_terms_only_and_in_min_df_rows(spark, monkeypatch, held):
+    monkeypatch.setattr(D, "HELD", held)
+    texts = [(33, f"common Pair{'x' if k < 2 else ''} w{'abcdefgh'[k % 8]}{'z' * k} common") for k in range(40)] + [(34, "common"), (33, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in texts]), pa.array([c for c, _ in texts], pa.int16())], names=["text", "code"])
+    packed = sorted((r for b in D._frequencies(3)(iter([batch.slice(0, 7), batch.slice(7)])) for r in b.to_pylist()), key=lambda r: r["part"])
+    blocks = [pa.RecordBatch.from_pylist(packed)]
+    rows = [r for b in D._frequent(3)(iter(blocks)) for r in b.to_pylist()]
+    assert Counter(t for r in rows for t in r["terms"]) == {"!common": 3, "!pair": 3}
+    assert sorted(t for r in rows if r["round"] == 0 for t in r["terms"]) == ["!common", "!pair"]
+
+
 def test_odd_tables(spark, docs, no_docs):
     assert D.audit(no_docs).count() == 0
     want = brute([(r[2], r[3], r[1]) for r in rows()], 2)
