@@ -308,6 +308,87 @@ def test_lm_learns_weights_and_map_from_all_parts(spark):
     assert np.allclose(again.weights, parts.weights, atol=1e-5)
 
 
+def test_lm_across_words_equals_a_plain_walk_along_each_text():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, k, size) for k, size in ((3, 90), (5, 0), (40, 300), (2, 1), (6, 200))] + [np.tile(rng.integers(0, 1000, 30), 9)]
+    words = T.mix(np.arange(1, 1001, dtype=np.uint64))
+    cost = -3.0 - np.arange(1000) % 7
+    logit = lambda p: math.log(p / (1 - p))
+    want = []
+    for t in texts:
+        t = [*t.tolist(), None]
+        seen, rates, held, run, far_before, total = {}, {}, False, 0, None, 0.0
+        weights, step = np.array([0.5, 0.5, 0]), []
+        for i, w in enumerate(t):
+            own = -1.0 if w is None else cost[w]
+            one = seen.get((t[i - 1],)) if i >= 1 else None
+            far = seen.get((t[i - 2], t[i - 1])) if i >= 2 else None
+            run = run + 1 if far is not None and far_before is not None and far == far_before + 1 else 0
+            far_before = far
+            at = one if far is None else far
+            if at is None:
+                total, held = total + own, False
+            else:
+                hit = t[at] == w
+                kinds = (("m", 0 if far is None else min(int(1 + math.log2(run + 1)), 7)), ("a", (0 if far is None else 1 if t[one] == t[far] else 2) + 3 * held))
+                x = []
+                for name, k in kinds:
+                    hits, n = rates.get((name, k), (0, 0))
+                    x.append(logit((hits + lm.RATE_COUNT * (lm.MATCH_RATES if name == "m" else lm.AGREE_RATES)[k]) / (n + lm.RATE_COUNT)))
+                    rates[name, k] = hits + hit, n + 1
+                x = np.array([*x, 1.0])
+                p = 1 / (1 + math.exp(-max(-lm.MAP_LIMIT, min(lm.MAP_LIMIT, weights @ x))))
+                total += math.log(p) if hit else math.log(1 - p) + own
+                step.append((hit - p) * x)
+                if len(step) == lm.ONLINE_STEP:
+                    weights, step = weights + lm.ONLINE_RATE * np.sum(step, axis=0), []
+                held = hit
+            if i >= 1:
+                seen[(t[i - 1],)] = i
+            if i >= 2:
+                seen[t[i - 2], t[i - 1]] = i
+        want.append(total)
+    own = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    every = np.concatenate(texts)
+    assert np.allclose(lm.across(words[every], own, cost[every], len(texts), -1.0), want)
+    for k, t in enumerate(texts):  # whatever else is in the group
+        assert np.allclose(lm.across(words[t], np.zeros(len(t), np.int64), cost[t], 1, -1.0), want[k])
+
+
+def test_lm_costs_are_kept_between_groups(monkeypatch):
+    monkeypatch.setattr(lm, "KEPT_WORDS", 30)
+    rng = random.Random(2)
+
+    class Counting:
+        coded = 0
+
+        def cost(self, raw, off):
+            self.coded += len(off) - 1
+            return np.array([-float(raw[a:b].astype(int).sum()) for a, b in zip(off[:-1], off[1:])])
+
+    m = Counting()
+    costs, asked = lm.Costs(m), 0
+    for _ in range(12):
+        words = [b"w%d" % rng.randrange(25 if asked < 60 else 90) for _ in range(15)]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        off = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        u, _, some, at = lm.distinct_words(raw, T.hashes(raw, off[:-1], off[1:]), off[:-1], off[1:])
+        assert costs.of(u, some, at).tolist() == Counting().cost(some, at).tolist() and len(costs.h) <= 30
+        asked += len(u)
+    assert m.coded < asked
+
+
+def test_lm_contexts_reach_across_words(spark):
+    """The same words in an order that comes again cost far less than shuffled ones; the first time they cost about the same."""
+    words = prose(5, 60).split()
+    rng = random.Random(1)
+    again, mixed = words * 6, words * 6
+    rng.shuffle(mixed)
+    data = [(k, prose(100 + k, 80)) for k in range(20)] + [(50, " ".join(again)), (51, " ".join(mixed))]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
+    assert got[50].n_bytes == got[51].n_bytes and got[50].score > 0.5 * got[51].score
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_jaccard_components(spark, seed):
     rng = random.Random(seed)
