@@ -716,6 +716,68 @@ def test_passages_whose_parts_stand_in_many_texts(spark):
     assert want <= got
 
 
+def _pairs_of(spark, data) -> set[tuple[int, int]]:
+    return {tuple(sorted((r.doc_id, r.source_doc_id))) for r in chains.passages(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()}
+
+
+def test_altered_passages_whose_parts_stand_in_many_texts(spark):
+    """Pairs that share 60 words with one in 15 replaced, of which the first and the last 35 are in 30 texts each: no long seed, every seed in a long list."""
+    data, want = [], set()
+    for k in range(8):
+        p = prose(8200 + k, 60).split()
+        other = [f"other{i}" if i in (3, 18, 41, 56) else w for i, w in enumerate(p)]
+        for j in range(60):
+            part = p[:35] if j < 30 else p[25:]
+            data.append((1000 * k + j, " ".join([prose(59_000 + 100 * k + j, 30), *part, prose(70_000 + 100 * k + j, 30)])))
+        for j, words in ((100, p), (101, other)):
+            data.append((1000 * k + j, " ".join([prose(80_000 + 200 * k + j, 40), *words, prose(90_000 + 200 * k + j, 40)])))
+        want.add((1000 * k + 100, 1000 * k + 101))
+    assert want <= _pairs_of(spark, data)
+
+
+def test_passages_around_words_of_many_texts(spark):
+    """30 words stand in 80 texts; in pairs of these they go on for 30 words more, every fourth of which differs: all seeds and links are in long lists."""
+    core = prose(8300, 30).split()
+    data, want = [], set()
+    for k in range(80):
+        tail = prose(100_000 + (k // 2 if k < 24 else k), 30).split()
+        if k < 24 and k % 2:
+            tail = [f"other{k}x{i}" if i % 4 == 3 else w for i, w in enumerate(tail)]
+            want.add((k - 1, k))
+        data.append((k, " ".join([prose(110_000 + k, 30), *core, *tail, prose(120_000 + k, 30)])))
+    assert _pairs_of(spark, data) == want
+
+
+def test_links_pair_open_places_with_all_before(monkeypatch):
+    """op9: the second round's pairs, of short lists and of such that are dealt as blocks, are those of a loop over all rows."""
+    rng = np.random.default_rng(11)
+    rows = {(int(k), int(c)): (int(x), int(x) + 20, bool(o)) for k, c, x, o in zip(rng.integers(0, 5, 900) ** 2, rng.integers(0, 120, 900), rng.integers(0, 500, 900), rng.integers(0, 3, 900) == 0)}
+    want = set()
+    for (k, c), (x, y, o) in rows.items():
+        for (m, d), (u, v, _) in rows.items():
+            if o and k == m and d < c:
+                want |= {(d, c, u, x), (d, c, v, y)}
+    key, cls = (np.array([r[i] for r in rows], np.uint64) for i in (0, 1))
+    x, y = (np.array([r[i] for r in rows.values()], np.uint32) for i in (0, 1))
+    held = [(key, cls, x, y | np.where([r[2] for r in rows.values()], chains._OPEN, np.uint32(0)))]
+    for limit in (1 << 22, 1_000):
+        monkeypatch.setattr(chains, "LIST_PAIRS", limit)
+        monkeypatch.setattr(chains, "BLOCK", 16)
+        out = list(chains._linked(7)(chains._packed(held, 1)))
+        jobs = [b for b in out if b.column("part")[0].as_py() < 0]
+        assert bool(jobs) == (limit == 1_000)
+        got = [b for b in out if b.column("part")[0].as_py() >= 0] + list(chains._crossed(7)(iter(jobs)))
+        found = {(int(a), int(b), int(u & ~chains._SECOND), int(v)) for a, b, u, v in zip(*(np.concatenate([np.frombuffer(r.as_py(), t) for batch in got for r in batch.column(c)]) for c, t in (("c0", "<u8"), ("c1", "<u8"), ("c2", "<u4"), ("c3", "<u4"))))}
+        assert found == want
+
+
+def test_links_are_open_outside_a_passage():
+    doc, low, high = np.array([0, 0, 0, 1, 1, 2]), np.array([0, 10, 40, 0, 5, 3]), np.array([30, 40, 70, 20, 40, 9])
+    spans = [(0, 8, 60), (0, 0, 30), (1, 4, 90), (3, 0, 100)]
+    assert chains._inside(doc, low, high, spans).tolist() == [any(s == d and x <= a and b <= y for s, x, y in spans) for d, a, b in zip(doc, low, high)]
+    assert not chains._inside(doc, low, high, []).any()
+
+
 def test_passages_that_repeat_within_a_text(spark):
     p = prose(8100, 70)
     texts = [" ".join([prose(1, 50), p, prose(2, 90), p, prose(3, 20)]), " ".join([prose(4, 33), p, prose(5, 40)]), prose(6, 300), "lala " * 5_000]
