@@ -1,8 +1,9 @@
 """Exact dedup with Spark's own state.
 
-``first_arrivals`` keeps one mark for every id that a stream has passed on, in the state store of the query
-(RocksDB, checkpointed with it): a micro-batch looks up its own ids and nothing else, whatever the size of the
-image store. What the store held before the stream began is its initial state, read once, with the first batch.
+``first_arrivals`` keeps every id that a stream has passed on, in the state store of the query
+(RocksDB, checkpointed with it), by ``BUCKETS`` hashes of ids: a micro-batch looks up the buckets of its own ids and nothing else, whatever the size of the
+image store, and the Python processor is called, and asks for state, once a bucket instead of once an id. What the store held before the stream began is
+its initial state, read once, with the first batch.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -27,37 +29,50 @@ from streetscape.streaming.ledger import EpochLedger, query_key, reject_rows
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Buckets of ids in the state; a query keeps its number for life.
+BUCKETS = 1 << 14
+
+
 class FirstArrival(StatefulProcessor):
-    """Of an id's rows the least by ``order``, once in the life of the stream."""
+    """Of every id's rows in a bucket the least by ``order``, once in the life of the stream."""
 
-    def __init__(self, order: tuple[str, ...]) -> None:
-        self.order = order
+    def __init__(self, key: str, kind: str, order: tuple[str, ...], columns: list[str]) -> None:
+        self.key, self.kind, self.order, self.columns = key, kind, order, columns
 
     def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "yes boolean")
+        self.seen = handle.getValueState("seen", f"ids array<{self.kind}>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first, least = None, None
-        for row in rows:  # one row is held, however many an id has
+        known = self.seen.get() if self.seen.exists() else None
+        ids = list(known[0]) if known else []
+        passed, found = set(ids), {}
+        for row in rows:  # one row of an id is held, however many it has
+            name = row[self.key]
+            if name in passed:
+                continue
             at = tuple((row[c] is not None, row[c]) for c in self.order)
-            if first is None or at < least:
-                first, least = row, at
-        if not self.seen.exists() and first is not None:
-            self.seen.update((True,))
-            yield first
+            if name not in found or at < found[name][0]:
+                found[name] = at, row
+        if found:
+            self.seen.update((ids + list(found),))
+            whole = Row(*self.columns)
+            for _, row in found.values():
+                yield whole(*(row[c] for c in self.columns))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.seen.update((True,))
+        self.seen.update((list(initialState["ids"]),))
 
     def close(self) -> None:
         pass
 
 
-def first_arrivals(stream: DataFrame, order: tuple[str, ...], known: DataFrame | None = None, key: str = "image_id") -> DataFrame:
+def first_arrivals(stream: DataFrame, order: tuple[str, ...], known: DataFrame | None = None, key: str = "image_id", buckets: int = BUCKETS) -> DataFrame:
     """The first row of every ``key`` that the stream hasn't passed on before and that isn't in ``known``. Rows without
     a key are dropped."""
-    initial = None if known is None else known.select(key).where(f"{key} IS NOT NULL").distinct().groupBy(key)
-    return stream.where(f"{key} IS NOT NULL").groupBy(key).transformWithState(FirstArrival(order), stream.schema, "Append", "None", initialState=initial)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("__bucket")
+    initial = None if known is None else known.where(f"{key} IS NOT NULL").select(bucket, key).groupBy("__bucket").agg(F.collect_set(key).alias("ids")).groupBy("__bucket")
+    processor = FirstArrival(key, stream.schema[key].dataType.simpleString(), order, stream.columns)
+    return stream.where(f"{key} IS NOT NULL").select("*", bucket).groupBy("__bucket").transformWithState(processor, stream.schema, "Append", "None", initialState=initial)
 
 
 @contextmanager
