@@ -55,8 +55,47 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([image_id]), pa.array([blob], pa.binary()), pa.array([path])], names=["image_id", "image_blob", "path"])
 
 
+def _listed():
+    """The files (path, length) of a folder, and of its folders ``name=value``, as Spark's scan takes them, in batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        from streetscape.sinks.geoparquet import _fs
+
+        for b in batches:
+            for url in b.column("root").to_pylist():
+                todo = [url]
+                while todo:
+                    at = todo.pop()
+                    fs, base = _fs(at)
+                    found = fs.get_file_info(pafs.FileSelector(base))
+                    names = [(i.base_name, i.size, i.type == pafs.FileType.Directory) for i in found if not i.base_name.startswith(("_", "."))]
+                    del found
+                    todo += [f"{at}/{name}" for name, _, folder in names if folder and "=" in name]
+                    for k in range(0, len(names), 10_000):
+                        files = [(f"{at}/{name}", size) for name, size, folder in names[k : k + 10_000] if not folder]
+                        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in files], pa.string()), pa.array([n for _, n in files], pa.int64())], names=["path", "length"])
+
+    return run
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """The landed files (path, length). A folder is listed by a task, so that the driver holds no file of it; anything but a plain folder, and a
+    glob, by Spark's own scan."""
+    import pyarrow.fs as pafs
+
+    from streetscape.sinks.geoparquet import _fs, qualified
+
+    root = qualified(spark, path).rstrip("/")
+    fs, base = _fs(root)
+    if glob != "*" or fs.get_file_info(base).type != pafs.FileType.Directory:
+        return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+    return spark.range(1, numPartitions=1).select(F.lit(root).alias("root")).mapInArrow(_listed(), "path string, length bigint")
+
+
 def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: str = r"([^/]+)\.[A-Za-z0-9]+$", glob: str = "*") -> DataFrame:
-    """The landed images of ``ids`` alone, as ``scan_image_files`` gives them: files are listed, joined by
+    """The landed images of ``ids`` alone, as ``scan_image_files`` gives them: files are listed by a task, joined by
     id on their names, and only those that remain are opened, one at a time, by the executors, shared out by their number and size. A folder of packed shards
     (``sources.image_shards``) isn't listed by the driver."""
     from streetscape.sinks.geoparquet import qualified
@@ -64,7 +103,7 @@ def read_images_of(spark: SparkSession, path: str, ids: DataFrame, id_pattern: s
 
     if folders_of(qualified(spark, path)) is not None:
         return read_shard_images_of(spark, path, ids)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path", "length")
+    listed = list_files(spark, path, glob).select(F.regexp_extract("path", id_pattern, 1).alias("image_id"), "path", "length")
     kept = f"{shared_path(spark, 'wanted')}/files"
     with _cheap_to_open(spark):
         listed.join(ids.select("image_id").distinct(), "image_id", "left_semi").write.parquet(kept)
